@@ -253,17 +253,7 @@ def win_trailing_7(spark, sf):
     return out.select("robot_id", "report_date", "avg_motor_temp_7d", "max_vibration_7d", "error_readings_7d")
 
 
-_OBT = sql("""
-SELECT f.sensor_reading_sk, f.reading_id, f.robot_id, f.reading_ts, f.reading_date_key, r.serial_number, r.model_id,
-  m.model_name, m.manufacturer, m.max_payload_kg, m.battery_capacity_wh, m.weight_kg, m.max_speed_mps, m.wear_rate,
-  r.zone_id AS robot_scd_zone_id, z.zone_name, z.site, z.zone_type, z.has_charging, r.firmware_version, r.owner_team,
-  f.battery_voltage_v, f.battery_soc_pct, f.battery_temp_c, f.motor_temp_c, f.motor_rpm, f.motor_load_pct,
-  f.vibration_g, f.odometer_m, f.operational_status, f.floor_condition, f.is_reading_ts_parse_failed,
-  f.is_battery_soc_invalid, f.is_battery_temp_suspicious, f.is_motor_temp_suspicious, f.is_odometer_invalid
-FROM fct_sensor_reading f
-LEFT JOIN dim_robot r ON f.robot_sk = r.robot_sk
-LEFT JOIN dim_robot_model m ON r.model_id = m.model_id
-LEFT JOIN dim_zone z ON r.zone_id = z.zone_id""", "fct_sensor_reading", "dim_robot", "dim_robot_model", "dim_zone")
+_OBT = sql("SELECT * FROM obt", "obt")
 
 
 @query("obt_sensor_readings", _OBT)
