@@ -149,7 +149,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, partition_b
     lo, hi = F.col(lower), F.col(upper)
     nxt = F.lead(lo).over(W.ordered(parts, [lower, upper]))
     from pyspark.sql import Window
-    last = F.row_number().over(Window.partitionBy(*parts).orderBy(lo.desc_nulls_first(), hi.desc_nulls_first())) == 1
+    last = F.row_number().over(Window.partitionBy(*parts).orderBy(lo.desc_nulls_last(), hi.desc_nulls_last())) == 1
     sel = ([F.col(partition_by).alias("partition_by_col")] if partition_by else []) + [
         lo.alias("lower_bound"), hi.alias("upper_bound"), nxt.alias("next_lower_bound"), last.alias("is_last_record")]
     w = df.select(*sel)
