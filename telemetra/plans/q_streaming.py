@@ -1,3 +1,87 @@
-"""Registered queries."""
+"""Registered queries: Structured Streaming jobs, each drained with an availableNow trigger and
+read back from its sink."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from telemetra.plans import fixtures as fx
+from telemetra.plans.catalog import query
+from telemetra.plans.oracle import sql
+from telemetra.session import scratch_path
+from telemetra.sources.tables import read_table
+from telemetra.streaming import streams as S
+
+EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+TELEMETRY_SCHEMA = ("robotid STRING, timestamp BIGINT, motortemp DOUBLE, batteryvoltage DOUBLE, vibration DOUBLE, "
+                    "year INT, month INT, day INT, hour INT")
+
+
+@query("stream_land_partitioned", """
+SELECT *, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+  CAST(hour(ts) AS INTEGER) AS hour FROM events""")
+def stream_land_partitioned(spark, sf):
+    """Event stream landed as parquet under year/month/day/hour folders."""
+    inbound, sink, ck = (scratch_path(spark, n) for n in ("events_inbound", "events_landed", "ck_land"))
+    S.write_inbound_json(read_table(spark, sf, "events"), inbound)
+    S.land_partitioned(S.read_json_stream(spark, inbound, EVENT_SCHEMA), "ts", sink, ck)
+    back = spark.read.parquet(sink)
+    return back.select("event_id", "ts", "user_id", "event_type", "value", "props", "year", "month", "day", "hour")
+
+
+@query("stream_bad_record_split", "SELECT * FROM events WHERE event_id % 50 <> 0")
+def stream_bad_record_split(spark, sf):
+    """Malformed records (every 50th line is cut short) go to an error folder; the rest land."""
+    inbound, good, bad, ck = (scratch_path(spark, n) for n in ("lines_inbound", "good", "bad", "ck_split"))
+    e = read_table(spark, sf, "events")
+    js = F.to_json(F.struct(*e.columns), {"timestampNTZFormat": S.TS_FORMAT})
+    lines = e.select(F.when(F.col("event_id") % 50 == 0, F.substring(js, 1, 17)).otherwise(js).alias("value"))
+    S.write_inbound_lines(lines, inbound)
+    S.split_bad_records(spark, inbound, EVENT_SCHEMA, good, bad, ck, key="event_id")
+    return spark.read.parquet(good)
+
+
+@query("stream_dedup", "SELECT * FROM events")
+def stream_dedup(spark, sf):
+    """Replayed events (every 20th re-sent in a later file) dropped within a 48 h watermark."""
+    inbound, sink, ck = (scratch_path(spark, n) for n in ("dup_inbound", "dedup", "ck_dedup"))
+    e = read_table(spark, sf, "events")
+    S.write_inbound_json(e.coalesce(1), inbound)
+    S.write_inbound_json(e.filter(F.col("event_id") % 20 == 0).coalesce(1), inbound)
+    S.dedup_replays(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=1),
+                    ["event_id"], "ts", sink, ck)
+    return spark.read.parquet(sink)
+
+
+@query("stream_daily_health", sql("SELECT * FROM health_daily", "health_daily"))
+def stream_daily_health(spark, sf):
+    """Incremental robot-day health (update mode + upsert log) equals the batch mart."""
+    inbound, log, ck = (scratch_path(spark, n) for n in ("tel_inbound", "health_log", "ck_health"))
+    S.write_inbound_json(fx.telemetry(spark, sf), inbound)
+    st = S.read_json_stream(spark, inbound, TELEMETRY_SCHEMA).withColumn(
+        "event_timestamp", F.timestamp_seconds("timestamp").cast("timestamp_ntz"))
+    S.daily_health_incremental(st, "robotid", "event_timestamp", log, ck)
+    cur = S.latest_versions(spark.read.parquet(log), ["robotid", "summary_date"])
+    return cur.select("robotid", "summary_date", "event_count",
+                      (F.col("sum_motor_temp") / F.col("n_motor_temp")).alias("avg_motor_temp"), "max_motor_temp",
+                      (F.col("sum_battery_voltage") / F.col("n_battery_voltage")).alias("avg_battery_voltage"),
+                      "min_battery_voltage", "max_vibration")
+
+
+@query("stream_late_audit", None)
+def stream_late_audit(spark, sf):
+    """Rows arriving behind a 1-hour watermark: every 10th event is re-sent 1..46 hours late in
+    a later file; the count of rows the watermark dropped comes from the stream's progress."""
+    inbound, sink, ck = (scratch_path(spark, n) for n in ("late_inbound", "late_sink", "ck_late"))
+    e = read_table(spark, sf, "events")
+    S.write_inbound_json(e.coalesce(1), inbound)
+    late = e.filter(F.col("event_id") % 10 == 0).withColumns({
+        "event_id": F.col("event_id") + F.lit(10_000_000_000),
+        "ts": F.timestamp_add("HOUR", -(F.col("event_id") % 46 + 1), F.col("ts"))})
+    S.write_inbound_json(late.coalesce(1), inbound)
+    m = S.late_rows_audit(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=1),
+                          "ts", "event_id", ck, sink)
+    landed = spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("rows_landed"))
+    stats = spark.createDataFrame([(m["batches"], m["rows_in"], m["late_rows_dropped"])],
+                                  "batches int, rows_in bigint, late_rows_dropped bigint")
+    return stats.crossJoin(landed)
