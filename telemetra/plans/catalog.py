@@ -33,5 +33,5 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> dict[str, Entry]:
     # importing the modules registers their queries
-    from telemetra.plans import q_models, q_relational, q_quality, q_ingest, q_streaming  # noqa: F401
+    from telemetra.plans import q_models, q_relational, q_quality, q_ingest, q_streaming, q_faults  # noqa: F401
     return REGISTRY

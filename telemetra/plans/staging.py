@@ -22,8 +22,8 @@ def _is_text(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, StringType)
 
 
-def _ts(df: DataFrame, c: str, formats=C.TS_FORMATS) -> Column:
-    return C.parse_ts(c, formats) if _is_text(df, c) else F.col(c).cast("timestamp_ntz")
+def _ts(df: DataFrame, c: str, formats=C.TS_FORMATS, epoch_digits: bool = False) -> Column:
+    return C.parse_ts(c, formats, epoch_digits) if _is_text(df, c) else F.col(c).cast("timestamp_ntz")
 
 
 def _dbl(df: DataFrame, c: str) -> Column:
@@ -34,9 +34,11 @@ def _text_id(c: str) -> Column:
     return C.trim_nullif(F.col(c).cast("string"))
 
 
-def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T) -> DataFrame:
-    """Ids trimmed, multi-layout timestamp + parse flag, range null-out + flags, enums upper."""
-    ts = _ts(raw, "reading_ts", formats)
+def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T, epoch_digits: bool = False) -> DataFrame:
+    """Ids trimmed, multi-layout timestamp + parse flag, range null-out + flags, enums upper.
+    ``formats=C.TS_FORMATS_EXTENDED, epoch_digits=True`` also reads the layouts the dirt
+    generator writes but the warehouse does not parse."""
+    ts = _ts(raw, "reading_ts", formats, epoch_digits)
     soc = _dbl(raw, "battery_soc_pct")
     odo = _dbl(raw, "odometer_m")
     bt = _dbl(raw, "battery_temp_c")
