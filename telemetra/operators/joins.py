@@ -9,26 +9,40 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_rows(frames, max_rows: int) -> int:
+    """Sum of row counts of ``frames``, each counted with ``limit(max_rows + 1)`` so the check
+    stops early on a large input. Counting a parquet scan needs no column data."""
+    total = 0
+    for f in frames:
+        total += f.limit(max_rows + 1).count()
+        if total > max_rows:
+            break
+    return total
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_from=None) -> DataFrame:
     """Hint a broadcast only for a side proven to hold at most ``max_rows`` rows.
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading after ``max_rows + 1`` rows,
-    so it is cheap even when the side turns out to be large. Above the bound the side is
-    returned unhinted and the planner falls back to a shuffled join (AQE can still convert it
-    at runtime using measured shuffle sizes, and splits skewed partitions)."""
-    n = df.limit(max_rows + 1).count()
+    The proof is a count: of ``df`` itself, or -- for a derived side such as an SCD2
+    dimension -- of the source frames in ``bound_from`` whose total row count bounds it (a
+    version table has at most start rows + change rows), so the derived side is not computed
+    twice. Counts stop after ``max_rows + 1`` rows. Above the bound the side is returned
+    unhinted: the planner uses a shuffled join, AQE may still switch to a broadcast from
+    measured shuffle sizes, and splits skewed partitions."""
+    n = bounded_rows(bound_from if bound_from is not None else [df], max_rows)
     return F.broadcast(df) if n <= max_rows else df
 
 
 def pit_join(fact: DataFrame, dim: DataFrame, key: str, ts: str,
              valid_from: str = "valid_from", valid_to: str = "valid_to",
-             how: str = "left", dim_key: str | None = None, broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             how: str = "left", dim_key: str | None = None, broadcast_rows: int = BROADCAST_MAX_ROWS,
+             bound_from=None) -> DataFrame:
     """Point-in-time join: equal key and ``valid_from <= ts < valid_to`` (half-open).
 
     Plans as a hash / sort-merge join on the key with the interval as a residual predicate;
     versions per key are few, so the residual check is cheap."""
     dk = dim_key or key
-    d = broadcast_if_small(dim, broadcast_rows) if broadcast_rows else dim
+    d = broadcast_if_small(dim, broadcast_rows, bound_from) if broadcast_rows else dim
     cond = ((fact[key] == d[dk]) & (fact[ts] >= d[valid_from]) & (fact[ts] < d[valid_to]))
     return fact.join(d, cond, how)
 

@@ -60,11 +60,13 @@ def dim_date(spark: SparkSession, start: str = "2024-01-01", days: int = 2000) -
 # ---- facts ----------------------------------------------------------------------------------
 
 
-def fct_sensor_reading(readings_stg: DataFrame, robot_dim: DataFrame, zone_dim: DataFrame) -> DataFrame:
-    """Readings with both ids, point-in-time robot version key, reading-zone key, date key."""
+def fct_sensor_reading(readings_stg: DataFrame, robot_dim: DataFrame, zone_dim: DataFrame,
+                       robot_dim_bound=None) -> DataFrame:
+    """Readings with both ids, point-in-time robot version key, reading-zone key, date key.
+    ``robot_dim_bound``: source frames whose row count bounds the version table."""
     r = readings_stg.filter(F.col("reading_id").isNotNull() & F.col("robot_id").isNotNull())
     versions = robot_dim.select(F.col("robot_id").alias("_rid"), "robot_sk", "valid_from", "valid_to")
-    j = pit_join(r, versions, key="robot_id", dim_key="_rid", ts="reading_ts")
+    j = pit_join(r, versions, key="robot_id", dim_key="_rid", ts="reading_ts", bound_from=robot_dim_bound)
     z = broadcast_if_small(zone_dim.select(F.col("zone_id").alias("_zid"), "zone_sk"))
     j = j.join(z, j.zone_id == z._zid, "left")
     return j.select(
@@ -142,11 +144,11 @@ def fct_maintenance_placeholder(spark: SparkSession) -> DataFrame:
 
 
 def obt_sensor_readings(fact: DataFrame, robot_dim: DataFrame, model_dim: DataFrame,
-                        zone_dim: DataFrame) -> DataFrame:
+                        zone_dim: DataFrame, robot_dim_bound=None) -> DataFrame:
     """One big table: fact + robot version (by key) + model + the robot version's zone."""
     r = broadcast_if_small(robot_dim.select(F.col("robot_sk").alias("_rsk"), "serial_number", "model_id",
                                             F.col("zone_id").alias("robot_scd_zone_id"),
-                                            "firmware_version", "owner_team"))
+                                            "firmware_version", "owner_team"), bound_from=robot_dim_bound)
     m = broadcast_if_small(model_dim.select(F.col("model_id").alias("_mid"), "model_name", "manufacturer",
                                             "max_payload_kg", "battery_capacity_wh", "weight_kg",
                                             "max_speed_mps", "wear_rate"))
@@ -261,10 +263,20 @@ class Warehouse:
     def dim_robot(self):
         return self._get("dim_robot", lambda: dim_robot(self.stg_robots, self.stg_changes, self.scd_mode))
 
+    @property
+    def robot_dim_bound(self):
+        """Raw inputs whose row count bounds the robot version table."""
+        return [fx.robots(self.spark, self.sf_dir), fx.attribute_changes(self.spark, self.sf_dir)]
+
     @property
     def fct_sensor_reading(self):
         return self._get("fct_sensor_reading", lambda: fct_sensor_reading(
-            self.stg_readings, self.dim_robot, self.dim_zone))
+            self.stg_readings, self.dim_robot, self.dim_zone, self.robot_dim_bound))
+
+    @property
+    def obt(self):
+        return self._get("obt", lambda: obt_sensor_readings(
+            self.fct_sensor_reading, self.dim_robot, self.dim_robot_model, self.dim_zone, self.robot_dim_bound))
 
     @property
     def fct_robot_daily(self):

@@ -260,7 +260,7 @@ _OBT = sql("SELECT * FROM obt", "obt")
 def obt_sensor_readings(spark, sf):
     """One big table: fact + robot version + model + the version's zone."""
     w = Warehouse(spark, sf)
-    return models.obt_sensor_readings(w.fct_sensor_reading, w.dim_robot, w.dim_robot_model, w.dim_zone)
+    return w.obt
 
 
 _MAINT = sql(f"""

@@ -275,7 +275,7 @@ def dq_scd2_no_overlap(spark, sf):
 def dq_obt_reconciles(spark, sf):
     """Fact and one-big-table row counts differ (duplicate version keys fan the OBT out)."""
     w = Warehouse(spark, sf)
-    obt = models.obt_sensor_readings(w.fct_sensor_reading, w.dim_robot, w.dim_robot_model, w.dim_zone)
+    obt = w.obt
     return Q.rowcounts_differ(w.fct_sensor_reading, obt)
 
 

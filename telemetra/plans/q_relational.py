@@ -237,7 +237,7 @@ def join_cross_scalar(spark, sf):
     """Cross join of two one-row aggregates (fact and OBT row counts)."""
     from telemetra.plans import models
     w = Warehouse(spark, sf)
-    obt = models.obt_sensor_readings(w.fct_sensor_reading, w.dim_robot, w.dim_robot_model, w.dim_zone)
+    obt = w.obt
     return (w.fct_sensor_reading.agg(F.count(F.lit(1)).alias("fact_row_count"))
             .crossJoin(obt.agg(F.count(F.lit(1)).alias("obt_row_count"))))
 
