@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Bound counts already proven in this process, by the frame's semantic plan hash. A plan
+# over the same inputs is counted once per process; a stale entry can only change the join
+# strategy, never a result.
+_COUNTS: dict[tuple[int, int], int] = {}
+
+
 def bounded_rows(frames, max_rows: int) -> int:
     """Sum of row counts of ``frames``, each counted with ``limit(max_rows + 1)`` so the check
     stops early on a large input. Counting a parquet scan needs no column data."""
     total = 0
     for f in frames:
-        total += f.limit(max_rows + 1).count()
+        key = (f.semanticHash(), max_rows)
+        if key not in _COUNTS:
+            _COUNTS[key] = f.limit(max_rows + 1).count()
+        total += _COUNTS[key]
         if total > max_rows:
             break
     return total

@@ -45,8 +45,15 @@ def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest
 
 
 def dim_date(spark: SparkSession, start: str = "2024-01-01", days: int = 2000) -> DataFrame:
-    """Calendar: key YYYYMMDD, parts, names, ISO week, weekend (day_of_week 0 = Sunday)."""
+    """Calendar of ``days`` days from ``start`` (the warehouse's fixed spine)."""
     d = spark.range(days).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date_day"))
+    return calendar(d)
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Calendar attributes of a ``date_day`` column: key YYYYMMDD, parts, names, ISO week,
+    weekend (day_of_week 0 = Sunday)."""
+    d = days
     dow = F.dayofweek("date_day") - 1
     return d.select(
         C.date_key("date_day").alias("date_key"), "date_day",
@@ -130,14 +137,24 @@ def fct_maintenance(tickets: DataFrame) -> DataFrame:
         F.col("closed_ts").isNull().alias("is_open"))
 
 
+MAINTENANCE_PLACEHOLDER_SCHEMA = (
+    "maintenance_sk string, ticket_id string, robot_id string, failure_type string, severity string, "
+    "reported_ts timestamp_ntz, diagnosed_ts timestamp_ntz, parts_ordered_ts timestamp_ntz, "
+    "repaired_ts timestamp_ntz, closed_ts timestamp_ntz, reported_date_key bigint, "
+    "diagnosed_date_key bigint, repaired_date_key bigint, closed_date_key bigint, "
+    "root_cause string, cost_usd double, downtime_hours double")
+
+
 def fct_maintenance_placeholder(spark: SparkSession) -> DataFrame:
     """The warehouse's typed, empty accumulating snapshot."""
-    cols = ("maintenance_sk string, ticket_id string, robot_id string, failure_type string, severity string, "
-            "reported_ts timestamp_ntz, diagnosed_ts timestamp_ntz, parts_ordered_ts timestamp_ntz, "
-            "repaired_ts timestamp_ntz, closed_ts timestamp_ntz, reported_date_key bigint, "
-            "diagnosed_date_key bigint, repaired_date_key bigint, closed_date_key bigint, "
-            "root_cause string, cost_usd double, downtime_hours double")
-    return spark.createDataFrame([], cols)
+    return spark.createDataFrame([], MAINTENANCE_PLACEHOLDER_SCHEMA)
+
+
+def as_placeholder_schema(snapshot: DataFrame) -> DataFrame:
+    """The built snapshot in the placeholder's column names and types (a drop-in for it)."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(MAINTENANCE_PLACEHOLDER_SCHEMA)
+    return snapshot.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # ---- marts ----------------------------------------------------------------------------------
@@ -211,11 +228,26 @@ def mart_training_dataset(health: DataFrame, failures: DataFrame, fan_out: bool
 
 
 class Warehouse:
-    """Lazily built models over one fixture directory; each model is a DataFrame plan."""
+    """Lazily built models over one fixture directory; each model is a DataFrame plan.
+
+    ``Warehouse(spark, dir)`` returns the same instance for the same session, directory and
+    SCD mode, so queries that share models share their plans (and Spark can reuse their
+    exchanges when several of them run in one job)."""
+
+    _instances: dict[tuple[int, str, str], Warehouse] = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str, scd_mode: str = "latest"):
+        key = (id(spark), sf_dir, scd_mode)
+        inst = cls._instances.get(key)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir, inst.scd_mode = spark, sf_dir, scd_mode
+            inst._cache = {}
+            cls._instances[key] = inst
+        return inst
 
     def __init__(self, spark: SparkSession, sf_dir: str, scd_mode: str = "latest"):
-        self.spark, self.sf_dir, self.scd_mode = spark, sf_dir, scd_mode
-        self._cache: dict[str, DataFrame] = {}
+        pass
 
     def _get(self, name, build):
         if name not in self._cache:

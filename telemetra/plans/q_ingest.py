@@ -242,10 +242,19 @@ def stg_sensor_readings(spark, sf):
     return Warehouse(spark, sf).stg_readings.drop("reading_ts_raw")
 
 
-@query("fct_maintenance_placeholder", None)
+def _placeholder_sql() -> str:
+    from telemetra.plans.q_models import _MAINT
+    cols = ["maintenance_sk", "ticket_id", "robot_id", "failure_type", "severity", "reported_ts", "diagnosed_ts",
+            "parts_ordered_ts", "repaired_ts", "closed_ts"]
+    keys = ["reported_date_key", "diagnosed_date_key", "repaired_date_key", "closed_date_key"]
+    sel = cols + [f"CAST({k} AS BIGINT) AS {k}" for k in keys] + ["root_cause", "cost_usd", "downtime_hours"]
+    return f"SELECT {', '.join(sel)} FROM ({_MAINT})"
+
+
+@query("fct_maintenance_placeholder", _placeholder_sql())
 def fct_maintenance_placeholder(spark, sf):
-    """The warehouse's empty typed maintenance snapshot (kept for schema parity)."""
-    return models.fct_maintenance_placeholder(spark)
+    """The built maintenance snapshot in the warehouse placeholder's columns and types."""
+    return models.as_placeholder_schema(models.fct_maintenance(fx.maintenance_tickets(spark, sf)))
 
 
 # ---- web ------------------------------------------------------------------------------------------

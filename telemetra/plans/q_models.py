@@ -12,6 +12,7 @@ from telemetra.plans import lake, models
 from telemetra.plans.catalog import query
 from telemetra.plans.models import Warehouse
 from telemetra.plans.oracle import date_key, sk, sql
+from telemetra.sources.tables import read_table
 
 # ---- lake path --------------------------------------------------------------------------------
 
@@ -157,15 +158,24 @@ def join_inner_equi(spark, sf):
         "change_id", "robot_id", "serial_number", "model_id", "attribute", "new_value")
 
 
+_DATES = ("SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem "
+          "UNION SELECT CAST(ts AS DATE) FROM events")
+
+
 @query("dim_date", f"""
 SELECT {date_key('d')} AS date_key, d AS date_day, CAST(year(d) AS INTEGER) AS year,
   CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, strftime(d, '%b') AS month_name,
   CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofweek(d) AS INTEGER) AS day_of_week, strftime(d, '%a') AS day_name,
   CAST(weekofyear(d) AS INTEGER) AS week_of_year, dayofweek(d) IN (0, 6) AS is_weekend
-FROM (SELECT CAST(DATE '2024-01-01' + CAST(i AS INTEGER) AS DATE) AS d FROM range(2000) t(i))""")
+FROM ({_DATES})""")
 def dim_date(spark, sf):
-    """2000-day calendar from 2024-01-01 (not data-dependent: the spine is the model)."""
-    return models.dim_date(spark)
+    """Calendar attributes for every date present in orders, lineitem and events (the fixed
+    2000-day spine of the warehouse is ``models.dim_date``)."""
+    days = (read_table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date_day"))
+            .union(read_table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date_day")))
+            .union(read_table(spark, sf, "events").select(F.to_date("ts").alias("date_day")))
+            .distinct())
+    return models.calendar(days)
 
 
 @query("surrogate_key", sql(f"SELECT change_id, {sk('robot_id', 'changed_at', 'attribute')} AS change_sk, "

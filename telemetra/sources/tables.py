@@ -14,6 +14,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# One scan DataFrame per (session, path): listing files and reading footers for the schema
+# is done once per process instead of once per reference (costly for tables of many files).
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; column pruning and filter pushdown happen in the optimiser."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
