@@ -30,8 +30,11 @@ def dim_robot_model(models_stg: DataFrame) -> DataFrame:
                              "max_speed_mps", "wear_rate", "sensor_suite")
 
 
-def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest") -> DataFrame:
-    """SCD2 robot dimension: start state at commissioning + attribute change log."""
+def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest",
+              chunk: str | None = "day") -> DataFrame:
+    """SCD2 robot dimension: start state at commissioning + attribute change log.
+    ``chunk``: windows run per (robot, day) and are stitched, so one robot with a large share
+    of all changes does not land in a single task (None: plain per-robot windows)."""
     base = robots_stg.select("robot_id", "serial_number", "model_id", "commissioned_date",
                              F.col("home_zone_id").alias("zone_id"),
                              F.col("initial_firmware").alias("firmware_version"), "owner_team")
@@ -39,7 +42,7 @@ def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest
         base, changes_stg, key="robot_id",
         attributes={"ZONE": "zone_id", "FIRMWARE": "firmware_version", "TEAM": "owner_team"},
         base_valid_from="commissioned_date", carry=("serial_number", "model_id", "commissioned_date"),
-        mode=mode, sk_name="robot_sk")
+        mode=mode, sk_name="robot_sk", chunk=chunk if mode == "latest" else None)
     return out.select("robot_sk", "robot_id", "serial_number", "model_id", "zone_id", "firmware_version",
                       "owner_team", "commissioned_date", "valid_from", "valid_to", "is_current")
 

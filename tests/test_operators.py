@@ -232,3 +232,24 @@ def test_report_thresholds(spark):
     assert out == {"f": (2, "ERROR"), "o": (0, "PASS")}
     warn = Q.report({"f": (fail, None)}, warn_if="> 1", error_if="> 5").first()
     assert warn.status == "WARN"
+
+
+def test_scd2_chunked_equals_plain(spark):
+    # one hot key with changes over several days, ties, a NULL start and an unknown attribute
+    base = spark.createDataFrame([("hot", "z0", "f0", D(2024, 1, 1)), ("cold", "z1", "f1", None)],
+                                 "robot_id string, zone_id string, fw string, since date")
+    rows = []
+    for i in range(200):
+        ts = T(2024, 1, 1 + i % 9, (i * 7) % 24, i % 60)
+        attr = ["ZONE", "FIRMWARE", "COLOR"][i % 3]
+        rows.append((f"c{i:03d}", "hot", ts, attr, f"v{i % 13}"))
+    rows.append(("c900", "hot", T(2024, 1, 3, 5, 5), "ZONE", "tie-a"))
+    rows.append(("c901", "hot", T(2024, 1, 3, 5, 5), "ZONE", "tie-b"))
+    rows.append(("c902", "cold", T(2024, 1, 4), "ZONE", "zc"))
+    ch = spark.createDataFrame(rows, "change_id string, robot_id string, changed_at timestamp_ntz, "
+                                     "attribute string, new_value string")
+    args = dict(key="robot_id", attributes={"ZONE": "zone_id", "FIRMWARE": "fw"}, base_valid_from="since")
+    plain = scd.build_scd2(base, ch, **args)
+    for chunk in ("day", "hour", "month"):
+        chunked = scd.build_scd2(base, ch, chunk=chunk, **args)
+        assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
