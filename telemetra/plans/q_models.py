@@ -338,3 +338,38 @@ def join_lookahead_label(spark, sf):
     f = fx.failures(spark, sf).select(F.col("robot_id").alias("robotid"), "failure_date")
     return scd.lookahead_label(h, f, "robotid", "summary_date", "failure_date", 7, fan_out=False,
                                label="will_fail_in_next_7_days")
+
+
+# ---- lag / lead window operators ---------------------------------------------------------------------
+
+@query("win_lag_sequential", """
+SELECT user_id, day, lag(day) OVER w AS previous_day,
+  CAST(date_diff('day', lag(day) OVER w, day) AS INTEGER) AS gap_days,
+  coalesce(CAST(day AS TIMESTAMP) = CAST(lag(day) OVER w AS TIMESTAMP) + INTERVAL 1 DAY, true) AS is_sequential
+FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)
+WINDOW w AS (PARTITION BY user_id ORDER BY day)""")
+def win_lag_sequential(spark, sf):
+    """Previous active day per user, the gap, and whether it is the next calendar day."""
+    days = read_table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day")).distinct()
+    prev = W.previous_value("day", "user_id", "day")
+    return days.select("user_id", "day", prev.alias("previous_day"),
+                       F.datediff("day", prev).alias("gap_days"),
+                       F.coalesce(F.col("day").cast("timestamp_ntz") ==
+                                  F.timestamp_add("DAY", F.lit(1), prev.cast("timestamp_ntz")),
+                                  F.lit(True)).alias("is_sequential"))
+
+
+@query("win_lead_ranges", sql("""
+SELECT robot_id, valid_from, valid_to,
+  lead(valid_from) OVER (PARTITION BY robot_id ORDER BY valid_from, valid_to) AS next_valid_from,
+  row_number() OVER (PARTITION BY robot_id ORDER BY valid_from DESC, valid_to DESC) = 1 AS is_last_record
+FROM dim_robot""", "dim_robot"))
+def win_lead_ranges(spark, sf):
+    """Next range start and a last-record marker per robot (lead + row_number)."""
+    d = Warehouse(spark, sf).dim_robot.select("robot_id", "valid_from", "valid_to")
+    from pyspark.sql import Window
+    last = Window.partitionBy("robot_id").orderBy(F.col("valid_from").desc_nulls_last(),
+                                                  F.col("valid_to").desc_nulls_last())
+    return d.select("robot_id", "valid_from", "valid_to",
+                    W.next_value("valid_from", "robot_id", ["valid_from", "valid_to"]).alias("next_valid_from"),
+                    (F.row_number().over(last) == 1).alias("is_last_record"))
