@@ -102,11 +102,57 @@ def _fill_chunked(combined: DataFrame, key: str, carry: Sequence[str], attr_cols
 
 
 def overlapping_versions(dim: DataFrame, key: str, valid_from: str = "valid_from",
-                         valid_to: str = "valid_to") -> DataFrame:
-    """Pairs of versions of one key whose [from, to) intervals overlap (distinct starts).
-
-    The check is written as the theta self-join the warehouse test uses; versions per key are
-    few, so the per-key product is small. ``overlaps_by_lead`` is the linear alternative."""
+                         valid_to: str = "valid_to", chunk: str = "day") -> DataFrame:
+    """Pairs of versions of one key whose [from, to) intervals overlap and whose starts differ,
+    in both orders (a, b) and (b, a) -- the rows of the warehouse's theta self-join.
+
+    No pair of a key is compared unless it is in the output: of two overlapping versions the
+    later-starting one, b, starts inside the earlier one, a, so b's rank in start order lies in
+    ``(starts <= a.from, starts < a.to]``. Ranks and counts come from windows per (key, time
+    chunk) plus cumulative per-chunk counts (no window spans a whole key); each version then
+    expands to exactly its partners' ranks and is joined to them on (key, rank)."""
+    # a NULL bound never satisfies the overlap predicate: such versions have no partner
+    # identical versions are collapsed (multiplicity _m) and their pairs replicated at the end
+    iv = (dim.select(F.col(key).alias("_k"), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"))
+          .filter(F.col("_from").isNotNull() & F.col("_to").isNotNull())
+          .groupBy("_k", "_from", "_to").agg(F.count(F.lit(1)).alias("_m")))
+    one_us = F.expr("INTERVAL 1 MICROSECOND")
+    # point events: each start, and each end moved 1 us earlier so "<= t" counts starts "< to"
+    pts = (iv.select("_k", F.col("_from").alias("_t"), F.lit(1).alias("_is_start"), "_from", "_to", "_m")
+           .unionByName(iv.select("_k", (F.col("_to") - one_us).alias("_t"), F.lit(0).alias("_is_start"),
+                                  "_from", "_to", "_m")))
+    pts = pts.withColumn("_chunk", F.date_trunc(chunk, "_t").cast("timestamp_ntz"))
+    per_chunk = pts.groupBy("_k", "_chunk").agg(F.sum("_is_start").alias("_n"))
+    before = per_chunk.select("_k", "_chunk", F.coalesce(F.sum("_n").over(
+        W.ordered("_k", ["_chunk"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    local_le = F.sum("_is_start").over(Window.partitionBy("_k", "_chunk").orderBy("_t")
+                                       .rangeBetween(Window.unboundedPreceding, 0))
+    counted = pts.join(before, ["_k", "_chunk"]).withColumn("_le", F.col("_base") + local_le)
+    starts = (counted.filter(F.col("_is_start") == 1)
+              .withColumn("_rank", F.col("_base") + F.row_number().over(
+                  Window.partitionBy("_k", "_chunk").orderBy("_t", F.col("_to").asc_nulls_last()))))
+    lo = starts.select("_k", "_from", "_to", "_m", (F.col("_le") + 1).alias("_lo"))
+    hi = counted.filter(F.col("_is_start") == 0).select("_k", "_from", "_to", F.col("_le").alias("_hi"))
+    spans = lo.join(hi, ["_k", "_from", "_to"]).filter(F.col("_hi") >= F.col("_lo"))
+    cand = spans.select("_k", F.col("_from").alias("a_valid_from"), F.col("_to").alias("a_valid_to"),
+                        F.col("_m").alias("_ma"), F.explode(F.sequence("_lo", "_hi")).alias("_rank"))
+    b = starts.select("_k", "_rank", F.col("_from").alias("b_valid_from"), F.col("_to").alias("b_valid_to"),
+                      F.col("_m").alias("_mb"))
+    pairs = (cand.join(b, ["_k", "_rank"])
+             .filter((F.col("a_valid_from") < F.col("b_valid_to")) & (F.col("b_valid_from") < F.col("a_valid_to"))
+                     & (F.col("a_valid_from") != F.col("b_valid_from")))
+             .withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_ma") * F.col("_mb")))))
+    fwd = pairs.select(F.col("_k").alias(key), "a_valid_from", "a_valid_to", "b_valid_from", "b_valid_to")
+    rev = pairs.select(F.col("_k").alias(key), F.col("b_valid_from").alias("a_valid_from"),
+                       F.col("b_valid_to").alias("a_valid_to"), F.col("a_valid_from").alias("b_valid_from"),
+                       F.col("a_valid_to").alias("b_valid_to"))
+    return fwd.unionByName(rev)
+
+
+def overlapping_versions_selfjoin(dim: DataFrame, key: str, valid_from: str = "valid_from",
+                                  valid_to: str = "valid_to") -> DataFrame:
+    """The same pairs by a theta self-join on the key (compares every pair of a key: only for
+    small inputs and as the reference form in tests)."""
     a = dim.select(F.col(key).alias("robot_key"), F.col(valid_from).alias("a_valid_from"),
                    F.col(valid_to).alias("a_valid_to"))
     b = dim.select(F.col(key).alias("b_key"), F.col(valid_from).alias("b_valid_from"),

@@ -120,12 +120,18 @@ def scan_hive_partitioned(spark, sf):
 SELECT *, 'events_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS _source_table FROM events
 WHERE strftime(CAST(ts AS DATE), '%Y%m%d') <> '20240115'""")
 def union_tables_by_pattern(spark, sf):
-    """Daily slices registered as views, then every view matching events_2024% except one day."""
+    """Daily slices landed as day-partitioned parquet and registered as one view per day; then
+    every view matching events_2024% except one day, unioned by name. Each view reads only its
+    own partition folder, so the union reads the data once."""
     e = read_table(spark, sf, "events")
-    days = [r[0] for r in e.select(F.date_format("ts", "yyyyMMdd")).distinct().collect()]  # one row per day
+    path = scratch_path(spark, "events_by_day")
+    I.write_table(e.withColumn("day", F.date_format("ts", "yyyyMMdd")), path, partition_by=["day"])
+    landed = I.read_partitioned(spark, path)
+    days = [r[0] for r in landed.select("day").distinct().collect()]  # partition values only
     for d in days:
-        e.filter(F.date_format("ts", "yyyyMMdd") == d).createOrReplaceTempView(f"events_{d}")
-    return I.union_tables_by_pattern(spark, "events_2024%", exclude="events_20240115")
+        landed.filter(F.col("day") == d).drop("day").createOrReplaceTempView(f"events_{d}")
+    out = I.union_tables_by_pattern(spark, "events_2024%", exclude="events_20240115")
+    return out.select(*e.columns, "_source_table")
 
 
 # ---- staging cleaners -------------------------------------------------------------------------------

@@ -43,12 +43,13 @@ def stream_bad_record_split(spark, sf):
 
 @query("stream_dedup", "SELECT * FROM events")
 def stream_dedup(spark, sf):
-    """Replayed events (every 20th re-sent in a later file) dropped within a 48 h watermark."""
+    """Replayed events (every 20th re-sent in later files) dropped within a 48 h watermark. The
+    first delivery is one micro-batch (its file count caps the trigger), replays the next."""
     inbound, sink, ck = (scratch_path(spark, n) for n in ("dup_inbound", "dedup", "ck_dedup"))
     e = read_table(spark, sf, "events")
-    S.write_inbound_json(e.coalesce(1), inbound)
-    S.write_inbound_json(e.filter(F.col("event_id") % 20 == 0).coalesce(1), inbound)
-    S.dedup_replays(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=1),
+    n_first = S.write_inbound_json_counted(spark, e, inbound)
+    S.write_inbound_json(e.filter(F.col("event_id") % 20 == 0), inbound)
+    S.dedup_replays(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=n_first),
                     ["event_id"], "ts", sink, ck)
     return spark.read.parquet(sink)
 
@@ -68,20 +69,26 @@ def stream_daily_health(spark, sf):
                       "min_battery_voltage", "max_vibration")
 
 
-@query("stream_late_audit", None)
+_LATE = ("SELECT event_id + 10000000000 AS event_id, ts - to_hours(event_id % 46 + 1) AS ts "
+         "FROM events WHERE event_id % 10 = 0")
+
+
+@query("stream_late_audit", f"""
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, CAST(0 AS BIGINT) AS late_rows, max(ts) AS batch_max_ts
+FROM events
+UNION ALL
+SELECT 1, count(*), count_if(ts < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR), max(ts) FROM ({_LATE})""")
 def stream_late_audit(spark, sf):
-    """Rows arriving behind a 1-hour watermark: every 10th event is re-sent 1..46 hours late in
-    a later file; the count of rows the watermark dropped comes from the stream's progress."""
-    inbound, sink, ck = (scratch_path(spark, n) for n in ("late_inbound", "late_sink", "ck_late"))
+    """Late arrivals per micro-batch: all events arrive first, then every 10th event is re-sent
+    1..46 hours older; rows older than the previous batches' latest event time minus 1 hour
+    count as late."""
+    inbound, audit, ck = (scratch_path(spark, n) for n in ("late_inbound", "late_audit", "ck_late"))
     e = read_table(spark, sf, "events")
-    S.write_inbound_json(e.coalesce(1), inbound)
+    n_first = S.write_inbound_json_counted(spark, e, inbound)
     late = e.filter(F.col("event_id") % 10 == 0).withColumns({
         "event_id": F.col("event_id") + F.lit(10_000_000_000),
         "ts": F.timestamp_add("HOUR", -(F.col("event_id") % 46 + 1), F.col("ts"))})
-    S.write_inbound_json(late.coalesce(1), inbound)
-    m = S.late_rows_audit(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=1),
-                          "ts", "event_id", ck, sink)
-    landed = spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("rows_landed"))
-    stats = spark.createDataFrame([(m["batches"], m["rows_in"], m["late_rows_dropped"])],
-                                  "batches int, rows_in bigint, late_rows_dropped bigint")
-    return stats.crossJoin(landed)
+    S.write_inbound_json(late, inbound)
+    S.late_rows_audit(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=n_first),
+                      "ts", audit, ck, lateness_seconds=3600)
+    return S.read_audit(spark.read.parquet(audit)).drop("_written")

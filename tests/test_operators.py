@@ -253,3 +253,16 @@ def test_scd2_chunked_equals_plain(spark):
     for chunk in ("day", "hour", "month"):
         chunked = scd.build_scd2(base, ch, chunk=chunk, **args)
         assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
+
+
+def test_overlap_pairs_equal_selfjoin(spark):
+    rows = [("h", T(2024, 1, 1 + i % 5, i % 24), T(2024, 1, 1 + (i * 3) % 7, (i * 5) % 24)) for i in range(120)]
+    rows += [("h", T(2024, 1, 2), None), ("h", T(2024, 1, 2), T(2024, 1, 2)), ("c", T(2024, 1, 1), T(9999, 12, 31)),
+             ("c", T(2024, 1, 3), T(2024, 1, 3, 0, 0, 0, 1)), ("c", T(2024, 1, 3), T(2024, 1, 4)),
+             ("c", T(2024, 1, 3, 12), T(2024, 1, 5)), ("c", T(2024, 1, 3, 12), T(2024, 1, 5)),
+             ("c", T(2024, 1, 3, 12), T(2024, 1, 5))]
+    v = spark.createDataFrame(rows, "robot_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    fast = scd.overlapping_versions(v, "robot_id")
+    slow = scd.overlapping_versions_selfjoin(v, "robot_id")
+    assert slow.count() > 100
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
