@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 from telemetra.functions.columns import open_end, surrogate_key
 from telemetra.operators import windows as W
 from telemetra.operators.joins import days_before
+from telemetra.session import checkpoint_dir
+
+# Largest change log one key may have for plain per-key windows (chunk="auto"); above it the
+# windows run per (key, day) chunk.
+MAX_ROWS_PER_WINDOW_KEY = 5_000_000
+_MAX_PER_KEY: dict[int, int] = {}
+
+
+def max_rows_per_key(df: DataFrame, key: str) -> int:
+    """Largest group size of ``key`` (one partial + final aggregate; memoized per plan)."""
+    h = df.select(key).semanticHash()
+    if h not in _MAX_PER_KEY:
+        _MAX_PER_KEY[h] = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    return _MAX_PER_KEY[h]
 
 
 def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[str, str],
@@ -29,6 +43,8 @@ def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[s
     mode="running_max": a change row holds the running maximum of each attribute's values
     (lexicographic), which reproduces the warehouse model exactly.
 
+    chunk="auto": plain windows when the largest change log of one key is proven (by a count)
+    to be at most ``MAX_ROWS_PER_WINDOW_KEY`` rows, else chunk="day".
     chunk="day" (or "hour", "month"): skew-safe evaluation. The windows run per (key, time
     chunk) instead of per key, and a small per-chunk table carries the last known value and the
     next chunk's first start across chunk boundaries. A key holding a large share of all
@@ -55,6 +71,8 @@ def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[s
 
     combined = start.unionByName(ev)
     order = [F.col("valid_from"), F.col("_src"), F.col("_cid")]
+    if chunk == "auto":
+        chunk = None if max_rows_per_key(ch, key) + 1 <= MAX_ROWS_PER_WINDOW_KEY else "day"
     if chunk is None:
         filled = combined.select(
             F.col(key), *[F.col(c) for c in carry],
@@ -113,9 +131,13 @@ def overlapping_versions(dim: DataFrame, key: str, valid_from: str = "valid_from
     expands to exactly its partners' ranks and is joined to them on (key, rank)."""
     # a NULL bound never satisfies the overlap predicate: such versions have no partner
     # identical versions are collapsed (multiplicity _m) and their pairs replicated at the end
+    # (the interval table feeds several branches below: it is checkpointed to the shared
+    # checkpoint folder once instead of being recomputed per branch)
+    checkpoint_dir(dim.sparkSession)
     iv = (dim.select(F.col(key).alias("_k"), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"))
           .filter(F.col("_from").isNotNull() & F.col("_to").isNotNull())
-          .groupBy("_k", "_from", "_to").agg(F.count(F.lit(1)).alias("_m")))
+          .groupBy("_k", "_from", "_to").agg(F.count(F.lit(1)).alias("_m"))
+          .checkpoint(eager=True))
     one_us = F.expr("INTERVAL 1 MICROSECOND")
     # point events: each start, and each end moved 1 us earlier so "<= t" counts starts "< to"
     pts = (iv.select("_k", F.col("_from").alias("_t"), F.lit(1).alias("_is_start"), "_from", "_to", "_m")

@@ -31,10 +31,11 @@ def dim_robot_model(models_stg: DataFrame) -> DataFrame:
 
 
 def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest",
-              chunk: str | None = "day") -> DataFrame:
+              chunk: str | None = "auto") -> DataFrame:
     """SCD2 robot dimension: start state at commissioning + attribute change log.
-    ``chunk``: windows run per (robot, day) and are stitched, so one robot with a large share
-    of all changes does not land in a single task (None: plain per-robot windows)."""
+    ``chunk``: "day" runs the windows per (robot, day) and stitches them, so one robot with a
+    large share of all changes does not land in a single task; "auto" (default) does so only
+    when a count shows some robot above the per-task bound; None: plain per-robot windows."""
     base = robots_stg.select("robot_id", "serial_number", "model_id", "commissioned_date",
                              F.col("home_zone_id").alias("zone_id"),
                              F.col("initial_firmware").alias("firmware_version"), "owner_team")

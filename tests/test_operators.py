@@ -266,3 +266,17 @@ def test_overlap_pairs_equal_selfjoin(spark):
     slow = scd.overlapping_versions_selfjoin(v, "robot_id")
     assert slow.count() > 100
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+
+
+def test_scd2_auto_chunking_switches_on_hot_key(spark, monkeypatch):
+    base = spark.createDataFrame([("hot", "z0", D(2024, 1, 1))], "robot_id string, zone_id string, since date")
+    ch = spark.createDataFrame([(f"c{i:03d}", "hot", T(2024, 1, 1 + i % 5, i % 24), "ZONE", f"z{i}") for i in range(50)],
+                               "change_id string, robot_id string, changed_at timestamp_ntz, attribute string, "
+                               "new_value string")
+    args = dict(key="robot_id", attributes={"ZONE": "zone_id"}, base_valid_from="since")
+    plain = scd.build_scd2(base, ch, **args)
+    monkeypatch.setattr(scd, "MAX_ROWS_PER_WINDOW_KEY", 10)
+    scd._MAX_PER_KEY.clear()
+    auto = scd.build_scd2(base, ch, chunk="auto", **args)
+    assert "_chunk" in auto._jdf.queryExecution().analyzed().toString()
+    assert plain.exceptAll(auto).count() == 0 and auto.exceptAll(plain).count() == 0
