@@ -7,7 +7,9 @@ Every query in ``plans/catalog.py`` with an exact oracle has its SQL built here.
 
 from __future__ import annotations
 
-SK_NULL = "'_dbt_utils_surrogate_key_null_'"
+from telemetra.functions.columns import SURROGATE_NULL
+
+SK_NULL = f"'{SURROGATE_NULL}'"
 
 
 def sk(*cols: str) -> str:

@@ -57,8 +57,8 @@ def unpivot_melt(spark, sf):
     return R.unpivot(c, cast_to="string", exclude=["c_custkey"], remove=["c_name"])
 
 
-@query("union_relations", """
-SELECT 'customer' AS _dbt_source_relation, c_custkey AS id, c_name AS name, c_nationkey AS nation_id,
+@query("union_relations", f"""
+SELECT 'customer' AS {R.SOURCE_COLUMN}, c_custkey AS id, c_name AS name, c_nationkey AS nation_id,
   c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance FROM customer
 UNION ALL
 SELECT 'supplier', s_suppkey, s_name, s_nationkey, CAST(NULL AS VARCHAR), s_acctbal FROM supplier""")
