@@ -200,10 +200,10 @@ def dq_not_empty_string(spark, sf):
 
 @dq("dq_not_null_proportion", "SELECT * FROM (SELECT event_type, CAST(sum(CASE WHEN value > 20 THEN 1 ELSE 0 END) "
                               "AS DOUBLE) / count(*) AS not_null_proportion FROM events GROUP BY 1) "
-                              "WHERE not_null_proportion < 0.6 OR not_null_proportion > 1.0")
+                              "WHERE not_null_proportion < 0.68 OR not_null_proportion > 1.0")
 def dq_not_null_proportion(spark, sf):
     c = F.when(F.col("value") > 20, F.col("value"))
-    return Q.not_null_proportion(_ev(spark, sf), c, at_least=0.6, group_by=["event_type"])
+    return Q.not_null_proportion(_ev(spark, sf), c, at_least=0.68, group_by=["event_type"])
 
 
 @dq("dq_recency", f"""
