@@ -21,7 +21,8 @@ from telemetra.sources.tables import read_table
 
 
 def _k(props: Column) -> Column:
-    return F.from_json(props, "k INT").getField("k")
+    """props.k as INT (get_json_object is code-generated; from_json is not)."""
+    return F.get_json_object(props, "$.k").cast("int")
 
 
 def _d(c) -> Column:
