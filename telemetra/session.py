@@ -21,11 +21,36 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "telemetra", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+# Settings for a large cluster (~1000 executors, ~100 TB inputs). Shuffles start with many
+# partitions and AQE coalesces them to ~256 MB each, so one setting serves small and huge
+# stages; scan splits are larger than the 128 MB default; a partition 5x the median and over
+# 512 MB counts as skewed and is split; joins switch to broadcast at runtime only below 64 MB
+# of measured shuffle output; streaming state lives in RocksDB instead of executor heap.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": str(512 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
+                  app_name: str = "telemetra", extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """``profile="local"``: tests and benchmarks; ``profile="cluster"``: CLUSTER_CONF on top of
+    the defaults (master then comes from spark-submit: pass ``master=None``)."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
