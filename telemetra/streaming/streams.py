@@ -10,18 +10,40 @@ buffers 300 s); tests and the registered queries use ``availableNow`` to drain w
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# State partitions of a stateful stream are fixed at its first start (AQE does not apply to
+# streaming). "auto": one per core of the cluster, capped by the session's shuffle partitions
+# -- not the tens of thousands a batch shuffle may start with.
+DEFAULT_STATE_PARTITIONS = "auto"
 
 
 def _trigger(writer, trigger: str | None):
     return writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | str | None):
+    """Start a stateful query with ``n`` shuffle (= state) partitions, then restore the session
+    setting. On restart the checkpoint's own count wins, as Spark requires."""
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if n == "auto":
+        n = max(1, min(int(old), spark.sparkContext.defaultParallelism))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def write_inbound_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write records as newline-delimited JSON (how the stream delivery lands them)."""
     df.write.mode(mode).option("timestampNTZFormat", TS_FORMAT).json(path)
@@ -76,18 +98,21 @@ def split_bad_records(spark: SparkSession, inbound: str, schema: StructType | st
 
 
 def dedup_replays(stream: DataFrame, keys: Sequence[str], ts_col: str, sink: str, checkpoint: str,
-                  lateness: str = "48 hours", trigger: str | None = None) -> None:
+                  lateness: str = "48 hours", trigger: str | None = None,
+                  state_partitions: int | str | None = DEFAULT_STATE_PARTITIONS) -> None:
     """Drop replayed records (same keys) arriving within ``lateness`` of the first copy.
     State per key is kept until the watermark passes it, so state stays bounded."""
     ev = stream.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
     d = ev.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
-    q = _trigger(d.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-                 .outputMode("append"), trigger).start(sink)
+    with _state_partitions(stream.sparkSession, state_partitions):
+        q = _trigger(d.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+                     .outputMode("append"), trigger).start(sink)
     q.awaitTermination()
 
 
 def daily_health_incremental(stream: DataFrame, key: str, ts_col: str, sink: str, checkpoint: str,
-                             lateness: str = "48 hours", trigger: str | None = None) -> None:
+                             lateness: str = "48 hours", trigger: str | None = None,
+                             state_partitions: int | str | None = DEFAULT_STATE_PARTITIONS) -> None:
     """Tumbling 1-day window aggregates in update mode; each micro-batch appends the groups it
     changed (with its batch id) to an upsert log. ``latest_versions`` reads the current state."""
     ev = stream.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
@@ -107,8 +132,9 @@ def daily_health_incremental(stream: DataFrame, key: str, ts_col: str, sink: str
                       F.lit(batch_id).cast("bigint").alias("batch_id"))
          .write.mode("append").parquet(sink))
 
-    q = _trigger(agg.writeStream.outputMode("update").foreachBatch(sink_fn)
-                 .option("checkpointLocation", checkpoint), trigger).start()
+    with _state_partitions(stream.sparkSession, state_partitions):
+        q = _trigger(agg.writeStream.outputMode("update").foreachBatch(sink_fn)
+                     .option("checkpointLocation", checkpoint), trigger).start()
     q.awaitTermination()
 
 
