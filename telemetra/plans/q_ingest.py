@@ -90,7 +90,7 @@ def _rdq_oracle() -> str:
 def sink_csv_daily(spark, sf):
     """Robot-day quality table written as CSV by the executors, read back with its schema."""
     daily = lake.robot_daily_quality(lake.null_out(lake.quality_flags(
-        lake.flatten_readings(fx.nested_readings(spark, sf)))))
+        lake.flatten_readings(fx.nested_readings_landed(spark, sf)))))
     path = scratch_path(spark, "robot_daily_quality_csv")
     I.write_csv(daily, path)
     return spark.read.schema(_RDQ_SCHEMA).option("header", True).csv(path)

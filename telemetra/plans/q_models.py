@@ -24,13 +24,13 @@ FLAT_COLS = ("reading_id, robot_id, reading_ts, reading_date, battery_voltage_v,
 @query("scan_nested_flatten", sql(f"SELECT {FLAT_COLS} FROM flat", "flat"))
 def scan_nested_flatten(spark, sf):
     """Nested readings -> 16 flat typed columns."""
-    return lake.flatten_readings(fx.nested_readings(spark, sf))
+    return lake.flatten_readings(fx.nested_readings_landed(spark, sf))
 
 
 @query("quality_flags", sql("SELECT reading_id, robot_id, is_missing_robot_id, is_missing_reading_id, is_bad_soc, "
                             "is_bad_motor_temp, is_bad_vibration, is_bad_odometer FROM flagged", "flagged"))
 def quality_flags(spark, sf):
-    f = lake.quality_flags(lake.flatten_readings(fx.nested_readings(spark, sf)))
+    f = lake.quality_flags(lake.flatten_readings(fx.nested_readings_landed(spark, sf)))
     return f.select("reading_id", "robot_id", "is_missing_robot_id", "is_missing_reading_id", "is_bad_soc",
                     "is_bad_motor_temp", "is_bad_vibration", "is_bad_odometer")
 
@@ -38,7 +38,7 @@ def quality_flags(spark, sf):
 @query("quality_null_out", sql("SELECT reading_id, battery_soc_pct_clean, motor_temp_c_clean, vibration_g_clean, "
                                "odometer_m_clean FROM cleaned_values", "cleaned_values"))
 def quality_null_out(spark, sf):
-    c = lake.null_out(lake.quality_flags(lake.flatten_readings(fx.nested_readings(spark, sf))))
+    c = lake.null_out(lake.quality_flags(lake.flatten_readings(fx.nested_readings_landed(spark, sf))))
     return c.select("reading_id", "battery_soc_pct_clean", "motor_temp_c_clean", "vibration_g_clean",
                     "odometer_m_clean")
 
@@ -57,7 +57,7 @@ FROM flagged""", "flagged")
 @query("agg_quality_summary", _SUMMARY)
 def agg_quality_summary(spark, sf):
     """One-row global count of each quality flag."""
-    return lake.quality_summary(lake.quality_flags(lake.flatten_readings(fx.nested_readings(spark, sf))))
+    return lake.quality_summary(lake.quality_flags(lake.flatten_readings(fx.nested_readings_landed(spark, sf))))
 
 
 _RDQ = """
@@ -77,7 +77,7 @@ GROUP BY robot_id, reading_date"""
 
 def _robot_daily_quality(spark, sf):
     return lake.robot_daily_quality(lake.null_out(lake.quality_flags(
-        lake.flatten_readings(fx.nested_readings(spark, sf)))))
+        lake.flatten_readings(fx.nested_readings_landed(spark, sf)))))
 
 
 @query("agg_robot_daily_quality", sql(_RDQ, "cleaned_values"))
