@@ -76,10 +76,14 @@ def inject_dirt(text: DataFrame, key: str, numeric: Sequence[str], ids: Sequence
     timestamp layout (US, EU without seconds, epoch seconds, 12-hour, zone dropped), a
     negative value, a junk column and a near-duplicate column."""
     h = row_hash([key], seed)
-    d = text.withColumn("_h", h)
-    hd = lambda p: hex_digit(F.col("_h"), p)
-    dirty = F.substring(F.col("_h"), 1, 2) < F.lit(threshold(rate, 2))
-    kind = lambda k: dirty & (hd(3 + k) < F.lit(int(kind_rate * 16)))
+    # the digest's digits and the per-kind decisions are derived once per row as columns
+    digits = {f"_d{p}": hex_digit(F.col("_h"), p) for p in range(3, 23)}
+    d = text.withColumn("_h", h).withColumns(digits)
+    d = d.withColumn("_dirty", F.substring(F.col("_h"), 1, 2) < F.lit(threshold(rate, 2)))
+    d = d.withColumns({f"_k{k}": F.col("_dirty") & (F.col(f"_d{3 + k}") < F.lit(int(kind_rate * 16)))
+                       for k in range(10)})
+    hd = lambda p: F.col(f"_d{p}")
+    kind = lambda k: F.col(f"_k{k}")
     num = lambda c: F.col(c).try_cast("double")
     out: dict[str, Column] = {c: F.col(c) for c in text.columns}
 
