@@ -105,15 +105,15 @@ def nested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LANDED: dict[tuple[int, str], str] = {}
+_LANDED: dict[tuple, str] = {}
 
 
 def nested_readings_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested readings as a parquet landing (written once per process under the shared
     checkpoint folder), read back like the lake job's input file: a projection of a few struct
     leaves reads only those leaves (nested schema pruning)."""
-    from telemetra.session import scratch_path
-    key = (id(spark), sf_dir)
+    from telemetra.session import scratch_path, session_key
+    key = (session_key(spark), sf_dir)
     if key not in _LANDED:
         path = scratch_path(spark, "sensor_readings_nested")
         nested_readings(spark, sf_dir).write.mode("overwrite").parquet(path)

@@ -15,6 +15,7 @@ from telemetra.operators import windows as W
 from telemetra.operators.joins import broadcast_if_small, pit_join
 from telemetra.plans import fixtures as fx
 from telemetra.plans import staging as stg
+from telemetra.session import session_key
 
 # ---- dimensions -----------------------------------------------------------------------------
 
@@ -238,10 +239,10 @@ class Warehouse:
     SCD mode, so queries that share models share their plans (and Spark can reuse their
     exchanges when several of them run in one job)."""
 
-    _instances: dict[tuple[int, str, str], Warehouse] = {}
+    _instances: dict[tuple, Warehouse] = {}
 
     def __new__(cls, spark: SparkSession, sf_dir: str, scd_mode: str = "latest"):
-        key = (id(spark), sf_dir, scd_mode)
+        key = (session_key(spark), sf_dir, scd_mode)
         inst = cls._instances.get(key)
         if inst is None:
             inst = super().__new__(cls)

@@ -59,6 +59,12 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def session_key(spark: SparkSession) -> tuple[str, int]:
+    """Identity of a live session for per-session caches: a stopped and recreated session gets
+    a new application id even if Python reuses the object's address."""
+    return spark.sparkContext.applicationId, id(spark)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / intermediate tables.
 

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from telemetra.session import session_key
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -16,13 +18,13 @@ def table_path(sf_dir: str, name: str) -> str:
 
 # One scan DataFrame per (session, path): listing files and reading footers for the schema
 # is done once per process instead of once per reference (costly for tables of many files).
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; column pruning and filter pushdown happen in the optimiser."""
     path = table_path(sf_dir, name)
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
