@@ -139,20 +139,43 @@ def expression_is_true(df: DataFrame, expression: str | Column, column_name: str
     return _where(df, where).filter(~e)
 
 
+def ranges_with_next(df: DataFrame, lower: str, upper: str, partition_by: str | None = None,
+                     chunk: Column | None = None) -> DataFrame:
+    """(partition, lower, upper, next lower bound, is-last-record) per range: the next range in
+    (lower, upper) order and whether this is the greatest range of its partition.
+
+    ``chunk`` (e.g. ``F.date_trunc("day", lower)``): evaluate both per (partition, chunk) and
+    stitch chunks (``windows.next_row``), so a partition holding a large share of all ranges
+    is not one window task. Same rows as without."""
+    parts = [partition_by] if partition_by else []
+    lo, hi = F.col(lower), F.col(upper)
+    if chunk is None:
+        from pyspark.sql import Window
+        nxt = F.lead(lo).over(W.ordered(parts, [lower, upper]))
+        last = F.row_number().over(Window.partitionBy(*parts).orderBy(lo.desc_nulls_last(),
+                                                                      hi.desc_nulls_last())) == 1
+        base = df.select(*parts, lower, upper, nxt.alias("_next"), last.alias("_last"))
+    else:
+        # next lower bound: ascending, NULLs last; last record: the greatest (lower, upper) with
+        # NULLs smallest, i.e. no successor in ascending order with NULLs first
+        a = W.next_row(df.select(*parts, lower, upper), parts, [lower, upper], [lower], chunk=chunk).drop("_has_next")
+        b = W.next_row(a, parts, [lower, upper], [], chunk=chunk, nulls_first=True)
+        base = b.select(*parts, lower, upper, F.col(f"_next_{lower}").alias("_next"),
+                        (~F.col("_has_next")).alias("_last"))
+    return base.select(*([F.col(partition_by).alias("partition_by_col")] if partition_by else []),
+                       F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"),
+                       F.col("_next").alias("next_lower_bound"), F.col("_last").alias("is_last_record"))
+
+
 def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, partition_by: str | None = None,
-                              gaps: str = "allowed", zero_length_range_allowed: bool = False) -> DataFrame:
-    """Ranges that are empty / inverted or that run into the next range of their partition."""
+                              gaps: str = "allowed", zero_length_range_allowed: bool = False,
+                              chunk: Column | None = None) -> DataFrame:
+    """Ranges that are empty / inverted or that run into the next range of their partition
+    (``chunk``: see ``ranges_with_next``)."""
     gap_ops = {"not_allowed": lambda a, b: a == b, "allowed": lambda a, b: a <= b, "required": lambda a, b: a < b}
     if gaps not in gap_ops:
         raise ValueError(f"`gaps` must be one of {sorted(gap_ops)}, got {gaps!r}")
-    parts = [partition_by] if partition_by else []
-    lo, hi = F.col(lower), F.col(upper)
-    nxt = F.lead(lo).over(W.ordered(parts, [lower, upper]))
-    from pyspark.sql import Window
-    last = F.row_number().over(Window.partitionBy(*parts).orderBy(lo.desc_nulls_last(), hi.desc_nulls_last())) == 1
-    sel = ([F.col(partition_by).alias("partition_by_col")] if partition_by else []) + [
-        lo.alias("lower_bound"), hi.alias("upper_bound"), nxt.alias("next_lower_bound"), last.alias("is_last_record")]
-    w = df.select(*sel)
+    w = ranges_with_next(df, lower, upper, partition_by, chunk)
     ok_len = F.coalesce((F.col("lower_bound") <= F.col("upper_bound")) if zero_length_range_allowed
                         else (F.col("lower_bound") < F.col("upper_bound")), F.lit(False))
     ok_next = F.coalesce(gap_ops[gaps](F.col("upper_bound"), F.col("next_lower_bound")),

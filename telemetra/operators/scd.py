@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra.functions.columns import open_end, surrogate_key
@@ -26,6 +26,12 @@ def max_rows_per_key(df: DataFrame, key: str) -> int:
     return _MAX_PER_KEY[h]
 
 
+def chunk_if_hot(df: DataFrame, key: str, chunk: Column) -> Column | None:
+    """``chunk`` when some key of ``df`` holds more than ``MAX_ROWS_PER_WINDOW_KEY`` rows (one
+    count, memoized), else None: plain per-key windows are then proven small enough."""
+    return None if max_rows_per_key(df, key) <= MAX_ROWS_PER_WINDOW_KEY else chunk
+
+
 def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[str, str],
                base_valid_from: str, carry: Sequence[str] = (), change_ts: str = "changed_at",
                change_attr: str = "attribute", change_value: str = "new_value",
@@ -58,12 +64,17 @@ def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[s
 
     ch = changes.filter(F.col(change_ts).isNotNull())
     ch = ch.join(base.select(key, *carry), on=key, how="inner")
-    vals = {}
-    for canon, out in attributes.items():
-        v = F.when(F.col(change_attr) == canon, F.col(change_value))
-        if mode == "running_max":
-            v = W.running("max", v, key, [F.col(change_ts), F.col(change_id)])
-        vals[out] = v
+    if chunk == "auto":
+        chunk = None if max_rows_per_key(ch, key) + 1 <= MAX_ROWS_PER_WINDOW_KEY else "day"
+    raw = {out: F.when(F.col(change_attr) == canon, F.col(change_value)) for canon, out in attributes.items()}
+    if mode == "running_max" and chunk is not None:
+        ch = _running_max_chunked(ch.withColumns({f"_raw_{o}": v for o, v in raw.items()}), key,
+                                  [F.col(change_ts), F.col(change_id)], change_ts, list(raw), chunk)
+        vals = {out: F.col(f"_rmax_{out}") for out in raw}
+    elif mode == "running_max":
+        vals = {out: W.running("max", v, key, [F.col(change_ts), F.col(change_id)]) for out, v in raw.items()}
+    else:
+        vals = raw
     ev = ch.select(
         F.col(key), *[F.col(c) for c in carry],
         *[v.alias(out) for out, v in vals.items()],
@@ -71,8 +82,6 @@ def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[s
 
     combined = start.unionByName(ev)
     order = [F.col("valid_from"), F.col("_src"), F.col("_cid")]
-    if chunk == "auto":
-        chunk = None if max_rows_per_key(ch, key) + 1 <= MAX_ROWS_PER_WINDOW_KEY else "day"
     if chunk is None:
         filled = combined.select(
             F.col(key), *[F.col(c) for c in carry],
@@ -89,6 +98,18 @@ def build_scd2(base: DataFrame, changes: DataFrame, key: str, attributes: dict[s
         F.col("_next").isNull().alias("is_current"))
 
 
+def _running_max_chunked(ch: DataFrame, key: str, order: list, ts: str, outs: list, chunk: str) -> DataFrame:
+    """Running max of each ``_raw_<out>`` per key in ``order``: the running max inside each
+    (key, chunk) combined with the max over all earlier chunks (a small per-chunk table)."""
+    d = ch.withColumn("_rchunk", F.date_trunc(chunk, F.col(ts)).cast("timestamp_ntz"))
+    local = d.withColumns({f"_lmax_{o}": W.running("max", f"_raw_{o}", [key, "_rchunk"], order) for o in outs})
+    per_chunk = d.groupBy(key, "_rchunk").agg(*[F.max(f"_raw_{o}").alias(f"_cmax_{o}") for o in outs])
+    prev = W.ordered(key, ["_rchunk"]).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select(key, "_rchunk", *[F.max(f"_cmax_{o}").over(prev).alias(f"_carry_{o}") for o in outs])
+    j = local.join(carry, [key, "_rchunk"], "left")
+    return j.withColumns({f"_rmax_{o}": F.greatest(F.col(f"_lmax_{o}"), F.col(f"_carry_{o}")) for o in outs})
+
+
 def _fill_chunked(combined: DataFrame, key: str, carry: Sequence[str], attr_cols: Sequence[str],
                   order: list, chunk: str) -> DataFrame:
     """Forward fill + lead per (key, chunk), stitched with per-chunk carry-in values."""

@@ -65,3 +65,48 @@ def first_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
     forwards at most one row per key: a hot key does not flood a single reducer."""
     w = Window.partitionBy(*_cols(partition_by)).orderBy(*order_by)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def next_row(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], cols: Sequence[str],
+             chunk: Column | None = None, nulls_first: bool = False) -> DataFrame:
+    """Add ``_next_<c>`` (the value of ``c`` on the next row in ``order_by`` within the
+    partition, like ``lead``) and ``_has_next`` to every row. Ascending order, NULLs last
+    (or first with ``nulls_first``).
+
+    With ``chunk`` -- an expression non-decreasing along ``order_by``, e.g. the day of the first
+    order column, NULL where that column is NULL -- the windows run per (partition, chunk): the
+    last row of a chunk takes its successor from the first row of the next non-empty chunk (a
+    small per-chunk table), so no window partition holds a whole key."""
+    part = list(partition_by)
+
+    def order(cols_):
+        return [(F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()) for c in cols_]
+
+    if chunk is None:
+        w = Window.partitionBy(*part).orderBy(*order(order_by))
+        return df.withColumns({**{f"_next_{c}": F.lead(c).over(w) for c in cols},
+                               "_has_next": F.lead(F.lit(1)).over(w).isNotNull()})
+    # chunks in order: NULL chunk last (or first), then by value
+    d = df.withColumns({"_chunk": chunk, "_cnull": chunk.isNull() if not nulls_first else chunk.isNotNull()})
+    wl = Window.partitionBy(*part, "_cnull", "_chunk").orderBy(*order(order_by))
+    local = d.withColumns({**{f"_nl_{c}": F.lead(c).over(wl) for c in cols},
+                           "_hl": F.lead(F.lit(1)).over(wl).isNotNull()})
+    # first row of each chunk: min over the order (NULL placement encoded in the key)
+    null_key = (lambda o: F.col(o).isNotNull()) if nulls_first else (lambda o: F.col(o).isNull())
+    key = F.struct(*[F.struct(null_key(o).alias("n"), F.col(o).alias("v")).alias(f"_o{i}")
+                     for i, o in enumerate(order_by)],
+                   *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    firsts = d.groupBy(*part, "_cnull", "_chunk").agg(F.min(key).alias("_first"))
+    wc = Window.partitionBy(*part).orderBy(F.col("_cnull").asc(), F.col("_chunk").asc())
+    nxt = firsts.select(*[F.col(p).alias(f"_p_{p}") for p in part], F.col("_cnull").alias("_p_cnull"),
+                        F.col("_chunk").alias("_p_chunk"), F.lead("_first").over(wc).alias("_nf"))
+    cond = None
+    for a, b in [(p, f"_p_{p}") for p in part] + [("_cnull", "_p_cnull"), ("_chunk", "_p_chunk")]:
+        c = local[a].eqNullSafe(nxt[b])
+        cond = c if cond is None else cond & c
+    j = local.join(nxt, cond, "left")
+    return j.select(
+        *[F.col(c) for c in df.columns],
+        *[F.when(F.col("_hl"), F.col(f"_nl_{c}")).otherwise(F.col("_nf").getField(f"_v{i}"))
+          .alias(f"_next_{c}") for i, c in enumerate(cols)],
+        (F.col("_hl") | F.col("_nf").isNotNull()).alias("_has_next"))

@@ -44,7 +44,7 @@ def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest
         base, changes_stg, key="robot_id",
         attributes={"ZONE": "zone_id", "FIRMWARE": "firmware_version", "TEAM": "owner_team"},
         base_valid_from="commissioned_date", carry=("serial_number", "model_id", "commissioned_date"),
-        mode=mode, sk_name="robot_sk", chunk=chunk if mode == "latest" else None)
+        mode=mode, sk_name="robot_sk", chunk=chunk)
     return out.select("robot_sk", "robot_id", "serial_number", "model_id", "zone_id", "firmware_version",
                       "owner_team", "commissioned_date", "valid_from", "valid_to", "is_current")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from telemetra.functions import columns as C
+from telemetra.operators import quality as Q
 from telemetra.operators import scd
 from telemetra.operators import windows as W
 from telemetra.plans import fixtures as fx
@@ -365,11 +366,11 @@ SELECT robot_id, valid_from, valid_to,
   row_number() OVER (PARTITION BY robot_id ORDER BY valid_from DESC, valid_to DESC) = 1 AS is_last_record
 FROM dim_robot""", "dim_robot"))
 def win_lead_ranges(spark, sf):
-    """Next range start and a last-record marker per robot (lead + row_number)."""
+    """Next range start and a last-record marker per robot (lead + row_number; per-day chunks
+    when some robot's versions exceed the per-task bound)."""
     d = Warehouse(spark, sf).dim_robot.select("robot_id", "valid_from", "valid_to")
-    from pyspark.sql import Window
-    last = Window.partitionBy("robot_id").orderBy(F.col("valid_from").desc_nulls_last(),
-                                                  F.col("valid_to").desc_nulls_last())
-    return d.select("robot_id", "valid_from", "valid_to",
-                    W.next_value("valid_from", "robot_id", ["valid_from", "valid_to"]).alias("next_valid_from"),
-                    (F.row_number().over(last) == 1).alias("is_last_record"))
+    chunk = scd.chunk_if_hot(d, "robot_id", F.date_trunc("day", "valid_from"))
+    r = Q.ranges_with_next(d, "valid_from", "valid_to", "robot_id", chunk)
+    return r.select(F.col("partition_by_col").alias("robot_id"), F.col("lower_bound").alias("valid_from"),
+                    F.col("upper_bound").alias("valid_to"), F.col("next_lower_bound").alias("next_valid_from"),
+                    "is_last_record")

@@ -187,7 +187,8 @@ def dq_mutually_exclusive_ranges(spark, sf):
     d = Warehouse(spark, sf).dim_robot
     shifted = d.select("robot_id", "valid_from", F.when(F.col("is_current"), F.col("valid_to"))
                        .otherwise(F.timestamp_add("DAY", F.lit(1), F.col("valid_to"))).alias("valid_to"))
-    return Q.mutually_exclusive_ranges(shifted, "valid_from", "valid_to", partition_by="robot_id")
+    chunk = scd.chunk_if_hot(shifted, "robot_id", F.date_trunc("day", "valid_from"))
+    return Q.mutually_exclusive_ranges(shifted, "valid_from", "valid_to", partition_by="robot_id", chunk=chunk)
 
 
 @dq("dq_not_empty_string", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '  ' ELSE event_type END AS kind "

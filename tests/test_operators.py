@@ -249,10 +249,11 @@ def test_scd2_chunked_equals_plain(spark):
     ch = spark.createDataFrame(rows, "change_id string, robot_id string, changed_at timestamp_ntz, "
                                      "attribute string, new_value string")
     args = dict(key="robot_id", attributes={"ZONE": "zone_id", "FIRMWARE": "fw"}, base_valid_from="since")
-    plain = scd.build_scd2(base, ch, **args)
-    for chunk in ("day", "hour", "month"):
-        chunked = scd.build_scd2(base, ch, chunk=chunk, **args)
-        assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
+    for mode in ("latest", "running_max"):
+        plain = scd.build_scd2(base, ch, mode=mode, **args)
+        for chunk in ("day", "hour", "month"):
+            chunked = scd.build_scd2(base, ch, chunk=chunk, mode=mode, **args)
+            assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
 
 
 def test_overlap_pairs_equal_selfjoin(spark):
@@ -280,3 +281,14 @@ def test_scd2_auto_chunking_switches_on_hot_key(spark, monkeypatch):
     auto = scd.build_scd2(base, ch, chunk="auto", **args)
     assert "_chunk" in auto._jdf.queryExecution().analyzed().toString()
     assert plain.exceptAll(auto).count() == 0 and auto.exceptAll(plain).count() == 0
+
+
+def test_mutually_exclusive_ranges_chunked_equals_plain(spark):
+    rows = [("k", T(2024, 1, 1 + i % 6, i % 24), T(2024, 1, 1 + (i * 5) % 8, (i * 7) % 24)) for i in range(80)]
+    rows += [("k", None, T(2024, 1, 3)), ("k", T(2024, 1, 9), None), ("j", T(2024, 1, 1), T(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "p string, lo timestamp_ntz, hi timestamp_ntz")
+    for gaps in ("allowed", "not_allowed", "required"):
+        plain = Q.mutually_exclusive_ranges(df, "lo", "hi", "p", gaps=gaps)
+        ch = Q.mutually_exclusive_ranges(df, "lo", "hi", "p", gaps=gaps, chunk=F.date_trunc("day", "lo"))
+        assert plain.count() > 0
+        assert plain.exceptAll(ch).count() == 0 and ch.exceptAll(plain).count() == 0
