@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from telemetra.operators import quality as Q
 from telemetra.operators import scd
 from telemetra.plans import fixtures as fx
-from telemetra.plans import models
 from telemetra.plans import staging as stg
 from telemetra.plans.catalog import query
 from telemetra.plans.models import Warehouse

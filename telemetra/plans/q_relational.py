@@ -235,11 +235,9 @@ def limit_any_non_null(spark, sf):
                                 "CROSS JOIN (SELECT count(*) AS obt_row_count FROM obt)", "fct_sensor_reading", "obt"))
 def join_cross_scalar(spark, sf):
     """Cross join of two one-row aggregates (fact and OBT row counts)."""
-    from telemetra.plans import models
     w = Warehouse(spark, sf)
-    obt = w.obt
     return (w.fct_sensor_reading.agg(F.count(F.lit(1)).alias("fact_row_count"))
-            .crossJoin(obt.agg(F.count(F.lit(1)).alias("obt_row_count"))))
+            .crossJoin(w.obt.agg(F.count(F.lit(1)).alias("obt_row_count"))))
 
 
 _EV_B = "SELECT * FROM events WHERE event_type <> 'signup' AND value > 10"
