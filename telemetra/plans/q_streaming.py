@@ -39,7 +39,7 @@ def stream_bad_record_split(spark, sf):
     lines = e.select(F.when(F.col("event_id") % 50 == 0, F.regexp_replace(js, "}$", "")).otherwise(js).alias("value"))
     S.write_inbound_lines(lines, inbound)
     S.split_bad_records(spark, inbound, EVENT_SCHEMA, good, bad, ck, key="event_id")
-    return spark.read.parquet(good)
+    return spark.read.parquet(good).select(*e.columns)
 
 
 @query("stream_dedup", "SELECT * FROM events")
@@ -92,4 +92,4 @@ def stream_late_audit(spark, sf):
     S.write_inbound_json(late, inbound)
     S.late_rows_audit(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=n_first),
                       "ts", audit, ck, lateness_seconds=3600)
-    return S.read_audit(spark.read.parquet(audit)).drop("_written")
+    return S.read_audit(spark.read.parquet(audit))

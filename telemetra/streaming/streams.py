@@ -44,6 +44,11 @@ def _state_partitions(spark: SparkSession, n: int | str | None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def _batch_dir(sink: str, batch_id: int) -> str:
+    """Folder of one micro-batch's output; read back, ``batch_id`` becomes a column."""
+    return f"{sink.rstrip('/')}/batch_id={batch_id}"
+
+
 def write_inbound_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write records as newline-delimited JSON (how the stream delivery lands them)."""
     df.write.mode(mode).option("timestampNTZFormat", TS_FORMAT).json(path)
@@ -88,10 +93,11 @@ def split_bad_records(spark: SparkSession, inbound: str, schema: StructType | st
                                                                  "timestampNTZFormat": TS_FORMAT}).alias("r"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # each batch overwrites its own folder: a replayed batch id rewrites, never duplicates
         ok = F.col(f"r.{key}").isNotNull()
-        batch.filter(ok).select("r.*").write.mode("append").parquet(good_sink)
-        (batch.filter(~ok).select(F.col("value").alias("raw_record"), F.lit(batch_id).alias("batch_id"))
-         .write.mode("append").parquet(bad_sink))
+        batch.filter(ok).select("r.*").write.mode("overwrite").parquet(_batch_dir(good_sink, batch_id))
+        (batch.filter(~ok).select(F.col("value").alias("raw_record"))
+         .write.mode("overwrite").parquet(_batch_dir(bad_sink, batch_id)))
 
     q = _trigger(parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
     q.awaitTermination()
@@ -113,8 +119,9 @@ def dedup_replays(stream: DataFrame, keys: Sequence[str], ts_col: str, sink: str
 def daily_health_incremental(stream: DataFrame, key: str, ts_col: str, sink: str, checkpoint: str,
                              lateness: str = "48 hours", trigger: str | None = None,
                              state_partitions: int | str | None = DEFAULT_STATE_PARTITIONS) -> None:
-    """Tumbling 1-day window aggregates in update mode; each micro-batch appends the groups it
-    changed (with its batch id) to an upsert log. ``latest_versions`` reads the current state."""
+    """Tumbling 1-day window aggregates in update mode; each micro-batch writes the groups it
+    changed to its own ``batch_id=`` folder of an upsert log (idempotent on replay).
+    ``latest_versions`` reads the current state."""
     ev = stream.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
     agg = (ev.withWatermark("_event_time", lateness)
            .groupBy(F.col(key), F.window("_event_time", "1 day").alias("w"))
@@ -128,9 +135,8 @@ def daily_health_incremental(stream: DataFrame, key: str, ts_col: str, sink: str
     def sink_fn(batch: DataFrame, batch_id: int) -> None:
         (batch.select(key, F.col("w.start").cast("timestamp_ntz").cast("date").alias("summary_date"),
                       "event_count", "sum_motor_temp", "n_motor_temp", "max_motor_temp", "sum_battery_voltage",
-                      "n_battery_voltage", "min_battery_voltage", "max_vibration",
-                      F.lit(batch_id).cast("bigint").alias("batch_id"))
-         .write.mode("append").parquet(sink))
+                      "n_battery_voltage", "min_battery_voltage", "max_vibration")
+         .write.mode("overwrite").parquet(_batch_dir(sink, batch_id)))
 
     with _state_partitions(stream.sparkSession, state_partitions):
         q = _trigger(agg.writeStream.outputMode("update").foreachBatch(sink_fn)
@@ -151,7 +157,7 @@ def late_rows_audit(stream: DataFrame, ts_col: str, audit: str, checkpoint: str,
     all earlier batches - lateness), i.e. rows a watermark of that lateness would call late.
 
     The running maximum lives in the audit table itself (shared storage), so the audit survives
-    a restart; a replayed batch id is written again and ``read_audit`` keeps its last copy."""
+    a restart; each batch overwrites its own ``batch_id=`` folder, so a replay never duplicates."""
     spark = stream.sparkSession
 
     def fn(batch: DataFrame, batch_id: int) -> None:
@@ -166,14 +172,12 @@ def late_rows_audit(stream: DataFrame, ts_col: str, audit: str, checkpoint: str,
             if prev_max is not None else F.lit(False)
         (batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late_rows"),
                    F.max(ts).alias("batch_max_ts"))
-         .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "rows", "late_rows", "batch_max_ts",
-                 F.current_timestamp().alias("_written"))
-         .write.mode("append").parquet(audit))
+         .write.mode("overwrite").parquet(_batch_dir(audit, batch_id)))
 
     q = _trigger(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint), trigger).start()
     q.awaitTermination()
 
 
 def read_audit(log: DataFrame) -> DataFrame:
-    """The audit rows, the last write of each batch id."""
-    return latest_versions(log, ["batch_id"], version="_written")
+    """The audit rows: batch id, rows, late rows, latest event time of the batch."""
+    return log.select(F.col("batch_id").cast("bigint").alias("batch_id"), "rows", "late_rows", "batch_max_ts")
