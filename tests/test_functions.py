@@ -131,3 +131,9 @@ def test_slugify():
     assert slugify("Red Color") == "red_color"
     assert slugify("3-in-1!") == "_3_in_1"
     assert slugify("") == ""
+
+
+def test_offset_text_keeps_wall_clock(spark):
+    # zone-less target: the offset is dropped and the local wall-clock time kept (by decision)
+    got = one(spark, C.parse_ts("x"), [("2024-01-15T08:30:00+05:00",), ("2024-01-15 08:30:00",)])
+    assert got == [dt.datetime(2024, 1, 15, 8, 30)] * 2
