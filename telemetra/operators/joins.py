@@ -42,20 +42,86 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_
     return F.broadcast(df) if n <= max_rows else df
 
 
+# Largest number of versions of one key for which the equi-join + interval residual is used:
+# each fact row is compared with every version of its key, so above this the merge method runs.
+MAX_VERSIONS_PER_KEY_FOR_JOIN = 1000
+_MAX_VERSIONS: dict[int, int] = {}
+
+
+def _max_versions(dim: DataFrame, key: str) -> int:
+    h = dim.select(key).semanticHash()
+    if h not in _MAX_VERSIONS:
+        _MAX_VERSIONS[h] = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    return _MAX_VERSIONS[h]
+
+
 def pit_join(fact: DataFrame, dim: DataFrame, key: str, ts: str,
              valid_from: str = "valid_from", valid_to: str = "valid_to",
              how: str = "left", dim_key: str | None = None, broadcast_rows: int = BROADCAST_MAX_ROWS,
-             bound_from=None) -> DataFrame:
-    """Point-in-time join: equal key and ``valid_from <= ts < valid_to`` (half-open).
+             bound_from=None, method: str = "auto", chunk: str = "day") -> DataFrame:
+    """Point-in-time left join: equal key and ``valid_from <= ts < valid_to`` (half-open).
 
-    Plans as a hash / sort-merge join on the key with the interval as a residual predicate;
-    versions per key are few, so the residual check is cheap."""
+    method="join": hash / sort-merge join on the key with the interval as a residual (each
+    fact row meets every version of its key) -- the dimension broadcast when bounded.
+    method="merge": for non-overlapping versions (an SCD2 table): the version starts are merged
+    into the fact stream and the version in effect is forward-filled per (key, ``chunk``) and
+    stitched across chunks; no fact row meets more than one version and no window holds a
+    whole key. method="auto": "join" when a count proves at most
+    ``MAX_VERSIONS_PER_KEY_FOR_JOIN`` versions per key, else "merge"."""
     dk = dim_key or key
+    if method == "auto":
+        method = "join" if _max_versions(dim, dk) <= MAX_VERSIONS_PER_KEY_FOR_JOIN else "merge"
+    if method == "merge":
+        if how != "left":
+            raise ValueError("the merge method computes a left join")
+        return pit_merge(fact, dim, key, ts, valid_from, valid_to, dk, chunk)
     d = broadcast_if_small(dim, broadcast_rows, bound_from) if broadcast_rows else dim
     cond = ((fact[key] == d[dk]) & (fact[ts] >= d[valid_from]) & (fact[ts] < d[valid_to]))
     return fact.join(d, cond, how)
 
 
+def pit_merge(fact: DataFrame, dim: DataFrame, key: str, ts: str, valid_from: str, valid_to: str,
+              dim_key: str, chunk: str = "day") -> DataFrame:
+    """Left point-in-time join by merging (see ``pit_join``). Same columns as the join form.
+
+    Rows of both sides are put in one stream ordered by (key, time, versions before facts,
+    version end); a fact row takes the last version started at or before it, if it has not
+    ended yet. Forward fill runs per (key, chunk of time) plus, per chunk, the last version
+    of all earlier chunks."""
+    from pyspark.sql import Window
+
+    from telemetra.operators import windows as W
+
+    dim_cols = dim.columns
+    fact_cols = fact.columns
+    vstruct = F.struct(*[F.col(c) for c in dim_cols])
+    fstruct = F.struct(*[F.col(c) for c in fact_cols])
+    v = dim.filter(F.col(valid_from).isNotNull()).select(
+        F.col(dim_key).alias("_k"), F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"),
+        F.col(valid_to).alias("_t2"), vstruct.alias("_v"), F.lit(None).cast(fact.select(fstruct.alias("f")).schema[0].dataType).alias("_f"))
+    f = fact.select(
+        F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(v.schema["_t2"].dataType).alias("_t2"),
+        F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), fstruct.alias("_f"))
+    rows = v.unionByName(f).withColumn("_chunk", F.date_trunc(chunk, F.col("_t")).cast("timestamp_ntz"))
+    order = ["_t", "_kind", "_t2"]
+    local = rows.withColumn("_lv", W.forward_fill("_v", ["_k", "_chunk"], order))
+    # last version of each chunk, then the last of all earlier chunks
+    # (one row per key and chunk holding any row: chunks with facts only carry NULL)
+    last_v = rows.groupBy("_k", "_chunk").agg(
+        F.max(F.when(F.col("_kind") == 0, F.struct(F.col("_t"), F.col("_t2"), F.col("_v")))).alias("_m"))
+    prev = W.ordered("_k", ["_chunk"]).rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_v.select("_k", "_chunk", F.last(F.col("_m._v"), ignorenulls=True).over(prev).alias("_cv"))
+    j = (local.filter(F.col("_kind") == 1)
+         .join(carry, (local["_k"].eqNullSafe(carry["_k"])) & (local["_chunk"].eqNullSafe(carry["_chunk"])), "left")
+         .select(F.col("_f"), F.coalesce(F.col("_lv"), F.col("_cv")).alias("_ver"), local["_t"].alias("_ts")))
+    # a NULL key or time never matches; the version must not have ended
+    ok = (F.col("_f").getField(key).isNotNull() & F.col("_ts").isNotNull()
+          & F.col("_ver").isNotNull() & (F.col("_ts") < F.col("_ver").getField(valid_to)))
+    return j.select(*[F.col("_f").getField(c).alias(c) for c in fact_cols],
+                    *[F.when(ok, F.col("_ver").getField(c)).alias(c) for c in dim_cols])
+
+
 def days_before(event_day: Column, horizon: int) -> Column:
     """Array of the ``horizon`` days strictly before ``event_day``: [d - horizon, d - 1]."""
     return F.sequence(F.date_sub(event_day, horizon), F.date_sub(event_day, 1))

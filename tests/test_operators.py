@@ -292,3 +292,23 @@ def test_mutually_exclusive_ranges_chunked_equals_plain(spark):
         ch = Q.mutually_exclusive_ranges(df, "lo", "hi", "p", gaps=gaps, chunk=F.date_trunc("day", "lo"))
         assert plain.count() > 0
         assert plain.exceptAll(ch).count() == 0 and ch.exceptAll(plain).count() == 0
+
+
+def test_pit_merge_equals_join(spark):
+    from telemetra.operators.joins import pit_join
+    base = spark.createDataFrame([(f"r{i}", f"z{i}", D(2024, 1, 1 + i)) for i in range(3)],
+                                 "robot_id string, zone_id string, since date")
+    ch = spark.createDataFrame(
+        [(f"c{i:03d}", f"r{i % 3}", T(2024, 1, 1 + i % 9, (i * 5) % 24), "ZONE", f"z{i}") for i in range(90)]
+        + [("c900", "r0", T(2024, 1, 4, 6), "ZONE", "tie-a"), ("c901", "r0", T(2024, 1, 4, 6), "ZONE", "tie-b")],
+        "change_id string, robot_id string, changed_at timestamp_ntz, attribute string, new_value string")
+    dim = scd.build_scd2(base, ch, "robot_id", {"ZONE": "zone_id"}, "since", sk_name="robot_sk") \
+        .select(F.col("robot_id").alias("_rid"), "robot_sk", "zone_id", "valid_from", "valid_to")
+    facts = [(f"f{i}", f"r{i % 4}", T(2023, 12, 31) + dt.timedelta(hours=7 * i)) for i in range(80)]
+    facts += [("fb", "r0", T(2024, 1, 4, 6)), ("fn", "r1", None), ("fk", None, T(2024, 1, 5))]
+    fact = spark.createDataFrame(facts, "reading_id string, robot_id string, reading_ts timestamp_ntz")
+    joined = pit_join(fact, dim, "robot_id", "reading_ts", dim_key="_rid", method="join", broadcast_rows=0)
+    merged = pit_join(fact, dim, "robot_id", "reading_ts", dim_key="_rid", method="merge")
+    assert joined.columns == merged.columns
+    assert joined.count() == len(facts)
+    assert joined.exceptAll(merged).count() == 0 and merged.exceptAll(joined).count() == 0
