@@ -96,13 +96,15 @@ def pit_merge(fact: DataFrame, dim: DataFrame, key: str, ts: str, valid_from: st
     fact_cols = fact.columns
     vstruct = F.struct(*[F.col(c) for c in dim_cols])
     fstruct = F.struct(*[F.col(c) for c in fact_cols])
+    v_type = dim.select(vstruct).schema[0].dataType
+    f_type = fact.select(fstruct).schema[0].dataType
+    t2_type = dim.schema[valid_to].dataType
     v = dim.filter(F.col(valid_from).isNotNull()).select(
         F.col(dim_key).alias("_k"), F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"),
-        F.col(valid_to).alias("_t2"), vstruct.alias("_v"), F.lit(None).cast(fact.select(fstruct.alias("f")).schema[0].dataType).alias("_f"))
+        F.col(valid_to).alias("_t2"), vstruct.alias("_v"), F.lit(None).cast(f_type).alias("_f"))
     f = fact.select(
         F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
-        F.lit(None).cast(v.schema["_t2"].dataType).alias("_t2"),
-        F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), fstruct.alias("_f"))
+        F.lit(None).cast(t2_type).alias("_t2"), F.lit(None).cast(v_type).alias("_v"), fstruct.alias("_f"))
     rows = v.unionByName(f).withColumn("_chunk", F.date_trunc(chunk, F.col("_t")).cast("timestamp_ntz"))
     order = ["_t", "_kind", "_t2"]
     local = rows.withColumn("_lv", W.forward_fill("_v", ["_k", "_chunk"], order))

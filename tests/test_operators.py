@@ -312,3 +312,15 @@ def test_pit_merge_equals_join(spark):
     assert joined.columns == merged.columns
     assert joined.count() == len(facts)
     assert joined.exceptAll(merged).count() == 0 and merged.exceptAll(joined).count() == 0
+
+
+def test_pit_join_auto_switches_to_merge(spark, monkeypatch):
+    from telemetra.operators import joins
+    dim = spark.createDataFrame([("a", T(2024, 1, i), T(2024, 1, i + 1), i) for i in range(1, 6)],
+                                "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v int")
+    fact = spark.createDataFrame([("a", T(2024, 1, 3, 12)), ("a", T(2024, 1, 9))], "key string, ts timestamp_ntz")
+    monkeypatch.setattr(joins, "MAX_VERSIONS_PER_KEY_FOR_JOIN", 2)
+    joins._MAX_VERSIONS.clear()
+    out = joins.pit_join(fact, dim, "key", "ts", dim_key="k")
+    assert "_chunk" in out._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.ts.day, r.v) for r in out.collect()) == [(3, 3), (9, None)]
