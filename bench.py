@@ -3,6 +3,8 @@
 Each query is fully executed with the ``noop`` sink (every row is produced, nothing is
 collected to the driver). A first untimed pass warms the JVM; the reported time per query is
 the best of ``$BENCH_REPEAT`` timed runs (default 2: steady state, codegen compiled).
+With ``$BENCH_EVENTLOG_DIR`` set (an existing scratch folder) Spark writes its event log
+there; ``scripts/stage_times.py`` summarises it.
 """
 
 from __future__ import annotations
@@ -43,8 +45,10 @@ def main() -> None:
     from telemetra.plans.catalog import load_all
     from telemetra.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENTLOG_DIR"):  # stage / task timings for scripts/stage_times.py
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus), extra=extra)
     reg = load_all()
     names = only or HEADLINE
 
