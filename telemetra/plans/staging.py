@@ -19,7 +19,10 @@ TASK_STATUSES_VALID = ("ASSIGNED", "IN_PROGRESS", "COMPLETED", "FAILED", "CANCEL
 
 
 def _is_text(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, StringType)
+    """Whether column ``c`` is text; names resolve case-insensitively, as Spark resolves them
+    (a CSV landing has upper-case cleaned headers)."""
+    field = next(f for f in df.schema.fields if f.name.lower() == c.lower())
+    return isinstance(field.dataType, StringType)
 
 
 def _ts(df: DataFrame, c: str, formats=C.TS_FORMATS, epoch_digits: bool = False) -> Column:
@@ -43,7 +46,7 @@ def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T, epoch_digit
     odo = _dbl(raw, "odometer_m")
     bt = _dbl(raw, "battery_temp_c")
     mt = _dbl(raw, "motor_temp_c")
-    extra = [c for c in ("_loaded_at", "_source_file") if c in raw.columns]
+    extra = [c for c in raw.columns if c.lower() in ("_loaded_at", "_source_file")]
     return raw.select(
         _text_id("reading_id").alias("reading_id"),
         _text_id("robot_id").alias("robot_id"),

@@ -78,3 +78,19 @@ def test_stream_restart_processes_each_record_once(spark):
     assert landed.count() == 80 and landed.select("id").distinct().count() == 80
     assert sorted(landed.select("batch_id").distinct().toPandas()["batch_id"]) == [0, 1]
     assert [r.raw_record for r in spark.read.parquet(bad).collect()] == ["{broken"]
+
+
+def test_csv_landing_stages_like_typed_input(spark, sf_dir):
+    from telemetra.plans import fixtures as fx
+    from telemetra.plans import staging as stg
+    typed = fx.readings(spark, sf_dir).drop("error_codes")
+    path = scratch_path(spark, "readings_csv")
+    I.write_csv(typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns]), path)
+    raw = I.read_csv_raw(spark, path, loaded_at="2024-02-01 00:00:00")
+    assert "READING_ID" in raw.columns and all(t == "string" for _, t in raw.dtypes[:-2])
+    cols = ["reading_id", "robot_id", "reading_ts", "battery_soc_pct", "is_battery_soc_invalid", "motor_temp_c_raw",
+            "odometer_m", "is_odometer_invalid", "operational_status", "zone_id", "is_reading_ts_parse_failed"]
+    from_text = stg.stg_sensor_readings(raw).select(*cols)
+    from_typed = stg.stg_sensor_readings(typed).select(*cols)
+    assert from_text.count() == typed.count()
+    assert from_text.exceptAll(from_typed).count() == 0 and from_typed.exceptAll(from_text).count() == 0
