@@ -94,3 +94,18 @@ def test_csv_landing_stages_like_typed_input(spark, sf_dir):
     from_typed = stg.stg_sensor_readings(typed).select(*cols)
     assert from_text.count() == typed.count()
     assert from_text.exceptAll(from_typed).count() == 0 and from_typed.exceptAll(from_text).count() == 0
+
+
+def test_csv_landing_other_staging(spark, sf_dir):
+    from telemetra.plans import fixtures as fx
+    from telemetra.plans import staging as stg
+    cases = {"tasks": (fx.tasks, stg.stg_tasks), "robots": (fx.robots, stg.stg_robots),
+             "changes": (fx.attribute_changes, stg.stg_robot_attribute_changes)}
+    for name, (source, stage) in cases.items():
+        typed = source(spark, sf_dir)
+        path = scratch_path(spark, f"{name}_csv")
+        I.write_csv(typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns]), path)
+        from_text = stage(I.read_csv_raw(spark, path, loaded_at="2024-02-01 00:00:00"))
+        from_typed = stage(typed)
+        assert from_text.columns == from_typed.columns, name
+        assert from_text.exceptAll(from_typed).count() == 0 and from_typed.exceptAll(from_text).count() == 0, name
