@@ -100,7 +100,8 @@ def test_csv_landing_other_staging(spark, sf_dir):
     from telemetra.plans import fixtures as fx
     from telemetra.plans import staging as stg
     cases = {"tasks": (fx.tasks, stg.stg_tasks), "robots": (fx.robots, stg.stg_robots),
-             "changes": (fx.attribute_changes, stg.stg_robot_attribute_changes)}
+             "changes": (fx.attribute_changes, stg.stg_robot_attribute_changes),
+             "models": (fx.robot_models, stg.stg_robot_models)}
     for name, (source, stage) in cases.items():
         typed = source(spark, sf_dir)
         path = scratch_path(spark, f"{name}_csv")
