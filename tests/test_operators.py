@@ -324,3 +324,23 @@ def test_pit_join_auto_switches_to_merge(spark, monkeypatch):
     out = joins.pit_join(fact, dim, "key", "ts", dim_key="k")
     assert "_chunk" in out._jdf.queryExecution().analyzed().toString()
     assert sorted((r.ts.day, r.v) for r in out.collect()) == [(3, 3), (9, None)]
+
+
+def test_date_spine_other_parts(spark):
+    weeks = [r[0] for r in R.date_spine(spark, "week", D(2018, 1, 1), D(2018, 1, 29)).collect()]
+    assert weeks == [D(2018, 1, 1), D(2018, 1, 8), D(2018, 1, 15), D(2018, 1, 22)]
+    assert R.date_spine(spark, "week", D(2018, 1, 1), D(2018, 1, 30)).count() == 5
+    quarters = [r[0] for r in R.date_spine(spark, "quarter", D(2018, 1, 1), D(2019, 1, 1)).collect()]
+    assert quarters == [D(2018, 1, 1), D(2018, 4, 1), D(2018, 7, 1), D(2018, 10, 1)]
+    assert R.date_spine(spark, "year", D(2018, 1, 1), D(2021, 1, 1)).count() == 3
+    assert R.date_spine(spark, "minute", T(2018, 1, 1), T(2018, 1, 1, 1)).count() == 60
+    assert R.date_spine(spark, "day", D(2018, 1, 5), D(2018, 1, 1)).count() == 0
+    with pytest.raises(ValueError):
+        R.date_spine(spark, "fortnight", D(2018, 1, 1), D(2018, 2, 1))
+
+
+def test_union_relations_override_and_where(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, name string")
+    b = spark.createDataFrame([(2, "y")], "id bigint, name string")
+    u = R.union_relations({"a": a, "b": b}, column_override={"ID": "string"}, exclude=["name"], where="id != '2'")
+    assert dict(u.dtypes)["id"] == "string" and [r.id for r in u.collect()] == ["1"]
