@@ -344,3 +344,17 @@ def test_union_relations_override_and_where(spark):
     b = spark.createDataFrame([(2, "y")], "id bigint, name string")
     u = R.union_relations({"a": a, "b": b}, column_override={"ID": "string"}, exclude=["name"], where="id != '2'")
     assert dict(u.dtypes)["id"] == "string" and [r.id for r in u.collect()] == ["1"]
+
+
+def test_option_branches(spark):
+    ev = spark.createDataFrame([("u", T(2024, 1, 1, 23)), ("v", T(2024, 1, 2, 1))], "u string, ts timestamp_ntz")
+    # date-only: latest day 2024-01-02 vs threshold date(2024-01-02 12:00 - 12 h) = 2024-01-02 -> passes
+    assert Q.recency(ev, "ts", "hour", 12, "2024-01-02 12:00:00", ignore_time_component=True).count() == 0
+    assert [r.most_recent for r in Q.recency(ev, "ts", "day", 1, "2024-01-03 00:00:00",
+                                             group_by=["u"], ignore_time_component=True).collect()] == [D(2024, 1, 1)]
+    df = spark.createDataFrame([("S", "red", 1), ("S", "red", 1), ("S", "blue", 2)], "size string, color string, n int")
+    distinct = R.pivot(df, ["size"], "color", ["red"], agg="count", then_value=F.col("n"), else_value=None,
+                       distinct=True).first()
+    assert distinct["red"] == 1
+    vals = R.column_values(df, "color", order_by="value").collect()
+    assert [r.value for r in vals] == ["blue", "red"] and [r.n for r in vals] == [1, 2]
