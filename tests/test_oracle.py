@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from scripts.check_oracle import rows
+from telemetra.plans.catalog import load_all
 from telemetra.sources.tables import TABLES
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {k: f for k, f in E.queries().items() if k in load_all()}
+ORACLE = {k: f for k, f in E.oracle_sql().items() if k in load_all()}
 
 
 @pytest.fixture(scope="module")
