@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import decontaminate, fingerprints, url_filters
+from telemetra.llm import bpe, decontaminate, fingerprints, minhash_forest, url_filters
 from telemetra.llm.common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then empirical-Bayes host reputation, over every page."""
     return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -19,6 +24,16 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every text with a public vocabulary of the box."""
+    return bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+
+
+def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components on four-word shingles at 80 percent."""
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark in every document, found by winnowing."""
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -26,7 +41,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op4_url_filters, op5_fingerprints, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op4_url_filters, op5_fingerprints, op6_bpe, op9_minhash_forest,
+                                 op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
