@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, fingerprints, minhash_forest, url_filters
-from telemetra.llm.common import table
+from telemetra.llm import bpe, decontaminate, fingerprints, language, minhash_forest, quality, toxicity, url_filters
+from telemetra.llm.common import held_out, table
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -14,6 +14,19 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weakly supervised toxicity of every text; learns where crc32(doc_id) mod 3 is not 1."""
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 3, 1)
+    return toxicity.classify(docs, table(spark, sf_dir, "labels"), ~out).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; learns where crc32(doc_id) mod 4 is not 2."""
+    out = held_out("doc_id", 4, 2)
+    return language.identify(table(spark, sf_dir, "documents"), ~out).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then empirical-Bayes host reputation, over every page."""
     return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -29,6 +42,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additive quality model over every text; learns where crc32(doc_id) mod 4 is not 2."""
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    return quality.classify(docs, table(spark, sf_dir, "labels"), ~out).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components on four-word shingles at 80 percent."""
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
@@ -41,8 +61,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op4_url_filters, op5_fingerprints, op6_bpe, op9_minhash_forest,
-                                 op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op4_url_filters, op5_fingerprints, op6_bpe, op8_quality,
+                                 op9_minhash_forest, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
