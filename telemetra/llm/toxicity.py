@@ -1,12 +1,12 @@
 """Toxicity by weak supervision.
 
-1. Voters. Words that stand out in labelled toxic texts (distinct texts count once; document
-   frequencies are summed by Spark over all labelled learning rows) become a lexicon of one-word
-   voters; together with pattern voters and a "nothing found" voter each votes 1, 0 or abstains.
+1. Voters. Words and word beginnings that stand out in labelled toxic texts (distinct texts count
+   once; document frequencies are summed by Spark over all labelled learning rows) become a
+   lexicon, each term a voter; they and the pattern voters vote 1, 0 or abstain.
 2. Label model. A generative model of the votes given an unseen label, fitted by EM: each voter
    has a rate of voting 1, 0 and abstaining under either label. Correlated voters would count twice, so
-   pairwise correlations that the label does not explain shrink their weights. Known labels start
-   the rates and fix the prior; the posteriors then come from the votes.
+   pairwise correlations that the label does not explain shrink their weights. A known label
+   takes part in learning as one more voter with errors; the posteriors then come from the votes.
 3. A linear classifier (logistic, in numpy) is trained on the posterior labels of a bounded sample
    of learning rows and scores every text.
 
@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 
 from telemetra.llm.common import stored
 
-SAMPLE, LEXICON = 20_000, 80
-#: A lexicon word's least number of toxic texts and its least ratio of rates.
-LEAST_TEXTS, LEAST_LIFT = 4, 8.0
+SAMPLE, LEXICON = 20_000, 60
+#: Lengths of word beginnings, and how many terms the choice of the lexicon looks at.
+STEMS, CANDIDATES = range(4, 8), 5_000
+#: A term's least number of toxic texts, share of them, ratio of rates and log-likelihood gain.
+LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT, LEAST_GAIN = 4, 0.03, 8.0, 20.0
 TASK_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _NO_UPPER = dict.fromkeys(range(65, 91))
@@ -38,6 +40,11 @@ _SECOND = re.compile(r"\b(?:you|your|you're|tu|vous|du|dich|ihr|eres)\b")
 PATTERNS = ("any lexicon word", "two lexicon words", "three kinds", "dense lexicon", "shouting", "exclamations", "aimed at a person")
 
 
+def terms(words: set[str]) -> set[str]:
+    """Words and their beginnings, these marked by a star."""
+    return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
+
+
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, toxic texts with it, other texts with it)."""
     counts = (Counter(), Counter())
@@ -49,7 +56,7 @@ def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             counts[toxic][""] += 1  # all texts
-            counts[toxic].update(set(_WORD.findall((text.as_py() or "").lower())))
+            counts[toxic].update(terms(set(_WORD.findall((text.as_py() or "").lower()))))
             if len(counts[0]) + len(counts[1]) > TASK_WORDS:
                 yield rows()
                 counts = (Counter(), Counter())
@@ -65,10 +72,18 @@ def lexicon(labelled: DataFrame) -> list[str]:
     if total is None or not total["n1"]:
         return []
     rate1, rate0 = F.col("n1") / total["n1"], (F.col("n0") + 0.5) / (total["n0"] + 1)
-    least = max(LEAST_TEXTS, 0.01 * total["n1"])
+    least = max(LEAST_TEXTS, LEAST_SHARE * total["n1"])
     best = (words.filter((F.col("word") != "") & (F.col("n1") >= least) & (rate1 >= LEAST_LIFT * rate0))
-            .select("word", (F.col("n1") * F.log(rate1 / rate0)).alias("gain")).orderBy(F.desc("gain"), "word").limit(LEXICON))
-    return sorted(r[0] for r in best.collect())
+            .select("word", (F.col("n1") * F.log(rate1 / rate0)).alias("gain"))
+            .filter(F.col("gain") >= min(LEAST_GAIN, 0.1 * total["n1"]))
+            .orderBy(F.desc("gain"), F.desc(F.length("word")), "word").limit(CANDIDATES))
+    chosen: list[str] = []
+    for term in (r[0] for r in best.collect()):  # of a word and its beginnings only the best stays
+        stem = term.rstrip("*")
+        if len(chosen) < LEXICON and not any(stem.startswith(c[:-1]) if c[-1] == "*" else c.startswith(stem) and term[-1] == "*"
+                                             for c in chosen) and not any(c.startswith(stem) for c in chosen if term[-1] == "*"):
+            chosen.append(term)
+    return sorted(chosen)
 
 
 def features(text: str | None, words: dict[str, int]) -> np.ndarray:
@@ -76,10 +91,12 @@ def features(text: str | None, words: dict[str, int]) -> np.ndarray:
     text = text or ""
     found = _WORD.findall(text.lower())
     out = np.zeros(len(words) + 6)
-    for w in found:
+    for w, k in Counter(found).items():
         i = words.get(w)
+        if i is None:
+            i = next((words[t] for t in (w[:size] + "*" for size in STEMS if len(w) > size) if t in words), None)
         if i is not None:
-            out[i] += 1
+            out[i] += k
     hits, n = out[:len(words)].sum(), max(1, len(found))
     upper = len(text) - len(text.translate(_NO_UPPER))
     out[len(words):] = (hits, (out[:len(words)] > 0).sum(), 100 * hits / n, upper / max(1, len(text)),
@@ -93,7 +110,7 @@ def votes(x: np.ndarray, n_words: int) -> np.ndarray:
     lex = np.where(x[:, :n_words] > 0, 1, -1)
     none = hits == 0
     more = [np.where(none, 0, 1), np.where(hits >= 2, 1, np.where(none, 0, -1)), np.where(kinds >= 3, 1, -1),
-            np.where(dense >= 0.5, 1, np.where(none, 0, -1)), np.where(upper > 0.5, 1, -1), np.where(bang > 3, 1, -1),
+            np.where(dense >= 1, 1, np.where(dense < 0.4, 0, -1)), np.where(upper > 0.5, 1, -1), np.where(bang > 3, 1, -1),
             np.where(aimed > 0.02, 1, -1)]
     return np.concatenate([lex, np.stack(more, 1)], 1).astype(np.int8)
 
@@ -111,9 +128,17 @@ class LabelModel:
         for _ in range(rounds):
             self.rates = np.stack([(np.einsum("n,nvk->vk", p, one_hot) + 1) / (p.sum() + 3) for p in (1 - q, q)])
             self.weight = self.shrink(v, q)
-            q = self.posterior(v)
+            q = self.posterior(v, self.label_odds(known, q))
         return self
 
+    @staticmethod
+    def label_odds(known: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Log odds that a known label adds, from its rates under the labels believed so far."""
+        seen = known >= 0
+        p1 = ((q * (known == 1)).sum() + 1) / ((q * seen).sum() + 2)
+        p0 = (((1 - q) * (known == 1)).sum() + 1) / (((1 - q) * seen).sum() + 2)
+        return np.where(known == 1, np.log(p1 / p0), np.where(known == 0, np.log((1 - p1) / (1 - p0)), 0.0))
+
     def shrink(self, v: np.ndarray, q: np.ndarray) -> np.ndarray:
         """1 over 1 plus each voter's squared correlations with the others that the label leaves unexplained."""
         y = (v == 1) - (v == 0).astype(np.float64)
@@ -125,9 +150,9 @@ class LabelModel:
         self.correlations = corr
         return 1 / (1 + (corr ** 2).sum(1))
 
-    def posterior(self, v: np.ndarray) -> np.ndarray:
+    def posterior(self, v: np.ndarray, more: np.ndarray | float = 0.0) -> np.ndarray:
         log = np.log(self.rates[1] / self.rates[0]) * self.weight[:, None]
-        score = np.log(self.prior / (1 - self.prior)) + log[np.arange(v.shape[1]), v.astype(int) + 1].sum(1)
+        score = np.log(self.prior / (1 - self.prior)) + log[np.arange(v.shape[1]), v.astype(int) + 1].sum(1) + more
         return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
