@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, fingerprints, language, minhash_forest, quality, toxicity, url_filters
+from telemetra.llm import bpe, decontaminate, fingerprints, language, language_model, minhash_forest, quality, toxicity, url_filters
 from telemetra.llm.common import held_out, table
 
 
@@ -27,6 +27,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), ~out).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recurrent language model scores of every text; learns where crc32(doc_id) mod 7 is not 2."""
+    out = held_out("doc_id", 7, 2)
+    return language_model.scores(table(spark, sf_dir, "documents"), ~out).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then empirical-Bayes host reputation, over every page."""
     return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -61,8 +68,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op4_url_filters, op5_fingerprints, op6_bpe, op8_quality,
-                                 op9_minhash_forest, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_language_model, op4_url_filters, op5_fingerprints,
+                                 op6_bpe, op8_quality, op9_minhash_forest, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
