@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import posixpath
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import telemetra
 from telemetra.session import checkpoint_dir
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
@@ -54,6 +59,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application, so that tasks can import it wherever
+    they run (a cluster started with --py-files has it already; a second copy does no harm)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(telemetra.__file__).parent
+        path = Path(tempfile.mkdtemp(prefix="telemetra-"), "telemetra_tasks.zip")  # on the driver; Spark hands it out from here
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(path))
+        _SHIPPED.add(sc.applicationId)
+
+
 def parts(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
