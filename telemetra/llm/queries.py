@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, fingerprints, language, language_model, minhash_forest, quality, toxicity, url_filters
+from telemetra.llm import bpe, decontaminate, fingerprints, language, language_model, minhash_forest, quality, substrings, toxicity, url_filters
 from telemetra.llm.common import held_out, table
 
 
@@ -49,6 +49,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 50-byte strings that also start in a document with a smaller id."""
+    return substrings.repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Additive quality model over every text; learns where crc32(doc_id) mod 4 is not 2."""
     docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
@@ -69,7 +74,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_language_model, op4_url_filters, op5_fingerprints,
-                                 op6_bpe, op8_quality, op9_minhash_forest, op10_decontamination)}
+                                 op6_bpe, op7_suffix_array, op8_quality, op9_minhash_forest, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}

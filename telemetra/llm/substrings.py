@@ -28,7 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra.llm import flat
@@ -42,7 +43,7 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 
 def gram_of(length: int) -> int:
-    return max(1, min(32, 2 * length // 3))
+    return max(1, min(24, length // 3))
 
 
 def string_anchors(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -85,17 +86,20 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def _anchors(length: int):
-    """(anchor, whether two documents of these have it) of every document batch."""
+    """(anchor, smallest and largest document with it, pack) of every batch of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0))
-            for i, j, data, off in flat.slices(*flat.texts(batch.column(1))):
+            packs, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for i, j, data, off in flat.slices(*flat.texts(batch.column(2))):
                 _, _, doc, anchor, _ = runs_of(data, off, length)
-                order = np.lexsort((ids[i:j][doc], anchor))
-                a, d = anchor[order], ids[i:j][doc][order]
-                new = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, int)
+                d, pack = ids[i:j][doc], packs[i:j][doc]
+                order = np.lexsort((d, anchor, pack))
+                a, d, pack = anchor[order], d[order], pack[order]
+                edge = np.append(True, (a[1:] != a[:-1]) | (pack[1:] != pack[:-1])) if len(a) else np.zeros(0, bool)
+                new = np.flatnonzero(edge)
                 end = np.append(new[1:], len(a)) - 1 if len(a) else new
-                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(d[new]), pa.array(d[end])], names=["anchor", "lo", "hi"])
+                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(d[new]), pa.array(d[end]), pa.array(pack[new])],
+                                      names=["anchor", "lo", "hi", "pack"])
     return run
 
 
@@ -234,13 +238,58 @@ def _mark(length: int, keep_text: bool):
     return run
 
 
+_ANSWER = ["number", "lo", "hi", "least"]
+_SENT = pa.schema([("anchor", pa.int64()), ("run", pa.binary()), ("pack", pa.int32()), ("number", pa.int32()), ("doc", pa.int64()), ("many", pa.bool_())])
+
+
+def _shared(table: pa.Table) -> np.ndarray:
+    """The shared anchors that a pack was told."""
+    lists = [x for x in table["anchors"].to_pylist() if x is not None]
+    return np.sort(np.array([a for x in lists for a in x], np.int64).view(np.uint64))
+
+
 def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (text)."""
     docs = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("key"),
                             F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // PACK_BYTES))
-    docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int"))
-    once = docs.select("key", "text").mapInArrow(_anchors(length), "anchor long, lo long, hi long")
-    counted = once.groupBy("anchor").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").select("anchor")
-    return counted, docs, packs
+    docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(parts(documents.sparkSession), "pack")
+
+    # 1. anchors of more than one document, told to every pack that has them
+    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length), "anchor long, lo long, hi long, pack int")
+    shared = Window.partitionBy("anchor")
+    shared = (seen.withColumn("least", F.min("lo").over(shared)).withColumn("most", F.max("hi").over(shared))
+              .filter("least < most").groupBy("pack").agg(F.collect_set("anchor").alias("anchors")))
+    shared = stored(shared, "shared")
+
+    # 2. and 3. distinct runs to shards, sorted by anchor; answers per pack
+    def grouped(right: DataFrame, of, kind: str) -> DataFrame:
+        return docs.groupBy("pack").cogroup(right.groupBy("pack")).applyInArrow(of, kind)
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        p = Pack(left, _shared(right), length)
+        return _send(length)(left["pack"][0].as_py(), p) if len(left) else _SENT.empty_table()
+
+    runs = grouped(shared, send, "anchor long, run binary, pack int, number int, doc long, many boolean")
+    answers = (runs.repartition(parts(documents.sparkSession), "anchor").sortWithinPartitions("anchor", "run")
+               .mapInArrow(_shards(length), "pack int, number binary, lo binary, hi binary, least binary"))
+
+    # 4. the answers mark the bytes of every occurrence
+    kind = docs.schema["id"].dataType.simpleString()
+    both = shared.select("pack", "anchors", *(F.lit(None).cast("binary").alias(c) for c in _ANSWER)) \
+        .unionByName(answers.select("pack", F.lit(None).cast("array<bigint>").alias("anchors"), *_ANSWER))
+
+    def mark(left: pa.Table, right: pa.Table) -> pa.Table:
+        p = Pack(left, _shared(right), length)
+        told = right.filter(pc.is_valid(right["number"]))
+        return _mark(length, keep_text)(p, list(zip(*(told[c].to_pylist() for c in _ANSWER), strict=True)))
+
+    return (grouped(both, mark, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text)
+            .withColumnRenamed("id", id_col))
+
+
+def without_repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with the kept text in place of their text; ids must be unique. Other columns stay as they are."""
+    kept = repeats(documents, length, id_col, text_col, keep_text=True).select(id_col, F.col("kept").alias("_kept"))
+    return (documents.join(kept, id_col).withColumn(text_col, F.col("_kept")).select(*documents.columns))
