@@ -138,10 +138,9 @@ def _send(length: int):
     return run
 
 
-def answer(runs: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
-    """For every string of each run the smallest of the runs' documents that holds the string."""
-    data = np.frombuffer(b"".join(runs), np.uint8)
-    size = np.array([len(r) for r in runs])
+def answer(data: np.ndarray, size: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every string of each run (``size`` bytes one after another in ``data``) the smallest of the runs'
+    documents that holds the string; and the bounds of the runs in that answer."""
     base = np.concatenate([[0], np.cumsum(size)])
     sa = suffix_array(data, length)
     number = size - length + 1
@@ -157,52 +156,81 @@ def answer(runs: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]
     least = np.repeat(np.minimum.reduceat(own, group), np.diff(np.append(group, len(sa))))
     out = np.empty(len(starts), np.int64)
     out[where[sa]] = least
-    return np.split(out, bounds[1:-1])
-
-
-def _shard_rows(rows: dict, length: int) -> Iterator[pa.RecordBatch]:
-    """Answers of one shard, a row per pack: run number, strings that share an answer, the answer."""
-    run, back = np.unique(np.array(rows["run"], object), return_inverse=True)
-    doc = np.array(rows["doc"])
-    least = np.full(len(run), _LAST)
-    np.minimum.at(least, back, doc)
-    got = answer(list(run), least, length)
-    steps = []
-    for g in got:
-        cut = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-        steps.append((cut, np.append(cut[1:], len(g)), g[cut]))
-    tell: dict[int, list] = {}
-    for k, (pack, number, many) in enumerate(zip(rows["pack"], rows["number"], rows["many"], strict=True)):
-        lo, hi, ans = steps[back[k]]
-        if many or (ans < doc[k]).any():
-            tell.setdefault(pack, []).append((np.full(len(lo), number), lo, hi, ans))
-    for pack, found in tell.items():
-        cols = [np.concatenate(c).astype(np.int64).tobytes() for c in zip(*found, strict=True)]
-        yield pa.record_batch([pa.array([pack], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["pack", "number", "lo", "hi", "least"])
+    return out, bounds
+
+
+class Shard:
+    """Rows of one shard in anchor and run order; equal runs are kept once."""
+
+    def __init__(self):
+        self.cols: list[list[np.ndarray]] = [[], [], [], []]  # pack, number, doc, many
+        self.run: list[np.ndarray] = []                       # place of each row's run
+        self.data: list[np.ndarray] = []
+        self.size: list[np.ndarray] = []
+        self.bytes = self.runs = 0
+        self.last = None                                      # (anchor, hash) of the last row
+
+    def add(self, anchor: np.ndarray, runs: pa.Array, *cols: np.ndarray) -> None:
+        data, off = flat.texts(runs)
+        data, off = data[off[0]:off[-1]], off - off[0]
+        hashes = flat.span_hashes(flat.prefix_sums(data), off[:-1], off[1:])
+        new = np.append(self.last != (int(anchor[0]), int(hashes[0])), (hashes[1:] != hashes[:-1]) | (anchor[1:] != anchor[:-1]))
+        self.last = int(anchor[-1]), int(hashes[-1])
+        self.run.append(self.runs - 1 + np.cumsum(new))
+        size = np.diff(off)
+        self.data.append(data[np.repeat(new, size)])
+        self.size.append(size[new])
+        self.runs += int(new.sum())
+        self.bytes += len(self.data[-1])
+        for held, c in zip(self.cols, cols, strict=True):
+            held.append(c)
+
+    def rows(self, length: int) -> Iterator[pa.RecordBatch]:
+        """A row per pack: numbers of its runs, strings that share an answer, the answer."""
+        if not self.runs:
+            return
+        pack, number, doc, many = (np.concatenate(c) for c in self.cols)
+        run, size = np.concatenate(self.run), np.concatenate(self.size)
+        got, bounds = answer(np.concatenate(self.data), size, np.minimum.reduceat(doc, np.searchsorted(run, np.arange(self.runs))), length)
+        edge = np.append(True, got[1:] != got[:-1])
+        edge[bounds[:-1]] = True
+        cut = np.flatnonzero(edge)
+        of = np.searchsorted(bounds, cut, "right") - 1
+        lo, hi = cut - bounds[of], np.append(cut[1:], len(got)) - bounds[of]
+        first = np.searchsorted(of, np.arange(self.runs + 1))
+        tell = np.flatnonzero(many | (np.minimum.reduceat(got[cut], first[:-1])[run] < doc))
+        tell = tell[np.argsort(pack[tell], kind="stable")]
+        n = (first[1:] - first[:-1])[run[tell]]
+        at = np.repeat(first[run[tell]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        packs, to = np.repeat(pack[tell], n), np.repeat(number[tell], n).astype(np.int64)
+        cuts = np.flatnonzero(np.append(True, packs[1:] != packs[:-1])) if len(packs) else np.zeros(0, int)
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(packs)], strict=False):
+            yield pa.record_batch([pa.array([packs[a]], pa.int32()), *(pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in (
+                to[a:b], lo[at[a:b]], hi[at[a:b]], got[cut][at[a:b]]))], names=["pack", "number", "lo", "hi", "least"])
 
 
 def _shards(length: int):
-    """Cuts the stream, sorted by anchor, into shards of whole anchors."""
-    names = ["anchor", "run", "pack", "number", "doc", "many"]
-
+    """Cuts the stream, sorted by anchor and run, into shards of whole anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[str, list] = {k: [] for k in names}
-        size = 0
+        shard, last = Shard(), None
         for batch in batches:
-            cols = {k: batch.column(i).to_pylist() for i, k in enumerate(names)}
-            begin = 0
-            for i, anchor in enumerate(cols["anchor"]):
-                before = cols["anchor"][i - 1] if i else rows["anchor"][-1] if rows["anchor"] else anchor
-                if anchor != before and size >= SHARD_BYTES:
-                    for k in names:
-                        rows[k] += cols[k][begin:i]
-                    yield from _shard_rows(rows, length)
-                    rows, size, begin = {k: [] for k in names}, 0, i
-                size += len(cols["run"][i]) if i == begin or cols["run"][i] != cols["run"][i - 1] else 16
-            for k in names:
-                rows[k] += cols[k][begin:]
-        if rows["anchor"]:
-            yield from _shard_rows(rows, length)
+            for lo in range(0, len(batch), 2000):
+                part = batch.slice(lo, 2000)
+                anchor = np.asarray(part.column(0))
+                cols = [np.asarray(part.column(k)) for k in (2, 3, 4)] + [np.array(part.column(5).to_pylist(), bool)]
+                cut = 0
+                if shard.bytes >= SHARD_BYTES:  # goes up to the next change of anchor
+                    change = np.flatnonzero(np.append(anchor[0] != last, anchor[1:] != anchor[:-1]))
+                    cut = int(change[0]) if len(change) else len(anchor)
+                    if cut:
+                        shard.add(anchor[:cut], part.column(1).slice(0, cut), *(c[:cut] for c in cols))
+                    if len(change):
+                        yield from shard.rows(length)
+                        shard = Shard()
+                if cut < len(anchor):
+                    shard.add(anchor[cut:], part.column(1).slice(cut), *(c[cut:] for c in cols))
+                last = anchor[-1]
+        yield from shard.rows(length)
     return run
 
 
