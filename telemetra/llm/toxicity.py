@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 1. Voters. Words and word beginnings that stand out in labelled toxic texts (distinct texts count
-   once; document frequencies are summed by Spark over all labelled learning rows) become a
+   once; document frequencies are summed by Spark over the labelled learning rows) become a
    lexicon, each term a voter; they and the pattern voters vote 1, 0 or abstain.
 2. Label model. A generative model of the votes given an unseen label, fitted by EM: each voter
    has a rate of voting 1, 0 and abstaining under either label. Correlated voters would count twice, so
@@ -10,7 +10,8 @@
 3. A linear classifier (logistic, in numpy) is trained on the posterior labels of a bounded sample
    of learning rows and scores every text.
 
-The sample is at most SAMPLE rows, those with the least hash of the id. Null texts are empty.
+The lexicon is learned from at most LABELLED labelled rows, the label model and the classifier from at
+most SAMPLE learning rows, in each case those with the least hash of the id. Null texts are empty.
 Without any labels, or any label 1, all scores are 0.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from telemetra.llm.common import stored
 
-SAMPLE, LEXICON = 20_000, 60
+LABELLED, SAMPLE, LEXICON = 20_000, 20_000, 60
 #: Lengths of word beginnings, and how many terms the choice of the lexicon looks at.
 STEMS, CANDIDATES = range(4, 8), 5_000
 #: A term's least number of toxic texts, share of them, ratio of rates and log-likelihood gain.
@@ -178,7 +179,8 @@ def logistic(x: np.ndarray, target: np.ndarray, rounds: int = 60, ridge: float =
 
 def fit(docs: DataFrame, known: DataFrame) -> tuple[list[str], list[float]]:
     """(lexicon, classifier weights). ``docs``: id, text of learning rows; ``known``: id, y (0/1)."""
-    words = lexicon(docs.join(known, "id").groupBy(F.xxhash64("text").alias("same"))
+    chosen = (docs.select("id").join(known, "id").distinct().orderBy(F.xxhash64("id"), "id").limit(LABELLED))
+    words = lexicon(docs.join(F.broadcast(chosen), "id").groupBy(F.xxhash64("text").alias("same"))
                     .agg(F.max("y").alias("y"), F.first("text").alias("text")))
     if not words:
         return [], []
