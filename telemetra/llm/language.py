@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from telemetra.llm.common import stored
 
-WORD_SHARE, GRAM_SHARE, LONGEST_GRAM = 1e-5, 2e-5, 4
-#: Words a task counts before it hands them on, and unseen words whose scores it remembers.
+WORD_SHARE, GRAM_SHARE, LONGEST_GRAM = 2e-6, 2e-5, 4
+#: Words a task counts before it hands them on; it remembers the scores of twice as many unseen words.
 TASK_WORDS = 200_000
 #: Words that count fully toward the score of a prediction.
 SURE_WORDS = 8
@@ -94,46 +94,72 @@ def learn(documents: DataFrame, lang_col: str = "lang", text_col: str = "text")
 
 
 class Model:
-    """Score vectors (one value a language) of known words and n-grams."""
+    """A table of score rows (one value a language) of known words and of the unseen words met lately."""
 
     def __init__(self, learned: list[tuple[int, str, str, float]]):
         self.langs = sorted({x[1] for x in learned})
         at = {lang: i for i, lang in enumerate(self.langs)}
         floors = np.log([WORD_SHARE / 10] + [GRAM_SHARE / 10] * LONGEST_GRAM)
-        self.known: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST_GRAM + 1)]
+        self.place: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
+        for size, _, token, _ in learned:
+            self.place[size].setdefault(token, len(self.place[size]))
+        self.rows = [np.full((len(p), len(self.langs)), f) for p, f in zip(self.place, floors, strict=True)]
         for size, lang, token, value in learned:
-            row = self.known[size].get(token)
-            if row is None:
-                row = self.known[size][token] = np.full(len(self.langs), floors[size])
-            row[at[lang]] = value
-        self.unseen: dict[str, np.ndarray] = {}
-        self.none = np.zeros(len(self.langs))
+            self.rows[size][self.place[size][token], at[lang]] = value
+        self.forget()
+
+    def forget(self) -> None:
+        """Only known words stay in the table."""
+        self.at, self.used = dict(self.place[0]), len(self.place[0])
+        self.table = np.zeros((self.used + 2 * TASK_WORDS, len(self.langs)))
+        self.table[:self.used] = self.rows[0]
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Rows of unseen words: each the mean of its known n-grams of the greatest length that has any."""
+        out, todo = np.zeros((len(words), len(self.langs))), list(enumerate(words))
+        for size in range(LONGEST_GRAM, 0, -1):
+            known, found, places, left = self.place[size], [], [], []
+            for i, word in todo:
+                hits = [known[g] for g in grams(word, size) if g in known]
+                if hits:
+                    found.append((i, len(hits)))
+                    places += hits
+                else:
+                    left.append((i, word))
+            if found:
+                where, n = np.array(found).T
+                out[where] = np.add.reduceat(self.rows[size][places], np.cumsum(n) - n, axis=0) / n[:, None]
+            todo = left
+        return out
 
     def word(self, word: str) -> np.ndarray:
-        for size in range(LONGEST_GRAM, 0, -1):
-            rows = [self.known[size][g] for g in grams(word, size) if g in self.known[size]]
-            if rows:
-                return np.mean(rows, 0)
-        return self.none
+        return self.unseen([word])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found = [letters(t) if self.langs else [] for t in texts]
+        new = sorted({w for words in found for w in words if w not in self.at})
+        if self.used + len(new) > len(self.table):
+            self.forget()
+            new = sorted({w for words in found for w in words if w not in self.at})
+        if new:
+            if self.used + len(new) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros((len(new), len(self.langs)))])
+            self.table[self.used:self.used + len(new)] = self.unseen(new)
+            self.at.update(zip(new, range(self.used, self.used + len(new)), strict=True))
+            self.used += len(new)
+        out = []
+        for words in found:
+            if not words:
+                out.append(("und", 0.0))
+                continue
+            mean = self.table[list(map(self.at.__getitem__, words))].mean(0)
+            p = np.exp((mean - mean.max()) * min(len(words), SURE_WORDS))
+            best = int(np.argmax(mean))
+            out.append((self.langs[best], float(p[best] / p.sum())))
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = letters(text)
-        if not words or not self.langs:
-            return "und", 0.0
-        total, known = self.none.copy(), self.known[0]
-        for word, n in Counter(words).items():
-            row = known.get(word)
-            if row is None:
-                row = self.unseen.get(word)
-                if row is None:
-                    if len(self.unseen) >= TASK_WORDS:
-                        self.unseen.clear()
-                    row = self.unseen[word] = self.word(word)
-            total += n * row
-        mean = total / len(words)
-        p = np.exp((mean - mean.max()) * min(len(words), SURE_WORDS))
-        best = int(np.argmax(mean))
-        return self.langs[best], float(p[best] / p.sum())
+        return self.predict_all([text])[0]
 
 
 def predict(documents: DataFrame, learned: list[tuple[int, str, str, float]], id_col: str = "doc_id",
@@ -144,7 +170,9 @@ def predict(documents: DataFrame, learned: list[tuple[int, str, str, float]], id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(shared.value)
         for batch in batches:
-            got = [model.predict(t.as_py()) for t in batch.column(1)]
+            got = []
+            for lo in range(0, len(batch), 128):
+                got += model.predict_all(batch.column(1).slice(lo, 128).to_pylist())
             yield pa.record_batch([batch.column(0), pa.array([g[0] for g in got], pa.string()),
                                    pa.array([g[1] for g in got], pa.float64())], names=["id", "lang_pred", "score"])
 
