@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
-# Null tokens written by the loader's CSV reader (matched case-insensitively after trim here):
-NULL_TOKENS = ("", "null", "n/a", "na", "nan", "none", "-", "#n/a")
+# Texts that the loader reads as NULL, exactly as written:
+NULL_TOKENS = ("", "NULL", "null", "N/A", "NA", "nan", "None", "-", "#N/A")
+# Null words of dirty landings, trimmed and in any case (opt-in):
+WIDE_NULL_TOKENS = ("", "null", "n/a", "na", "nan", "none", "-", "#n/a")
 # Surrogate-key placeholder for a NULL field, and the field separator:
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEP = "-"
@@ -54,10 +56,12 @@ def upper_trim(c) -> Column:
     return F.upper(F.trim(_c(c)))
 
 
-def null_token(c, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    """NULL when the trimmed text is one of the null tokens (case-insensitive), else the text."""
+def null_token(c, tokens: Sequence[str] = NULL_TOKENS, exact: bool = True) -> Column:
+    """NULL when the text is one of the null tokens, else the text. ``exact=False`` compares the trimmed,
+    lower-cased text with lower-case tokens."""
     c = _c(c)
-    return F.when(F.lower(F.trim(c)).isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
+    seen = c if exact else F.lower(F.trim(c))
+    return F.when(seen.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
 def safe_double(c) -> Column:
@@ -73,8 +77,9 @@ def safe_date(c) -> Column:
     return _c(c).try_cast("date")
 
 
-def parse_ts(c, formats: Sequence[str] = TS_FORMATS, epoch_digits: bool = False) -> Column:
-    """First successful parse over: ISO auto-detect, then each explicit layout in order."""
+def parse_ts(c, formats: Sequence[str] = TS_FORMATS, epoch_digits: bool = True) -> Column:
+    """First successful parse over: ISO auto-detect, each explicit layout in order, then 9 to 11 digits as Unix
+    seconds (unless ``epoch_digits`` is off)."""
     c = _c(c)
     tries = [c.try_cast("timestamp_ntz")]
     tries += [F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats]
@@ -180,7 +185,7 @@ def haversine(lat1, lon1, lat2, lon2, unit: str = "mi") -> Column:
     elif unit == "km":
         rate = KM_PER_MI
     else:
-        raise ValueError(f"unit input must be one of 'mi' or 'km'. Got {unit}")
+        raise ValueError(f"distance unit {unit!r} is neither miles (mi) nor kilometres (km)")
     lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
     a = (F.pow(F.sin(F.radians((lat2 - lat1) / 2)), 2)
          + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians((lon2 - lon1) / 2)), 2))

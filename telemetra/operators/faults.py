@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetra.operators.joins import broadcast_if_small
 
 HEX = "0123456789abcdef"
 # Tokens the dirt generator writes for a missing value (fixed values):
@@ -39,7 +38,7 @@ def below(h: Column, pos: int, rate: float, digits: int = 4) -> Column:
 
 def inject_faults(df: DataFrame, key: str, ts_col: str, null_fields: Sequence[str], seed: int = 42,
                   dup_rate: float = 0.02, null_rate: float = 0.01, late_rate: float = 0.005,
-                  max_late_hours: int = 47) -> tuple[DataFrame, DataFrame]:
+                  max_late_hours: int = 48) -> tuple[DataFrame, DataFrame]:
     """Duplicate ~dup_rate of rows, NULL one of ``null_fields`` in ~null_rate, shift ~late_rate
     back by 1..max_late_hours hours. Returns (faulted rows, one-row manifest of exact counts).
     Duplicates are copies of the already faulted row."""
@@ -121,21 +120,30 @@ def inject_dirt(text: DataFrame, key: str, numeric: Sequence[str], ids: Sequence
     return d.select(*[v.alias(k) for k, v in out.items()])
 
 
-def robust_repair(df: DataFrame, key: str, value: str, k: float = 3.5, accuracy: int = 10000,
-                  max_groups: int = 2_000_000) -> DataFrame:
+def group_median(counts: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Exact lower median per key from (key, value, n): the first value whose running count reaches half.
+
+    Works on distinct values with their counts, so a group costs what its distinct values cost, and
+    the sort of a large group spills instead of growing in memory."""
+    w = Window.partitionBy(key).orderBy(value)
+    ranked = counts.filter(F.col(value).isNotNull()).select(
+        key, value, F.sum("n").over(w).alias("_upto"), F.sum("n").over(Window.partitionBy(key)).alias("_all"))
+    return ranked.filter(2 * F.col("_upto") >= F.col("_all")).groupBy(key).agg(F.min(value).alias(name))
+
+
+def robust_repair(df: DataFrame, key: str, value: str, k: float = 3.5) -> DataFrame:
     """Flag values far from their group's median (|x - median| > k * MAD) and repair them:
     a value that lands inside the band once read as Fahrenheit is converted back to Celsius,
     any other outlier (a spike) becomes NULL.
 
-    Medians come from ``percentile_approx`` (a bounded-memory sketch per group, partial
-    aggregation before the shuffle), exact for groups up to ``accuracy`` values. The per-group
-    statistics (one row per key) are joined back with a size-checked broadcast."""
+    Medians are exact at any group size (``group_median``); both come from one pass over the rows
+    that counts each key's distinct values. The per-key statistics are joined back."""
     x = F.col(value)
-    med = df.groupBy(key).agg(F.percentile_approx(x, 0.5, accuracy).alias("median"))
-    med_b = broadcast_if_small(med, max_groups)
-    dev = df.join(med_b, key).select(key, F.abs(x - F.col("median")).alias("_dev"))
-    mad = dev.groupBy(key).agg(F.percentile_approx("_dev", 0.5, accuracy).alias("mad"))
-    stats = broadcast_if_small(med.join(mad, key), max_groups)
+    counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    med = group_median(counts, key, value, "median")
+    dev = (counts.filter(x.isNotNull()).join(med, key).groupBy(key, F.abs(x - F.col("median")).alias("_dev"))
+           .agg(F.sum("n").alias("n")))
+    stats = med.join(group_median(dev, key, "_dev", "mad"), key)
     j = df.join(stats, key, "left")
     band = F.lit(k) * F.col("mad")
     outlier = F.coalesce(F.abs(x - F.col("median")) > band, F.lit(False))

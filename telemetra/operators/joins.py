@@ -1,88 +1,26 @@
-"""Join helpers: size-checked broadcast, range joins rewritten as equi-joins."""
+"""Join helpers: point-in-time joins, range joins rewritten as equi-joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows (checked, see below).
-BROADCAST_MAX_ROWS = 2_000_000
+def pit_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, valid_from: str = "valid_from",
+             valid_to: str = "valid_to", how: str = "left", dim_key: str | None = None) -> DataFrame:
+    """Point-in-time join: equal key and ``valid_from <= ts < valid_to`` (half-open).
 
-
-# Bound counts already proven in this process, by the frame's semantic plan hash. A plan
-# over the same inputs is counted once per process; a stale entry can only change the join
-# strategy, never a result.
-_COUNTS: dict[tuple[int, int], int] = {}
-
-
-def bounded_rows(frames, max_rows: int) -> int:
-    """Sum of row counts of ``frames``, each counted with ``limit(max_rows + 1)`` so the check
-    stops early on a large input. Counting a parquet scan needs no column data."""
-    total = 0
-    for f in frames:
-        key = (f.semanticHash(), max_rows)
-        if key not in _COUNTS:
-            _COUNTS[key] = f.limit(max_rows + 1).count()
-        total += _COUNTS[key]
-        if total > max_rows:
-            break
-    return total
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_from=None) -> DataFrame:
-    """Hint a broadcast only for a side proven to hold at most ``max_rows`` rows.
-
-    The proof is a count: of ``df`` itself, or -- for a derived side such as an SCD2
-    dimension -- of the source frames in ``bound_from`` whose total row count bounds it (a
-    version table has at most start rows + change rows), so the derived side is not computed
-    twice. Counts stop after ``max_rows + 1`` rows. Above the bound the side is returned
-    unhinted: the planner uses a shuffled join, AQE may still switch to a broadcast from
-    measured shuffle sizes, and splits skewed partitions."""
-    n = bounded_rows(bound_from if bound_from is not None else [df], max_rows)
-    return F.broadcast(df) if n <= max_rows else df
-
-
-# Largest number of versions of one key for which the equi-join + interval residual is used:
-# each fact row is compared with every version of its key, so above this the merge method runs.
-MAX_VERSIONS_PER_KEY_FOR_JOIN = 1000
-_MAX_VERSIONS: dict[int, int] = {}
-
-
-def _max_versions(dim: DataFrame, key: str) -> int:
-    h = dim.select(key).semanticHash()
-    if h not in _MAX_VERSIONS:
-        _MAX_VERSIONS[h] = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    return _MAX_VERSIONS[h]
-
-
-def pit_join(fact: DataFrame, dim: DataFrame, key: str, ts: str,
-             valid_from: str = "valid_from", valid_to: str = "valid_to",
-             how: str = "left", dim_key: str | None = None, broadcast_rows: int = BROADCAST_MAX_ROWS,
-             bound_from=None, method: str = "auto", chunk: str = "day") -> DataFrame:
-    """Point-in-time left join: equal key and ``valid_from <= ts < valid_to`` (half-open).
-
-    method="join": hash / sort-merge join on the key with the interval as a residual (each
-    fact row meets every version of its key) -- the dimension broadcast when bounded.
-    method="merge": for non-overlapping versions (an SCD2 table): the version starts are merged
-    into the fact stream and the version in effect is forward-filled per (key, ``chunk``) and
-    stitched across chunks; no fact row meets more than one version and no window holds a
-    whole key. method="auto": "join" when a count proves at most
-    ``MAX_VERSIONS_PER_KEY_FOR_JOIN`` versions per key, else "merge"."""
-    dk = dim_key or key
-    if method == "auto":
-        method = "join" if _max_versions(dim, dk) <= MAX_VERSIONS_PER_KEY_FOR_JOIN else "merge"
-    if method == "merge":
-        if how != "left":
-            raise ValueError("the merge method computes a left join")
-        return pit_merge(fact, dim, key, ts, valid_from, valid_to, dk, chunk)
-    d = broadcast_if_small(dim, broadcast_rows, bound_from) if broadcast_rows else dim
-    cond = ((fact[key] == d[dk]) & (fact[ts] >= d[valid_from]) & (fact[ts] < d[valid_to]))
-    return fact.join(d, cond, how)
+    An equi-join with the interval as a residual, at every size: overlapping versions give one
+    row each, ``how`` is any join type. Whether a side is broadcast is the planner's decision
+    from its byte threshold (and AQE's from measured sizes); AQE splits skewed keys."""
+    d = dim_key or key
+    return fact.join(dim, (fact[key] == dim[d]) & (fact[ts] >= dim[valid_from]) & (fact[ts] < dim[valid_to]), how)
 
 
 def pit_merge(fact: DataFrame, dim: DataFrame, key: str, ts: str, valid_from: str, valid_to: str,
               dim_key: str, chunk: str = "day") -> DataFrame:
-    """Left point-in-time join by merging (see ``pit_join``). Same columns as the join form.
+    """Left point-in-time join for versions that do not overlap, by merging: for callers who know that
+    one key has very many versions. Same columns as ``pit_join``, which it equals on such a table; on
+    overlapping versions it keeps only the latest started one.
 
     Rows of both sides are put in one stream ordered by (key, time, versions before facts,
     version end); a fact row takes the last version started at or before it, if it has not

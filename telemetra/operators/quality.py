@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from telemetra.functions.columns import NULL_TOKENS
+from telemetra.functions.columns import WIDE_NULL_TOKENS
 from telemetra.operators import windows as W
 
 
@@ -105,8 +105,8 @@ def not_null_proportion(df: DataFrame, column: str | Column, at_least: float, at
 
 def recency(df: DataFrame, field: str, datepart: str, interval: int, now, group_by: Sequence[str] = (),
             ignore_time_component: bool = False, where=None) -> DataFrame:
-    """Groups whose latest ``field`` is older than ``now - interval datepart`` (or absent).
-    ``now`` is a parameter (not the wall clock) so results are reproducible."""
+    """Groups whose latest ``field`` is older than ``now - interval datepart`` .
+    Groups without any value are not judged. ``now`` is a parameter (not the wall clock) so results are reproducible."""
     src = _where(df, where)
     f = F.col(field).cast("date") if ignore_time_component else F.col(field)
     agg = F.max(f).alias("most_recent")
@@ -116,7 +116,7 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int, now, group_
     if ignore_time_component:
         thr = thr.cast("date")
     out = out.withColumn("threshold", thr)
-    return out.filter(F.col("most_recent").isNull() | (F.col("most_recent") < F.col("threshold")))
+    return out.filter(F.col("most_recent") < F.col("threshold"))
 
 
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
@@ -226,10 +226,13 @@ def cardinality_equality(a: DataFrame, column_a: str, b: DataFrame, column_b: st
 def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None = None,
              exclude_columns: Sequence[str] = (), precision: int | None = None, strict: bool = False) -> DataFrame:
     """Rows in one table and not the other over the compared columns, numerics rounded to
-    ``precision``. The column sets must match (an error otherwise)."""
-    if {c.lower() for c in a.columns} != {c.lower() for c in b.columns} and compare_columns is None:
+    ``precision``. Without ``compare_columns`` the column sets that remain after
+    ``exclude_columns`` must match (an error otherwise)."""
+    left_out = {x.lower() for x in exclude_columns}
+    own, other = ([c for c in df.columns if c.lower() not in left_out] for df in (a, b))
+    if compare_columns is None and {c.lower() for c in own} != {c.lower() for c in other}:
         raise ValueError("equality: the two relations have different columns")
-    cols = list(compare_columns or [c for c in a.columns if c.lower() not in {x.lower() for x in exclude_columns}])
+    cols = list(compare_columns or own)
 
     def proj(df):
         out = []
@@ -252,7 +255,7 @@ def no_future_timestamps(df: DataFrame, column: str, now) -> DataFrame:
     return df.filter(F.col(column) > F.lit(now).cast("timestamp_ntz"))
 
 
-def cleaning_incomplete(df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+def cleaning_incomplete(df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = WIDE_NULL_TOKENS) -> DataFrame:
     """Rows where an id still holds a null word after staging."""
     words = [t.upper() for t in tokens if t]
     cond = None
@@ -283,8 +286,8 @@ def negative_values(df: DataFrame, column: str, keep: Sequence[str] = ()) -> Dat
 
 
 def values_equal(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Rows where two columns hold the same value (e.g. a change that changes nothing)."""
-    return df.filter(F.col(left) == F.col(right))
+    """Rows where two columns hold the same value, two NULLs included (a change that changes nothing)."""
+    return df.filter(F.col(left).eqNullSafe(F.col(right)))
 
 
 def outside_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -304,12 +307,13 @@ def timestamps_out_of_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def lifecycle_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows whose stage timestamps are out of order or have a NULL before a later non-null."""
+    """Rows whose first stage is NULL, whose stage timestamps are out of order, or that have a NULL before a
+    later non-null."""
     arr = F.array(*[F.col(c) for c in columns])
     present = F.filter(arr, lambda x: x.isNotNull())
     n_present = F.size(present)
     # nulls only at the tail: the first size(present) entries are all present
-    head_ok = F.forall(F.slice(arr, 1, F.greatest(n_present, F.lit(1))), lambda x: x.isNotNull()) | (n_present == 0)
+    head_ok = F.forall(F.slice(arr, 1, F.greatest(n_present, F.lit(1))), lambda x: x.isNotNull())
     return df.filter(~head_ok | (present != F.array_sort(present)))
 
 

@@ -13,8 +13,6 @@ from telemetra.operators.windows import first_per_group
 
 # Name of the source column added by union_relations (fixed value, kept for parity):
 SOURCE_COLUMN = "_dbt_source_relation"
-# Bound on values fetched to the driver to build pivot columns (a column list, not data):
-MAX_PIVOT_VALUES = 1000
 
 
 def _col(c) -> Column:
@@ -28,12 +26,13 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
 
 
 def slugify(s: str) -> str:
-    if not s:
-        return ""
-    s = s.lower()
-    s = re.sub(r"[ -]+", "_", s)
-    s = re.sub(r"[^a-z0-9_]+", "", s)
-    return re.sub(r"^[0-9]", "_" + s[0], s) if s else s
+    """A lower-case name of letters, digits and underscores: words are joined by an underscore,
+    other characters dropped, and a name that would begin with a digit gets an underscore first."""
+    words = re.split("[ -]", s.lower())
+    parts = ["".join(re.findall("[a-z0-9_]", w)) for w in words if w]
+    lead, trail = words[0] == "" and bool(s), len(words) > 1 and words[-1] == ""
+    name = "_" * lead + "_".join(parts) + "_" * (trail and bool(parts))
+    return "_" + name if name[:1].isdigit() else name
 
 
 def column_values(df: DataFrame, column: str, order_by: str = "count", max_records: int | None = None,
@@ -46,17 +45,14 @@ def column_values(df: DataFrame, column: str, order_by: str = "count", max_recor
         out = out.orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
     else:
         out = out.orderBy(F.col("value").asc_nulls_last())
-    return out.limit(max_records) if max_records else out
+    return out if max_records is None else out.limit(max_records)
 
 
-def column_values_list(df: DataFrame, column: str, max_records: int = MAX_PIVOT_VALUES, default=None,
+def column_values_list(df: DataFrame, column: str, max_records: int | None = None, default=None,
                        where=None) -> list:
-    """The values as a Python list (used to name pivot columns). At most ``max_records`` rows
-    come back; more distinct values than that is an error, not a silent cut."""
-    rows = column_values(df, column, max_records=max_records + 1, where=where).collect()
-    if len(rows) > max_records:
-        raise ValueError(f"{column} has more than {max_records} distinct values; pass them explicitly")
-    vals = [r["value"] for r in rows]
+    """The values as a Python list (used to name pivot columns); all of them unless the caller asks for
+    the ``max_records`` most frequent."""
+    vals = [r["value"] for r in column_values(df, column, max_records=max_records, where=where).collect()]
     return vals if vals else list(default or [])
 
 
@@ -107,7 +103,7 @@ def union_relations(relations: dict[str, DataFrame], include: Sequence[str] = ()
     """Union over a column superset in first-seen order; a column missing from a relation is a
     typed NULL; optional include or exclude list (not both), type overrides, source label."""
     if include and exclude:
-        raise ValueError("Both an exclude and include list were provided to the `union` macro. Only one is allowed")
+        raise ValueError("give either columns to include or columns to exclude, not both")
     override = {k.lower(): v for k, v in (column_override or {}).items()}
     order: list[str] = []
     types: dict[str, str] = {}
@@ -163,41 +159,38 @@ def generate_series(spark: SparkSession, upper_bound: int, num_partitions: int |
         F.col("id").alias("generated_number"))
 
 
-_UNITS = {"day": 1, "week": 7}
-
-
-def date_spine(spark: SparkSession, datepart: str, start, end, num_partitions: int | None = None) -> DataFrame:
-    """Periods from ``start`` up to but excluding ``end`` (Python dates / datetimes).
-
-    The number of periods is computed on the driver from the two bounds; the rows themselves
-    come from a distributed ``range``."""
+def periods_between(datepart: str, start, end) -> int:
+    """Boundaries of ``datepart`` crossed from ``start`` to ``end`` (weeks begin on Monday)."""
     import datetime as dt
 
-    datepart = datepart.lower()
-    if datepart in ("day", "week"):
-        n = (end - start).days
-        n = -(-n // _UNITS[datepart]) if n > 0 else 0
-        base = F.lit(start).cast("date")
-        rows = spark.range(0, n, numPartitions=num_partitions)
-        out = rows.select(F.date_add(base, (F.col("id") * _UNITS[datepart]).cast("int")).alias("date_" + datepart))
-    elif datepart in ("month", "quarter", "year"):
-        months = {"month": 1, "quarter": 3, "year": 12}[datepart]
-        n_m = (end.year - start.year) * 12 + (end.month - start.month) + (1 if end.day > start.day else 0)
-        n = -(-n_m // months) if n_m > 0 else 0
-        rows = spark.range(0, n, numPartitions=num_partitions)
-        out = rows.select(F.add_months(F.lit(start).cast("date"), (F.col("id") * months).cast("int"))
-                          .alias("date_" + datepart))
-    elif datepart in ("hour", "minute", "second"):
-        sec = {"hour": 3600, "minute": 60, "second": 1}[datepart]
-        s = start if isinstance(start, dt.datetime) else dt.datetime.combine(start, dt.time())
-        e = end if isinstance(end, dt.datetime) else dt.datetime.combine(end, dt.time())
-        n = int(-(-(e - s).total_seconds() // sec))
-        rows = spark.range(0, max(n, 0), numPartitions=num_partitions)
-        out = rows.select(F.timestamp_add(datepart.upper(), F.col("id"), F.lit(s).cast("timestamp_ntz"))
-                          .alias("date_" + datepart))
-    else:
+    def when(x):
+        return x if isinstance(x, dt.datetime) else dt.datetime.combine(x, dt.time())
+    start, end = when(start), when(end)
+    days = end.toordinal() - start.toordinal()
+    count = {
+        "second": lambda: int((end.replace(microsecond=0) - start.replace(microsecond=0)).total_seconds()),
+        "minute": lambda: int((end.replace(second=0, microsecond=0) - start.replace(second=0, microsecond=0)).total_seconds()) // 60,
+        "hour": lambda: days * 24 + end.hour - start.hour,
+        "day": lambda: days,
+        "week": lambda: (end.toordinal() - 1) // 7 - (start.toordinal() - 1) // 7,
+        "month": lambda: (end.year - start.year) * 12 + end.month - start.month,
+        "quarter": lambda: (end.year - start.year) * 4 + (end.month - 1) // 3 - (start.month - 1) // 3,
+        "year": lambda: end.year - start.year,
+    }
+    if datepart.lower() not in count:
         raise ValueError(f"unsupported datepart {datepart}")
-    return out.filter(F.col(out.columns[0]) < F.lit(end).cast(out.schema[0].dataType))
+    return count[datepart.lower()]()
+
+
+def date_spine(spark: SparkSession, datepart: str, start, end, num_partitions: int | None = None) -> DataFrame:
+    """``start``, ``start`` + 1 ``datepart``, ... : as many rows as boundaries of the part lie between the
+    bounds, less those that reach ``end``. Dates for day and longer, else timestamps."""
+    part = datepart.lower()
+    n = periods_between(part, start, end)
+    at = F.timestamp_add(part.upper(), F.col("id"), F.lit(start).cast("timestamp_ntz"))
+    out = spark.range(0, max(n, 0), numPartitions=num_partitions).select(at.alias("date_" + part))
+    out = out.filter(F.col("date_" + part) <= F.lit(end).cast("timestamp_ntz"))
+    return out if part in ("hour", "minute", "second") else out.select(F.col("date_" + part).cast("date"))
 
 
 def single_value(df: DataFrame, expr: Column | str | None = None, default=None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from telemetra.functions import columns as C
 from telemetra.operators import scd
 from telemetra.operators import windows as W
-from telemetra.operators.joins import broadcast_if_small, pit_join
+from telemetra.operators.joins import pit_join
 from telemetra.plans import fixtures as fx
 from telemetra.plans import staging as stg
 from telemetra.session import session_key
@@ -32,11 +32,10 @@ def dim_robot_model(models_stg: DataFrame) -> DataFrame:
 
 
 def dim_robot(robots_stg: DataFrame, changes_stg: DataFrame, mode: str = "latest",
-              chunk: str | None = "auto") -> DataFrame:
+              chunk: str | None = "day") -> DataFrame:
     """SCD2 robot dimension: start state at commissioning + attribute change log.
     ``chunk``: "day" runs the windows per (robot, day) and stitches them, so one robot with a
-    large share of all changes does not land in a single task; "auto" (default) does so only
-    when a count shows some robot above the per-task bound; None: plain per-robot windows."""
+    large share of all changes does not land in a single task (the default); None: plain per-robot windows."""
     base = robots_stg.select("robot_id", "serial_number", "model_id", "commissioned_date",
                              F.col("home_zone_id").alias("zone_id"),
                              F.col("initial_firmware").alias("firmware_version"), "owner_team")
@@ -72,14 +71,12 @@ def calendar(days: DataFrame) -> DataFrame:
 # ---- facts ----------------------------------------------------------------------------------
 
 
-def fct_sensor_reading(readings_stg: DataFrame, robot_dim: DataFrame, zone_dim: DataFrame,
-                       robot_dim_bound=None) -> DataFrame:
-    """Readings with both ids, point-in-time robot version key, reading-zone key, date key.
-    ``robot_dim_bound``: source frames whose row count bounds the version table."""
+def fct_sensor_reading(readings_stg: DataFrame, robot_dim: DataFrame, zone_dim: DataFrame) -> DataFrame:
+    """Readings with both ids, point-in-time robot version key, reading-zone key, date key."""
     r = readings_stg.filter(F.col("reading_id").isNotNull() & F.col("robot_id").isNotNull())
     versions = robot_dim.select(F.col("robot_id").alias("_rid"), "robot_sk", "valid_from", "valid_to")
-    j = pit_join(r, versions, key="robot_id", dim_key="_rid", ts="reading_ts", bound_from=robot_dim_bound)
-    z = broadcast_if_small(zone_dim.select(F.col("zone_id").alias("_zid"), "zone_sk"))
+    j = pit_join(r, versions, key="robot_id", dim_key="_rid", ts="reading_ts")
+    z = (zone_dim.select(F.col("zone_id").alias("_zid"), "zone_sk"))
     j = j.join(z, j.zone_id == z._zid, "left")
     return j.select(
         C.surrogate_key("reading_id").alias("sensor_reading_sk"),
@@ -166,15 +163,15 @@ def as_placeholder_schema(snapshot: DataFrame) -> DataFrame:
 
 
 def obt_sensor_readings(fact: DataFrame, robot_dim: DataFrame, model_dim: DataFrame,
-                        zone_dim: DataFrame, robot_dim_bound=None) -> DataFrame:
+                        zone_dim: DataFrame) -> DataFrame:
     """One big table: fact + robot version (by key) + model + the robot version's zone."""
-    r = broadcast_if_small(robot_dim.select(F.col("robot_sk").alias("_rsk"), "serial_number", "model_id",
+    r = (robot_dim.select(F.col("robot_sk").alias("_rsk"), "serial_number", "model_id",
                                             F.col("zone_id").alias("robot_scd_zone_id"),
-                                            "firmware_version", "owner_team"), bound_from=robot_dim_bound)
-    m = broadcast_if_small(model_dim.select(F.col("model_id").alias("_mid"), "model_name", "manufacturer",
+                                            "firmware_version", "owner_team"))
+    m = (model_dim.select(F.col("model_id").alias("_mid"), "model_name", "manufacturer",
                                             "max_payload_kg", "battery_capacity_wh", "weight_kg",
                                             "max_speed_mps", "wear_rate"))
-    z = broadcast_if_small(zone_dim.select(F.col("zone_id").alias("_zid"), "zone_name", "site",
+    z = (zone_dim.select(F.col("zone_id").alias("_zid"), "zone_name", "site",
                                            "zone_type", "has_charging"))
     j = (fact.join(r, fact.robot_sk == r._rsk, "left")
          .join(m, F.col("model_id") == m._mid, "left")
@@ -300,20 +297,15 @@ class Warehouse:
     def dim_robot(self):
         return self._get("dim_robot", lambda: dim_robot(self.stg_robots, self.stg_changes, self.scd_mode))
 
-    @property
-    def robot_dim_bound(self):
-        """Raw inputs whose row count bounds the robot version table."""
-        return [fx.robots(self.spark, self.sf_dir), fx.attribute_changes(self.spark, self.sf_dir)]
-
     @property
     def fct_sensor_reading(self):
         return self._get("fct_sensor_reading", lambda: fct_sensor_reading(
-            self.stg_readings, self.dim_robot, self.dim_zone, self.robot_dim_bound))
+            self.stg_readings, self.dim_robot, self.dim_zone))
 
     @property
     def obt(self):
         return self._get("obt", lambda: obt_sensor_readings(
-            self.fct_sensor_reading, self.dim_robot, self.dim_robot_model, self.dim_zone, self.robot_dim_bound))
+            self.fct_sensor_reading, self.dim_robot, self.dim_robot_model, self.dim_zone))
 
     @property
     def fct_robot_daily(self):

@@ -29,7 +29,7 @@ def _faults_sql() -> str:
     cte("fault_f", f"""
 SELECT *, substr(h, 1, 4) < '{t(0.02)}' AS _dup, substr(h, 5, 4) < '{t(0.01)}' AS _null,
   substr(h, 9, 4) < '{t(0.005)}' AS _late, {hd('h', 13)} % {len(NULL_FIELDS)} AS which,
-  ({hd('h', 14)} * 16 + {hd('h', 15)}) % 47 + 1 AS hours
+  ({hd('h', 14)} * 16 + {hd('h', 15)}) % 48 + 1 AS hours
 FROM (SELECT *, md5(reading_id || ':42') AS h FROM readings)""", "readings")
     cte("fault_g", f"""
 SELECT reading_id, robot_id, CASE WHEN _late THEN reading_ts - to_hours(hours) ELSE reading_ts END AS reading_ts,
@@ -40,7 +40,7 @@ SELECT reading_id, robot_id, CASE WHEN _late THEN reading_ts - to_hours(hours) E
 
 @query("inject_faults", _faults_sql())
 def inject_faults(spark, sf):
-    """~2% duplicated, ~1% with a nulled scalar, ~0.5% shifted 1..47 h late (hash-chosen rows)."""
+    """~2% duplicated, ~1% with a nulled scalar, ~0.5% shifted 1..48 h late (hash-chosen rows)."""
     r = fx.readings(spark, sf).select(*FAULT_COLS)
     out, _ = X.inject_faults(r, "reading_id", "reading_ts", NULL_FIELDS, seed=42)
     return out
@@ -109,7 +109,7 @@ FROM ({dirty})"""
 def inject_dirt(spark, sf):
     """Dirty raw-text landing (10 dirt kinds on ~8% of rows) read back through null-token
     handling and staging: ids, enums and layouts are undone; unit / spike errors remain."""
-    landing = I.apply_null_tokens(_dirty(spark, sf))
+    landing = I.apply_null_tokens(_dirty(spark, sf), C.WIDE_NULL_TOKENS, exact=False)
     s = stg.stg_sensor_readings(landing, formats=C.TS_FORMATS_EXTENDED, epoch_digits=True)
     return s.drop("reading_ts_raw")
 

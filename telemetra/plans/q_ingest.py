@@ -37,7 +37,7 @@ def _token_sql() -> str:
     return f"[{lst}][o_orderkey % {len(_TOKENS)} + 1]"
 
 
-_NULLED = ("CASE WHEN lower(trim({x})) IN ('', 'null', 'n/a', 'na', 'nan', 'none', '-', '#n/a') "
+_NULLED = ("CASE WHEN {x} IN ('', 'NULL', 'null', 'N/A', 'NA', 'nan', 'None', '-', '#N/A') "
            "THEN NULL ELSE {x} END")
 
 
@@ -62,7 +62,7 @@ def ingest_csv_raw(spark, sf):
 
 @query("ingest_null_tokens", f"SELECT o_orderkey, {_NULLED.format(x=_token_sql())} AS token_clean FROM orders")
 def ingest_null_tokens(spark, sf):
-    """Null words (any case, padded) -> NULL across the text columns."""
+    """The loader's null tokens, exactly as written -> NULL across the text columns."""
     o = read_table(spark, sf, "orders").select("o_orderkey", _token_expr_spark().alias("token_clean"))
     return I.apply_null_tokens(o)
 
@@ -183,23 +183,26 @@ def stg_safe_date(spark, sf):
 _TS = "o_orderdate + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60)"
 _TSTXT = (f"CASE o_orderkey % 5 WHEN 0 THEN strftime({_TS}, '%Y-%m-%d %H:%M:%S') "
           f"WHEN 1 THEN strftime({_TS}, '%m/%d/%Y %H:%M:%S') WHEN 2 THEN strftime({_TS}, '%m/%d/%Y %I:%M:%S %p') "
-          f"WHEN 3 THEN strftime({_TS}, '%Y-%m-%dT%H:%M:%S') ELSE 'yesterday' END")
+          f"WHEN 3 THEN strftime({_TS}, '%Y-%m-%dT%H:%M:%S') "
+          f"ELSE CASE WHEN o_orderkey % 2 = 0 THEN CAST(1700000000 + o_orderkey AS VARCHAR) ELSE 'yesterday' END END")
 _TSPARSE = ("coalesce(TRY_CAST(raw AS TIMESTAMP), try_strptime(raw, '%m/%d/%Y %H:%M:%S'), "
             "try_strptime(raw, '%m/%d/%Y %I:%M:%S %p'), try_strptime(raw, '%Y-%m-%d %H:%M:%S'), "
-            "try_strptime(raw, '%Y-%m-%dT%H:%M:%S'))")
+            "try_strptime(raw, '%Y-%m-%dT%H:%M:%S'), "
+            "CASE WHEN regexp_full_match(trim(raw), '[0-9]{9,11}') THEN make_timestamp(TRY_CAST(trim(raw) AS BIGINT) * 1000000) END)")
 
 
 @query("stg_multi_format_ts", f"""
 SELECT o_orderkey, raw, {_TSPARSE} AS parsed_ts, coalesce(raw IS NOT NULL AND {_TSPARSE} IS NULL, false) AS is_parse_failed
 FROM (SELECT o_orderkey, {_TSTXT} AS raw FROM orders)""")
 def stg_multi_format_ts(spark, sf):
-    """Timestamps rendered in five layouts (one unparseable) parsed by an ordered coalesce."""
+    """Timestamps rendered in four layouts, as Unix seconds, or unparseable,  parsed by an ordered coalesce."""
     k = F.col("o_orderkey")
     ts = F.timestamp_add("MINUTE", k % 60, F.timestamp_add("HOUR", k % 24, F.col("o_orderdate")))
     raw = (F.when(k % 5 == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
            .when(k % 5 == 1, F.date_format(ts, "MM/dd/yyyy HH:mm:ss"))
            .when(k % 5 == 2, F.date_format(ts, "MM/dd/yyyy hh:mm:ss a"))
-           .when(k % 5 == 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.lit("yesterday")))
+           .when(k % 5 == 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+           .otherwise(F.when(k % 2 == 0, (F.lit(1_700_000_000) + k).cast("string")).otherwise(F.lit("yesterday"))))
     df = read_table(spark, sf, "orders").select("o_orderkey", raw.alias("raw"))
     parsed = C.parse_ts("raw", C.TS_FORMATS_WITH_T)
     return df.select("o_orderkey", "raw", parsed.alias("parsed_ts"), C.parse_failed("raw", parsed).alias("is_parse_failed"))

@@ -369,7 +369,7 @@ def win_lead_ranges(spark, sf):
     """Next range start and a last-record marker per robot (lead + row_number; per-day chunks
     when some robot's versions exceed the per-task bound)."""
     d = Warehouse(spark, sf).dim_robot.select("robot_id", "valid_from", "valid_to")
-    chunk = scd.chunk_if_hot(d, "robot_id", F.date_trunc("day", "valid_from"))
+    chunk = F.date_trunc("day", "valid_from")
     r = Q.ranges_with_next(d, "valid_from", "valid_to", "robot_id", chunk)
     return r.select(F.col("partition_by_col").alias("robot_id"), F.col("lower_bound").alias("valid_from"),
                     F.col("upper_bound").alias("valid_to"), F.col("next_lower_bound").alias("next_valid_from"),

@@ -186,7 +186,7 @@ def dq_mutually_exclusive_ranges(spark, sf):
     d = Warehouse(spark, sf).dim_robot
     shifted = d.select("robot_id", "valid_from", F.when(F.col("is_current"), F.col("valid_to"))
                        .otherwise(F.timestamp_add("DAY", F.lit(1), F.col("valid_to"))).alias("valid_to"))
-    chunk = scd.chunk_if_hot(shifted, "robot_id", F.date_trunc("day", "valid_from"))
+    chunk = F.date_trunc("day", "valid_from")
     return Q.mutually_exclusive_ranges(shifted, "valid_from", "valid_to", partition_by="robot_id", chunk=chunk)
 
 
@@ -209,7 +209,7 @@ def dq_not_null_proportion(spark, sf):
 @dq("dq_recency", f"""
 SELECT * FROM (SELECT user_id, max(ts) AS most_recent, TIMESTAMP '{NOW}' - INTERVAL 1 DAY AS threshold
                FROM events GROUP BY 1)
-WHERE most_recent IS NULL OR most_recent < threshold""")
+WHERE most_recent < threshold""")
 def dq_recency(spark, sf):
     return Q.recency(_ev(spark, sf), "ts", "day", 1, NOW, group_by=["user_id"])
 
@@ -298,7 +298,7 @@ _LC_ARR = "[" + ", ".join(_LC) + "]"
 
 @dq("dq_lifecycle_trailing_nulls", f"""
 SELECT ticket_id FROM tickets WHERE
-  (reported_ts IS NULL AND (diagnosed_ts IS NOT NULL OR repaired_ts IS NOT NULL OR closed_ts IS NOT NULL))
+  reported_ts IS NULL
   OR (diagnosed_ts IS NULL AND (repaired_ts IS NOT NULL OR closed_ts IS NOT NULL))
   OR (repaired_ts IS NULL AND closed_ts IS NOT NULL)
   OR list_filter({_LC_ARR}, lambda x: x IS NOT NULL) <> list_sort(list_filter({_LC_ARR}, lambda x: x IS NOT NULL))""",
@@ -307,7 +307,7 @@ def dq_lifecycle_trailing_nulls(spark, sf):
     return Q.lifecycle_violations(fx.maintenance_tickets(spark, sf), _LC).select("ticket_id")
 
 
-@dq("dq_noop_changes", "SELECT change_id, old_value, new_value FROM stg_changes WHERE old_value = new_value",
+@dq("dq_noop_changes", "SELECT change_id, old_value, new_value FROM stg_changes WHERE old_value IS NOT DISTINCT FROM new_value",
     "stg_changes")
 def dq_noop_changes(spark, sf):
     ch = Warehouse(spark, sf).stg_changes.select("change_id", "old_value", "new_value")

@@ -25,7 +25,7 @@ def _is_text(df: DataFrame, c: str) -> bool:
     return isinstance(field.dataType, StringType)
 
 
-def _ts(df: DataFrame, c: str, formats=C.TS_FORMATS, epoch_digits: bool = False) -> Column:
+def _ts(df: DataFrame, c: str, formats=C.TS_FORMATS, epoch_digits: bool = True) -> Column:
     return C.parse_ts(c, formats, epoch_digits) if _is_text(df, c) else F.col(c).cast("timestamp_ntz")
 
 
@@ -37,7 +37,7 @@ def _text_id(c: str) -> Column:
     return C.trim_nullif(F.col(c).cast("string"))
 
 
-def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T, epoch_digits: bool = False) -> DataFrame:
+def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T, epoch_digits: bool = True) -> DataFrame:
     """Ids trimmed, multi-layout timestamp + parse flag, range null-out + flags, enums upper.
     ``formats=C.TS_FORMATS_EXTENDED, epoch_digits=True`` also reads the layouts the dirt
     generator writes but the warehouse does not parse."""
@@ -122,7 +122,6 @@ def stg_tasks(raw: DataFrame) -> DataFrame:
     (``NULL NOT IN (...)`` is unknown -> false), as in the warehouse."""
     a, s, c = (_ts(raw, x) for x in ("assigned_ts", "started_ts", "completed_ts"))
     ttype, status = C.upper_trim("task_type"), C.upper_trim("status")
-    num = (lambda x: C.safe_number(x)) if _is_text(raw, "priority") else (lambda x: F.col(x).cast("bigint"))
     return raw.select(
         _text_id("task_id").alias("task_id"),
         _text_id("robot_id").alias("robot_id"),
@@ -132,7 +131,7 @@ def stg_tasks(raw: DataFrame) -> DataFrame:
         _dbl(raw, "distance_m").alias("distance_m"), _dbl(raw, "payload_kg").alias("payload_kg"),
         C.trim_nullif("source_zone_id").alias("source_zone_id"),
         C.trim_nullif("destination_zone_id").alias("destination_zone_id"),
-        num("error_count").alias("error_count"),
+        C.safe_number(F.col("error_count").cast("string")).alias("error_count"),
         (F.col("task_id").isNull() | (F.trim(F.col("task_id").cast("string")) == "")).alias("is_missing_task_id"),
         (F.col("robot_id").isNull() | (F.trim(F.col("robot_id").cast("string")) == "")).alias("is_missing_robot_id"),
         F.coalesce(~ttype.isin(*TASK_TYPES_VALID), F.lit(False)).alias("is_invalid_task_type"),

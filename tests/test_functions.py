@@ -22,9 +22,11 @@ def test_trim_nullif_and_upper(spark):
     assert one(spark, C.upper_trim("x"), [(" active ",)]) == ["ACTIVE"]
 
 
-def test_null_tokens_case_insensitive(spark):
+def test_null_tokens(spark):
+    exact = [("N/A",), ("n/a",), ("none",), ("None",), (" NA ",), ("NA",), ("Na",), ("",)]
+    assert one(spark, C.null_token("x"), exact) == [None, "n/a", "none", None, " NA ", None, "Na", None]
     toks = [("N/A",), ("n/a",), ("NaN",), ("#N/A",), (" null ",), ("-",), ("",), ("ok",), ("None",)]
-    assert one(spark, C.null_token("x"), toks) == [None] * 7 + ["ok", None]
+    assert one(spark, C.null_token("x", C.WIDE_NULL_TOKENS, exact=False), toks) == [None] * 7 + ["ok", None]
 
 
 def test_safe_casts(spark):
@@ -50,7 +52,8 @@ def test_parse_ts_extended_and_epoch(spark):
     got = one(spark, C.parse_ts("x", C.TS_FORMATS_EXTENDED, epoch_digits=True), rows)
     assert got == [dt.datetime(2024, 1, 15, 8, 30), dt.datetime(2024, 1, 15, 20, 30), dt.datetime(2024, 1, 15, 8, 30)]
     # the warehouse's own list does not read epoch digits
-    assert one(spark, C.parse_ts("x", C.TS_FORMATS), [("1705307400",)]) == [None]
+    assert one(spark, C.parse_ts("x", C.TS_FORMATS), [("1705307400",), ("12",)]) == [dt.datetime(2024, 1, 15, 8, 30), None]
+    assert one(spark, C.parse_ts("x", C.TS_FORMATS, epoch_digits=False), [("1705307400",)]) == [None]
 
 
 def test_epoch_to_ts(spark):

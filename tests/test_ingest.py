@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from telemetra.session import scratch_path
@@ -31,7 +32,7 @@ def test_read_csv_raw(spark):
     assert rows["R1"].SOC == "55.5" and rows["R1"].STATUS == "active"
     assert rows["R2"].SOC is None and rows["R2"].STATUS is None   # token -> NULL, short row padded
     assert rows["R3"].SOC is None and rows["R3"].STATUS == "IDLE"  # extra field dropped
-    blank = rows[None]
+    blank = rows["  "]                                      # tokens are exact: white space is a text
     assert blank.SOC is None and blank.STATUS is None
     assert all(r._SOURCE_FILE.endswith("part-0.csv") for r in rows.values())
     assert all(r._LOADED_AT == dt.datetime(2024, 2, 1) for r in rows.values())
@@ -110,3 +111,18 @@ def test_csv_landing_other_staging(spark, sf_dir):
         from_typed = stage(typed)
         assert from_text.columns == from_typed.columns, name
         assert from_text.exceptAll(from_typed).count() == 0 and from_typed.exceptAll(from_text).count() == 0, name
+
+
+def test_quoted_line_end_stays_one_record(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"line one\nline two"\n2,NA\n3,none\n')
+    rows = I.read_csv_raw(spark, str(tmp_path)).orderBy("ID").collect()
+    assert [(r.ID, r.NOTE) for r in rows] == [("1", "line one\nline two"), ("2", None), ("3", "none")]
+
+
+@pytest.mark.parametrize("names", ["id,note", "id,,id"])
+def test_other_header_is_an_error(spark, tmp_path, names):
+    other = ",".join(reversed(names.split(","))) if names == "id,note" else "id,,other"
+    (tmp_path / "a.csv").write_text(names + "\n" + ",".join("1" * (names.count(",") + 1)) + "\n")
+    (tmp_path / "b.csv").write_text(other + "\n" + ",".join("1" * (names.count(",") + 1)) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        I.read_csv_raw(spark, str(tmp_path)).collect()

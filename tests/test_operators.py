@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from telemetra.operators import quality as Q
 from telemetra.operators import relational as R
 from telemetra.operators import scd
-from telemetra.operators.joins import broadcast_if_small, pit_join
+from telemetra.operators.joins import pit_join, pit_merge
 
 T = dt.datetime
 D = dt.date
@@ -63,10 +63,49 @@ def test_pit_join_half_open(spark):
     assert [(r.key, r.v) for r in out] == [("a", None), ("a", 2), ("b", None)]
 
 
-def test_broadcast_only_below_bound(spark):
-    df = spark.range(10)
-    assert "broadcast" in broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in broadcast_if_small(df, 9)._jdf.queryExecution().logical().toString().lower()
+def test_pit_join_equals_the_plain_join_with_many_and_overlapping_versions(spark):
+    dim = (spark.range(5000).select(F.lit("a").alias("k"), F.timestamp_add("HOUR", F.col("id"), F.lit(T(2024, 1, 1))).alias("valid_from"),
+                                    F.timestamp_add("HOUR", F.col("id") + F.col("id") % 3 + 1, F.lit(T(2024, 1, 1))).alias("valid_to"),
+                                    F.col("id").alias("v"))
+           .unionByName(spark.createDataFrame([("a", T(2024, 1, 1), T(2024, 2, 1), -1), ("a", T(2024, 1, 5), T(2024, 1, 6), -2)],
+                                              "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v long")))
+    fact = spark.createDataFrame([("a", T(2024, 1, 1) + dt.timedelta(minutes=37 * i)) for i in range(300)] + [("b", T(2024, 1, 5)), (None, None)],
+                                 "key string, ts timestamp_ntz")
+    plain = "SELECT * FROM f {how} JOIN d ON f.key = d.k AND f.ts >= d.valid_from AND f.ts < d.valid_to"
+    fact.createOrReplaceTempView("f")
+    dim.createOrReplaceTempView("d")
+    for how in ("left", "inner"):
+        got, want = pit_join(fact, dim, "key", "ts", dim_key="k", how=how), spark.sql(plain.format(how=how))
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    fact7 = spark.createDataFrame([("a", T(2024, 1, 7))], "key string, ts timestamp_ntz")
+    two = dim.filter("v < 0")
+    assert [r.v for r in pit_join(fact7, two, "key", "ts", dim_key="k").collect()] == [-1]
+    spark.catalog.dropTempView("f")
+    spark.catalog.dropTempView("d")
+
+
+def test_repair_is_exact_at_any_group_size(spark):
+    from telemetra.operators import faults as X
+    df = spark.range(200_000).select(F.lit("r").alias("k"), (F.rand(5) * 40).alias("x"))
+    values = sorted(r[0] for r in df.select("x").collect())
+    got = X.robust_repair(df, "k", "x").select("median", "mad").distinct().collect()
+    median = values[(len(values) + 1) // 2 - 1]
+    assert [(r.median, r.mad) for r in got] == [(median, sorted(abs(v - median) for v in values)[(len(values) + 1) // 2 - 1])]
+
+
+def test_rules_follow_the_contract_text(spark):
+    now = T(2024, 1, 10)
+    df = spark.createDataFrame([("a", T(2024, 1, 1)), ("b", None), ("c", T(2024, 1, 9, 12))], "g string, t timestamp_ntz")
+    assert [r.g for r in Q.recency(df, "t", "day", 1, now, group_by=["g"]).collect()] == ["a"]  # most_recent < threshold only
+    ch = spark.createDataFrame([("1", None, None), ("2", "x", "y"), ("3", "x", "x")], "id string, o string, n string")
+    assert sorted(r.id for r in Q.values_equal(ch, "o", "n").collect()) == ["1", "3"]
+    lc = spark.createDataFrame([(1, None, None), (2, T(2024, 1, 1), None), (3, None, T(2024, 1, 1))], "id int, a timestamp_ntz, b timestamp_ntz")
+    assert sorted(r.id for r in Q.lifecycle_violations(lc, ["a", "b"]).collect()) == [1, 3]
+    a = spark.createDataFrame([(1, 2)], "x int, y int")
+    b = spark.createDataFrame([(1, 3)], "x int, z int")
+    assert Q.equality(a, b, exclude_columns=["y", "z"]).count() == 0
+    with pytest.raises(ValueError):
+        Q.equality(a, b)
 
 
 def test_lookahead_label_fan_out_and_defanned(spark):
@@ -145,11 +184,11 @@ def test_single_value_default(spark):
     assert R.single_value(empty, default=7).first()[0] == 7
 
 
-def test_column_values_bounded(spark):
-    df = spark.createDataFrame([(str(i % 5),) for i in range(20)], "v string")
-    assert sorted(R.column_values_list(df, "v")) == ["0", "1", "2", "3", "4"]
-    with pytest.raises(ValueError):
-        R.column_values_list(df, "v", max_records=3)
+def test_column_values_are_not_capped(spark):
+    df = spark.range(1500).select(F.col("id").cast("string").alias("v"))
+    assert len(R.column_values_list(df, "v")) == 1500
+    assert len(R.column_values_list(df, "v", max_records=3)) == 3
+    assert R.column_values(df, "v", max_records=0).count() == 0
 
 
 def test_except_both_ways_strict(spark):
@@ -269,16 +308,14 @@ def test_overlap_pairs_equal_selfjoin(spark):
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
 
 
-def test_scd2_auto_chunking_switches_on_hot_key(spark, monkeypatch):
+def test_scd2_chunks_equal_plain_windows_on_a_hot_key(spark):
     base = spark.createDataFrame([("hot", "z0", D(2024, 1, 1))], "robot_id string, zone_id string, since date")
     ch = spark.createDataFrame([(f"c{i:03d}", "hot", T(2024, 1, 1 + i % 5, i % 24), "ZONE", f"z{i}") for i in range(50)],
                                "change_id string, robot_id string, changed_at timestamp_ntz, attribute string, "
                                "new_value string")
     args = dict(key="robot_id", attributes={"ZONE": "zone_id"}, base_valid_from="since")
-    plain = scd.build_scd2(base, ch, **args)
-    monkeypatch.setattr(scd, "MAX_ROWS_PER_WINDOW_KEY", 10)
-    scd._MAX_PER_KEY.clear()
-    auto = scd.build_scd2(base, ch, chunk="auto", **args)
+    plain = scd.build_scd2(base, ch, chunk=None, **args)
+    auto = scd.build_scd2(base, ch, **args)
     assert "_chunk" in auto._jdf.queryExecution().analyzed().toString()
     assert plain.exceptAll(auto).count() == 0 and auto.exceptAll(plain).count() == 0
 
@@ -295,7 +332,6 @@ def test_mutually_exclusive_ranges_chunked_equals_plain(spark):
 
 
 def test_pit_merge_equals_join(spark):
-    from telemetra.operators.joins import pit_join
     base = spark.createDataFrame([(f"r{i}", f"z{i}", D(2024, 1, 1 + i)) for i in range(3)],
                                  "robot_id string, zone_id string, since date")
     ch = spark.createDataFrame(
@@ -307,29 +343,19 @@ def test_pit_merge_equals_join(spark):
     facts = [(f"f{i}", f"r{i % 4}", T(2023, 12, 31) + dt.timedelta(hours=7 * i)) for i in range(80)]
     facts += [("fb", "r0", T(2024, 1, 4, 6)), ("fn", "r1", None), ("fk", None, T(2024, 1, 5))]
     fact = spark.createDataFrame(facts, "reading_id string, robot_id string, reading_ts timestamp_ntz")
-    joined = pit_join(fact, dim, "robot_id", "reading_ts", dim_key="_rid", method="join", broadcast_rows=0)
-    merged = pit_join(fact, dim, "robot_id", "reading_ts", dim_key="_rid", method="merge")
+    joined = pit_join(fact, dim, "robot_id", "reading_ts", dim_key="_rid")
+    merged = pit_merge(fact, dim, "robot_id", "reading_ts", "valid_from", "valid_to", "_rid")
     assert joined.columns == merged.columns
     assert joined.count() == len(facts)
     assert joined.exceptAll(merged).count() == 0 and merged.exceptAll(joined).count() == 0
 
 
-def test_pit_join_auto_switches_to_merge(spark, monkeypatch):
-    from telemetra.operators import joins
-    dim = spark.createDataFrame([("a", T(2024, 1, i), T(2024, 1, i + 1), i) for i in range(1, 6)],
-                                "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v int")
-    fact = spark.createDataFrame([("a", T(2024, 1, 3, 12)), ("a", T(2024, 1, 9))], "key string, ts timestamp_ntz")
-    monkeypatch.setattr(joins, "MAX_VERSIONS_PER_KEY_FOR_JOIN", 2)
-    joins._MAX_VERSIONS.clear()
-    out = joins.pit_join(fact, dim, "key", "ts", dim_key="k")
-    assert "_chunk" in out._jdf.queryExecution().analyzed().toString()
-    assert sorted((r.ts.day, r.v) for r in out.collect()) == [(3, 3), (9, None)]
-
-
 def test_date_spine_other_parts(spark):
     weeks = [r[0] for r in R.date_spine(spark, "week", D(2018, 1, 1), D(2018, 1, 29)).collect()]
     assert weeks == [D(2018, 1, 1), D(2018, 1, 8), D(2018, 1, 15), D(2018, 1, 22)]
-    assert R.date_spine(spark, "week", D(2018, 1, 1), D(2018, 1, 30)).count() == 5
+    assert R.date_spine(spark, "week", D(2018, 1, 1), D(2018, 1, 30)).count() == 4
+    assert R.date_spine(spark, "month", D(2024, 1, 1), D(2024, 4, 15)).count() == 3
+    assert R.date_spine(spark, "hour", T(2024, 1, 1, 10, 15), T(2024, 1, 1, 12, 45)).count() == 2
     quarters = [r[0] for r in R.date_spine(spark, "quarter", D(2018, 1, 1), D(2019, 1, 1)).collect()]
     assert quarters == [D(2018, 1, 1), D(2018, 4, 1), D(2018, 7, 1), D(2018, 10, 1)]
     assert R.date_spine(spark, "year", D(2018, 1, 1), D(2021, 1, 1)).count() == 3
