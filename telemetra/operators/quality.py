@@ -319,9 +319,11 @@ def lifecycle_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # ---- gates and report ---------------------------------------------------------------------------
 
-def range_gate(df: DataFrame, ranges: dict[str, tuple[str, float | None, float | None, bool]]) -> DataFrame:
+def range_gate(df: DataFrame, ranges: dict[str, tuple[str, float | None, float | None, bool]],
+               arrays: dict[str, str] | None = None) -> DataFrame:
     """One pass over ``df``: for each label, rows outside [lo, hi] (hi exclusive when the flag
-    is set). Returns (check, status, bad_rows)."""
+    is set; a NULL is outside), and rows without an array. Returns (check, status, bad_rows)."""
+    arrays = arrays or {}
     aggs = []
     for label, (c, lo, hi, hi_open) in ranges.items():
         x = F.col(c)
@@ -330,9 +332,10 @@ def range_gate(df: DataFrame, ranges: dict[str, tuple[str, float | None, float |
             ok = ok & (x >= F.lit(lo))
         if hi is not None:
             ok = ok & ((x < F.lit(hi)) if hi_open else (x <= F.lit(hi)))
-        aggs.append(F.count_if(~ok).alias(label))
+        aggs.append(F.count_if(~F.coalesce(ok, F.lit(False))).alias(label))
+    aggs += [F.count_if(F.col(c).isNull()).alias(label) for label, c in arrays.items()]
     wide = df.agg(*aggs)
-    long = wide.unpivot([], list(ranges), "check", "bad_rows")
+    long = wide.unpivot([], [F.col(f"`{x}`") for x in [*ranges, *arrays]], "check", "bad_rows")
     return long.select("check", F.when(F.col("bad_rows") == 0, "PASS").otherwise("FAIL").alias("status"),
                        F.col("bad_rows").cast("bigint").alias("bad_rows"))
 

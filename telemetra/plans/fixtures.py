@@ -83,24 +83,49 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Structs of the lake landing (fixed layout): field <- channel.
+NESTED = {
+    "battery": {"voltage_v": "battery_voltage_v", "soc_pct": "battery_soc_pct", "temp_c": "battery_temp_c",
+                "charge_cycles": "charge_cycles", "current_amps": "battery_current_amps", "health_pct": "battery_health_pct"},
+    "motor": {"temp_c": "motor_temp_c", "rpm": "motor_rpm", "load_pct": "motor_load_pct",
+              "current_amps": "motor_current_amps", "vibration_g": "vibration_g"},
+    "navigation": {c: c for c in ("x_m", "y_m", "heading_deg", "speed_mps", "zone_id", "lidar_front_m", "lidar_rear_m",
+                                  "lidar_left_m", "lidar_right_m", "obstacle_detected")},
+    "environment": {c: c for c in ("ambient_temp_c", "humidity_pct", "light_level_lux", "floor_condition")},
+    "connectivity": {c: c for c in ("wifi_signal_dbm", "latency_ms", "packet_loss_pct", "access_point_id")},
+    "wheels": {"left_rpm": "left_rpm", "right_rpm": "right_rpm", "odometer_m": "odometer_m"},
+}
+
+
+def other_channels(k: Column, value: Column, event_id: Column) -> dict[str, Column]:
+    """The channels beside the analysed measures; some lie outside the contract's ranges."""
+    kd = k.cast("double")
+    numbers = {
+        "battery_current_amps": value / F.lit(10.0), "battery_health_pct": F.lit(101.0) - kd / F.lit(4.0),
+        "motor_current_amps": kd / F.lit(8.0), "x_m": value, "y_m": kd, "heading_deg": kd * F.lit(4.0),
+        "speed_mps": value / F.lit(40.0) - F.lit(0.25), "lidar_front_m": kd / F.lit(4.0), "lidar_rear_m": kd / F.lit(8.0),
+        "lidar_left_m": value / F.lit(16.0), "lidar_right_m": value / F.lit(32.0), "ambient_temp_c": F.lit(15.0) + kd / F.lit(16.0),
+        "humidity_pct": value - F.lit(1.0), "light_level_lux": kd * F.lit(8.0), "wifi_signal_dbm": F.lit(-30.0) - kd / F.lit(2.0),
+        "latency_ms": value * F.lit(2.0), "packet_loss_pct": kd / F.lit(32.0), "left_rpm": kd * F.lit(15.0), "right_rpm": kd * F.lit(16.0),
+    }
+    return numbers | {
+        "charge_cycles": k.cast("bigint") * 3 - 2, "obstacle_detected": event_id % 9 == 0,
+        "access_point_id": F.concat(F.lit("AP-"), (event_id % 12).cast("string")),
+        "zone_id": (k % 25).cast("string"), "floor_condition": _floor(k)}
+
+
 def nested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings with the nested struct layout of the lake parquet (battery, motor, ...)."""
+    """Readings with the nested struct layout of the lake parquet: six structs, 38 fields in all."""
     e = read_table(spark, sf_dir, "events")
-    k = _k(F.col("props"))
-    m = reading_measures(k, F.col("value"), F.col("event_id"))
+    k, value, event = _k(F.col("props")), F.col("value"), F.col("event_id")
+    channels = reading_measures(k, value, event) | other_channels(k, value, event)
     return e.select(
-        F.col("event_id").cast("string").alias("reading_id"),
+        event.cast("string").alias("reading_id"),
         F.col("user_id").cast("string").alias("robot_id"),
         F.col("ts").alias("reading_ts"),
-        F.struct(m["battery_voltage_v"].alias("voltage_v"), m["battery_soc_pct"].alias("soc_pct"),
-                 m["battery_temp_c"].alias("temp_c")).alias("battery"),
-        F.struct(m["motor_temp_c"].alias("temp_c"), m["motor_rpm"].alias("rpm"),
-                 m["motor_load_pct"].alias("load_pct"), m["vibration_g"].alias("vibration_g")).alias("motor"),
-        F.struct((k % 25).cast("string").alias("zone_id")).alias("navigation"),
-        F.struct(_floor(k).alias("floor_condition")).alias("environment"),
-        F.struct(m["odometer_m"].alias("odometer_m")).alias("wheels"),
+        *[F.struct(*[channels[c].alias(f) for f, c in fields.items()]).alias(name) for name, fields in NESTED.items()],
         error_codes(k, F.col("event_type")).alias("error_codes"),
-        m["power_draw_watts"].alias("power_draw_watts"),
+        channels["power_draw_watts"].alias("power_draw_watts"),
         _status_from_event(F.col("event_type")).alias("operational_status"),
     )
 

@@ -90,7 +90,7 @@ def _rdq_oracle() -> str:
 def sink_csv_daily(spark, sf):
     """Robot-day quality table written as CSV by the executors, read back with its schema."""
     daily = lake.robot_daily_quality(lake.null_out(lake.quality_flags(
-        lake.flatten_readings(fx.nested_readings_landed(spark, sf)))))
+        lake.flatten_readings(fx.nested_readings(spark, sf)))))
     path = scratch_path(spark, "robot_daily_quality_csv")
     I.write_csv(daily, path)
     return spark.read.schema(_RDQ_SCHEMA).option("header", True).csv(path)
@@ -130,7 +130,11 @@ def union_tables_by_pattern(spark, sf):
     days = [r[0] for r in landed.select("day").distinct().collect()]  # partition values only
     for d in days:
         landed.filter(F.col("day") == d).drop("day").createOrReplaceTempView(f"events_{d}")
-    out = I.union_tables_by_pattern(spark, "events_2024%", exclude="events_20240115")
+    try:
+        out = I.union_tables_by_pattern(spark, "events_2024%", exclude="events_20240115")
+    finally:  # the union keeps its plan; the views must not leak into the next call's pattern
+        for d in days:
+            spark.catalog.dropTempView(f"events_{d}")
     return out.select(*e.columns, "_source_table")
 
 

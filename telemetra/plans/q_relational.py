@@ -87,21 +87,32 @@ def except_both_ways(spark, sf):
     return R.except_both_ways(a, b)
 
 
-@query("generate_series", "SELECT CAST(range AS BIGINT) AS generated_number FROM range(1, (SELECT count(*) FROM orders) + 1)")
+@query("generate_series", """
+SELECT CAST(range AS BIGINT) AS generated_number, count(o_orderkey) AS orders
+FROM range(1, (SELECT max(o_custkey) FROM orders) + 1) LEFT JOIN orders ON o_custkey = range GROUP BY 1""")
 def generate_series(spark, sf):
-    """1..(number of orders), as a distributed range."""
-    n = read_table(spark, sf, "orders").count()
-    return R.generate_series(spark, n)
+    """1..(largest customer number), as a distributed range, with each number's orders (gaps filled)."""
+    o = read_table(spark, sf, "orders")
+    counts = o.groupBy(F.col("o_custkey").alias("generated_number")).agg(F.count("o_orderkey").alias("orders"))
+    n = o.agg(F.max("o_custkey")).first()[0] or 0
+    return (R.generate_series(spark, n).join(counts, "generated_number", "left")
+            .select("generated_number", F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders")))
 
 
 @query("date_spine", """
-SELECT CAST(range AS DATE) AS date_day FROM range(
-  (SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) FROM events),
-  (SELECT CAST(max(CAST(ts AS DATE)) AS TIMESTAMP) FROM events), INTERVAL 1 DAY)""")
+SELECT CAST(range AS DATE) AS date_day, count(event_id) AS events FROM range(
+  (SELECT CAST(min(CAST(ts AS DATE)) - 2 AS TIMESTAMP) FROM events),
+  (SELECT CAST(max(CAST(ts AS DATE)) + 3 AS TIMESTAMP) FROM events), INTERVAL 1 DAY)
+LEFT JOIN events ON CAST(ts AS DATE) = CAST(range AS DATE) GROUP BY 1""")
 def date_spine(spark, sf):
-    """Daily spine from the first event day up to (excluding) the last."""
-    b = read_table(spark, sf, "events").agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
-    return R.date_spine(spark, "day", b["lo"], b["hi"])
+    """Daily spine from two days before the first event day to two after the last, with each day's events
+    (gaps filled with 0)."""
+    day = F.to_date("ts")
+    e = read_table(spark, sf, "events")
+    b = e.agg(F.date_sub(F.min(day), 2).alias("lo"), F.date_add(F.max(day), 3).alias("hi")).first()
+    counts = e.groupBy(day.alias("date_day")).agg(F.count("event_id").alias("events"))
+    return (R.date_spine(spark, "day", b["lo"], b["hi"]).join(counts, "date_day", "left")
+            .select("date_day", F.coalesce("events", F.lit(0)).cast("bigint").alias("events")))
 
 
 @query("column_values_topn", """

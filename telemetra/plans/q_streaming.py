@@ -29,17 +29,24 @@ def stream_land_partitioned(spark, sf):
     return back.select("event_id", "ts", "user_id", "event_type", "value", "props", "year", "month", "day", "hour")
 
 
-@query("stream_bad_record_split", "SELECT * FROM events WHERE event_id % 50 <> 0")
+@query("stream_bad_record_split", """
+SELECT event_id, ts, user_id, event_type, value, props, true AS good FROM events WHERE event_id % 50 NOT IN (0, 1)
+UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, false FROM events WHERE event_id % 50 IN (0, 1)""")
 def stream_bad_record_split(spark, sf):
     """Malformed records (every 50th line loses its closing brace) go to an error folder with
-    the raw line; the rest land."""
+    the raw line, and so does a record whose time is no time; the rest land. Both folders are returned
+    (of the bad lines the id that stands in them)."""
     inbound, good, bad, ck = (scratch_path(spark, n) for n in ("lines_inbound", "good", "bad", "ck_split"))
     e = read_table(spark, sf, "events")
     js = F.to_json(F.struct(*e.columns), {"timestampNTZFormat": S.TS_FORMAT})
-    lines = e.select(F.when(F.col("event_id") % 50 == 0, F.regexp_replace(js, "}$", "")).otherwise(js).alias("value"))
+    lines = e.select(F.when(F.col("event_id") % 50 == 0, F.regexp_replace(js, "}$", ""))
+                     .when(F.col("event_id") % 50 == 1, F.regexp_replace(js, r'"ts":"[^"]*"', '"ts":"not a time"'))
+                     .otherwise(js).alias("value"))
     S.write_inbound_lines(lines, inbound)
     S.split_bad_records(spark, inbound, EVENT_SCHEMA, good, bad, ck, key="event_id")
-    return spark.read.parquet(good).select(*e.columns)
+    lost = spark.read.parquet(bad).select(F.regexp_extract("raw_record", r'"event_id":(\d+)', 1).cast("bigint").alias("event_id"))
+    return (spark.read.parquet(good).select(*e.columns, F.lit(True).alias("good"))
+            .unionByName(lost.withColumn("good", F.lit(False)), allowMissingColumns=True))
 
 
 @query("stream_dedup", "SELECT * FROM events")

@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+CORRUPT = "_corrupt_record"
 # State partitions of a stateful stream are fixed at its first start (AQE does not apply to
 # streaming). "auto": one per core of the cluster, capped by the session's shuffle partitions
 # -- not the tens of thousands a batch shuffle may start with.
@@ -77,8 +79,8 @@ def read_json_stream(spark: SparkSession, path: str, schema: StructType | str,
 def land_partitioned(stream: DataFrame, ts_col: str, sink: str, checkpoint: str,
                      trigger: str | None = None) -> None:
     """Stream -> parquet under year/month/day/hour folders (exactly-once file sink)."""
-    out = stream.withColumns({"year": F.year(ts_col), "month": F.month(ts_col),
-                              "day": F.dayofmonth(ts_col), "hour": F.hour(ts_col)})
+    folder = {"year": F.year(ts_col), "month": F.month(ts_col), "day": F.dayofmonth(ts_col), "hour": F.hour(ts_col)}
+    out = stream.withColumns(folder).repartition(*folder)  # a batch writes one file a folder, not one a task
     q = _trigger(out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
                  .partitionBy("year", "month", "day", "hour").outputMode("append"), trigger).start(sink)
     q.awaitTermination()
@@ -86,18 +88,25 @@ def land_partitioned(stream: DataFrame, ts_col: str, sink: str, checkpoint: str,
 
 def split_bad_records(spark: SparkSession, inbound: str, schema: StructType | str, good_sink: str, bad_sink: str,
                       checkpoint: str, key: str, trigger: str | None = None) -> None:
-    """Parse each text line; records that do not parse go to an error folder, with the raw
-    line, instead of failing the stream. One micro-batch writes both outputs."""
+    """Parse each text line; records that do not parse as a whole (any field, not only the key) or lack the
+    key go to an error folder, with the raw line, instead of failing the stream. One micro-batch
+    writes both outputs and parses once."""
     lines = spark.readStream.text(inbound)
-    parsed = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE",
-                                                                 "timestampNTZFormat": TS_FORMAT}).alias("r"))
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = StructType([*wanted.fields, StructField(CORRUPT, StringType())])
+    parsed = lines.select("value", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                                                               "timestampNTZFormat": TS_FORMAT}).alias("r"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # each batch overwrites its own folder: a replayed batch id rewrites, never duplicates
-        ok = F.col(f"r.{key}").isNotNull()
-        batch.filter(ok).select("r.*").write.mode("overwrite").parquet(_batch_dir(good_sink, batch_id))
-        (batch.filter(~ok).select(F.col("value").alias("raw_record"))
-         .write.mode("overwrite").parquet(_batch_dir(bad_sink, batch_id)))
+        ok = F.col(f"r.{key}").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
+        batch = batch.persist()
+        try:
+            batch.filter(ok).select("r.*").drop(CORRUPT).write.mode("overwrite").parquet(_batch_dir(good_sink, batch_id))
+            (batch.filter(~ok).select(F.col("value").alias("raw_record"))
+             .write.mode("overwrite").parquet(_batch_dir(bad_sink, batch_id)))
+        finally:
+            batch.unpersist()
 
     q = _trigger(parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
     q.awaitTermination()
@@ -165,8 +174,9 @@ def late_rows_audit(stream: DataFrame, ts_col: str, audit: str, checkpoint: str,
         try:
             prior = read_audit(spark.read.parquet(audit)).filter(F.col("batch_id") < batch_id)
             prev_max = prior.agg(F.max("batch_max_ts")).first()[0]
-        except Exception:  # no audit table yet: first batch
-            prev_max = None
+        except AnalysisException as ex:  # no audit table yet: first batch; anything else must stop the stream
+            if ex.getCondition() != "PATH_NOT_FOUND":
+                raise
         ts = F.col(ts_col)
         late = (ts < F.timestamp_add("SECOND", F.lit(-lateness_seconds), F.lit(prev_max).cast("timestamp_ntz"))) \
             if prev_max is not None else F.lit(False)
