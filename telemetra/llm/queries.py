@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, fingerprints, language, language_model, minhash_forest, quality, substrings, toxicity, url_filters
+from telemetra.llm import (bpe, decontaminate, fingerprints, language, language_model, minhash_forest, oracle_sql, quality, substrings,
+                           toxicity, url_filters)
 from telemetra.llm.common import held_out, table
 
 
@@ -77,4 +78,5 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_language_mode
                                  op6_bpe, op7_suffix_array, op8_quality, op9_minhash_forest, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_url_filters": oracle_sql.URL_FILTERS, "op7_suffix_array": oracle_sql.SUBSTRINGS,
+                              "op9_minhash_forest": oracle_sql.NEAR_DUPLICATES, "op10_decontamination": oracle_sql.DECONTAMINATION}
