@@ -342,23 +342,38 @@ def range_gate(df: DataFrame, ranges: dict[str, tuple[str, float | None, float |
 
 def pk_fk_gate(tables: dict[str, tuple[DataFrame, str]],
                foreign_keys: dict[tuple[str, str], tuple[str, str]]) -> DataFrame:
-    """PK not-null + unique per table, FK orphans per declared key, as one report."""
-    parts = []
+    """PK not-null + unique per table, FK orphans per declared key (a NULL is an orphan), as one report.
+
+    Every table is read once: a row gives its own key and its foreign keys, each under the table whose
+    key it is. One aggregate per (table, key value) counts owners and references; what is missing,
+    repeated or unowned follows from those counts."""
+    def entry(domain: str, c: str, role: int) -> Column:
+        return F.struct(F.lit(domain).alias("domain"), F.col(c).cast("string").alias("v"), F.lit(role).alias("role"))
+
+    links = [(child, col, parent, pcol) for (child, col), (parent, pcol) in foreign_keys.items()]
+    for _, _, parent, pcol in links:
+        if tables[parent][1] != pcol:
+            raise ValueError(f"{parent}.{pcol} is not the table's key")
+    stacked = None
     for name, (df, pk) in tables.items():
-        s = df.agg((F.count(F.lit(1)) - F.count(F.col(pk))).alias("nulls"),
-                   (F.count(F.col(pk)) - F.count_distinct(F.col(pk))).alias("dups"))
-        parts.append(s.select(F.lit(f"{name}.{pk} not null (PK)").alias("check"), F.col("nulls").alias("bad_rows")))
-        parts.append(s.select(F.lit(f"{name}.{pk} unique (PK)").alias("check"), F.col("dups").alias("bad_rows")))
-    for (child, col), (parent, pcol) in foreign_keys.items():
-        cdf = tables[child][0]
-        pdf = tables[parent][0].select(F.col(pcol).alias("_p")).distinct()
-        orphans = cdf.join(pdf, cdf[col] == pdf["_p"], "left_anti").agg(F.count(F.lit(1)).alias("bad_rows"))
-        parts.append(orphans.select(F.lit(f"{child}.{col} -> {parent}.{pcol} (FK)").alias("check"), "bad_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("check", F.when(F.col("bad_rows") == 0, "PASS").otherwise("FAIL").alias("status"),
-                      F.col("bad_rows").cast("bigint").alias("bad_rows"))
+        own = [entry(name, pk, -1)] + [entry(parent, col, i) for i, (child, col, parent, _) in enumerate(links) if child == name]
+        rows = df.select(F.explode(F.array(*own)).alias("e")).select("e.*")
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    counts = stacked.groupBy("domain", "v").agg(
+        F.count_if(F.col("role") == -1).alias("owners"),
+        *[F.count_if(F.col("role") == i).alias(f"r{i}") for i in range(len(links))])
+    v, owners = F.col("v"), F.col("owners")
+    sums: dict[str, Column] = {}
+    for name, (_, pk) in tables.items():
+        here = F.col("domain") == name
+        sums[f"{name}.{pk} not null (PK)"] = F.sum(F.when(here & v.isNull(), owners).otherwise(0))
+        sums[f"{name}.{pk} unique (PK)"] = F.sum(F.when(here & v.isNotNull() & (owners > 0), owners - 1).otherwise(0))
+    for i, (child, col, parent, pcol) in enumerate(links):
+        lost = (F.col("domain") == parent) & (v.isNull() | (owners == 0))
+        sums[f"{child}.{col} -> {parent}.{pcol} (FK)"] = F.sum(F.when(lost, F.col(f"r{i}")).otherwise(0))
+    wide = counts.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(label) for label, c in sums.items()])
+    long = wide.unpivot([], [F.col(f"`{label}`") for label in sums], "check", "bad_rows")
+    return long.select("check", F.when(F.col("bad_rows") == 0, "PASS").otherwise("FAIL").alias("status"), "bad_rows")
 
 
 def failure_count(result: DataFrame, measure: str | Column | None = None) -> DataFrame:
