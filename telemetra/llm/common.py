@@ -62,10 +62,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+#: Rows that Spark hands to a Python task at once, where the session has its default (10,000): texts are long.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once an application, so that tasks can import it wherever
-    they run (a cluster started with --py-files has it already; a second copy does no harm)."""
+    they run (a cluster started with --py-files has it already; a second copy does no harm), and
+    bounds the rows of a batch."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if sc.applicationId not in _SHIPPED:
         package = Path(telemetra.__file__).parent
         path = Path(tempfile.mkdtemp(prefix="telemetra-"), "telemetra_tasks.zip")  # on the driver; Spark hands it out from here

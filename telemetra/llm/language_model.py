@@ -35,7 +35,7 @@ HIDDEN, EMBED, WINDOW = 16, 12, 16
 SCORE_WINDOW = 64
 SAMPLE_TOKENS, SAMPLE_ROWS, EPOCHS, BATCH, STEP = 400_000, 4_000, 3, 64, 0.01
 #: Texts that run through the network side by side, by their bytes.
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 4 << 20
 #: Hash of the end token.
 END = np.uint64(0x5BD1E9955BD1E995)
 

@@ -144,7 +144,7 @@ class Additive:
 def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
         text_col: str = "text") -> Additive | None:
     """The model of a bounded sample of the labelled documents."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna().dropDuplicates(["id"])
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     chosen = (docs.select("id").join(known, "id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE))
 

@@ -222,6 +222,6 @@ def score(documents: DataFrame, model: tuple[list[str], list[float]], id_col: st
 def classify(documents: DataFrame, labels: DataFrame, learn_from: Column, label_col: str = "toxic", id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Learns from rows where ``learn_from`` (over the id) holds and scores all documents."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).dropna().dropDuplicates(["id"])
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
     docs = documents.filter(learn_from).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return score(documents, fit(docs, known), id_col, text_col)
