@@ -86,7 +86,7 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def _anchors(length: int):
-    """(anchor, smallest and largest document with it, pack) of every batch of documents."""
+    """(anchor, smallest document with it, whether more of these have it, pack) of every batch of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packs, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
@@ -98,8 +98,9 @@ def _anchors(length: int):
                 edge = np.append(True, (a[1:] != a[:-1]) | (pack[1:] != pack[:-1])) if len(a) else np.zeros(0, bool)
                 new = np.flatnonzero(edge)
                 end = np.append(new[1:], len(a)) - 1 if len(a) else new
-                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(d[new]), pa.array(d[end]), pa.array(pack[new])],
-                                      names=["anchor", "lo", "hi", "pack"])
+                first = d[new]
+                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(first), pa.array(d[end] != first), pa.array(pack[new])],
+                                      names=["anchor", "doc", "many", "pack"])
     return run
 
 
@@ -285,10 +286,10 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
     docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(parts(documents.sparkSession), "pack")
 
     # 1. anchors of more than one document, told to every pack that has them
-    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length), "anchor long, lo long, hi long, pack int")
+    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length), "anchor long, doc long, many boolean, pack int")
     shared = Window.partitionBy("anchor")
-    shared = (seen.withColumn("least", F.min("lo").over(shared)).withColumn("most", F.max("hi").over(shared))
-              .filter("least < most").groupBy("pack").agg(F.collect_set("anchor").alias("anchors")))
+    shared = (seen.withColumn("repeats", F.max("many").over(shared) | (F.min("doc").over(shared) < F.max("doc").over(shared)))
+              .filter("repeats").groupBy("pack").agg(F.collect_set("anchor").alias("anchors")))
     shared = stored(shared, "shared")
 
     # 2. and 3. distinct runs to shards, sorted by anchor; answers per pack
@@ -318,6 +319,8 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
 
 
 def without_repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the kept text in place of their text; ids must be unique. Other columns stay as they are."""
-    kept = repeats(documents, length, id_col, text_col, keep_text=True).select(id_col, F.col("kept").alias("_kept"))
+    """The documents with the kept text in place of their text. Other columns stay as they are; rows that repeat
+    an id get the kept text of one of them, rows with a null id go."""
+    kept = (repeats(documents, length, id_col, text_col, keep_text=True).select(id_col, F.col("kept").alias("_kept"))
+            .dropDuplicates([id_col]))
     return (documents.join(kept, id_col).withColumn(text_col, F.col("_kept")).select(*documents.columns))
