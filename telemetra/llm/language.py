@@ -29,10 +29,16 @@ TASK_WORDS = 200_000
 #: Words that count fully toward the score of a prediction.
 SURE_WORDS = 8
 _WORD = re.compile(r"[^\W\d_]+")
+#: Number characters beside the decimal digits, which count as word characters too (those of the basic plane).
+_NUMBERS = re.compile("[" + "".join(c for c in map(chr, range(0x10000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
 
 
 def letters(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The runs of letters, lower-cased."""
+    if not text:
+        return []
+    text = text.lower()
+    return _WORD.findall(text if text.isascii() else _NUMBERS.sub(" ", text))
 
 
 def grams(word: str, size: int) -> list[str]:

@@ -215,6 +215,6 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def without_near_duplicates(documents: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that stand for their component, with all their columns."""
-    return documents.join(near_duplicates(documents, id_col, **options).filter("kept").select(id_col).distinct(),
-                          id_col, "left_semi")
+    """The documents that stand for their component, with all their columns; of rows that repeat an id one stays."""
+    kept = near_duplicates(documents, id_col, **options).filter("kept").select(id_col).distinct()
+    return documents.join(kept, id_col, "left_semi").dropDuplicates([id_col])

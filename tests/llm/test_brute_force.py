@@ -325,3 +325,7 @@ def test_pipeline_against_brute_force(spark, sf_dir, docs):
     assert len(whole) > 0.95 * len(third)  # the rest was cut within a character
     fourth = {i for i, v in brute_hits(third, items).items() if not v[4]}
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()} == fourth
+
+
+def test_numbers_are_not_letters():
+    assert language.letters("½ Ⅳ ² 12a3 été_x 日本 ①b") == ["a", "été", "x", "日本", "b"]
