@@ -72,7 +72,8 @@ def calendar(days: DataFrame) -> DataFrame:
 
 
 def fct_sensor_reading(readings_stg: DataFrame, robot_dim: DataFrame, zone_dim: DataFrame) -> DataFrame:
-    """Readings with both ids, point-in-time robot version key, reading-zone key, date key."""
+    """Readings with both ids, point-in-time robot version key, reading-zone key, date key, and the load
+    time of the raw row where the landing has one."""
     r = readings_stg.filter(F.col("reading_id").isNotNull() & F.col("robot_id").isNotNull())
     versions = robot_dim.select(F.col("robot_id").alias("_rid"), "robot_sk", "valid_from", "valid_to")
     j = pit_join(r, versions, key="robot_id", dim_key="_rid", ts="reading_ts")
@@ -87,7 +88,8 @@ def fct_sensor_reading(readings_stg: DataFrame, robot_dim: DataFrame, zone_dim:
         "motor_rpm", "motor_load_pct", "vibration_g", "odometer_m",
         "operational_status", "floor_condition", "zone_id",
         "is_reading_ts_parse_failed", "is_battery_soc_invalid", "is_battery_temp_suspicious",
-        "is_motor_temp_suspicious", "is_odometer_invalid")
+        "is_motor_temp_suspicious", "is_odometer_invalid",
+        *[F.col("_loaded_at").alias("raw_loaded_at") for _ in range("_loaded_at" in readings_stg.columns)])
 
 
 def fct_robot_daily(fact: DataFrame) -> DataFrame:

@@ -33,6 +33,20 @@ def _dbl(df: DataFrame, c: str) -> Column:
     return C.safe_double(c) if _is_text(df, c) else F.col(c).cast("double")
 
 
+# Names of the raw landing (fixed values) -> names of the measures.
+LANDING_NAMES = {"voltage_v": "battery_voltage_v", "soc_pct": "battery_soc_pct", "rpm": "motor_rpm", "load_pct": "motor_load_pct"}
+
+
+def landing_renamed(raw: DataFrame) -> DataFrame:
+    """Readings under the landing's own header get the measures' names; others stay as they are."""
+    return raw.withColumnsRenamed({c: LANDING_NAMES[c.lower()] for c in raw.columns if c.lower() in LANDING_NAMES})
+
+
+def _load_columns(raw: DataFrame) -> list[Column]:
+    """The load's own columns, where the landing has them."""
+    return [F.col(c).alias(c.lower()) for c in raw.columns if c.lower() in ("_loaded_at", "_source_file")]
+
+
 def _text_id(c: str) -> Column:
     return C.trim_nullif(F.col(c).cast("string"))
 
@@ -41,12 +55,12 @@ def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T, epoch_digit
     """Ids trimmed, multi-layout timestamp + parse flag, range null-out + flags, enums upper.
     ``formats=C.TS_FORMATS_EXTENDED, epoch_digits=True`` also reads the layouts the dirt
     generator writes but the warehouse does not parse."""
+    raw = landing_renamed(raw)
     ts = _ts(raw, "reading_ts", formats, epoch_digits)
     soc = _dbl(raw, "battery_soc_pct")
     odo = _dbl(raw, "odometer_m")
     bt = _dbl(raw, "battery_temp_c")
     mt = _dbl(raw, "motor_temp_c")
-    extra = [c for c in raw.columns if c.lower() in ("_loaded_at", "_source_file")]
     return raw.select(
         _text_id("reading_id").alias("reading_id"),
         _text_id("robot_id").alias("robot_id"),
@@ -68,7 +82,7 @@ def stg_sensor_readings(raw: DataFrame, formats=C.TS_FORMATS_WITH_T, epoch_digit
         C.upper_trim("operational_status").alias("operational_status"),
         C.upper_trim("floor_condition").alias("floor_condition"),
         C.trim_nullif("zone_id").alias("zone_id"),
-        *extra)
+        *_load_columns(raw))
 
 
 def stg_robots(raw: DataFrame) -> DataFrame:
@@ -81,7 +95,7 @@ def stg_robots(raw: DataFrame) -> DataFrame:
         cd.alias("commissioned_date"),
         C.trim_nullif("home_zone_id").alias("home_zone_id"),
         C.trim_nullif("initial_firmware").alias("initial_firmware"),
-        C.trim_nullif("owner_team").alias("owner_team"))
+        C.trim_nullif("owner_team").alias("owner_team"), *_load_columns(raw))
 
 
 def stg_robot_models(raw: DataFrame) -> DataFrame:
@@ -91,7 +105,7 @@ def stg_robot_models(raw: DataFrame) -> DataFrame:
         C.trim_nullif("manufacturer").alias("manufacturer"),
         *[_dbl(raw, c).alias(c) for c in ("max_payload_kg", "battery_capacity_wh", "weight_kg",
                                           "max_speed_mps", "wear_rate")],
-        C.trim_nullif("sensor_suite").alias("sensor_suite"))
+        C.trim_nullif("sensor_suite").alias("sensor_suite"), *_load_columns(raw))
 
 
 def stg_zones(raw: DataFrame) -> DataFrame:
@@ -102,7 +116,7 @@ def stg_zones(raw: DataFrame) -> DataFrame:
         C.upper_trim("zone_type").alias("zone_type"),
         C.safe_double("floor_area_sqm").alias("floor_area_sqm"),
         C.safe_number("max_robots").alias("max_robots"),
-        C.bool_words("has_charging").alias("has_charging"))
+        C.bool_words("has_charging").alias("has_charging"), *_load_columns(raw))
 
 
 def stg_robot_attribute_changes(raw: DataFrame) -> DataFrame:
@@ -114,7 +128,7 @@ def stg_robot_attribute_changes(raw: DataFrame) -> DataFrame:
         C.canonical_attribute("attribute").alias("attribute"),
         C.trim_nullif("old_value").alias("old_value"),
         C.trim_nullif("new_value").alias("new_value"),
-        C.parse_failed("changed_at", ts).alias("is_changed_at_parse_failed"))
+        C.parse_failed("changed_at", ts).alias("is_changed_at_parse_failed"), *_load_columns(raw))
 
 
 def stg_tasks(raw: DataFrame) -> DataFrame:
@@ -136,7 +150,8 @@ def stg_tasks(raw: DataFrame) -> DataFrame:
         (F.col("robot_id").isNull() | (F.trim(F.col("robot_id").cast("string")) == "")).alias("is_missing_robot_id"),
         F.coalesce(~ttype.isin(*TASK_TYPES_VALID), F.lit(False)).alias("is_invalid_task_type"),
         F.coalesce(~status.isin(*TASK_STATUSES_VALID), F.lit(False)).alias("is_invalid_status"),
-        F.coalesce(a.isNotNull() & s.isNotNull() & (s < a), F.lit(False)).alias("is_task_lifecycle_invalid"))
+        F.coalesce(a.isNotNull() & s.isNotNull() & (s < a), F.lit(False)).alias("is_task_lifecycle_invalid"),
+        *_load_columns(raw))
 
 
 def stg_telemetry(raw: DataFrame) -> DataFrame:

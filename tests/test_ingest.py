@@ -108,7 +108,8 @@ def test_csv_landing_other_staging(spark, sf_dir):
         path = scratch_path(spark, f"{name}_csv")
         I.write_csv(typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns]), path)
         from_text = stage(I.read_csv_raw(spark, path, loaded_at="2024-02-01 00:00:00"))
-        from_typed = stage(typed)
+        assert from_text.columns[-2:] == ["_loaded_at", "_source_file"]
+        from_text, from_typed = from_text.drop("_loaded_at", "_source_file"), stage(typed)
         assert from_text.columns == from_typed.columns, name
         assert from_text.exceptAll(from_typed).count() == 0 and from_typed.exceptAll(from_text).count() == 0, name
 
@@ -126,3 +127,31 @@ def test_other_header_is_an_error(spark, tmp_path, names):
     (tmp_path / "b.csv").write_text(other + "\n" + ",".join("1" * (names.count(",") + 1)) + "\n")
     with pytest.raises(Exception, match="(?i)header"):
         I.read_csv_raw(spark, str(tmp_path)).collect()
+
+
+def test_landing_header_of_the_contract(spark, tmp_path):
+    from telemetra.plans import models
+    from telemetra.plans import staging as stg
+    (tmp_path / "r.csv").write_text(
+        "reading_id,robot_id,reading_ts,voltage_v,soc_pct,battery_temp_c,motor_temp_c,rpm,load_pct,vibration_g,odometer_m,"
+        "operational_status,floor_condition,zone_id\n"
+        "r1,b1,2024-01-02T03:04:05,48.1,120,30,60,900,55,0.2,10,active,dry,z1\n"
+        "r2,b1,1704164645,48.2,80,30,60,901,56,0.2,-1,idle,dry,z1\n")
+    staged = stg.stg_sensor_readings(I.read_csv_raw(spark, str(tmp_path), loaded_at="2024-02-01 00:00:00"))
+    rows = {r.reading_id: r for r in staged.collect()}
+    assert rows["r1"].battery_voltage_v == 48.1 and rows["r1"].battery_soc_pct is None and rows["r1"].is_battery_soc_invalid
+    assert rows["r2"].motor_rpm == 901 and rows["r2"].motor_load_pct == 56 and rows["r2"].reading_ts == dt.datetime(2024, 1, 2, 3, 4, 5)
+    dims = [spark.createDataFrame([], t) for t in ("robot_id string, robot_sk string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+                                                   "zone_id string, zone_sk string")]
+    fact = models.fct_sensor_reading(staged, *dims).collect()
+    assert {r.raw_loaded_at for r in fact} == {dt.datetime(2024, 2, 1)}
+
+
+def test_task_errors_as_text_beside_typed_priority(spark):
+    from telemetra.plans import staging as stg
+    raw = spark.createDataFrame([("t", "r", "pick", "completed", 1, "3.6"), ("u", "r", "pick", "completed", 2, "none")],
+                                "task_id string, robot_id string, task_type string, status string, priority int, error_count string")
+    raw = raw.selectExpr("*", *[f"CAST(NULL AS {t}) AS {c}" for c, t in (
+        ("assigned_ts", "timestamp_ntz"), ("started_ts", "timestamp_ntz"), ("completed_ts", "timestamp_ntz"), ("distance_m", "double"),
+        ("payload_kg", "double"), ("source_zone_id", "string"), ("destination_zone_id", "string"))])
+    assert {r.task_id: r.error_count for r in stg.stg_tasks(raw).collect()} == {"t": 4, "u": None}
