@@ -45,10 +45,10 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame
     zone = write("dim_zone", w.dim_zone)
     model = write("dim_robot_model", w.dim_robot_model)
     robot = write("dim_robot", w.dim_robot)
-    fact = write("fct_sensor_reading", models.fct_sensor_reading(w.stg_readings, robot, zone, w.robot_dim_bound))
+    fact = write("fct_sensor_reading", models.fct_sensor_reading(w.stg_readings, robot, zone))
     daily = write("fct_robot_daily", models.fct_robot_daily(fact))
     write("fct_maintenance", models.fct_maintenance(fx.maintenance_tickets(spark, sf_dir)))
-    obt = write("obt_sensor_readings", models.obt_sensor_readings(fact, robot, model, zone, w.robot_dim_bound))
+    obt = write("obt_sensor_readings", models.obt_sensor_readings(fact, robot, model, zone))
     write("mart_features_training", models.mart_features_training(daily))
     health = write("fct_robot_health_daily", w.health_daily)
     write("ml_robot_training_dataset", models.mart_training_dataset(health, fx.failures(spark, sf_dir)))
