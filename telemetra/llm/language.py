@@ -25,7 +25,7 @@ from telemetra.llm.common import stored
 
 WORD_SHARE, GRAM_SHARE, LONGEST_GRAM = 2e-6, 2e-5, 4
 #: Words a task counts before it hands them on; it remembers the scores of twice as many unseen words.
-TASK_WORDS = 200_000
+TASK_WORDS = 100_000
 #: Words that count fully toward the score of a prediction.
 SURE_WORDS = 8
 _WORD = re.compile(r"[^\W\d_]+")
