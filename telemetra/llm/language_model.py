@@ -8,9 +8,11 @@ tokens are split into classes by frequency and have their own outputs:
 
 All other tokens fall into a few tail classes by form, in which a token has its share of the
 class's count (plus one for each known token and one for the unknown). The network (one GRU layer) is
-trained by back-propagation cut off after WINDOW steps, over a sample of at most SAMPLE_TOKENS
-tokens of learning texts with the least hash of the id. Scoring runs over whole texts in windows
-and hands the state from each window to the next.
+trained over every token of every learning text. In each of EPOCHS rounds every partition starts
+from the same parameters and runs back-propagation, cut off after WINDOW steps, through its whole
+texts (BATCH texts side by side, the state handed on from window to window); Spark then averages the
+parameters, weighted by tokens. They thus depend a little on how the rows are dealt to partitions.
+Scoring, too, runs over whole texts in windows and hands the state from each window to the next.
 
 Only the short list is sent to the tasks; counts of all other tokens stay distributed and meet
 the texts in a join on token hashes (64 bits), each text and token pre-aggregated.
@@ -19,6 +21,7 @@ Null texts are empty: one end token.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,9 @@ SHORT, CLASSES, TAILS = 2048, 32, 4
 HIDDEN, EMBED, WINDOW = 16, 12, 16
 #: Steps of a scoring window.
 SCORE_WINDOW = 64
-SAMPLE_TOKENS, SAMPLE_ROWS, EPOCHS, BATCH, STEP = 400_000, 4_000, 3, 64, 0.01
+EPOCHS, BATCH, STEP = 3, 64, 0.01
+#: Parameters in a row of the table that Spark averages.
+ROW_VALUES = 32
 #: Texts that run through the network side by side, by their bytes.
 GROUP_BYTES = 4 << 20
 #: Hash of the end token.
@@ -151,18 +156,25 @@ class Network:
             grads["h"] = dh
         return out
 
-    def window_gradients(self, ids: np.ndarray, h0: np.ndarray, before: np.ndarray) -> tuple[dict, np.ndarray, float]:
-        """Gradients over a window of steps (steps x texts), cut off at its start."""
+    def window_gradients(self, ids: np.ndarray, h0: np.ndarray, before: np.ndarray, fresh: np.ndarray | None = None,
+                         live: np.ndarray | None = None) -> tuple[dict, np.ndarray, float]:
+        """Gradients over a window of steps (steps x texts), cut off at its start. Where ``fresh``, a text
+        begins and the state starts anew; where not ``live``, there is no token any more."""
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         table, states, h = self.inputs(), [], h0
         fed = np.concatenate([before[None], ids[:-1]])
-        for x in fed:
+        for t, x in enumerate(fed):
+            if fresh is not None and fresh[t].any():
+                h = np.where(fresh[t][:, None], np.float32(0), h)
             new, *kept = self.step(table[x], h)
             states.append((h, new, *kept))
             h = new
         every = np.concatenate([s[1] for s in states])
-        loss = -self.log_probs(every, ids.ravel(), g).sum()
-        dhs = g.pop("h").reshape(len(ids), -1, HIDDEN)
+        there = slice(None) if live is None else np.flatnonzero(live.ravel())
+        loss = -self.log_probs(every[there], ids.ravel()[there], g).sum()
+        dhs = np.zeros_like(every)
+        dhs[there] = g.pop("h")
+        dhs = dhs.reshape(len(ids), -1, HIDDEN)
         carry, dx_all = np.zeros_like(h0), []
         for t in range(len(ids) - 1, -1, -1):
             old, _, z, r, cand, u = states[t]
@@ -174,6 +186,8 @@ class Network:
             dx_all.append(np.concatenate([dz, dr, dc], 1))
             g["U"] += old.T @ du
             carry = d * z + du @ self.p["U"].T
+            if fresh is not None and fresh[t].any():
+                carry[fresh[t]] = 0
         dx = np.concatenate(dx_all[::-1])
         x = fed.ravel()
         g["W"] += self.p["E"][x].T @ dx
@@ -181,30 +195,69 @@ class Network:
         np.add.at(g["E"], x, dx @ self.p["W"].T)
         return g, h, loss
 
-    def train(self, stream: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH) -> Network:
-        """Adam over the token stream, cut into ``batch`` rows that are read side by side."""
-        steps = len(stream) // batch
-        if not steps:
-            return self
-        rows = stream[:steps * batch].reshape(batch, steps).T
+    def train(self, texts: Iterator[np.ndarray], end: int, step: float = STEP, batch: int = BATCH) -> int:
+        """Adam over all tokens of the texts, ``batch`` texts side by side; as soon as one ends, the next takes
+        its lane. Steps are taken each batch * WINDOW tokens, however few lanes are left. Returns the tokens."""
+        texts = iter(texts)
+        own = [next(texts, None) for _ in range(batch)]
+        own = [x for x in own if x is not None]
+        at = [0] * len(own)
+        h, before = np.zeros((len(own), HIDDEN), np.float32), np.full(len(own), end)
         m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}
-        seen = 0
-        for epoch in range(epochs):
-            h, before = np.zeros((batch, HIDDEN), np.float32), np.full(batch, stream[-1])
-            for lo in range(0, steps, WINDOW):
-                ids = rows[lo:lo + WINDOW]
-                g, h, _ = self.window_gradients(ids, h, before)
-                before, seen = ids[-1], seen + 1
-                norm = np.sqrt(sum(float((v * v).sum()) for v in g.values())) / ids.size
-                for k, v in g.items():
-                    v = v / ids.size / max(1.0, norm)
-                    a, b = m[k]
-                    a *= 0.9
-                    a += 0.1 * v
-                    b *= 0.99
-                    b += 0.01 * v * v
-                    self.p[k] -= STEP / (1 + epoch) * (a / (1 - 0.9 ** seen)) / (np.sqrt(b / (1 - 0.99 ** seen)) + 1e-8)
-        return self
+        held, n, seen, total = None, 0, 0, 0
+
+        def update():
+            norm = np.sqrt(sum(float((v * v).sum()) for v in held.values())) / n
+            for k, v in held.items():
+                v = v / n / max(1.0, norm)
+                a, b = m[k]
+                a *= 0.9
+                a += 0.1 * v
+                b *= 0.99
+                b += 0.01 * v * v
+                self.p[k] -= step * (a / (1 - 0.9 ** seen)) / (np.sqrt(b / (1 - 0.99 ** seen)) + 1e-8)
+
+        while own:
+            ids, fresh = np.full((len(own), WINDOW), end, np.int64), np.zeros((len(own), WINDOW), bool)
+            live = np.zeros((len(own), WINDOW), bool)
+            for k in range(len(own)):
+                t = 0
+                while t < WINDOW:
+                    if at[k] == len(own[k]):
+                        more = next(texts, None)
+                        if more is None:
+                            break
+                        own[k], at[k] = more, 0
+                    size = min(WINDOW - t, len(own[k]) - at[k])
+                    ids[k, t:t + size] = own[k][at[k]:at[k] + size]
+                    live[k, t:t + size] = True
+                    fresh[k, t] = not at[k]
+                    t, at[k] = t + size, at[k] + size
+            g, h, _ = self.window_gradients(ids.T, h, before, fresh.T, live.T)
+            held = g if held is None else {k: held[k] + v for k, v in g.items()}
+            here = int(live.sum())
+            n, total, before = n + here, total + here, ids[:, -1]
+            if n >= batch * WINDOW:
+                seen += 1
+                update()
+                held, n = None, 0
+            left = [k for k in range(len(own)) if at[k] < len(own[k]) or live[k, -1]]  # the others have run out of texts
+            if len(left) < len(own):
+                own, at, h, before = [own[k] for k in left], [at[k] for k in left], h[left], before[left]
+        if n:
+            seen += 1
+            update()
+        return total
+
+    def values(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.p.values()])
+
+    def take(self, values: np.ndarray) -> None:
+        """Sets all parameters from ``values()``."""
+        at = 0
+        for k, v in self.p.items():
+            self.p[k] = values[at:at + v.size].reshape(v.shape).astype(np.float32)
+            at += v.size
 
     def score(self, ids: np.ndarray, bounds: np.ndarray, end: int) -> np.ndarray:
         """Natural log probability of each text (its class and short-list parts); the state starts anew at
@@ -230,12 +283,6 @@ class Network:
         return out
 
 
-def sample(texts: DataFrame) -> DataFrame:
-    """At most SAMPLE_ROWS texts with the least hash of the id (id, text)."""
-    chosen = texts.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-    return texts.join(F.broadcast(chosen), "id")
-
-
 class Model:
     """The short list, the network and the totals that scoring needs."""
 
@@ -260,7 +307,7 @@ class Model:
 
 
 def fit(texts: DataFrame, counts: DataFrame) -> Model:
-    """``texts``: id, text of learning rows; ``counts``: token, n over them."""
+    """``texts``: text of the learning rows; ``counts``: token, n over them."""
     total = counts.agg(F.sum("n"), F.count("*")).first()
     short = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "token").limit(SHORT).collect()]
     by_class = counts.groupBy(F.col("token").bitwiseAND(3).alias("tail")).agg(F.sum("n"), F.count("*")).collect()
@@ -270,22 +317,40 @@ def fit(texts: DataFrame, counts: DataFrame) -> Model:
         tails[token & 3][1] -= 1
     model = Model(short, total[0] or 0, total[1], {k: tuple(v) for k, v in tails.items()})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, data, off in flat.slices(*flat.texts(batch.column(1))):
-                hashes, tail, bounds = tokens(data, off)
-                ids = model.ids(hashes, tail).astype(np.int32)
-                yield pa.record_batch([batch.column(0).slice(i, j - i).cast(pa.int64()),
-                                       pa.array([ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.list_(pa.int32()))],
-                                      names=["id", "ids"])
-
-    rows = sample(texts).select("id", "text").mapInArrow(run, "id long, ids array<int>")
-    near = rows.withColumn("ids", F.slice("ids", 1, 8 * SAMPLE_TOKENS // SAMPLE_ROWS)).orderBy("id").collect()
-    stream = np.concatenate([np.array(r["ids"]) for r in near])[:SAMPLE_TOKENS] if near else np.zeros(0, int)
-    model.net.train(stream)
+    for epoch in range(EPOCHS):
+        _round(texts, model, STEP / (1 + epoch))
     return model
 
 
+def _round(texts: DataFrame, model: Model, step: float) -> None:
+    """Trains a copy of the network on each partition's whole texts, then takes their average."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = copy.deepcopy(shared.value)  # workers are used again, and with them the value
+
+        def own():
+            for batch in batches:
+                for _, _, data, off in flat.slices(*flat.texts(batch.column(0))):
+                    hashes, tail, bounds = tokens(data, off)
+                    ids = model.ids(hashes, tail)
+                    yield from (ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+
+        n = model.net.train(own(), model.end, step)
+        if n:
+            values = model.net.values().astype(np.float64)
+            values = np.pad(values, (0, -len(values) % ROW_VALUES)).reshape(-1, ROW_VALUES)
+            yield pa.record_batch([pa.array(np.arange(len(values))), pa.array(np.full(len(values), n)), *map(pa.array, values.T.copy())],
+                                  names=["row", "n", *(f"v{k}" for k in range(ROW_VALUES))])
+
+    kind = ", ".join(["row long", "n long", *(f"v{k} double" for k in range(ROW_VALUES))])
+    got = (texts.select("text").mapInArrow(run, kind).groupBy("row")
+           .agg(*[(F.sum(F.col(f"v{k}") * F.col("n")) / F.sum("n")).alias(f"v{k}") for k in range(ROW_VALUES)]).collect())
+    shared.unpersist()
+    if got:
+        model.net.take(np.array([r[1:] for r in sorted(got)]).ravel())
+
+
 def _run(model_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, keys = model_of(), np.random.default_rng()  # row keys; they are stored with the rows
@@ -324,8 +389,8 @@ def scores(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", tex
     """id, n_tokens, n_known, train_tokens, base_score, score of every text."""
     spark = documents.sparkSession
     docs = documents.withColumn("_learn", learn_from).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "_learn")
-    learning = docs.filter("_learn").select("id", "text")
-    counts = stored(token_counts(learning.select("text")), "counts")
+    learning = docs.filter("_learn").select("text")
+    counts = stored(token_counts(learning), "counts")
     model = fit(learning, counts)
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema["id"].dataType.simpleString()

@@ -13,9 +13,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import components, decontaminate, fingerprints, flat, induced, language, minhash_forest, quality, substrings, toxicity
+from telemetra.llm import components, decontaminate, fingerprints, flat, induced, language, language_model, minhash_forest, quality, substrings, toxicity
 from telemetra.llm import queries as Q
 from telemetra.llm.bpe import Vocabulary
 from telemetra.llm.common import table
@@ -103,6 +104,33 @@ def test_state_runs_through_windows():
     assert got[0] == pytest.approx(total, rel=1e-4) and got[1] == 0
 
 
+@pytest.mark.parametrize("where", ["late ids", "late words"])
+def test_network_learns_from_all_learning_tokens(spark, documents, where):
+    """What stands only in texts of the largest ids, or only beyond word 800, trains the network too."""
+    rng = np.random.default_rng(0)
+    noise = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 200, n))
+    rows = ([(i, noise(800)) for i in range(520)] + [(i, "ping pong " * 400) for i in range(520, 620)] if where == "late ids" else
+            [(i, noise(800) + " ping pong" * 400) for i in range(100)])
+    got = language_model.scores(documents([*rows, (1000, "ping pong " * 100)]), F.col("doc_id") < 1000).filter("doc_id = 1000").first()
+    assert got["score"] > 0.4 * got["base_score"]
+
+
+def test_training_lanes():
+    """Every token trains once, and a step's gradients are those of each text on its own."""
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(0, 10, n) for n in (5, 40, 1, 17, 33, 16)]
+    net = Network([3, 5], tails=2)
+    assert net.train(iter(texts), 0, batch=2) == sum(map(len, texts)) and net.train(iter([]), 0) == 0
+    net.p = {k: x.astype(np.float64) for k, x in net.p.items()}
+    a, b, pad = texts[0], texts[3][:6], np.zeros(5, int)
+    zero, fresh = np.zeros((1, 16)), np.zeros((16, 1), bool)
+    fresh[[0, 5]] = True
+    live = np.arange(16)[:, None] < 11
+    together = net.window_gradients(np.concatenate([a, b, pad])[:, None], zero, np.array([0]), fresh, live)[0]
+    apart = [net.window_gradients(x[:, None], zero, np.array([y]))[0] for x, y in ((a, 0), (b, a[-1]))]
+    assert all(np.allclose(together[k], apart[0][k] + apart[1][k]) for k in together)
+
+
 def test_op5(spark, sf_dir, docs):
     got, ids = result(spark, sf_dir, "op5_fingerprints"), sorted(docs)
     for i, after in zip(ids, [*ids[1:], ids[0]], strict=True):
