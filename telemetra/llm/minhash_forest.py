@@ -60,6 +60,7 @@ def _profile(size: int):
                 one = np.add.reduceat(np.append(flat.mix(values), flat.U64(0)), at[:-1]) if j > i else values[:0]
                 two = np.bitwise_xor.reduceat(np.append(flat.mix(values + flat.U64(77)), flat.U64(0)), at[:-1]) if j > i else values[:0]
                 n = np.diff(at)
+                one[n == 0] = two[n == 0] = 0  # reduceat gives an empty group the next group's first value
                 keys = np.stack([one, two], 1).astype(flat.U64).tobytes()
                 yield pa.record_batch([
                     batch.column(0).slice(i, j - i), pa.array(n, pa.int64()),
@@ -208,7 +209,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
              .join(groups, "id").dropDuplicates(["id"]))
     found = components(stored(confirmed(texts, size, percent), "links"))
     of_class = classes.join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
-    return (sets.join(of_class, "set_key", "left")
+    return (sets.withColumn("set_key", F.when(F.col("n") > 0, F.col("set_key"))).join(of_class, "set_key", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id"),
                     (F.coalesce("component", "id") == F.col("id")).alias("kept")))

@@ -245,6 +245,13 @@ def test_op9(spark, sf_dir, docs):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def test_texts_without_words_before_short_texts(spark, documents):
+    rows = [(20, ""), (1, "one two"), (21, None), (2, "a a a a a a a"), (22, " \n"), (11, "one two"), (23, None), (24, ""), (3, "three")]
+    got = minhash_forest.near_duplicates(documents(rows).coalesce(1)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(dict(rows), 5, 80)
+    assert {r["doc_id"] for r in got if not r["kept"]} == {11}
+
+
 def test_groups_larger_than_a_block(spark, documents, monkeypatch):
     monkeypatch.setattr(minhash_forest, "BLOCK_WEIGHT", 9000)
     rng = np.random.default_rng(3)
