@@ -143,6 +143,22 @@ def test_op5(spark, sf_dir, docs):
     assert sum(r["near_edited"] > r["near_next"] for r in got.values()) > 0.85 * len(got)
 
 
+def test_likeness_against_exact_overlap(spark, documents):
+    """Estimates are near the overlap of the full shingle sets, short texts (from 24 words) included."""
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{k}" for k in rng.integers(0, 10**6, n)) for i, n in enumerate([24, 30, 40, 56, 80, 150, 240, 500] * 25)}
+
+    def exact(a, b):
+        x, y = ({tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for t in (a, b))
+        return len(x & y) / len(x | y), len(x | y)
+    got = {r["doc_id"]: r for r in fingerprints.against_edits(documents(list(texts.items()))).collect()}
+    for i, a in texts.items():
+        b, r = texts[(i + 1) % len(texts)], got[i]
+        half = len(a) // 2
+        for value, (true, n) in ((r["near_edited"], exact(a, a[:len(a) - half] + b[:half])), (r["near_next"], exact(a, b))):
+            assert (value > 0) == (true > 0) and abs(value - true) < 5 * (true * (1 - true) * 2 / n) ** 0.5 + 1e-9
+
+
 def test_sketch_estimates_containment(spark, documents):
     rng = np.random.default_rng(0)
     long = [f"w{k}" for k in rng.integers(0, 5000, 40_000)]
