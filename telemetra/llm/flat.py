@@ -120,3 +120,18 @@ def distinct(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     parts = [np.unique(values[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
     return (np.concatenate(parts) if parts else values[:0]), bounds
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The texts made of given words, one space between them. ``first``: index of each text's first word, then the total."""
+    size = ends - starts
+    last = np.zeros(len(size), bool)
+    last[first[1:][np.diff(first) > 0] - 1] = True
+    room = size + ~last
+    to = np.concatenate([[0], np.cumsum(room)])
+    out = np.full(int(to[-1]), 32, np.uint8)
+    before = np.cumsum(size) - size
+    step = np.arange(int(size.sum()))
+    out[step + np.repeat(to[:-1] - before, size)] = data[step + np.repeat(starts - before, size)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first) - 1,
+                                            [None, pa.py_buffer(to[first].astype(np.int64).tobytes()), pa.py_buffer(out)]).cast(pa.large_string())

@@ -88,3 +88,59 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+#: One row: the table of the crc32 polynomial, from its rule.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"""
+
+
+def _crc(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes; ``t`` is the table."""
+    code = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {code}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+PERIODIC_RUNS = f"""
+WITH crc AS ({_CRC_TABLE}),
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc('CAST(doc_id AS VARCHAR)')} AS h FROM documents, crc),
+p AS (SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM d),
+e AS (SELECT doc_id, i, CASE WHEN a IS NULL OR i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END AS x
+  FROM p, unnest(range(n)) AS u(i)),
+pairs AS (SELECT l.doc_id, r.i - l.i AS q, l.i AS i FROM e l JOIN e r ON l.doc_id = r.doc_id AND l.x = r.x AND l.i < r.i),
+isles AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS isle FROM pairs),
+cand AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS size FROM isles GROUP BY doc_id, q, isle HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand b WHERE b.doc_id = c.doc_id AND b.q < c.q AND b.s <= c.s AND b.s + b.size >= c.s + c.size)),
+told AS (SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s, size, q), (-size, s, q)) AS best,
+  string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS list FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, i FROM runs, unnest(range(s + q, s + size)) AS u(i)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS text FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, best.s AS start, CAST(best.size AS BIGINT) AS length, best.q AS period,
+  CAST(1000 * best.size // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(list, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+SPELLING = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format(x="coalesce(text, '')")}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+own AS (SELECT doc_id, run, count(*) AS k FROM r WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (SELECT run, k, {_crc("doc_id || ':' || run")} AS h FROM own, crc),
+made AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM coded),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+cuts AS (SELECT word, n, length(word) AS len, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+near AS (SELECT a.word, b.word AS other, b.n AS n_other FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.len = b.len AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(struct_pack(other, n_other), (-n_other, other)) AS o FROM near GROUP BY word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN o.n_other >= 5 * n THEN o.other END AS form, CASE WHEN o.n_other >= 5 * n THEN o.n_other END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS here, 0 AS step FROM formed UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN formed f ON f.word = walk.here WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN (SELECT word, arg_max(here, step) AS root FROM walk GROUP BY word) USING (word)"""
+
+BLOCKS = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS v FROM d, unnest(range(1, len(w) - 18)) AS u(s)),
+hit AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY v ORDER BY doc_id, s) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, i FROM hit, unnest(range(s, s + 20)) AS u(i)),
+word AS (SELECT doc_id, i, w[i] AS x FROM d, unnest(range(1, len(w) + 1)) AS u(i)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS text FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
