@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from telemetra.llm import flat
 from telemetra.llm.common import parts
 
-#: Bytes of text in a pack, and bytes of text whose numbers fall into one bucket, at most; there are as many of each as shuffle partitions at least.
-PACK_BYTES, BUCKET_BYTES = 64 << 20, 256 << 20
+#: Bytes of text in a pack, and bytes of text whose numbers fall into one bucket, at most; there are no fewer of either than shuffle partitions.
+PACK_BYTES, BUCKET_BYTES = 8 << 20, 256 << 20
 #: Bits of a probe beyond those that number all words.
 SPARE_BITS = 8
 _LAST = (1 << 63) - 1
@@ -84,26 +84,35 @@ class Pack:
         for i, _, own, off in flat.slices(self.data, self.offsets):
             starts, ends, first = flat.words(own, off)
             base = int(self.offsets[i])
-            found.append((starts + base, ends + base, flat.span_hashes(flat.prefix_sums(own), starts, ends), np.diff(first)))
+            kind = np.int64 if self.offsets[-1] >= 1 << 31 else np.int32
+            found.append(((starts + base).astype(kind), (ends + base).astype(kind), flat.span_hashes(flat.prefix_sums(own), starts, ends), np.diff(first)))
         self.starts, self.ends, self.words, number = (np.concatenate(c) for c in zip(*found, strict=True))
+        del found
         self.first = np.concatenate([[0], np.cumsum(number)]).astype(np.int64)
-        self.text = np.repeat(np.arange(len(number)), number)
-        place = np.arange(len(self.words)) - self.first[:-1][self.text]
+        self.text = np.repeat(np.arange(len(number), dtype=np.int32), number)
         left = self.first[1:][self.text] - np.arange(len(self.words))
-        self.at = np.flatnonzero(left >= self.block)                       # places of probes
-        probe = rolled(self.words, self.block)[self.at] >> flat.U64(64 - width)
-        self.values, one, self.number = np.unique(probe, return_index=True, return_inverse=True)
-        self.reference = np.zeros(len(self.values), bool)
-        self.reference[self.number[place[self.at] % self.block == 0]] = True
-        self.twice = np.bincount(self.number, minlength=len(self.values)) > 1
         self.fits = left >= length
+        self.at = np.flatnonzero(left >= self.block).astype(np.int32)      # places of probes
+        del left
+        probe = rolled(self.words, self.block)[self.at] >> flat.U64(64 - width)
+        self.values, self.number = np.unique(probe, return_inverse=True)
+        del probe
+        self.number = self.number.astype(np.int32)
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each distinct probe is a reference block, and whether it occurs twice."""
+        reference = np.zeros(len(self.values), bool)
+        place = self.at - self.first[:-1][self.text[self.at]]
+        reference[self.number[place % self.block == 0]] = True
+        return reference, np.bincount(self.number, minlength=len(self.values)) > 1
 
     def windows(self, hit: np.ndarray) -> None:
         """The windows that hold a hit, and their distinct hashes in order. ``hit``: for every distinct probe."""
         n = len(self.words)
-        here = np.zeros(n + 1, np.int64)
+        here = np.zeros(n + 1, bool)
         here[self.at + 1] = hit[self.number]
-        total = np.cumsum(here)
+        self.number = self.values = None                                   # not needed from here on
+        total = np.cumsum(here, dtype=np.int32)
         reach = self.length - self.block + 1                               # probes inside a window
         at = np.flatnonzero(self.fits)
         at = at[total[at + reach] > total[at]]
@@ -121,10 +130,10 @@ class Pack:
         """Whether each word goes. ``smaller``: for every distinct window, whether a smaller id elsewhere has it."""
         own = self.ids[self.text[self.window]]
         repeat = self.window[smaller[self.group] | (self.least[self.group] < own) | self.again]
-        change = np.zeros(len(self.words) + 1, np.int64)
+        change = np.zeros(len(self.words) + 1, np.int32)
         np.add.at(change, repeat, 1)
         np.add.at(change, repeat + self.length, -1)
-        return np.cumsum(change[:-1]) > 0
+        return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def buckets_of(values: np.ndarray, buckets: int, width: int) -> np.ndarray:
@@ -203,14 +212,15 @@ def repeats(documents: DataFrame, length: int = 20, id_col: str = "doc_id", text
                             F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = parts(spark)
-    packs, buckets = max(count, -(-total // PACK_BYTES)), max(count, -(-total // BUCKET_BYTES))
+    packs, buckets = max(2 * count, -(-total // PACK_BYTES)), max(count, -(-total // BUCKET_BYTES))
     width = min(63, int(total).bit_length() + SPARE_BITS)
     docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(count, "pack")
 
     def probes(table: pa.Table) -> pa.Table:
         p = Pack(table, length, width)
+        reference, twice = p.marks()
         return _dealt(table["pack"][0].as_py(), buckets_of(p.values, buckets, width), ["numbers", "reference", "twice"],
-                      lambda x, y: (_steps(p.values[x:y]), bits(p.reference[x:y]), bits(p.twice[x:y])))
+                      lambda x, y: (_steps(p.values[x:y]), bits(reference[x:y]), bits(twice[x:y])))
 
     def windows(left: pa.Table, right: pa.Table) -> pa.Table:
         p = Pack(left, length, width)

@@ -272,7 +272,7 @@ def near_words(words: DataFrame) -> DataFrame:
     dealt = words.mapInArrow(_deal(fitted(words)), "length int, leaf long, kind byte, word string, n long")
     found = dealt.groupBy("length", "leaf").applyInArrow(near_in_leaf, "word string, n long, n_near long, best_n long, best string")
     return found.groupBy("word").agg(F.max("n").alias("n"), F.sum("n_near").alias("n_near"), F.max("best_n").alias("best_n"),
-                                     F.min_by("best", F.struct(-F.col("best_n"), "best")).alias("best"))
+                                     F.min_by("best", F.when(F.col("best_n").isNotNull(), F.struct(-F.col("best_n"), "best"))).alias("best"))
 
 
 def variants(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_letters: int = 6, least: int = 5, ratio: int = 5,
