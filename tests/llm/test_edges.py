@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import (bpe, decontaminate, fingerprints, language, language_model, minhash_forest, quality, substrings, toxicity,
-                           url_filters)
+from telemetra.llm import (blocks, bpe, decontaminate, fingerprints, language, language_model, minhash_forest, periodic_runs, quality, spelling,
+                           substrings, toxicity, url_filters)
 from telemetra.llm.queries import tokenizer_path
 
 from .conftest import ODD
@@ -34,6 +34,8 @@ OPERATORS = {
     "quality": lambda s, d: quality.classify(d, labels(s, [(1, 1, 1), (6, 0, 0), (7, 1, None), (None, 1, 1)]), F.lit(True)),
     "minhash_forest": lambda s, d: minhash_forest.near_duplicates(d),
     "decontaminate": lambda s, d: decontaminate.hits(d, benchmark(s)),
+    "periodic_runs": lambda s, d: periodic_runs.runs(d, echo=F.col("doc_id")),
+    "blocks": lambda s, d: blocks.repeats(d),
 }
 
 
@@ -63,6 +65,24 @@ def test_near_duplicates_leave_null_ids_out(spark, documents):
     assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(1, 1, True), (2, 1, False)}
 
 
+def test_spelling(spark, documents):
+    assert spelling.variants(documents([])).count() == 0
+    assert spelling.variants(documents([(1, None), (2, ""), (3, "12 !"), (None, "abcdef " * 4)])).count() == 0
+    long = "q" * 20_000
+    got = spelling.variants(documents([(1, "Kitten kitten kITTEN"), (1, "kitten kitten"), (None, "kitten " * 30), (2, "mitten-mitten mitten mitten mitten"),
+                                       (3, "kittens " * 5), (4, f"{long} " * 5 + f"{long}q " * 25), (5, None), (6, "ÀÀÀÀÀÀ " * 5)]), typo=1 << 40).collect()
+    by = {r["word"]: (r["n"], r["n_near"], r["form"], r["form_n"], r["root"]) for r in got}
+    assert by == {"kitten": (35, 2, None, None, "kitten"), "mitten": (5, 1, "kitten", 35, "kitten"), "kittens": (5, 1, "kitten", 35, "kitten"),
+                  long: (5, 1, long + "q", 25, long + "q"), long + "q": (25, 1, None, None, long + "q"), "ÀÀÀÀÀÀ": (5, 0, None, None, "ÀÀÀÀÀÀ")}
+
+
+def test_blocks_rows_with_one_id(spark, documents):
+    """Rows that repeat an id are judged against smaller ids and themselves only; a null id is the largest."""
+    a = " ".join(f"w{i}" for i in range(25))
+    got = [(r["doc_id"], r["n_removed"]) for r in blocks.repeats(documents([(2, a), (2, a), (1, "x"), (None, a), (3, f"{a} y {a}")])).collect()]
+    assert sorted(got, key=str) == [(1, 0), (2, 0), (2, 0), (3, 50), (None, 25)]
+
+
 def test_urls(spark):
     pages = spark.createDataFrame([(1, "http://a.ORG/x?y#z", "h", 1), (2, None, "h", 1), (3, "no scheme", "h", 1), (4, "://", None, 1),
                                    (5, "s://org", "h", 1), (5, "s://org", "h", 1), (6, "http://x.example.org/es/1", "", 2),
