@@ -86,7 +86,8 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def _anchors(length: int):
-    """(anchor, smallest document with it, whether more of these have it, pack) of every batch of documents."""
+    """(anchor, whether more than one document has it, pack), once for every slice of a batch: a document lies in one slice,
+    so an anchor of two rows has two documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packs, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
@@ -98,9 +99,7 @@ def _anchors(length: int):
                 edge = np.append(True, (a[1:] != a[:-1]) | (pack[1:] != pack[:-1])) if len(a) else np.zeros(0, bool)
                 new = np.flatnonzero(edge)
                 end = np.append(new[1:], len(a)) - 1 if len(a) else new
-                first = d[new]
-                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(first), pa.array(d[end] != first), pa.array(pack[new])],
-                                      names=["anchor", "doc", "many", "pack"])
+                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(d[end] != d[new]), pa.array(pack[new])], names=["anchor", "many", "pack"])
     return run
 
 
@@ -286,9 +285,9 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
     docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(parts(documents.sparkSession), "pack")
 
     # 1. anchors of more than one document, told to every pack that has them
-    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length), "anchor long, doc long, many boolean, pack int")
+    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length), "anchor long, many boolean, pack int")
     shared = Window.partitionBy("anchor")
-    shared = (seen.withColumn("repeats", F.max("many").over(shared) | (F.min("doc").over(shared) < F.max("doc").over(shared)))
+    shared = (seen.withColumn("repeats", F.max("many").over(shared) | (F.count("*").over(shared) > 1))
               .filter("repeats").groupBy("pack").agg(F.collect_set("anchor").alias("anchors")))
     shared = stored(shared, "shared")
 
