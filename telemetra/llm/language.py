@@ -188,21 +188,20 @@ def predict(documents: DataFrame, learned: list[tuple[int, str, str, float]], id
 
 
 def certain(documents: DataFrame, learn_from: Column, least_score: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose text gets a language with ``least_score`` at least, with all their columns: each is predicted and
-    kept or dropped where it is read, so no row is shuffled and repeated or null ids need no rule."""
+    """The rows whose text gets a language with ``least_score`` at least, with all their columns: each is kept or dropped where
+    it is read. Only the text goes to Python and only the decision comes back; repeated or null ids need no rule."""
     learned = learn(documents.filter(learn_from), lang_col, text_col)
     shared = documents.sparkSession.sparkContext.broadcast(learned)
-    place = documents.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sure(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = Model(shared.value)
-        for batch in batches:
-            for lo in range(0, len(batch), 128):
-                part = batch.slice(lo, 128)
-                got = model.predict_all(part.column(place).to_pylist())
-                yield part.filter(pa.array([lang != "und" and score >= least_score for lang, score in got]))
+        for column in columns:
+            got: list[bool] = []
+            for lo in range(0, len(column), 128):
+                got += [lang != "und" and score >= least_score for lang, score in model.predict_all(column.slice(lo, 128).to_pylist())]
+            yield pa.array(got, pa.bool_())
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.filter(F.arrow_udf(sure, "boolean")(F.col(text_col)))
 
 
 def identify(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text",

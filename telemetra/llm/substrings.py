@@ -38,6 +38,9 @@ from telemetra.llm.induced import common_prefixes, suffix_array
 
 #: Bytes of text in a pack and of runs in a shard.
 PACK_BYTES, SHARD_BYTES = 6 << 20, 2 << 20
+#: Bits of an anchor beyond those that number all bytes: two anchors that share a number by chance (one in 2^SPARE_BITS) only send
+#: a few runs in vain, the shards decide on the runs' bytes.
+SPARE_BITS = 8
 _LAST = (1 << 63) - 1
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -71,8 +74,8 @@ def string_anchors(data: np.ndarray, offsets: np.ndarray, length: int):
     return starts, (_LOW - (key[starts] & _LOW)).astype(np.int64), sums
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray, length: int):
-    """Runs of neighbouring strings with one anchor: (first start, last start, document, anchor hash, sums)."""
+def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, width: int = 64):
+    """Runs of neighbouring strings with one anchor: (first start, last start, document, anchor hash of ``width`` bits, sums)."""
     starts, anchors, sums = string_anchors(data, offsets, length)
     if not len(starts):
         z = np.zeros(0, np.int64)
@@ -82,17 +85,17 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
     at = anchors[first]
-    return starts[first], starts[last], doc[first], flat.span_hashes(sums, at, at + gram_of(length)), sums
+    return starts[first], starts[last], doc[first], flat.span_hashes(sums, at, at + gram_of(length)) >> flat.U64(64 - width), sums
 
 
-def _anchors(length: int):
+def _anchors(length: int, width: int):
     """(anchor, whether more than one document has it, pack), once for every slice of a batch: a document lies in one slice,
     so an anchor of two rows has two documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packs, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             for i, j, data, off in flat.slices(*flat.texts(batch.column(2))):
-                _, _, doc, anchor, _ = runs_of(data, off, length)
+                _, _, doc, anchor, _ = runs_of(data, off, length, width)
                 d, pack = ids[i:j][doc], packs[i:j][doc]
                 order = np.lexsort((d, anchor, pack))
                 a, d, pack = anchor[order], d[order], pack[order]
@@ -106,7 +109,7 @@ def _anchors(length: int):
 class Pack:
     """The documents of a pack and their runs at shared anchors, distinct runs numbered alike on every call."""
 
-    def __init__(self, table: pa.Table, shared: np.ndarray, length: int):
+    def __init__(self, table: pa.Table, shared: np.ndarray, length: int, width: int):
         order = np.argsort(np.asarray(table["key"].combine_chunks()), kind="stable")
         table = table.take(pa.array(order))
         self.ids = np.asarray(table["key"].combine_chunks())
@@ -114,7 +117,7 @@ class Pack:
         self.data, self.offsets = flat.texts(table["text"])
         found = []
         for i, _, data, off in flat.slices(self.data, self.offsets):
-            first, last, doc, anchor, sums = runs_of(data, off, length)
+            first, last, doc, anchor, sums = runs_of(data, off, length, width)
             at = np.minimum(np.searchsorted(shared, anchor), max(0, len(shared) - 1))
             hit = np.flatnonzero(shared[at] == anchor) if len(shared) else np.zeros(0, int)
             first, last, doc, anchor = first[hit], last[hit], doc[hit], anchor[hit]
@@ -282,10 +285,11 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
                             F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // PACK_BYTES))
+    width = min(64, int(total).bit_length() + SPARE_BITS)
     docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(parts(documents.sparkSession), "pack")
 
     # 1. anchors of more than one document, told to every pack that has them
-    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length), "anchor long, many boolean, pack int")
+    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length, width), "anchor long, many boolean, pack int")
     shared = Window.partitionBy("anchor")
     shared = (seen.withColumn("repeats", F.max("many").over(shared) | (F.count("*").over(shared) > 1))
               .filter("repeats").groupBy("pack").agg(F.collect_set("anchor").alias("anchors")))
@@ -296,7 +300,7 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
         return docs.groupBy("pack").cogroup(right.groupBy("pack")).applyInArrow(of, kind)
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        p = Pack(left, _shared(right), length)
+        p = Pack(left, _shared(right), length, width)
         return _send(length)(left["pack"][0].as_py(), p) if len(left) else _SENT.empty_table()
 
     runs = grouped(shared, send, "anchor long, run binary, pack int, number int, doc long, many boolean")
@@ -309,7 +313,7 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
         .unionByName(answers.select("pack", F.lit(None).cast("array<bigint>").alias("anchors"), *_ANSWER))
 
     def mark(left: pa.Table, right: pa.Table) -> pa.Table:
-        p = Pack(left, _shared(right), length)
+        p = Pack(left, _shared(right), length, width)
         told = right.filter(pc.is_valid(right["number"]))
         return _mark(length, keep_text)(p, list(zip(*(told[c].to_pylist() for c in _ANSWER), strict=True)))
 
