@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def pit_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, valid_from: str = "valid_from",
              valid_to: str = "valid_to", how: str = "left", dim_key: str | None = None) -> DataFrame:
     """Point-in-time join: equal key and ``valid_from <= ts < valid_to`` (half-open).
 
-    An equi-join with the interval as a residual, at every size: overlapping versions give one
-    row each, ``how`` is any join type. Whether a side is broadcast is the planner's decision
-    from its byte threshold (and AQE's from measured sizes); AQE splits skewed keys."""
+    Every version is spread over the days it covers inside the facts' own time span (one aggregate over their
+    time column), and a fact meets the versions of its key and day: the join is an equi-join on (key, day)
+    with the interval as a residual. A key's F facts and V versions cost what meets in a day, not F x V, and a
+    hot key is spread over its days. A fact lies in one day, so no pair is found twice.
+
+    Overlapping versions give one row each. A NULL key, time or bound matches nothing; so does an empty or inverted interval."""
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"pit_join: {how!r} would need versions without facts; use inner, left, left_semi or left_anti")
     d = dim_key or key
-    return fact.join(dim, (fact[key] == dim[d]) & (fact[ts] >= dim[valid_from]) & (fact[ts] < dim[valid_to]), how)
+    span = fact.agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    covered = ((F.col(valid_from) < F.col(valid_to)) & (F.col(valid_from) <= F.col("_hi")) & (F.col(valid_to) > F.col("_lo")))
+    last = F.least(F.col(valid_to) - F.expr("INTERVAL 1 MICROSECOND"), F.col("_hi"))
+    cells = (dim.crossJoin(span).filter(covered)
+             .withColumn("_cell", F.explode(F.sequence(F.to_date(F.greatest(F.col(valid_from), F.col("_lo"))), F.to_date(last))))
+             .drop("_lo", "_hi"))
+    met = ((fact[key] == cells[d]) & (F.to_date(fact[ts]) == cells["_cell"])
+           & (fact[ts] >= cells[valid_from]) & (fact[ts] < cells[valid_to]))
+    joined = fact.join(cells, met, how)
+    return joined if how in ("left_semi", "left_anti") else joined.select(*[fact[c] for c in fact.columns], *[cells[c] for c in dim.columns])
 
 
 def pit_merge(fact: DataFrame, dim: DataFrame, key: str, ts: str, valid_from: str, valid_to: str,

@@ -7,7 +7,8 @@ are anti joins, and ordering checks are window functions over the partition key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,13 +57,17 @@ def not_accepted_values(df: DataFrame, column: str, values: Sequence, where=None
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, inclusive: bool = True,
                    where=None) -> DataFrame:
     """Rows with ``not(x >= min)`` or ``not(x <= max)`` (strict when not inclusive); NULL passes."""
+    return _where(df, where).filter(out_of_range(column, min_value, max_value, inclusive))
+
+
+def out_of_range(column: str, min_value=None, max_value=None, inclusive: bool = True) -> Column:
     c = F.col(column)
     bad = F.lit(False)
     if min_value is not None:
         bad = bad | ~((c >= F.lit(min_value)) if inclusive else (c > F.lit(min_value)))
     if max_value is not None:
         bad = bad | ~((c <= F.lit(max_value)) if inclusive else (c < F.lit(max_value)))
-    return _where(df, where).filter(bad)
+    return bad
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str,
@@ -257,20 +262,24 @@ def no_future_timestamps(df: DataFrame, column: str, now) -> DataFrame:
 
 def cleaning_incomplete(df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = WIDE_NULL_TOKENS) -> DataFrame:
     """Rows where an id still holds a null word after staging."""
+    return df.filter(holds_null_word(columns, tokens))
+
+
+def holds_null_word(columns: Sequence[str], tokens: Sequence[str] = WIDE_NULL_TOKENS) -> Column:
     words = [t.upper() for t in tokens if t]
     cond = None
     for c in columns:
         e = F.upper(F.trim(F.col(c))).isin(*words)
         cond = e if cond is None else cond | e
-    return df.filter(cond)
+    return cond
 
 
 def flags_not_null(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    cond = None
-    for f in flags:
-        e = F.col(f).isNull()
-        cond = e if cond is None else cond | e
-    return df.filter(cond)
+    return df.filter(any_null(flags))
+
+
+def any_null(columns: Sequence[str]) -> Column:
+    return F.exists(F.array(*[F.col(c).isNull() for c in columns]), lambda x: x)
 
 
 def rowcounts_differ(a: DataFrame, b: DataFrame, name_a: str = "fact_row_count",
@@ -292,7 +301,11 @@ def values_equal(df: DataFrame, left: str, right: str) -> DataFrame:
 
 def outside_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
     """Rows whose value is not in the set; NULL counts as outside."""
-    return df.filter(F.coalesce(~F.col(column).isin(*allowed), F.lit(True)))
+    return df.filter(is_outside(column, allowed))
+
+
+def is_outside(column: str, allowed: Sequence[str]) -> Column:
+    return F.coalesce(~F.col(column).isin(*allowed), F.lit(True))
 
 
 def unequal(df: DataFrame, actual: str, expected: str) -> DataFrame:
@@ -302,19 +315,27 @@ def unequal(df: DataFrame, actual: str, expected: str) -> DataFrame:
 
 def timestamps_out_of_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows whose present (non-null) timestamps are not non-decreasing."""
+    return df.filter(out_of_order(columns))
+
+
+def out_of_order(columns: Sequence[str]) -> Column:
     present = F.filter(F.array(*[F.col(c) for c in columns]), lambda x: x.isNotNull())
-    return df.filter(present != F.array_sort(present))
+    return present != F.array_sort(present)
 
 
 def lifecycle_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows whose first stage is NULL, whose stage timestamps are out of order, or that have a NULL before a
     later non-null."""
+    return df.filter(lifecycle_broken(columns))
+
+
+def lifecycle_broken(columns: Sequence[str]) -> Column:
     arr = F.array(*[F.col(c) for c in columns])
     present = F.filter(arr, lambda x: x.isNotNull())
     n_present = F.size(present)
     # nulls only at the tail: the first size(present) entries are all present
     head_ok = F.forall(F.slice(arr, 1, F.greatest(n_present, F.lit(1))), lambda x: x.isNotNull())
-    return df.filter(~head_ok | (present != F.array_sort(present)))
+    return ~head_ok | out_of_order(columns)
 
 
 # ---- gates and report ---------------------------------------------------------------------------
@@ -376,17 +397,83 @@ def pk_fk_gate(tables: dict[str, tuple[DataFrame, str]],
     return long.select("check", F.when(F.col("bad_rows") == 0, "PASS").otherwise("FAIL").alias("status"), "bad_rows")
 
 
+class Total(str):
+    """A failure measure that is an aggregate (SQL text) of a test's rows, not a column to sum."""
+
+
+#: The failure measure of ``equality``: the rows that differ, and by how much one side has more of them.
+EQUALITY_MEASURE = Total("count(*) + coalesce(abs(count_if(which_diff = 'a_minus_b') - count_if(which_diff = 'b_minus_a')), 0)")
+
+
 def failure_count(result: DataFrame, measure: str | Column | None = None) -> DataFrame:
-    """One-row failure measure of a test result: row count, or ``sum(measure)``."""
-    m = F.count(F.lit(1)) if measure is None else F.coalesce(F.sum(_c(measure)), F.lit(0))
+    """One-row failure measure of a test result: row count, ``sum(measure)``, or the aggregate of a ``Total``."""
+    if isinstance(measure, Total):
+        m = F.expr(measure)
+    else:
+        m = F.count(F.lit(1)) if measure is None else F.coalesce(F.sum(_c(measure)), F.lit(0))
     return result.agg(m.cast("bigint").alias("failures"))
 
 
-def report(results: dict[str, tuple[DataFrame, str | Column | None]], warn_if: str = "!= 0",
+@dataclass(frozen=True)
+class Rows:
+    """A test of single rows: fails once for every row of ``table`` where ``broken`` holds."""
+
+    table: DataFrame
+    broken: Column
+
+
+@dataclass(frozen=True)
+class Groups:
+    """A test of groups: ``sums`` are aggregates of ``table`` per ``keys``; a group where ``broken`` holds fails by
+    ``measure`` (one without). Both are given the aggregates by name."""
+
+    table: DataFrame
+    keys: tuple[str, ...]
+    sums: dict[str, Column]
+    broken: Callable[[dict[str, Column]], Column]
+    measure: Callable[[dict[str, Column]], Column] | None = None
+
+
+def _long(wide: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row of counts -> (test, failures)."""
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(n).alias("test"), F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias("failures"))
+                                           for n in names])).alias("r")).select("r.*")
+
+
+def counted(tests: dict[str, Rows | Groups]) -> list[DataFrame]:
+    """(test, failures) of the tests, compiled to one aggregate for all row tests of a table and one grouping for
+    all group tests of a table and its keys, with a total over the groups. Tests share a table if they
+    are given the same DataFrame."""
+    out: list[DataFrame] = []
+    tables: dict[int, dict[str, Rows]] = {}
+    groupings: dict[tuple, dict[str, Groups]] = {}
+    for name, t in tests.items():
+        if isinstance(t, Rows):
+            tables.setdefault(id(t.table), {})[name] = t
+        else:
+            groupings.setdefault((id(t.table), t.keys), {})[name] = t
+    for own in tables.values():
+        table = next(iter(own.values())).table
+        out.append(_long(table.agg(*[F.count_if(t.broken).alias(n) for n, t in own.items()]), list(own)))
+    for (_, keys), own in groupings.items():
+        table = next(iter(own.values())).table
+        aggs = [c.alias(f"{n}.{k}") for n, t in own.items() for k, c in t.sums.items()]
+        grouped = table.groupBy(*keys).agg(*aggs) if aggs else table.select(*keys).distinct()
+        fails = []
+        for n, t in own.items():
+            by = {k: F.col(f"`{n}.{k}`") for k in t.sums} | {k: F.col(k) for k in keys}
+            fails.append(F.sum(F.when(t.broken(by), t.measure(by) if t.measure else F.lit(1))).alias(n))
+        out.append(_long(grouped.agg(*fails), list(own)))
+    return out
+
+
+def report(results: dict[str, tuple[DataFrame, str | Column | None] | Rows | Groups], warn_if: str = "!= 0",
            error_if: str = "!= 0") -> DataFrame:
-    """(test, failures, status) for many tests as one union of aggregates. Thresholds follow
+    """(test, failures, status) for many tests as one union of aggregates: tests given as ``Rows`` or ``Groups`` share
+    passes (``counted``), those given as (violating rows, measure) have a plan each. Thresholds follow
     the ``warn_if`` / ``error_if`` convention ('!= 0', '> 10', ...)."""
-    parts = [failure_count(df, m).select(F.lit(name).alias("test"), "failures") for name, (df, m) in results.items()]
+    parts = [failure_count(t[0], t[1]).select(F.lit(name).alias("test"), "failures") for name, t in results.items() if isinstance(t, tuple)]
+    parts += counted({n: t for n, t in results.items() if not isinstance(t, tuple)})
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -6,6 +6,8 @@ CSV landing or from a stream sink. Nothing here collects: every model is one laz
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from telemetra.operators import windows as W
 from telemetra.operators.joins import pit_join
 from telemetra.plans import fixtures as fx
 from telemetra.plans import staging as stg
-from telemetra.session import session_key
+from telemetra.session import scratch_path, session_key
 
 # ---- dimensions -----------------------------------------------------------------------------
 
@@ -253,6 +255,25 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, scd_mode: str = "latest"):
         pass
 
+    @classmethod
+    @contextmanager
+    def built(cls, spark: SparkSession, sf_dir: str, *models: str, scd_mode: str = "latest"):
+        """While the block runs, ``Warehouse(spark, dir)`` reads ``models`` from tables that are written first, in the given
+        order, each from the ones before: plans made in the block share them instead of computing them again."""
+        key = (session_key(spark), sf_dir, scd_mode)
+        before = cls._instances.pop(key, None)
+        try:
+            w = cls(spark, sf_dir, scd_mode)
+            for name in models:
+                df, path = getattr(w, name), scratch_path(spark, f"built_{name}")
+                df.write.parquet(path)
+                w._cache[name] = spark.read.schema(df.schema).parquet(path)
+            yield w
+        finally:
+            cls._instances.pop(key, None)
+            if before is not None:
+                cls._instances[key] = before
+
     def _get(self, name, build):
         if name not in self._cache:
             self._cache[name] = build()

@@ -10,6 +10,7 @@ from telemetra.plans import fixtures as fx
 from telemetra.plans import staging as stg
 from telemetra.plans.catalog import query
 from telemetra.plans.oracle import cte, sql
+from telemetra.session import scratch_path
 from telemetra.sources import ingest as I
 
 HEXS = "'0123456789abcdef'"
@@ -151,6 +152,8 @@ def unit_repair_temp(spark, sf):
                      .when(F.substring(h2, 3, 2) < "06",
                            F.col("motor_temp_c") * (F.lit(5.0) + X.hex_digit(h2, 5).cast("double")))
                      .otherwise(F.col("motor_temp_c")).alias("motor_temp_dirty"))
-    out = X.robust_repair(dirty, "robot_id", "motor_temp_dirty")
+    landed = scratch_path(spark, "dirty_temps")  # the dirt is worked out once, the repair reads it several times
+    dirty.write.parquet(landed)
+    out = X.robust_repair(spark.read.schema(dirty.schema).parquet(landed), "robot_id", "motor_temp_dirty")
     return out.select("reading_id", "robot_id", "motor_temp_dirty", "median", "mad", "is_outlier", "repair_kind",
                       "motor_temp_dirty_repaired")

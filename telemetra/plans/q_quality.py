@@ -52,10 +52,13 @@ def dq_unique_combination(spark, sf):
     return Q.unique_combination(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+_KINDS = ["click", "view", "purchase"]
+
+
 @dq("dq_accepted_values", "SELECT event_type AS value_field, count(*) AS n_records FROM events GROUP BY 1 "
                           "HAVING event_type NOT IN ('click', 'view', 'purchase')")
 def dq_accepted_values(spark, sf):
-    return Q.accepted_values(_ev(spark, sf), "event_type", ["click", "view", "purchase"])
+    return Q.accepted_values(_ev(spark, sf), "event_type", _KINDS)
 
 
 @dq("dq_not_accepted_values", "SELECT DISTINCT event_type AS value_field FROM events "
@@ -146,7 +149,7 @@ def _eq_sql(a: str, b: str) -> str:
             f"SELECT *, 'b_minus_a' FROM ({b} EXCEPT {a})")
 
 
-@dq("dq_equality", _eq_sql("SELECT * FROM customer", _TRUNC))
+@dq("dq_equality", _eq_sql("SELECT * FROM customer", _TRUNC), measure=Q.EQUALITY_MEASURE)
 def dq_equality(spark, sf):
     a = read_table(spark, sf, "customer")
     return Q.equality(a, a.withColumn("c_acctbal", F.col("c_acctbal").cast("bigint").cast("double")))
@@ -155,7 +158,7 @@ def dq_equality(spark, sf):
 _R0 = "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 0) AS c_acctbal, c_mktsegment FROM ({})"
 
 
-@dq("dq_equality_precision", _eq_sql(_R0.format("SELECT * FROM customer"), _R0.format(_TRUNC)))
+@dq("dq_equality_precision", _eq_sql(_R0.format("SELECT * FROM customer"), _R0.format(_TRUNC)), measure=Q.EQUALITY_MEASURE)
 def dq_equality_precision(spark, sf):
     """Equality after rounding numeric columns to 0 decimals on both sides."""
     a = read_table(spark, sf, "customer")
@@ -241,13 +244,16 @@ _DIRTY = ("SELECT nullif(trim(CASE WHEN CAST(reading_id AS BIGINT) % 89 = 0 THEN
                             "('NULL', 'N/A', 'NA', 'NAN', 'NONE', '-', '#N/A')", "readings")
 def dq_cleaning_complete(spark, sf):
     """Ids that still hold a null word after staging (dirt written in-query)."""
+    return Q.cleaning_incomplete(_dirty_ids(spark, sf), ["robot_id", "reading_id"])
+
+
+def _dirty_ids(spark, sf):
     r = fx.readings(spark, sf)
     rid = F.col("reading_id").cast("bigint")
     dirty = r.withColumns({
         "reading_id": F.when(rid % 89 == 0, F.lit(" null ")).otherwise(F.col("reading_id")),
         "robot_id": F.when(rid % 97 == 0, F.lit("N/A")).otherwise(F.col("robot_id"))})
-    s = stg.stg_sensor_readings(dirty).select("reading_id", "robot_id")
-    return Q.cleaning_incomplete(s, ["robot_id", "reading_id"])
+    return stg.stg_sensor_readings(dirty).select("reading_id", "robot_id")
 
 
 _TASK_FLAGS = ["is_missing_task_id", "is_missing_robot_id", "is_invalid_task_type", "is_invalid_status",
@@ -410,14 +416,54 @@ def _report_sql() -> str:
     parts = []
     for name, (_, body, names, measure) in DQ.items():
         ctes += [n for n in names if n not in ctes]
-        m = "count(*)" if measure is None else f"coalesce(sum(coalesce({measure}, 0)), 0)"
+        m = "count(*)" if measure is None else measure if isinstance(measure, Q.Total) else f"coalesce(sum(coalesce({measure}, 0)), 0)"
         parts.append(f"SELECT '{name}' AS test, CAST({m} AS BIGINT) AS failures FROM ({body})")
     body = ("SELECT test, failures, CASE WHEN failures <> 0 THEN 'ERROR' ELSE 'PASS' END AS status FROM ("
             + "\nUNION ALL\n".join(parts) + ")")
     return sql(body, *ctes)
 
 
+def _compiled(spark, sf) -> dict[str, Q.Rows | Q.Groups]:
+    """The assertions that need no plan of their own: rules for rows and for groups, to be counted together."""
+    w, col, one = Warehouse(spark, sf), F.col, F.count(F.lit(1))
+    events, lines, orders = _ev(spark, sf), read_table(spark, sf, "lineitem"), read_table(spark, sf, "orders")
+    tasks, value, kind = w.stg_tasks, col("value"), ("event_type",)
+    over = {"ours": one, "theirs": F.count_if(value > 10)}
+    both = lambda c: (c["theirs"] > 0) & c["event_type"].isNotNull()
+    dear = F.when((col("event_type") == "purchase") & (value > 100), value)
+    return {
+        "dq_not_null": Q.Rows(events, F.nullif(col("event_type"), F.lit("error")).isNull()),
+        "dq_not_empty_string": Q.Rows(events, F.trim(F.when(col("event_id") % 7 == 0, F.lit("  ")).otherwise(col("event_type"))) == ""),
+        "dq_assert_equal_columns": Q.Rows(events, F.round("value", 0) != F.floor("value").cast("double")),
+        "dq_accepted_range": Q.Rows(lines, Q.out_of_range("l_quantity", 1, 40)),
+        "dq_expression_is_true": Q.Rows(lines, ~(col("l_discount") < col("l_tax"))),
+        "dq_no_future_ts": Q.Rows(w.fct_sensor_reading, col("reading_ts") > F.lit(FUTURE_CUTOFF).cast("timestamp_ntz")),
+        "dq_cleaning_complete": Q.Rows(_dirty_ids(spark, sf), Q.holds_null_word(["robot_id", "reading_id"])),
+        "dq_status_domain": Q.Rows(fx.readings(spark, sf), Q.is_outside("operational_status", ["ACTIVE", "IDLE", "CHARGING", "MAINTENANCE"])),
+        "dq_flags_not_null": Q.Rows(tasks, Q.any_null(_TASK_FLAGS)),
+        "dq_task_order": Q.Rows(tasks, Q.out_of_order(["assigned_ts", "started_ts", "completed_ts"])),
+        "dq_positive_measure": Q.Rows(w.stg_telemetry, col("motortemp") < 0),
+        "dq_lifecycle_trailing_nulls": Q.Rows(fx.maintenance_tickets(spark, sf), Q.lifecycle_broken(_LC)),
+        "dq_noop_changes": Q.Rows(w.stg_changes, col("old_value").eqNullSafe(col("new_value"))),
+        "dq_unique": Q.Groups(orders, ("o_custkey",), {"n": one}, lambda c: c["o_custkey"].isNotNull() & (c["n"] > 1)),
+        "dq_unique_combination": Q.Groups(lines, ("l_orderkey", "l_linenumber"), {"n": one}, lambda c: c["n"] > 1),
+        "dq_accepted_values": Q.Groups(events, kind, {}, lambda c: ~c["event_type"].isin(*_KINDS)),
+        "dq_not_accepted_values": Q.Groups(events, kind, {}, lambda c: c["event_type"].isin("error", "signup")),
+        "dq_not_constant": Q.Groups(events, kind, {"lo": F.min(F.lit(1)), "hi": F.max(F.lit(1))}, lambda c: c["lo"] == c["hi"]),
+        "dq_not_null_proportion": Q.Groups(events, kind, {"some": F.count_if(value > 20), "all": one}, lambda c: c["some"] / c["all"] < 0.68),
+        "dq_equal_rowcount": Q.Groups(events, kind, over, both, lambda c: F.abs(c["ours"] - c["theirs"])),
+        "dq_fewer_rows_than": Q.Groups(events, kind, over, both, lambda c: F.when(c["ours"] > c["theirs"], c["ours"] - c["theirs"]).otherwise(
+            (c["ours"] == c["theirs"]).cast("int"))),
+        "dq_at_least_one": Q.Groups(events, ("user_id",), {"n": F.count(dear)}, lambda c: c["n"] == 0),
+        "dq_recency": Q.Groups(events, ("user_id",), {"last": F.max("ts")},
+                               lambda c: c["last"] < F.timestamp_add("DAY", F.lit(-1), F.lit(NOW).cast("timestamp_ntz"))),
+    }
+
+
 @query("dq_report", _report_sql())
 def dq_report(spark, sf):
-    """One row per assertion: failure count and status (error when non-zero)."""
-    return Q.report({name: (fn(spark, sf), measure) for name, (fn, _, _, measure) in DQ.items()})
+    """One row per assertion: failure count and status (error when non-zero). The robot versions and the fact are
+    built once, as tables; rules for rows and groups are counted in shared passes, the others have a plan each."""
+    with Warehouse.built(spark, sf, "dim_robot", "fct_sensor_reading"):
+        compiled = _compiled(spark, sf)
+        return Q.report({name: compiled.get(name) or (fn(spark, sf), measure) for name, (fn, _, _, measure) in DQ.items()})

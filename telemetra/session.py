@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -85,4 +86,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for an intermediate table."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name + "-" + next(tempfile._get_candidate_names()))
+    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")

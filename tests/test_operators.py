@@ -384,3 +384,62 @@ def test_option_branches(spark):
     assert distinct["red"] == 1
     vals = R.column_values(df, "color", order_by="value").collect()
     assert [r.value for r in vals] == ["blue", "red"] and [r.n for r in vals] == [1, 2]
+
+
+def test_pit_join_meets_versions_by_day(spark):
+    dim = spark.createDataFrame([("a", T(2024, 1, 1), T(9999, 12, 31), 1), ("a", T(2024, 1, 3), T(2024, 1, 2), 2), ("a", None, T(2024, 2, 1), 3),
+                                 ("a", T(2024, 1, 1), None, 4), ("a", T(2023, 1, 1), T(2024, 1, 2, 12), 5), (None, T(2024, 1, 1), T(2024, 3, 1), 6)],
+                                "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v int")
+    fact = spark.createDataFrame([("a", T(2024, 1, 2, 11)), ("a", T(2024, 1, 2, 12)), ("a", T(2022, 1, 1)), ("a", None), (None, T(2024, 1, 5))],
+                                 "key string, ts timestamp_ntz")
+    plain = (fact.key == dim.k) & (fact.ts >= dim.valid_from) & (fact.ts < dim.valid_to)
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got, want = pit_join(fact, dim, "key", "ts", dim_key="k", how=how), fact.join(dim, plain, how)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        pit_join(fact, dim, "key", "ts", dim_key="k", how="full")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pit_join(fact, dim, "key", "ts", dim_key="k")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+    assert "_cell" in join and "cast(ts" in join  # the day is one of the join's keys
+
+
+def test_medians_of_a_hot_key_and_odd_values(spark):
+    from telemetra.operators import faults as X
+    hot = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+                                     (F.rand(9) * 40 - F.when(F.col("id") % 2 == 0, 45).otherwise(0)).alias("x"))
+    odd = spark.createDataFrame([("z", 0.0), ("z", -0.0), ("z", 0.0), ("s", 1e-320), ("s", -1e-320), ("s", 5e-324), ("n", float("nan")), ("n", 1.0),
+                                 ("n", float("inf")), ("i", float("-inf")), ("i", float("-inf")), ("i", 2.0), ("e", None), ("e", 7.0), ("o", None)],
+                                "k string, x double")
+    rows = hot.unionByName(odd)
+    by = {}
+    for r in rows.filter("x is not null").collect():
+        by.setdefault(r.k, []).append(r.x)
+    order = lambda v: (1, 0.0) if v != v else (0, v)
+    want = {k: sorted(v, key=order)[(len(v) + 1) // 2 - 1] for k, v in by.items()}
+    med = X.exact_median(rows, "k", "x", "m")
+    assert {r.k: str(r.m + 0.0) for r in med.collect()} == {k: str(v + 0.0) for k, v in want.items()}
+    # windows order cells, or the distinct values of the one cell that is joined in; never a key's rows
+    plan = med._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 3 and "Join" in plan.split("Window [")[1]
+
+
+def test_report_counts_rows_and_groups_in_shared_passes(spark):
+    t = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, "b", 7), (4, None, 9)], "id int, g string, v int")
+    tests = {"null v": Q.Rows(t, F.col("v").isNull()), "big": Q.Rows(t, F.col("v") > 6),
+             "alone": Q.Groups(t, ("g",), {"n": F.count(F.lit(1))}, lambda c: c["n"] == 1),
+             "spread": Q.Groups(t, ("g",), {"lo": F.min("v"), "hi": F.max("v")}, lambda c: c["g"].isNotNull(), lambda c: c["hi"] - c["lo"] + 1),
+             "kinds": Q.Groups(t, ("g",), {}, lambda c: c["g"] == "a"), "plain": (t.filter("id > 2"), None)}
+    got = {r.test: (r.failures, r.status) for r in Q.report(tests).collect()}
+    assert got == {"null v": (1, "ERROR"), "big": (2, "ERROR"), "alone": (2, "ERROR"), "spread": (2, "ERROR"), "kinds": (1, "ERROR"), "plain": (2, "ERROR")}
+    assert len(Q.counted({k: v for k, v in tests.items() if k != "plain"})) == 2  # one pass of rows, one grouping
+
+
+def test_equality_measure_counts_rows_and_the_excess(spark):
+    a, b = spark.range(10).toDF("x"), spark.range(4, 11).toDF("x")
+    assert Q.failure_count(Q.equality(a, b), Q.EQUALITY_MEASURE).first()[0] == 5 + 3
+    assert Q.failure_count(Q.equality(a, a), Q.EQUALITY_MEASURE).first()[0] == 0
