@@ -67,11 +67,22 @@ def ingest_null_tokens(spark, sf):
     return I.apply_null_tokens(o)
 
 
-@query("raw_load_reconcile", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
+@query("raw_load_reconcile", f"""
+WITH found AS ({" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)}),
+lines AS (SELECT count(*) AS n, count(DISTINCT l_orderkey) AS orders FROM lineitem),
+want AS (SELECT 'region' AS table_name, CAST(5 AS BIGINT) AS expected_rows UNION ALL SELECT 'nation', 25
+  UNION ALL SELECT 'lineitem', n FROM lines UNION ALL SELECT 'orders', orders FROM lines UNION ALL SELECT 'returns', 0)
+SELECT table_name, expected_rows, row_count, row_count - expected_rows AS difference,
+  CASE WHEN row_count IS NULL THEN 'MISSING' WHEN expected_rows IS NULL THEN 'UNEXPECTED' WHEN row_count = expected_rows THEN 'MATCH'
+    WHEN row_count < expected_rows THEN 'SHORT' ELSE 'EXCESS' END AS status
+FROM found FULL JOIN want USING (table_name)""")
 def raw_load_reconcile(spark, sf):
-    """Row count of every loaded table (one union of count aggregates)."""
-    return I.row_counts({t: read_table(spark, sf, t) for t in TABLES})
+    """Rows of every loaded table against what its delivery promises: fixed counts of the small tables, line items as counted in their
+    own table, one order per order number that lines name, and a table that was never delivered."""
+    lines = read_table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("orders"))
+    want = lines.select(F.explode(F.array(*[F.struct(F.lit(t).alias("table_name"), n.cast("bigint").alias("expected_rows")) for t, n in (
+        ("region", F.lit(5)), ("nation", F.lit(25)), ("lineitem", F.col("n")), ("orders", F.col("orders")), ("returns", F.lit(0)))])).alias("r")).select("r.*")
+    return I.reconcile({t: read_table(spark, sf, t) for t in TABLES}, want)
 
 
 _RDQ_SCHEMA = ("robot_id string, reading_date date, reading_count bigint, avg_battery_voltage_v double, "

@@ -209,12 +209,14 @@ def join_left_equi(spark, sf):
     return Warehouse(spark, sf).fct_sensor_reading.select("reading_id", "zone_id", "zone_sk")
 
 
-@query("filter_not_null_keys", sql("SELECT count(*) AS n_rows FROM stg_readings "
-                                   "WHERE reading_id IS NOT NULL AND robot_id IS NOT NULL", "stg_readings"))
+@query("filter_not_null_keys", sql("SELECT reading_id, robot_id FROM (SELECT CASE WHEN CAST(reading_id AS BIGINT) % 89 = 0 THEN NULL "
+                                   "ELSE reading_id END AS reading_id, CASE WHEN CAST(reading_id AS BIGINT) % 97 = 0 THEN NULL ELSE robot_id END "
+                                   "AS robot_id FROM stg_readings) WHERE reading_id IS NOT NULL AND robot_id IS NOT NULL", "stg_readings"))
 def filter_not_null_keys(spark, sf):
-    w = Warehouse(spark, sf)
-    return w.stg_readings.filter(F.col("reading_id").isNotNull() & F.col("robot_id").isNotNull()).agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    """Readings with both ids, after some of either were taken away by key."""
+    number, r = F.col("reading_id").cast("bigint"), Warehouse(spark, sf).stg_readings
+    some = r.select(F.when(number % 89 != 0, F.col("reading_id")).alias("reading_id"), F.when(number % 97 != 0, F.col("robot_id")).alias("robot_id"))
+    return some.filter(F.col("reading_id").isNotNull() & F.col("robot_id").isNotNull())
 
 
 @query("agg_robot_daily", sql("SELECT * FROM fct_robot_daily", "fct_robot_daily"))

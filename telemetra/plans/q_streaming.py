@@ -49,17 +49,23 @@ def stream_bad_record_split(spark, sf):
             .unionByName(lost.withColumn("good", F.lit(False)), allowMissingColumns=True))
 
 
-@query("stream_dedup", "SELECT * FROM events")
+_HELD = "event_id % 100 = 7"
+
+
+@query("stream_dedup", f"""
+SELECT *, {_HELD} AND ts < (SELECT max(ts) FROM events WHERE NOT ({_HELD})) - INTERVAL 48 HOUR AS late FROM events""")
 def stream_dedup(spark, sf):
-    """Replayed events (every 20th re-sent in later files) dropped within a 48 h watermark. The
-    first delivery is one micro-batch (its file count caps the trigger), replays the next."""
-    inbound, sink, ck = (scratch_path(spark, n) for n in ("dup_inbound", "dedup", "ck_dedup"))
+    """Every event once: every 20th is re-sent in a later delivery and dropped, every 100th is first delivered there and, if more than 48 h
+    older than the latest event so far, lands in the late table (``late``). The first delivery is one micro-batch
+    (its file count caps the trigger)."""
+    inbound, sink, late, progress, ck = (scratch_path(spark, n) for n in ("dup_inbound", "dedup", "dedup_late", "dedup_progress", "ck_dedup"))
     e = read_table(spark, sf, "events")
-    n_first = S.write_inbound_json_counted(spark, e, inbound)
-    S.write_inbound_json(e.filter(F.col("event_id") % 20 == 0), inbound)
-    S.dedup_replays(S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=n_first),
-                    ["event_id"], "ts", sink, ck)
-    return spark.read.parquet(sink)
+    n_first = S.write_inbound_json_counted(spark, e.filter(f"NOT ({_HELD})"), inbound)
+    S.write_inbound_json(e.filter(f"event_id % 20 = 0 OR {_HELD}"), inbound)
+    stream = S.read_json_stream(spark, inbound, EVENT_SCHEMA, max_files_per_trigger=n_first)
+    S.land_first_copies(stream, ["event_id"], "ts", sink, late, progress, ck)
+    return (S.landed(spark, sink, stream.schema).withColumn("late", F.lit(False))
+            .unionByName(S.landed(spark, late, stream.schema).withColumn("late", F.lit(True))))
 
 
 @query("stream_daily_health", sql("SELECT * FROM health_daily", "health_daily"))

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CORRUPT = "_corrupt_record"
@@ -125,6 +125,59 @@ def dedup_replays(stream: DataFrame, keys: Sequence[str], ts_col: str, sink: str
     q.awaitTermination()
 
 
+def _read_if_there(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """A folder of Parquet files, or None before anything was written there; any other failure must stop the stream."""
+    try:
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def land_first_copies(stream: DataFrame, keys: Sequence[str], ts_col: str, sink: str, late_sink: str, progress: str, checkpoint: str,
+                      lateness_hours: int = 48, trigger: str | None = None) -> None:
+    """Land every record once, and lose none: replays (same keys and event day as a landed record) are dropped however late
+    they come, and a first copy whose event time is more than ``lateness_hours`` older than the latest of all
+    earlier batches goes to ``late_sink`` instead of vanishing.
+
+    What is known is the landed data itself, foldered by event day: a batch is matched with the keys of the days it
+    holds, so nothing is kept in memory and no state outgrows its store. ``progress`` holds one row a batch (the latest event time so
+    far), read from the batch before. Each batch overwrites its own ``batch_id=`` folders and looks only at earlier
+    ones, so a replayed batch rewrites the same rows. A NULL key or time is never a replay."""
+    spark = stream.sparkSession
+    known = StructType([*(stream.schema[k] for k in keys), StructField("day", DateType()), StructField("batch_id", LongType())])
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        before = _read_if_there(spark, _batch_dir(progress, batch_id - 1)) if batch_id else None
+        latest = before.first()["latest"] if before is not None else None
+        ts = F.col(ts_col)
+        first = batch.dropDuplicates(list(keys)).withColumn("day", F.to_date(ts))
+        for landed in (sink, late_sink):
+            old = _read_if_there(spark, landed, known)
+            if old is not None:
+                first = first.join(old.filter(F.col("batch_id") < batch_id).drop("batch_id"), [*keys, "day"], "left_anti")
+        late = F.lit(False) if latest is None else F.coalesce(
+            ts < F.timestamp_add("HOUR", F.lit(-lateness_hours), F.lit(latest).cast("timestamp_ntz")), F.lit(False))
+        first = first.persist()
+        try:
+            for rows, path in ((first.filter(~late), sink), (first.filter(late), late_sink)):
+                rows.repartition("day").write.mode("overwrite").partitionBy("day").parquet(_batch_dir(path, batch_id))
+        finally:
+            first.unpersist()
+        (batch.agg(F.greatest(F.max(ts), F.lit(latest).cast("timestamp_ntz")).alias("latest"))
+         .coalesce(1).write.mode("overwrite").parquet(_batch_dir(progress, batch_id)))
+
+    q = _trigger(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint), trigger).start()
+    q.awaitTermination()
+
+
+def landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The records of a sink of ``land_first_copies``; none if none was ever written there."""
+    df = _read_if_there(spark, path, StructType([*schema.fields, StructField("day", DateType()), StructField("batch_id", LongType())]))
+    return spark.createDataFrame([], schema) if df is None else df.select(*schema.names)
+
+
 def daily_health_incremental(stream: DataFrame, key: str, ts_col: str, sink: str, checkpoint: str,
                              lateness: str = "48 hours", trigger: str | None = None,
                              state_partitions: int | str | None = DEFAULT_STATE_PARTITIONS) -> None:
@@ -165,23 +218,18 @@ def late_rows_audit(stream: DataFrame, ts_col: str, audit: str, checkpoint: str,
     """Per micro-batch: rows, and rows whose event time is older than (the latest event time of
     all earlier batches - lateness), i.e. rows a watermark of that lateness would call late.
 
-    The running maximum lives in the audit table itself (shared storage), so the audit survives
-    a restart; each batch overwrites its own ``batch_id=`` folder, so a replay never duplicates."""
+    The running maximum lives in the audit table itself (shared storage): each row carries it on from the
+    batch before, so a batch reads one row whatever the history, and the audit survives a restart; each batch overwrites its own ``batch_id=`` folder, so a replay never duplicates."""
     spark = stream.sparkSession
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        prev_max = None
-        try:
-            prior = read_audit(spark.read.parquet(audit)).filter(F.col("batch_id") < batch_id)
-            prev_max = prior.agg(F.max("batch_max_ts")).first()[0]
-        except AnalysisException as ex:  # no audit table yet: first batch; anything else must stop the stream
-            if ex.getCondition() != "PATH_NOT_FOUND":
-                raise
+        before = _read_if_there(spark, _batch_dir(audit, batch_id - 1)) if batch_id else None
+        prev_max = before.first()["max_ts_so_far"] if before is not None else None
         ts = F.col(ts_col)
         late = (ts < F.timestamp_add("SECOND", F.lit(-lateness_seconds), F.lit(prev_max).cast("timestamp_ntz"))) \
             if prev_max is not None else F.lit(False)
         (batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late_rows"),
-                   F.max(ts).alias("batch_max_ts"))
+                   F.max(ts).alias("batch_max_ts"), F.greatest(F.max(ts), F.lit(prev_max).cast("timestamp_ntz")).alias("max_ts_so_far"))
          .write.mode("overwrite").parquet(_batch_dir(audit, batch_id)))
 
     q = _trigger(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint), trigger).start()
