@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from telemetra.llm.common import stored
 
 WORD_SHARE, GRAM_SHARE, LONGEST_GRAM = 2e-6, 2e-5, 4
-#: Words a task counts before it hands them on; it remembers the scores of twice as many unseen words.
-TASK_WORDS = 100_000
+#: Words a task counts before it hands them on, and unseen words whose scores it remembers.
+TASK_WORDS, REMEMBERED = 100_000, 50_000
 #: Words that count fully toward the score of a prediction.
 SURE_WORDS = 8
 _WORD = re.compile(r"[^\W\d_]+")
@@ -117,7 +117,7 @@ class Model:
     def forget(self) -> None:
         """Only known words stay in the table."""
         self.at, self.used = dict(self.place[0]), len(self.place[0])
-        self.table = np.zeros((self.used + 2 * TASK_WORDS, len(self.langs)))
+        self.table = np.zeros((self.used + REMEMBERED, len(self.langs)))
         self.table[:self.used] = self.rows[0]
 
     def unseen(self, words: list[str]) -> np.ndarray:
