@@ -126,11 +126,16 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int, now, group_
 
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
                       group_by: Sequence[str] = (), where=None) -> DataFrame:
-    """Rows whose value is not the previous value + interval (first row of a group passes)."""
+    """Rows whose value is not the previous value + interval (first row of a group passes). Without groups the whole table
+    is one sequence; it is cut into value ranges (``windows.with_range_chunk``), not sorted in one task."""
     src = _where(df, where)
     prev = "previous_" + column
-    w = W.ordered(list(group_by), [column]) if group_by else W.ordered([], [column])
-    out = src.select(*group_by, column, F.lag(F.col(column)).over(w).alias(prev))
+    cut = None if group_by else W.with_range_chunk(src.select(column), column, "_range")
+    if cut is None:
+        out = src.select(*group_by, column, F.lag(F.col(column)).over(W.ordered(list(group_by), [column])).alias(prev))
+    else:
+        nxt = W.next_row(cut, [], [column], [column], chunk=F.col("_range"))
+        out = nxt.filter("_has_next").select(F.col(f"_next_{column}").alias(column), F.col(column).alias(prev))
     if datepart:
         expect = F.timestamp_add(datepart.upper(), F.lit(int(interval)), F.col(prev).cast("timestamp_ntz"))
         return out.filter(~(F.col(column).cast("timestamp_ntz") == expect))
@@ -151,8 +156,12 @@ def ranges_with_next(df: DataFrame, lower: str, upper: str, partition_by: str |
 
     ``chunk`` (e.g. ``F.date_trunc("day", lower)``): evaluate both per (partition, chunk) and
     stitch chunks (``windows.next_row``), so a partition holding a large share of all ranges
-    is not one window task. Same rows as without."""
+    is not one window task. Same rows as without. With neither, the whole table is one partition and is
+    cut into ranges of ``lower``."""
     parts = [partition_by] if partition_by else []
+    if chunk is None and not parts:
+        cut = W.with_range_chunk(df.select(lower, upper), lower, "_range")
+        df, chunk = (df, None) if cut is None else (cut, F.col("_range"))
     lo, hi = F.col(lower), F.col(upper)
     if chunk is None:
         from pyspark.sql import Window
@@ -163,7 +172,7 @@ def ranges_with_next(df: DataFrame, lower: str, upper: str, partition_by: str |
     else:
         # next lower bound: ascending, NULLs last; last record: the greatest (lower, upper) with
         # NULLs smallest, i.e. no successor in ascending order with NULLs first
-        a = W.next_row(df.select(*parts, lower, upper), parts, [lower, upper], [lower], chunk=chunk).drop("_has_next")
+        a = W.next_row(df if "_range" in df.columns else df.select(*parts, lower, upper), parts, [lower, upper], [lower], chunk=chunk).drop("_has_next")
         b = W.next_row(a, parts, [lower, upper], [], chunk=chunk, nulls_first=True)
         base = b.select(*parts, lower, upper, F.col(f"_next_{lower}").alias("_next"),
                         (~F.col("_has_next")).alias("_last"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 
 def _cols(cs) -> list[Column]:
@@ -110,3 +111,31 @@ def next_row(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str]
         *[F.when(F.col("_hl"), F.col(f"_nl_{c}")).otherwise(F.col("_nf").getField(f"_v{i}"))
           .alias(f"_next_{c}") for i, c in enumerate(cols)],
         (F.col("_hl") | F.col("_nf").isNotNull()).alias("_has_next"))
+
+
+#: Quantile cuts are looked up in two steps, so a row meets 2 * STEP of the STEP * STEP cuts.
+STEP = 40
+
+
+def with_range_chunk(df: DataFrame, column: str, name: str) -> DataFrame | None:
+    """``df`` with a chunk number that does not decrease along ``column`` (for ``next_row``), so that a window over a whole
+    table is many tasks: how many of STEP * STEP quantiles of the column lie at or below the value (NULL: NULL).
+    A value that many rows share is one chunk, as a day is.
+
+    The quantiles are one row of STEP * STEP numbers from a mergeable sketch. They only place the cuts, so their error moves
+    rows between tasks and never changes a result. None for types that have no quantiles."""
+    if not isinstance(df.schema[column].dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return None
+    n = STEP * STEP
+    cuts = (df.agg(F.percentile_approx(column, [i / n for i in range(n)], 4 * n).alias("_q"))
+            .select(F.transform(F.sequence(F.lit(0), F.lit(STEP - 1)),
+                                lambda i: F.slice("_q", i * STEP + 1, STEP)).alias("_cuts")))
+
+    def below(a: Column) -> Column:
+        return F.size(F.filter(a, lambda b: b <= F.col(column)))
+
+    heads = below(F.transform("_cuts", lambda a: F.get(a, F.lit(0))))
+    return (df.crossJoin(F.broadcast(cuts)).withColumn("_head", heads)
+            .withColumn(name, F.when(F.col(column).isNotNull(), F.when(F.col("_head") == 0, 0).otherwise(
+                F.col("_head") * STEP + below(F.get("_cuts", F.col("_head") - 1)))))
+            .drop("_cuts", "_head"))

@@ -149,6 +149,20 @@ def union_tables_by_pattern(spark, sf):
     return out.select(*e.columns, "_source_table")
 
 
+@query("union_folders_by_pattern", """
+SELECT *, 'raw_' || event_type || '.events_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS _source_table FROM events
+WHERE event_type LIKE '%e%' AND strftime(CAST(ts AS DATE), '%Y%m%d') <> '20240115'""")
+def union_folders_by_pattern(spark, sf):
+    """Events landed as one schema per event type and one table per day; then the tables of every schema whose type has an e and
+    of every day except one, as one scan over the matching folders."""
+    e = read_table(spark, sf, "events")
+    path = scratch_path(spark, "events_by_type_and_day")
+    I.write_table(e.withColumns({"schema": F.concat(F.lit("raw_"), "event_type"),
+                                 "table": F.concat(F.lit("events_"), F.date_format("ts", "yyyyMMdd"))}),
+                  path, partition_by=["schema", "table"])
+    return I.union_folders_by_pattern(spark, path, "raw_%e%", "events_2024%", "events_20240115").select(*e.columns, "_source_table")
+
+
 # ---- staging cleaners -------------------------------------------------------------------------------
 
 _PADDED = "CASE o_orderkey % 3 WHEN 0 THEN '  ' || o_orderpriority || '  ' WHEN 1 THEN '' ELSE '   ' END"

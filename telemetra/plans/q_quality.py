@@ -226,6 +226,15 @@ def dq_sequential_values(spark, sf):
     return Q.sequential_values(days, "day", 1, "day", group_by=["user_id"])
 
 
+@query("dq_sequential_values_global", """
+SELECT * FROM (SELECT o_custkey, lag(o_custkey) OVER (ORDER BY o_custkey) AS previous_o_custkey
+               FROM (SELECT DISTINCT o_custkey FROM orders))
+WHERE NOT (o_custkey = previous_o_custkey + 1)""")
+def dq_sequential_values_global(spark, sf):
+    """Gaps in the customer numbers that ordered: one sequence over the whole table, in value ranges."""
+    return Q.sequential_values(read_table(spark, sf, "orders").select("o_custkey").distinct(), "o_custkey")
+
+
 @dq("dq_no_future_ts", f"SELECT reading_id, reading_ts FROM fct_sensor_reading "
                        f"WHERE reading_ts > TIMESTAMP '{FUTURE_CUTOFF}'", "fct_sensor_reading")
 def dq_no_future_ts(spark, sf):

@@ -68,19 +68,44 @@ def stream_dedup(spark, sf):
             .unionByName(S.landed(spark, late, stream.schema).withColumn("late", F.lit(True))))
 
 
-@query("stream_daily_health", sql("SELECT * FROM health_daily", "health_daily"))
-def stream_daily_health(spark, sf):
-    """Incremental robot-day health (update mode + upsert log) equals the batch mart."""
+_TEL_HELD = "timestamp % 11 = 3"
+
+
+def _health_log(spark, sf):
+    """The daily health log of two deliveries: every eleventh second's records come in the second one. A snapshot
+    follows every second batch, so the state is read from snapshot and deltas."""
     inbound, log, ck = (scratch_path(spark, n) for n in ("tel_inbound", "health_log", "ck_health"))
-    S.write_inbound_json(fx.telemetry(spark, sf), inbound)
-    st = S.read_json_stream(spark, inbound, TELEMETRY_SCHEMA).withColumn(
+    t = fx.telemetry(spark, sf)
+    n_first = S.write_inbound_json_counted(spark, t.filter(f"NOT ({_TEL_HELD})"), inbound)
+    S.write_inbound_json(t.filter(_TEL_HELD), inbound)
+    st = S.read_json_stream(spark, inbound, TELEMETRY_SCHEMA, max_files_per_trigger=n_first).withColumn(
         "event_timestamp", F.timestamp_seconds("timestamp").cast("timestamp_ntz"))
-    S.daily_health_incremental(st, "robotid", "event_timestamp", log, ck)
-    cur = S.latest_versions(spark.read.parquet(log), ["robotid", "summary_date"])
-    return cur.select("robotid", "summary_date", "event_count",
-                      (F.col("sum_motor_temp") / F.col("n_motor_temp")).alias("avg_motor_temp"), "max_motor_temp",
-                      (F.col("sum_battery_voltage") / F.col("n_battery_voltage")).alias("avg_battery_voltage"),
-                      "min_battery_voltage", "max_vibration")
+    log = S.daily_health_deltas(st, "robotid", "event_timestamp", log, ck, compact_every=2)
+    return log.current()
+
+
+@query("stream_daily_health", sql("SELECT * FROM health_daily", "health_daily"))
+def stream_daily_health(spark, sf):
+    """Incremental robot-day health (deltas per micro-batch, merged into snapshots) equals the batch mart."""
+    return _health_log(spark, sf).select(
+        "robotid", "summary_date", "event_count",
+        (F.col("sum_motor_temp") / F.col("n_motor_temp")).alias("avg_motor_temp"), "max_motor_temp",
+        (F.col("sum_battery_voltage") / F.col("n_battery_voltage")).alias("avg_battery_voltage"),
+        "min_battery_voltage", "max_vibration")
+
+
+_TEL_HELD_SQL = "CAST(epoch(event_timestamp) AS BIGINT) % 11 = 3"
+
+
+@query("stream_health_late_rows", sql(f"""
+SELECT CAST(event_timestamp AS DATE) AS summary_date, count(*) AS event_count,
+  count_if({_TEL_HELD_SQL} AND event_timestamp < (SELECT max(event_timestamp) FROM stg_telemetry WHERE NOT ({_TEL_HELD_SQL}))
+           - INTERVAL 48 HOUR) AS late_rows
+FROM stg_telemetry GROUP BY 1""", "stg_telemetry"))
+def stream_health_late_rows(spark, sf):
+    """Records a day, and how many of them came more than 48 h behind the latest record so far: counted, not dropped."""
+    return (_health_log(spark, sf).groupBy("summary_date")
+            .agg(F.sum("event_count").alias("event_count"), F.sum("late_rows").alias("late_rows")))
 
 
 _LATE = ("SELECT event_id + 10000000000 AS event_id, ts - to_hours(event_id % 46 + 1) AS ts "

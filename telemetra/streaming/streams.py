@@ -206,6 +206,103 @@ def daily_health_incremental(stream: DataFrame, key: str, ts_col: str, sink: str
     q.awaitTermination()
 
 
+#: Daily health as partial results that merge: column -> (aggregate over records, how partial results merge).
+_HEALTH = {
+    "event_count": ("count(1)", "sum"), "late_rows": ("count_if(_late)", "sum"),
+    "sum_motor_temp": ("sum(motortemp)", "sum"), "n_motor_temp": ("count(motortemp)", "sum"),
+    "max_motor_temp": ("max(motortemp)", "max"),
+    "sum_battery_voltage": ("sum(batteryvoltage)", "sum"), "n_battery_voltage": ("count(batteryvoltage)", "sum"),
+    "min_battery_voltage": ("min(batteryvoltage)", "min"), "max_vibration": ("max(vibration)", "max")}
+
+
+def _merged(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return deltas.groupBy(*keys).agg(*[F.expr(f"{merge}({c})").alias(c) for c, (_, merge) in _HEALTH.items()])
+
+
+class HealthLog:
+    """Daily health as a log of deltas with snapshots, under one shared folder.
+
+    ``deltas/batch_id=N``: the partial results of one micro-batch's records. ``snapshots/upto=N``: all deltas up
+    to batch N merged. ``commits/upto=N``: written after the snapshot of N is whole; a snapshot without it is never read, so
+    a compaction that dies half-way leaves the previous snapshot and its deltas in force. Every folder
+    is overwritten by a replay of its batch with the same rows, and a replay of batch N builds on snapshots before N only."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str) -> None:
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), [key, "summary_date"]
+
+    def _committed(self, before: int | None = None) -> int | None:
+        commits = _read_if_there(self.spark, f"{self.path}/commits", StructType([StructField("upto", LongType())]))
+        if commits is None:
+            return None
+        return (commits if before is None else commits.filter(F.col("upto") < before)).agg(F.max("upto")).first()[0]
+
+    def _deltas(self) -> DataFrame | None:
+        return _read_if_there(self.spark, f"{self.path}/deltas")
+
+    def add(self, partial: DataFrame, batch_id: int) -> None:
+        partial.write.mode("overwrite").parquet(_batch_dir(f"{self.path}/deltas", batch_id))
+
+    def compact(self, upto: int) -> None:
+        """Merges the newest earlier snapshot with the deltas after it, up to batch ``upto``."""
+        rows = self._rows(self._committed(before=upto), upto)
+        if rows is None:
+            return
+        _merged(rows, self.keys).write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={upto}")
+        (self.spark.range(1).select(F.lit(upto).cast("bigint").alias("batch")).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/commits/upto={upto}"))
+
+    def _rows(self, base: int | None, upto: int | None) -> DataFrame | None:
+        deltas = self._deltas()
+        if deltas is None:
+            return None
+        after = deltas
+        if base is not None:
+            after = after.filter(F.col("batch_id") > base)
+        if upto is not None:
+            after = after.filter(F.col("batch_id") <= upto)
+        after = after.drop("batch_id")
+        if base is None:
+            return after
+        return self.spark.read.parquet(f"{self.path}/snapshots/upto={base}").unionByName(after)
+
+    def current(self) -> DataFrame | None:
+        """The present state: the newest committed snapshot and the deltas after it (folders before it are pruned);
+        None before the first batch."""
+        rows = self._rows(self._committed(), None)
+        return None if rows is None else _merged(rows, self.keys)
+
+
+def daily_health_deltas(stream: DataFrame, key: str, ts_col: str, sink: str, checkpoint: str, lateness_hours: int = 48,
+                        compact_every: int = 20, trigger: str | None = None) -> HealthLog:
+    """Daily health per key without loss: each micro-batch writes the partial results of its own records (they add up, so no state is
+    kept and a record counts however late it comes), and every ``compact_every`` batches the log is merged into a snapshot.
+
+    ``late_rows`` counts the records whose event time is more than ``lateness_hours`` older than the latest event time of
+    all earlier batches. ``sink/progress`` holds that time, one row a batch. A record without event time has no
+    day: it counts under a NULL date and is never late."""
+    spark = stream.sparkSession
+    log = HealthLog(spark, sink, key)
+    progress = f"{log.path}/progress"
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        before = _read_if_there(spark, _batch_dir(progress, batch_id - 1)) if batch_id else None
+        latest = before.first()["latest"] if before is not None else None
+        ts = F.col(ts_col)
+        late = F.lit(False) if latest is None else F.coalesce(
+            ts < F.timestamp_add("HOUR", F.lit(-lateness_hours), F.lit(latest).cast("timestamp_ntz")), F.lit(False))
+        partial = (batch.withColumns({"_late": late, "summary_date": ts.cast("date")}).groupBy(*log.keys)
+                   .agg(*[F.expr(agg).alias(c) for c, (agg, _) in _HEALTH.items()]))
+        log.add(partial, batch_id)
+        (batch.agg(F.greatest(F.max(ts), F.lit(latest).cast("timestamp_ntz")).alias("latest"))
+         .coalesce(1).write.mode("overwrite").parquet(_batch_dir(progress, batch_id)))
+        if (batch_id + 1) % compact_every == 0:
+            log.compact(batch_id)
+
+    q = _trigger(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint), trigger).start()
+    q.awaitTermination()
+    return log
+
+
 def latest_versions(log: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:
     """Current row per key from an append-only upsert log (max version wins; one hash agg)."""
     others = [c for c in log.columns if c not in set(keys) | {version}]

@@ -57,6 +57,55 @@ def test_union_tables_by_pattern(spark):
     assert set(out.columns) == {"id", "x", "y", "_source_table"}
 
 
+def test_union_folders_by_pattern(spark, tmp_path):
+    for schema, table, rows, cols in (("Web_eu", "ev_1", [(1, "a")], "id int, x string"), ("web_us", "EV_2", [(2, 1.5)], "id int, y double"),
+                                      ("web_us", "ev_skip", [(3, "c")], "id int, x string"), ("shop", "ev_4", [(4, "d")], "id int, x string"),
+                                      ("schema=web_k", "table=ev_5", [(5, "e")], "id int, x string"), ("web_us", "other", [(6, "f")], "id int, x string")):
+        spark.createDataFrame(rows, cols).coalesce(1).write.parquet(f"{tmp_path}/{schema}/{table}")
+    out = I.union_folders_by_pattern(spark, str(tmp_path), "WEB%", "ev%", exclude="%SKIP")
+    assert sorted((r.id, r.x, r.y, r._source_table) for r in out.collect()) == [
+        (1, "a", None, "Web_eu.ev_1"), (2, None, 1.5, "web_us.EV_2"), (5, "e", None, "web_k.ev_5")]
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    with pytest.raises(ValueError):
+        I.union_folders_by_pattern(spark, str(tmp_path), "none%", "ev%")
+
+
+def test_health_log_survives_replay_and_half_done_compaction(spark, tmp_path):
+    """Every batch counts once whatever is replayed, a snapshot without its commit is not read, and the
+    state after compaction equals the state without."""
+    def partial(k, n, top):
+        row = (k, dt.date(2024, 1, 1), n, 0, 2.0 * n, n, top, 1.0 * n, n, 1.0, None)
+        return spark.createDataFrame([row], "robotid string, summary_date date, event_count long, late_rows long, sum_motor_temp double, n_motor_temp long, "
+                                            "max_motor_temp double, sum_battery_voltage double, n_battery_voltage long, min_battery_voltage double, max_vibration double")
+
+    def state(log):
+        return sorted((r.robotid, r.event_count, r.max_motor_temp, r.max_vibration) for r in log.current().collect())
+
+    log = S.HealthLog(spark, str(tmp_path / "log"), "robotid")
+    assert log.current() is None
+    log.compact(0)
+    assert log.current() is None
+    log.add(partial("a", 3, 5.0), 0)
+    log.add(partial("a", 4, 9.0), 1)
+    log.add(partial("b", 1, 7.0), 1)  # a replay of batch 1 overwrites it
+    plain = state(log)
+    assert plain == [("a", 3, 5.0, None), ("b", 1, 7.0, None)]
+    log.compact(1)
+    log.compact(1)
+    assert state(log) == plain
+    log.add(partial("b", 1, 8.0), 2)
+    log.add(partial("c", 2, 1.0), 3)
+    later = [("a", 3, 5.0, None), ("b", 2, 8.0, None), ("c", 2, 1.0, None)]
+    assert state(log) == later
+    partial("a", 1000, 1.0).write.parquet(f"{log.path}/snapshots/upto=3")  # died before its commit
+    assert state(log) == later
+    log.compact(3)
+    assert state(log) == later
+    plan = log.current()._jdf.queryExecution().executedPlan().toString()
+    assert "upto=3" in str(log.current().inputFiles())
+    assert "PartitionFilters: [isnotnull(batch_id" in plan  # earlier deltas are pruned
+
+
 def test_latest_versions(spark):
     log = spark.createDataFrame([("k", 1, 10), ("k", 2, 20), ("j", 1, 5)], "key string, batch_id int, v int")
     got = {r.key: r.v for r in S.latest_versions(log, ["key"]).collect()}

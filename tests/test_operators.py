@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from telemetra.operators import quality as Q
 from telemetra.operators import relational as R
 from telemetra.operators import scd
+from telemetra.operators import windows as W
 from telemetra.operators.joins import pit_join, pit_merge
 
 T = dt.datetime
@@ -234,6 +235,27 @@ def test_column_assertions(spark):
     assert Q.not_null_proportion(df, "v", at_least=0.9).count() == 1
 
 
+def test_windows_over_a_whole_table(spark):
+    """Ungrouped sequences and ranges, cut into value ranges, equal the plain windows; ties, NULLs and hot values included."""
+    import random
+    rng = random.Random(5)
+    vals = [None] * 20 + [7] * 300 + [rng.randrange(-4000, 9000) for _ in range(6000)]
+    df = spark.createDataFrame([(v, None if v is None else v + rng.randrange(-1, 4)) for v in vals], "lo int, hi int").repartition(7)
+    plain = df.select("lo", F.lag("lo").over(W.ordered([], ["lo"])).alias("previous_lo")).filter("NOT (lo = previous_lo + 1)")
+    got = Q.sequential_values(df, "lo")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    one = df.withColumn("k", F.lit(1))
+    key = str
+    assert sorted(map(tuple, Q.ranges_with_next(df, "lo", "hi").collect()), key=key) == \
+        sorted(map(tuple, Q.ranges_with_next(one, "lo", "hi", "k").drop("partition_by_col").collect()), key=key)
+    for empty in (df.limit(0), df.filter("lo IS NULL")):
+        assert Q.sequential_values(empty, "lo").count() == 0
+    days = spark.createDataFrame([(D(2024, 1, 1),), (D(2024, 1, 2),), (D(2024, 1, 5),), (None,)], "d date")
+    assert [r.d for r in Q.sequential_values(days, "d", 1, "day").collect()] == [D(2024, 1, 5)]
+    words = spark.createDataFrame([("a", "b"), ("b", "c")], "lo string, hi string")  # no quantiles: the plain form
+    assert Q.ranges_with_next(words, "lo", "hi").count() == 2
+
+
 def test_sequential_and_recency(spark):
     df = spark.createDataFrame([("u", D(2024, 1, 1)), ("u", D(2024, 1, 2)), ("u", D(2024, 1, 4))], "u string, d date")
     bad = Q.sequential_values(df, "d", 1, "day", ["u"]).collect()
