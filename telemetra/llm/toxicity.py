@@ -1,8 +1,9 @@
 """Toxicity by weak supervision.
 
-1. Voters. Words and word beginnings that stand out in labelled toxic texts (distinct texts count
-   once; document frequencies are summed by Spark over the labelled learning rows) become a
-   lexicon, each term a voter; they and the pattern voters vote 1, 0 or abstain.
+1. Voters. Words and word beginnings that stand out in labelled toxic texts become a lexicon. A text and its copies with small
+   changes count once; document frequencies are summed by Spark. A term is taken if it stands out by more than chance
+   over all terms that were looked at, or if a good share of the toxic texts hold it. The OWN best terms are
+   voters of their own, all terms feed the pattern voters; they vote 1, 0 or abstain.
 2. Label model. A generative model of the votes given an unseen label, fitted by EM: each voter
    has a rate of voting 1, 0 and abstaining under either label. Correlated voters would count twice, so
    pairwise correlations that the label does not explain shrink their weights. A known label
@@ -10,13 +11,15 @@
 3. A linear classifier (logistic, in numpy) is trained on the posterior labels of a bounded sample
    of learning rows and scores every text.
 
-The lexicon is learned from at most LABELLED labelled rows, the label model and the classifier from at
-most SAMPLE learning rows, in each case those with the least hash of the id. Null texts are empty.
-Without any labels, or any label 1, all scores are 0.
+The lexicon is learned from at most LABELLED labelled rows; the label model and the classifier from these and at most SAMPLE
+rows without a label, in each case those with the least hash of the id. The share of label 1 comes from
+all labelled learning rows. Null texts are empty, a repeated row counts once for the lexicon, very long texts are scored whole.
+Without documents there are no rows; without any labels, or any label 1, all scores are 0.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import stored
+from telemetra.llm.common import run_hashes, split_words, stored
 
-LABELLED, SAMPLE, LEXICON = 20_000, 20_000, 60
+LABELLED, SAMPLE, OWN = 20_000, 10_000, 150
 #: Lengths of word beginnings, and how many terms the choice of the lexicon looks at.
-STEMS, CANDIDATES = range(4, 8), 5_000
-#: A term's least number of toxic texts, share of them, ratio of rates and log-likelihood gain.
-LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT, LEAST_GAIN = 4, 0.03, 8.0, 20.0
+STEMS, CANDIDATES = range(4, 8), 20_000
+#: A term's least number of toxic texts and ratio of rates, and the chance that any term at all gets in by luck.
+LEAST_TEXTS, LEAST_LIFT, BY_LUCK = 4, 8.0, 0.05
+#: Share of the toxic texts and log-likelihood gain that do without that test (few labels).
+LEAST_SHARE, LEAST_GAIN = 0.03, 20.0
 TASK_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _NO_UPPER = dict.fromkeys(range(65, 91))
@@ -65,48 +70,61 @@ def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def lexicon(labelled: DataFrame) -> list[str]:
-    """The words whose share of toxic texts stands out most. ``labelled``: y (0/1), text."""
+    """The words whose share of toxic texts stands out, best first. ``labelled``: y (0/1), text."""
     words = stored(labelled.select(F.col("y").cast("int").alias("y"), "text")
                    .mapInArrow(_document_words, "word string, n1 long, n0 long")
                    .groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "words")
     total = words.filter("word = ''").first()
     if total is None or not total["n1"]:
         return []
-    rate1, rate0 = F.col("n1") / total["n1"], (F.col("n0") + 0.5) / (total["n0"] + 1)
-    least = max(LEAST_TEXTS, LEAST_SHARE * total["n1"])
-    best = (words.filter((F.col("word") != "") & (F.col("n1") >= least) & (rate1 >= LEAST_LIFT * rate0))
-            .select("word", (F.col("n1") * F.log(rate1 / rate0)).alias("gain"))
-            .filter(F.col("gain") >= min(LEAST_GAIN, 0.1 * total["n1"]))
+    n1, n0, share = F.col("n1"), F.col("n0"), total["n1"] / (total["n1"] + total["n0"])
+    rate1, rate0 = n1 / total["n1"], (n0 + 0.5) / (total["n0"] + 1)
+    gain = n1 * F.log(rate1 / rate0)
+    # exp(-surprise) bounds the chance of so many toxic texts among the term's texts
+    surprise = n1 * F.log(n1 / ((n1 + n0) * share)) + F.when(n0 > 0, n0 * F.log(n0 / ((n1 + n0) * (1 - share)))).otherwise(0.0)
+    common = (n1 >= LEAST_SHARE * total["n1"]) & (gain >= min(LEAST_GAIN, 0.1 * total["n1"]))
+    best = (words.filter((F.col("word") != "") & (n1 >= LEAST_TEXTS) & (rate1 >= LEAST_LIFT * rate0)
+                         & (common | (surprise >= math.log(words.count() / BY_LUCK))))
+            .select("word", gain.alias("gain"))
             .orderBy(F.desc("gain"), F.desc(F.length("word")), "word").limit(CANDIDATES))
     chosen: list[str] = []
+    stems, begun = set(), set()  # chosen beginnings; all beginnings of what is chosen
     for term in (r[0] for r in best.collect()):  # of a word and its beginnings only the best stays
-        stem = term.rstrip("*")
-        if len(chosen) < LEXICON and not any(stem.startswith(c[:-1]) if c[-1] == "*" else c.startswith(stem) and term[-1] == "*"
-                                             for c in chosen) and not any(c.startswith(stem) for c in chosen if term[-1] == "*"):
+        word = term.rstrip("*")
+        if not any(word[:k] in stems for k in (*STEMS, len(word))) and not (term[-1] == "*" and word in begun):
             chosen.append(term)
-    return sorted(chosen)
+            stems |= {word} if term[-1] == "*" else set()
+            begun |= {word[:k] for k in STEMS} | {word}
+    return chosen
 
 
 def features(text: str | None, words: dict[str, int]) -> np.ndarray:
-    """Lexicon counts, then numbers that the pattern voters and the classifier share."""
+    """Counts of the OWN first lexicon terms, then numbers over all terms that the pattern voters and the classifier share.
+    ``words``: term -> place in the lexicon."""
     text = text or ""
     found = _WORD.findall(text.lower())
-    out = np.zeros(len(words) + 6)
+    own = min(OWN, len(words))
+    out = np.zeros(own + 6)
+    hit: Counter[int] = Counter()
     for w, k in Counter(found).items():
         i = words.get(w)
         if i is None:
             i = next((words[t] for t in (w[:size] + "*" for size in STEMS if len(w) > size) if t in words), None)
         if i is not None:
-            out[i] += k
-    hits, n = out[:len(words)].sum(), max(1, len(found))
+            hit[i] += k
+    for i, k in hit.items():
+        if i < own:
+            out[i] = k
+    hits, n = hit.total(), max(1, len(found))
     upper = len(text) - len(text.translate(_NO_UPPER))
-    out[len(words):] = (hits, (out[:len(words)] > 0).sum(), 100 * hits / n, upper / max(1, len(text)),
-                        100 * text.count("!") / max(1, len(text)), bool(hits) and len(_SECOND.findall(text.lower())) / n)
+    out[own:] = (hits, len(hit), 100 * hits / n, upper / max(1, len(text)),
+                 100 * text.count("!") / max(1, len(text)), bool(hits) and len(_SECOND.findall(text.lower())) / n)
     return out
 
 
-def votes(x: np.ndarray, n_words: int) -> np.ndarray:
+def votes(x: np.ndarray) -> np.ndarray:
     """Votes of all voters on rows of features: 1 toxic, 0 not, -1 abstains."""
+    n_words = x.shape[1] - 6
     hits, kinds, dense, upper, bang, aimed = x[:, n_words:].T
     lex = np.where(x[:, :n_words] > 0, 1, -1)
     none = hits == 0
@@ -119,15 +137,15 @@ def votes(x: np.ndarray, n_words: int) -> np.ndarray:
 class LabelModel:
     """Rates of each vote (abstain, 0, 1) under either label, with weights for correlated voters."""
 
-    def fit(self, v: np.ndarray, known: np.ndarray, rounds: int = 15) -> LabelModel:
-        """``known``: 0/1, or -1 for rows without a label."""
+    def fit(self, v: np.ndarray, known: np.ndarray, prior: float | None = None, rounds: int = 15) -> LabelModel:
+        """``known``: 0/1, or -1 for rows without a label; ``prior``: share of label 1 (default: among ``known``)."""
         seen = known >= 0
-        self.prior = np.clip(known[seen].mean(), 0.005, 0.5)
+        self.prior = np.clip(known[seen].mean() if prior is None else prior, 0.005, 0.5)
         q = np.where(seen, np.where(known == 1, 0.8, self.prior / 2), self.prior)
-        one_hot = np.stack([v == -1, v == 0, v == 1], 2).astype(np.float64)
+        cast = [(v == k).astype(np.float32) for k in (-1, 0, 1)]
         self.weight = np.ones(v.shape[1])
         for _ in range(rounds):
-            self.rates = np.stack([(np.einsum("n,nvk->vk", p, one_hot) + 1) / (p.sum() + 3) for p in (1 - q, q)])
+            self.rates = np.stack([(np.stack([p.astype(np.float32) @ c for c in cast], 1) + 1) / (p.sum() + 3) for p in (1 - q, q)])
             self.weight = self.shrink(v, q)
             q = self.posterior(v, self.label_odds(known, q))
         return self
@@ -177,28 +195,38 @@ def logistic(x: np.ndarray, target: np.ndarray, rounds: int = 60, ridge: float =
     return w
 
 
+def _copies(text: Column) -> Column:
+    """A key that a text shares with its copies, also with most that differ in a few words: its three least hashes of five words."""
+    hashes = F.transform(split_words(text, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w))
+    return F.when(F.size(hashes) < 7, F.array(F.xxhash64(text))).otherwise(
+        F.slice(F.array_sort(F.array_distinct(run_hashes(hashes, 5))), 1, 3))
+
+
 def fit(docs: DataFrame, known: DataFrame) -> tuple[list[str], list[float]]:
     """(lexicon, classifier weights). ``docs``: id, text of learning rows; ``known``: id, y (0/1)."""
-    chosen = (docs.select("id").join(known, "id").distinct().orderBy(F.xxhash64("id"), "id").limit(LABELLED))
-    words = lexicon(docs.join(F.broadcast(chosen), "id").groupBy(F.xxhash64("text").alias("same"))
-                    .agg(F.max("y").alias("y"), F.first("text").alias("text")))
+    ids = docs.select("id").distinct()
+    labelled = ids.join(known, "id")
+    prior = labelled.agg(F.avg("y")).first()[0]
+    if not prior:
+        return [], []
+    first = (F.xxhash64("id"), "id")
+    chosen = stored(labelled.orderBy(*first).limit(LABELLED).select("id", F.col("y").cast("int").alias("y"))
+                    .union(ids.join(known, "id", "left_anti").orderBy(*first).limit(SAMPLE).select("id", F.lit(-1))), "sample")
+    rows = stored(docs.join(F.broadcast(chosen), "id").select("text", "y"), "texts")  # at most LABELLED + SAMPLE ids
+    words = lexicon(rows.filter("y >= 0").groupBy(_copies(F.col("text")).alias("same"), "y").agg(F.min("text").alias("text")))
     if not words:
         return [], []
     at = {w: i for i, w in enumerate(words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([pa.array([features(t.as_py(), at).tolist() for t in batch.column(0)], pa.list_(pa.float64())),
+            yield pa.record_batch([pa.array([features(t.as_py(), at).tobytes() for t in batch.column(0)], pa.binary()),
                                    batch.column(1)], names=["x", "y"])
 
-    sample = F.broadcast(docs.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE))  # at most SAMPLE ids
-    got = (docs.join(sample, "id").join(known, "id", "left")
-           .select("text", F.coalesce(F.col("y").cast("int"), F.lit(-1)).alias("y")).mapInArrow(run, "x array<double>, y int").collect())
-    x, labels = np.array([r[0] for r in got]), np.array([r[1] for r in got])
-    if not len(got) or not (labels == 1).any():
-        return [], []
-    v = votes(x, len(words))
-    return words, logistic(x, LabelModel().fit(v, labels).posterior(v)).tolist()
+    got = rows.mapInArrow(run, "x binary, y int").toArrow()
+    x = np.stack([np.frombuffer(r.as_py()) for r in got["x"]])
+    v = votes(x)
+    return words, logistic(x, LabelModel().fit(v, got["y"].to_numpy(), prior).posterior(v)).tolist()
 
 
 def score(documents: DataFrame, model: tuple[list[str], list[float]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -343,6 +343,37 @@ def test_toxic_lexicon_and_label_model(spark, documents):
     assert all((r["score"] >= 0.7) == (r["doc_id"] % 6 == 0) for r in got)
 
 
+def test_rare_labels_are_all_learned_from(spark, documents, monkeypatch):
+    """Labels few against the documents, and a sample far smaller than these, still teach the model."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for i in range(3000):
+        bad = i % 10 == 0
+        rows.append((i, " ".join(f"w{k}" for k in rng.integers(0, 300, 40)) + (" vileness badword vileness" if bad else "")))
+        if i % 20 == 0 or i % 60 == 1:
+            labels.append((i, 1, int(bad)))
+    got = toxicity.classify(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(True)).collect()
+    assert all((r["score"] >= 0.7) == (r["doc_id"] % 10 == 0) for r in got)
+
+
+def test_many_rare_toxic_words(spark, documents):
+    """Each toxic text has one of 130 words; none is in three percent of them."""
+    rng = np.random.default_rng(2)
+    name = lambda k: "".join(chr(97 + int(d)) for d in f"{k:05d}")
+    rows, labels = [], []
+    for i in range(9000):
+        bad = i % 3 == 0
+        w = ["w" + name(k) for k in rng.integers(0, 300, 40)]
+        if bad:
+            w[int(rng.integers(0, 40))] = name(7000 + 89 * int(rng.integers(0, 130)))
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(bad)))
+    got = toxicity.classify(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(True)).collect()
+    assert sum(r["score"] >= 0.7 for r in got if r["doc_id"] % 3 == 0) >= 2700
+    assert not sum(r["score"] >= 0.7 for r in got if r["doc_id"] % 3)
+
+
 def test_additive_model_finds_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((3000, 4))
