@@ -12,8 +12,8 @@
 4. Links give components.
 
 Null, empty and wordless texts have no set and link with nothing. Ids must be whole numbers; rows
-that repeat an id count as copies if their texts are equal, else the id stands for all of them. Null
-ids are left out of the result.
+that repeat an id count as copies if their texts are equal; if not, all its texts are linked with each other (but for
+empty ones), however the rows are partitioned. Null ids are left out of the result; without documents there are no rows.
 """
 
 from __future__ import annotations
@@ -163,7 +163,7 @@ def _links(size: int, percent: int):
         ties, out, todo = Forest(len(ids)), [], [[] for _ in range(SIGNATURE + 1)]
         for k in range(len(ids) - 1):
             rest = np.arange(k + 1, len(ids)) if own else k + 1 + np.flatnonzero(side[k + 1:] != side[k])
-            rest = rest[(100 * np.minimum(n[rest], n[k]) >= percent * np.maximum(n[rest], n[k]))]
+            rest = rest[(n[rest] > 0) & (100 * np.minimum(n[rest], n[k]) >= percent * np.maximum(n[rest], n[k]))]
             same = (sig[rest] == sig[k]).sum(1)
             for s in np.unique(same[same >= low]).tolist():
                 todo[s].append((k, rest[same == s]))
@@ -198,16 +198,26 @@ def confirmed(texts: DataFrame, size: int, percent: int) -> DataFrame:
     return links
 
 
+def _repeated(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) from an id that repeats with different texts to the id of each of its texts' classes."""
+    several = (sets.filter("n > 0").groupBy("id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi"))
+               .filter("lo <> hi").select("id"))
+    rows = sets.filter("n > 0").join(several, "id").select("set_key", F.col("id").alias("a"))
+    return rows.join(classes.select("set_key", F.col("id").alias("b")), "set_key").select("a", "b").distinct()
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                     percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links), kept."""
     sets = stored(profile(documents, id_col, text_col, size), "sets")
     classes = stored(sets.filter("n > 0").groupBy("set_key")
                      .agg(F.min(F.struct("id", "n", "signature")).alias("r")).select("set_key", "r.*"), "classes")
-    groups = stored(candidates(classes, percent / 100).join(classes.select("id", "n"), "id"), "groups")
+    sizes = classes.groupBy("id").agg(F.max("n").alias("n"))  # an id with several texts may stand for several classes
+    groups = stored(candidates(classes, percent / 100).join(sizes, "id"), "groups")
     texts = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-             .join(groups, "id").dropDuplicates(["id"]))
-    found = components(stored(confirmed(texts, size, percent), "links"))
+             .join(groups, "id").withColumn("_same", F.sha2("text", 256)).dropDuplicates(["id", "_same"]).drop("_same"))
+    links = confirmed(texts, size, percent)
+    found = components(stored(links.select("a", "b").union(_repeated(sets, classes)), "links"))
     of_class = classes.join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     return (sets.withColumn("set_key", F.when(F.col("n") > 0, F.col("set_key"))).join(of_class, "set_key", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),

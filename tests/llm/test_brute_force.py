@@ -268,6 +268,21 @@ def test_texts_without_words_before_short_texts(spark, documents):
     assert {r["doc_id"] for r in got if not r["kept"]} == {11}
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_an_id_with_several_texts_unites_them(spark, documents, parts):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (2, b), (2, a + " z"), (3, b + " z"), (5, c), (6, ""), (6, c), (6, None), (7, ""), (8, "d e f"), (9, None), (9, None)]
+    got = minhash_forest.near_duplicates(documents(rows).repartition(parts)).collect()
+    assert len(got) == len(rows)
+    found = {}
+    for r in got:
+        if r["n_shingles"]:
+            assert found.setdefault(r["doc_id"], r["component_id"]) == r["component_id"]
+        else:
+            assert r["component_id"] == r["doc_id"]
+    assert found == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 8: 8}
+
+
 def test_groups_larger_than_a_block(spark, documents, monkeypatch):
     monkeypatch.setattr(minhash_forest, "BLOCK_WEIGHT", 9000)
     rng = np.random.default_rng(3)
