@@ -7,8 +7,9 @@ A suffix array of all texts would be sorted from bytes that mostly occur once, s
 can repeat are found first, and each shard gets all occurrences of its strings:
 
 1. Anchors. Of each string of ``length`` bytes the least hash of its short grams is its anchor;
-   equal strings have equal anchors. Spark counts in how many packs of documents (and in a pack,
-   documents) each anchor occurs; strings at anchors of one document cannot repeat.
+   equal strings have equal anchors. A pack of documents sends its distinct anchors once, as sorted numbers dealt
+   to buckets, and is told by a bit for each whether another document has it, too; strings at other anchors cannot repeat.
+   An anchor in every document is one number a pack.
 2. Shards. A pack sends each distinct run of strings around a shared anchor once, with its smallest
    document. Runs are dealt out and sorted by anchor, so all occurrences of a string meet in one
    shard, a bounded part of that stream.
@@ -29,15 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetra.llm import flat
+from telemetra.llm.blocks import _answers, _column, _dealt, _steps, _told, bits, buckets_of, unbits, unplanes
 from telemetra.llm.common import parts, stored
 from telemetra.llm.induced import common_prefixes, suffix_array
 
 #: Bytes of text in a pack and of runs in a shard.
 PACK_BYTES, SHARD_BYTES = 6 << 20, 2 << 20
+#: Bytes of text whose anchors fall into one bucket, at most; there are no fewer buckets than shuffle partitions.
+BUCKET_BYTES = 128 << 20
 #: Bits of an anchor beyond those that number all bytes: two anchors that share a number by chance (one in 2^SPARE_BITS) only send
 #: a few runs in vain, the shards decide on the runs' bytes.
 SPARE_BITS = 8
@@ -88,28 +92,38 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, width: int = 64)
     return starts[first], starts[last], doc[first], flat.span_hashes(sums, at, at + gram_of(length)) >> flat.U64(64 - width), sums
 
 
-def _anchors(length: int, width: int):
-    """(anchor, whether more than one document has it, pack), once for every slice of a batch: a document lies in one slice,
-    so an anchor of two rows has two documents."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packs, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            for i, j, data, off in flat.slices(*flat.texts(batch.column(2))):
-                _, _, doc, anchor, _ = runs_of(data, off, length, width)
-                d, pack = ids[i:j][doc], packs[i:j][doc]
-                order = np.lexsort((d, anchor, pack))
-                a, d, pack = anchor[order], d[order], pack[order]
-                edge = np.append(True, (a[1:] != a[:-1]) | (pack[1:] != pack[:-1])) if len(a) else np.zeros(0, bool)
-                new = np.flatnonzero(edge)
-                end = np.append(new[1:], len(a)) - 1 if len(a) else new
-                yield pa.record_batch([pa.array(a[new].view(np.int64)), pa.array(d[end] != d[new]), pa.array(pack[new])], names=["anchor", "many", "pack"])
+def _anchors(length: int, width: int, buckets: int):
+    """A pack's distinct anchors as sorted numbers, dealt to buckets by their leading bits, each with a mark if more than one
+    document of the pack has it."""
+    def run(table: pa.Table) -> pa.Table:
+        p = Pack(table, length, width)
+        order = np.argsort(p.number, kind="stable")  # runs are in order of id, so a number's first and last tell whether it has two
+        bounds = np.searchsorted(p.number[order], np.arange(len(p.values) + 1))
+        own = p.ids[p.doc[order]]
+        many = own[bounds[:-1]] != own[bounds[1:] - 1] if len(own) else np.zeros(0, bool)
+        return _dealt(table["pack"][0].as_py(), buckets_of(p.values, buckets, width), ["numbers", "many", "none"],
+                      lambda x, y: (_steps(p.values[x:y]), bits(many[x:y]), b""))
     return run
 
 
+def find_shared(table: pa.Table) -> pa.Table:
+    """Of a bucket's anchors those that more than one document has: two of a pack, or two packs."""
+    sizes = table["n"].to_pylist()
+    values = _column(table, "numbers", lambda b: np.cumsum(unplanes(b)))
+    many = np.concatenate([unbits(b, n) for b, n in zip(table["many"].to_pylist(), sizes, strict=True)])
+    order = np.argsort(values, kind="stable")
+    values = values[order]
+    new = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    size = np.diff(np.append(new, len(values)))
+    told = np.empty(len(values), bool)
+    told[order] = np.repeat((size > 1) | many[order[new]], size)
+    return _answers(table, 0, told)
+
+
 class Pack:
-    """The documents of a pack and their runs at shared anchors, distinct runs numbered alike on every call."""
+    """The documents of a pack and their runs; ``values`` are the distinct anchors, ``number`` each run's place there."""
 
-    def __init__(self, table: pa.Table, shared: np.ndarray, length: int, width: int):
+    def __init__(self, table: pa.Table, length: int, width: int):
         order = np.argsort(np.asarray(table["key"].combine_chunks()), kind="stable")
         table = table.take(pa.array(order))
         self.ids = np.asarray(table["key"].combine_chunks())
@@ -118,15 +132,19 @@ class Pack:
         found = []
         for i, _, data, off in flat.slices(self.data, self.offsets):
             first, last, doc, anchor, sums = runs_of(data, off, length, width)
-            at = np.minimum(np.searchsorted(shared, anchor), max(0, len(shared) - 1))
-            hit = np.flatnonzero(shared[at] == anchor) if len(shared) else np.zeros(0, int)
-            first, last, doc, anchor = first[hit], last[hit], doc[hit], anchor[hit]
-            run = flat.span_hashes(sums, first, last + length) ^ flat.mix(anchor)
             base = self.offsets[i]
-            found.append((first + base, last + base, doc + i, anchor, run))
+            found.append((first + base, last + base, doc + i, anchor, flat.span_hashes(sums, first, last + length) ^ flat.mix(anchor)))
         cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
-        self.first, self.last, self.doc, self.anchor, run = cols
-        _, self.one, self.number = np.unique(run, return_index=True, return_inverse=True)  # the first has the smallest id
+        self.first, self.last, self.doc, self.anchor, self.run = cols
+        self.values, self.number = np.unique(self.anchor, return_inverse=True)
+
+    def keep(self, shared: np.ndarray) -> "Pack":
+        """Keeps the runs whose anchor is ``shared`` (told for every value) and numbers the distinct ones, alike on every call."""
+        hit = np.flatnonzero(shared[self.number])
+        self.first, self.last, self.doc, self.anchor = self.first[hit], self.last[hit], self.doc[hit], self.anchor[hit]
+        _, self.one, self.number = np.unique(self.run[hit], return_index=True, return_inverse=True)  # the first has the smallest id
+        self.run = self.values = None
+        return self
 
 
 def _send(length: int):
@@ -273,26 +291,25 @@ _ANSWER = ["number", "lo", "hi", "least"]
 _SENT = pa.schema([("anchor", pa.int64()), ("run", pa.binary()), ("pack", pa.int32()), ("number", pa.int32()), ("doc", pa.int64()), ("many", pa.bool_())])
 
 
-def _shared(table: pa.Table) -> np.ndarray:
-    """The shared anchors that a pack was told."""
-    lists = [x for x in table["anchors"].to_pylist() if x is not None]
-    return np.sort(np.array([a for x in lists for a in x], np.int64).view(np.uint64))
+_NUMBERS = "bucket int, pack int, n int, numbers binary, many binary, none binary"
+_TOLD = ["bucket", "step", "n", "told"]
 
 
 def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (text)."""
+    spark = documents.sparkSession
     docs = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("key"),
                             F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // PACK_BYTES))
     width = min(64, int(total).bit_length() + SPARE_BITS)
-    docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(parts(documents.sparkSession), "pack")
+    docs = docs.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(packs)).cast("int")).repartition(parts(spark), "pack")
+
+    buckets = max(parts(spark), -(-total // BUCKET_BYTES))
 
-    # 1. anchors of more than one document, told to every pack that has them
-    seen = docs.select("pack", "key", "text").mapInArrow(_anchors(length, width), "anchor long, many boolean, pack int")
-    shared = Window.partitionBy("anchor")
-    shared = (seen.withColumn("repeats", F.max("many").over(shared) | (F.count("*").over(shared) > 1))
-              .filter("repeats").groupBy("pack").agg(F.collect_set("anchor").alias("anchors")))
+    # 1. anchors of more than one document: a bit for each anchor of every pack
+    shared = (docs.groupBy("pack").applyInArrow(_anchors(length, width, buckets), _NUMBERS).repartition(parts(spark), "bucket")
+              .groupBy("bucket").applyInArrow(find_shared, "pack int, bucket int, step int, n int, told binary"))
     shared = stored(shared, "shared")
 
     # 2. and 3. distinct runs to shards, sorted by anchor; answers per pack
@@ -300,21 +317,26 @@ def repeats(documents: DataFrame, length: int = 50, id_col: str = "doc_id", text
         return docs.groupBy("pack").cogroup(right.groupBy("pack")).applyInArrow(of, kind)
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        p = Pack(left, _shared(right), length, width)
-        return _send(length)(left["pack"][0].as_py(), p) if len(left) else _SENT.empty_table()
+        if not len(left):
+            return _SENT.empty_table()
+        p = Pack(left, length, width)
+        return _send(length)(left["pack"][0].as_py(), p.keep(_told(right, 0, len(p.values))))
 
     runs = grouped(shared, send, "anchor long, run binary, pack int, number int, doc long, many boolean")
-    answers = (runs.repartition(parts(documents.sparkSession), "anchor").sortWithinPartitions("anchor", "run")
+    answers = (runs.repartition(parts(spark), "anchor").sortWithinPartitions("anchor", "run")
                .mapInArrow(_shards(length), "pack int, number binary, lo binary, hi binary, least binary"))
 
     # 4. the answers mark the bytes of every occurrence
     kind = docs.schema["id"].dataType.simpleString()
-    both = shared.select("pack", "anchors", *(F.lit(None).cast("binary").alias(c) for c in _ANSWER)) \
-        .unionByName(answers.select("pack", F.lit(None).cast("array<bigint>").alias("anchors"), *_ANSWER))
+    nothing = {"number": "binary", "lo": "binary", "hi": "binary", "least": "binary"}
+    both = (shared.select("pack", *_TOLD, *(F.lit(None).cast(k).alias(c) for c, k in nothing.items()))
+            .unionByName(answers.select("pack", *(F.lit(None).cast(shared.schema[c].dataType).alias(c) for c in _TOLD), *_ANSWER)))
 
     def mark(left: pa.Table, right: pa.Table) -> pa.Table:
-        p = Pack(left, _shared(right), length, width)
-        told = right.filter(pc.is_valid(right["number"]))
+        p = Pack(left, length, width)
+        answered = pc.is_valid(right["number"])
+        told = right.filter(answered)
+        p.keep(_told(right.filter(pc.invert(answered)), 0, len(p.values)))
         return _mark(length, keep_text)(p, list(zip(*(told[c].to_pylist() for c in _ANSWER), strict=True)))
 
     return (grouped(both, mark, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text)
