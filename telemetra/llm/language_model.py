@@ -8,15 +8,18 @@ tokens are split into classes by frequency and have their own outputs:
 
 All other tokens fall into a few tail classes by form, in which a token has its share of the
 class's count (plus one for each known token and one for the unknown). The network (one GRU layer) is
-trained over every token of every learning text. In each of EPOCHS rounds every partition starts
-from the same parameters and runs back-propagation, cut off after WINDOW steps, through its whole
-texts (BATCH texts side by side, the state handed on from window to window); Spark then averages the
-parameters, weighted by tokens. They thus depend a little on how the rows are dealt to partitions.
-Scoring, too, runs over whole texts in windows and hands the state from each window to the next.
+trained over every token of every learning text, in ROUNDS rounds over disjoint shares of the texts (by the
+id's crc32). In a round every partition starts from the same parameters and runs back-propagation, cut
+off after WINDOW steps, through its whole texts (BATCH of them side by side, the state handed on from window
+to window; a text of more than PIECE tokens trains as several, so that a very long one does not run alone
+at the end); Spark then averages the parameters, weighted by tokens. They thus depend a little on
+how the rows are dealt to partitions. Scoring runs over whole texts in windows and hands the state
+from each window to the next, however long the text.
 
 Only the short list is sent to the tasks; counts of all other tokens stay distributed and meet
 the texts in a join on token hashes (64 bits), each text and token pre-aggregated.
-Null texts are empty: one end token.
+Null texts are empty: one end token. Rows that repeat an id are scored, and learnt from, each by itself; a null id is
+scored like any other. An empty table gives an empty result. A text is held whole by one task.
 """
 
 from __future__ import annotations
@@ -36,7 +39,9 @@ SHORT, CLASSES, TAILS = 2048, 32, 4
 HIDDEN, EMBED, WINDOW = 16, 12, 16
 #: Steps of a scoring window.
 SCORE_WINDOW = 64
-EPOCHS, BATCH, STEP = 3, 64, 0.01
+ROUNDS, BATCH, STEP = 3, 256, 0.04
+#: Tokens of a text that run through training one after another; a longer text goes in several such pieces, side by side.
+PIECE = 1024
 #: Parameters in a row of the table that Spark averages.
 ROW_VALUES = 32
 #: Texts that run through the network side by side, by their bytes.
@@ -120,40 +125,48 @@ class Network:
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """log P(class) + log P(token | class) (0 for tail classes); with ``grads``, d(-sum)/dh goes to grads["h"]."""
+        order = np.argsort(self.class_of[target], kind="stable")  # rows of one class lie together
+        h, target = h[order], target[order]
         cls = self.class_of[target]
-        logits = h @ self.p["C"] + self.p["c"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
         rows = np.arange(len(h))
-        out = logits[rows, cls] - np.log(total)
+        e = h @ self.p["C"]
+        e += self.p["c"]
+        e -= e.max(1, keepdims=True)
+        own = e[rows, cls]
+        np.exp(e, out=e)
+        total = e.sum(1)
+        got = own - np.log(total)
         if grads is not None:
-            d = e / total[:, None]
-            d[rows, cls] -= 1
-            grads["C"] += h.T @ d
-            grads["c"] += d.sum(0)
-            dh = d @ self.p["C"].T
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(len(self.sizes) + 1))
-        for k in range(len(self.sizes)):
-            at = order[cuts[k]:cuts[k + 1]]
-            if not len(at):
+            e /= total[:, None]
+            e[rows, cls] -= 1
+            grads["C"] += h.T @ e
+            grads["c"] += e.sum(0)
+            dh = e @ self.p["C"].T
+        cuts = np.searchsorted(cls, np.arange(len(self.sizes) + 1))
+        for k, size in enumerate(self.sizes):
+            at = slice(cuts[k], cuts[k + 1])
+            if size == 1 or at.start == at.stop:  # the only token of a class is certain
                 continue
             lo, hi = self.start[k], self.start[k + 1]
-            own = h[at] @ self.p["O"][lo:hi].T + self.p["o"][lo:hi]
-            own -= own.max(1, keepdims=True)
-            e = np.exp(own)
+            there, pick = rows[:at.stop - at.start], target[at] - lo
+            e = h[at] @ self.p["O"][lo:hi].T
+            e += self.p["o"][lo:hi]
+            e -= e.max(1, keepdims=True)
+            own = e[there, pick]
+            np.exp(e, out=e)
             total = e.sum(1)
-            mine, pick = np.arange(len(at)), target[at] - lo
-            out[at] += own[mine, pick] - np.log(total)
+            got[at] += own - np.log(total)
             if grads is not None:
-                d = e / total[:, None]
-                d[mine, pick] -= 1
-                grads["O"][lo:hi] += d.T @ h[at]
-                grads["o"][lo:hi] += d.sum(0)
-                dh[at] += d @ self.p["O"][lo:hi]
+                e /= total[:, None]
+                e[there, pick] -= 1
+                grads["O"][lo:hi] += e.T @ h[at]
+                grads["o"][lo:hi] += e.sum(0)
+                dh[at] += e @ self.p["O"][lo:hi]
+        out = np.empty_like(got)
+        out[order] = got
         if grads is not None:
-            grads["h"] = dh
+            grads["h"] = np.empty_like(dh)
+            grads["h"][order] = dh
         return out
 
     def window_gradients(self, ids: np.ndarray, h0: np.ndarray, before: np.ndarray, fresh: np.ndarray | None = None,
@@ -192,7 +205,10 @@ class Network:
         x = fed.ravel()
         g["W"] += self.p["E"][x].T @ dx
         g["b"] += dx.sum(0)
-        np.add.at(g["E"], x, dx @ self.p["W"].T)
+        order = np.argsort(x, kind="stable")
+        fed = x[order]
+        new = np.flatnonzero(np.append(True, fed[1:] != fed[:-1]))
+        g["E"][fed[new]] = np.add.reduceat((dx @ self.p["W"].T)[order], new)
         return g, h, loss
 
     def train(self, texts: Iterator[np.ndarray], end: int, step: float = STEP, batch: int = BATCH) -> int:
@@ -307,7 +323,7 @@ class Model:
 
 
 def fit(texts: DataFrame, counts: DataFrame) -> Model:
-    """``texts``: text of the learning rows; ``counts``: token, n over them."""
+    """``texts``: text of the learning rows and share, the round (from 0) that trains on it; ``counts``: token, n over them."""
     total = counts.agg(F.sum("n"), F.count("*")).first()
     short = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "token").limit(SHORT).collect()]
     by_class = counts.groupBy(F.col("token").bitwiseAND(3).alias("tail")).agg(F.sum("n"), F.count("*")).collect()
@@ -317,8 +333,8 @@ def fit(texts: DataFrame, counts: DataFrame) -> Model:
         tails[token & 3][1] -= 1
     model = Model(short, total[0] or 0, total[1], {k: tuple(v) for k, v in tails.items()})
 
-    for epoch in range(EPOCHS):
-        _round(texts, model, STEP / (1 + epoch))
+    for k in range(ROUNDS):
+        _round(texts.filter(F.col("share") == k), model, STEP / (1 + k))
     return model
 
 
@@ -334,7 +350,8 @@ def _round(texts: DataFrame, model: Model, step: float) -> None:
                 for _, _, data, off in flat.slices(*flat.texts(batch.column(0))):
                     hashes, tail, bounds = tokens(data, off)
                     ids = model.ids(hashes, tail)
-                    yield from (ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+                    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                        yield from (ids[lo:min(lo + PIECE, b)] for lo in range(a, b, PIECE))
 
         n = model.net.train(own(), model.end, step)
         if n:
@@ -389,8 +406,9 @@ def scores(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", tex
     """id, n_tokens, n_known, train_tokens, base_score, score of every text."""
     spark = documents.sparkSession
     docs = documents.withColumn("_learn", learn_from).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "_learn")
-    learning = docs.filter("_learn").select("text")
-    counts = stored(token_counts(learning), "counts")
+    share = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % ROUNDS, F.lit(0))
+    learning = docs.filter("_learn").select("text", share.alias("share"))
+    counts = stored(token_counts(learning.select("text")), "counts")
     model = fit(learning, counts)
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema["id"].dataType.simpleString()
