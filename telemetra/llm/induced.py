@@ -78,7 +78,7 @@ def by_doubling(names: np.ndarray, depth: int) -> np.ndarray:
         ahead = np.zeros(len(rank), np.int64)
         ahead[:-k] = rank[k:] + 1
         key = rank * (int(rank.max(initial=0)) + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # ties get the same rank
         new = np.append(False, key[order][1:] != key[order][:-1])
         rank = np.empty(len(key), np.int64)
         rank[order] = np.cumsum(new)
