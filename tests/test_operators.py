@@ -465,3 +465,11 @@ def test_equality_measure_counts_rows_and_the_excess(spark):
     a, b = spark.range(10).toDF("x"), spark.range(4, 11).toDF("x")
     assert Q.failure_count(Q.equality(a, b), Q.EQUALITY_MEASURE).first()[0] == 5 + 3
     assert Q.failure_count(Q.equality(a, a), Q.EQUALITY_MEASURE).first()[0] == 0
+
+
+def test_cardinality_equality_groups_both_tables_once(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (5,), (5,)], "x int")
+    b = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,), (None,), (7,)], "y int")
+    out = Q.cardinality_equality(a, "x", b, "y")
+    assert sorted(out.collect(), key=str) == sorted([(1, 2), (1, 1), (2, 1), (2, 2), (None, 1), (None, 2), (5, 2), (7, 1)], key=str)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
