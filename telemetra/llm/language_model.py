@@ -16,8 +16,8 @@ at the end); Spark then averages the parameters, weighted by tokens. They thus d
 how the rows are dealt to partitions. Scoring runs over whole texts in windows and hands the state
 from each window to the next, however long the text.
 
-Only the short list is sent to the tasks; counts of all other tokens stay distributed and meet
-the texts in a join on token hashes (64 bits), each text and token pre-aggregated.
+Only the short list and the counts of the NEXT most frequent tokens are sent to the tasks; counts of all other tokens stay
+distributed and meet the texts in a join on token hashes (64 bits), each text and token pre-aggregated.
 Null texts are empty: one end token. Rows that repeat an id are scored, and learnt from, each by itself; a null id is
 scored like any other. An empty table gives an empty result. A text is held whole by one task.
 """
@@ -25,7 +25,7 @@ scored like any other. An empty table gives an empty result. A text is held whol
 from __future__ import annotations
 
 import copy
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ from telemetra.llm import flat
 from telemetra.llm.common import stored
 
 SHORT, CLASSES, TAILS = 2048, 32, 4
+#: Tokens after the short list whose counts the tasks hold, so that they take no part in the join.
+NEXT = 1 << 16
 HIDDEN, EMBED, WINDOW = 16, 12, 16
 #: Steps of a scoring window.
 SCORE_WINDOW = 64
@@ -44,8 +46,10 @@ ROUNDS, BATCH, STEP = 3, 256, 0.04
 PIECE = 1024
 #: Parameters in a row of the table that Spark averages.
 ROW_VALUES = 32
-#: Texts that run through the network side by side, by their bytes.
-GROUP_BYTES = 4 << 20
+#: Texts that run through the network side by side, by their bytes, and tokens whose outputs are worked out at once.
+GROUP_BYTES, OUTPUTS = 10 << 20, 1 << 14
+#: Outputs up to this size go to exp as they are: their exponentials, and sums of them, are far from a float's ends.
+SAFE = 40.0
 #: Hash of the end token.
 END = np.uint64(0x5BD1E9955BD1E995)
 
@@ -58,10 +62,10 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     hashes = flat.span_hashes(flat.prefix_sums(low), starts, ends)
     high = np.concatenate([[0], np.cumsum(low >= 128)])
     last = low[ends - 1] if len(ends) else low[:0]
-    tail = ((high[ends] > high[starts]) * 1 + ((last < 97) | ((last > 122) & (last < 128))) * 2).astype(np.int64)
+    tail = ((high[ends] > high[starts]) * 1 + ((last < 97) | ((last > 122) & (last < 128))) * 2).astype(np.int8)
     hashes = (hashes & ~np.uint64(3)) | tail.astype(np.uint64)
     at = first[1:]
-    return np.insert(hashes, at, END), np.insert(tail, at, END & np.uint64(3)), first + np.arange(len(first))
+    return np.insert(hashes, at, END), np.insert(tail, at, np.int8(END & np.uint64(3))), first + np.arange(len(first))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +99,10 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    x = np.negative(x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Network:
@@ -116,52 +123,66 @@ class Network:
         """One step from inputs x (already times W) and state h."""
         u = h @ self.p["U"]
         zr = sigmoid(x[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        cand = np.tanh(x[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
-        return z * h + (1 - z) * cand, z, r, cand, u[:, 2 * HIDDEN:]
+        z, r, u = zr[:, :HIDDEN], zr[:, HIDDEN:], u[:, 2 * HIDDEN:]
+        cand = r * u
+        cand += x[:, 2 * HIDDEN:]
+        np.tanh(cand, out=cand)
+        new = h - cand
+        new *= z
+        new += cand
+        return new, z, r, cand, u
 
     def inputs(self) -> np.ndarray:
         return self.p["E"] @ self.p["W"] + self.p["b"]
 
+    @staticmethod
+    def exponentials(h: np.ndarray, weights: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(exp of the outputs, their sums, log softmax of those picked). ``h`` ends in a column of ones, ``weights`` in the
+        outputs' constants. Outputs that may be large are lowered by each row's largest first."""
+        e = h @ weights.T
+        own = e[np.arange(len(h)), pick]
+        if not np.abs(weights).sum(1).max() < SAFE:  # |h| <= 1, so that no output can be beyond
+            most = e.max(1)
+            e -= most[:, None]
+            own = own - most
+        np.exp(e, out=e)
+        total = e @ np.ones(e.shape[1], e.dtype)
+        return e, total, own - np.log(total)
+
+    @staticmethod
+    def output_gradients(h: np.ndarray, weights: np.ndarray, pick: np.ndarray, e: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(d(-sum)/d weights, d(-sum)/dh without the ones) of ``exponentials``; ``e`` is overwritten."""
+        e[np.arange(len(h)), pick] -= total
+        total = total[:, None]
+        return e.T @ (h / total), (e @ weights[:, :-1]) / total
+
     def log_probs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """log P(class) + log P(token | class) (0 for tail classes); with ``grads``, d(-sum)/dh goes to grads["h"]."""
-        order = np.argsort(self.class_of[target], kind="stable")  # rows of one class lie together
-        h, target = h[order], target[order]
+        order = np.argsort(self.class_of[target].astype(np.int16), kind="stable")  # rows of one class lie together
+        target = target[order]
+        h = np.concatenate([h[order], np.ones((len(h), 1), h.dtype)], 1)
         cls = self.class_of[target]
-        rows = np.arange(len(h))
-        e = h @ self.p["C"]
-        e += self.p["c"]
-        e -= e.max(1, keepdims=True)
-        own = e[rows, cls]
-        np.exp(e, out=e)
-        total = e.sum(1)
-        got = own - np.log(total)
+        weights = np.concatenate([self.p["C"].T, self.p["c"][:, None]], 1)
+        e, total, got = self.exponentials(h, weights, cls)
         if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            grads["C"] += h.T @ e
-            grads["c"] += e.sum(0)
-            dh = e @ self.p["C"].T
+            dw, dh = self.output_gradients(h, weights, cls, e, total)
+            grads["C"] += dw[:, :-1].T
+            grads["c"] += dw[:, -1]
+        every = np.concatenate([self.p["O"], self.p["o"][:, None]], 1)
         cuts = np.searchsorted(cls, np.arange(len(self.sizes) + 1))
         for k, size in enumerate(self.sizes):
             at = slice(cuts[k], cuts[k + 1])
             if size == 1 or at.start == at.stop:  # the only token of a class is certain
                 continue
             lo, hi = self.start[k], self.start[k + 1]
-            there, pick = rows[:at.stop - at.start], target[at] - lo
-            e = h[at] @ self.p["O"][lo:hi].T
-            e += self.p["o"][lo:hi]
-            e -= e.max(1, keepdims=True)
-            own = e[there, pick]
-            np.exp(e, out=e)
-            total = e.sum(1)
-            got[at] += own - np.log(total)
+            here, weights, pick = h[at], every[lo:hi], target[at] - lo
+            e, total, own = self.exponentials(here, weights, pick)
+            got[at] += own
             if grads is not None:
-                e /= total[:, None]
-                e[there, pick] -= 1
-                grads["O"][lo:hi] += e.T @ h[at]
-                grads["o"][lo:hi] += e.sum(0)
-                dh[at] += e @ self.p["O"][lo:hi]
+                dw, d = self.output_gradients(here, weights, pick, e, total)
+                grads["O"][lo:hi] += dw[:, :-1]
+                grads["o"][lo:hi] += dw[:, -1]
+                dh[at] += d
         out = np.empty_like(got)
         out[order] = got
         if grads is not None:
@@ -188,20 +209,28 @@ class Network:
         dhs = np.zeros_like(every)
         dhs[there] = g.pop("h")
         dhs = dhs.reshape(len(ids), -1, HIDDEN)
-        carry, dx_all = np.zeros_like(h0), []
+        old, _, z, r, cand, u = (np.stack(x) for x in zip(*states, strict=True))
+        by_cand = (1 - z) * (1 - cand * cand)  # what each step's factors take from the gradient of its state
+        by_z = (old - cand) * z * (1 - z)
+        by_r = u * r * (1 - r)
+        carry, dx = np.zeros_like(h0), np.empty((*dhs.shape[:2], 3 * HIDDEN), every.dtype)
+        back = np.ascontiguousarray(self.p["U"].T)
+        du = np.empty_like(dx[0])
         for t in range(len(ids) - 1, -1, -1):
-            old, _, z, r, cand, u = states[t]
             d = dhs[t] + carry
-            dc = d * (1 - z) * (1 - cand * cand)
-            dz = d * (old - cand) * z * (1 - z)
-            dr = dc * u * r * (1 - r)
-            du = np.concatenate([dz, dr, dc * r], 1)
-            dx_all.append(np.concatenate([dz, dr, dc], 1))
-            g["U"] += old.T @ du
-            carry = d * z + du @ self.p["U"].T
+            dc, dz = d * by_cand[t], d * by_z[t]
+            du[:, :HIDDEN] = dz
+            np.multiply(dc, by_r[t], out=du[:, HIDDEN:2 * HIDDEN])
+            dx[t, :, :2 * HIDDEN] = du[:, :2 * HIDDEN]
+            dx[t, :, 2 * HIDDEN:] = dc
+            np.multiply(dc, r[t], out=du[:, 2 * HIDDEN:])
+            g["U"] += old[t].T @ du
+            d *= z[t]
+            d += du @ back
+            carry = d
             if fresh is not None and fresh[t].any():
                 carry[fresh[t]] = 0
-        dx = np.concatenate(dx_all[::-1])
+        dx = dx.reshape(-1, 3 * HIDDEN)
         x = fed.ravel()
         g["W"] += self.p["E"][x].T @ dx
         g["b"] += dx.sum(0)
@@ -237,6 +266,11 @@ class Network:
             ids, fresh = np.full((len(own), WINDOW), end, np.int64), np.zeros((len(own), WINDOW), bool)
             live = np.zeros((len(own), WINDOW), bool)
             for k in range(len(own)):
+                if 0 < at[k] <= len(own[k]) - WINDOW:  # most lanes are inside a text
+                    ids[k] = own[k][at[k]:at[k] + WINDOW]
+                    live[k] = True
+                    at[k] += WINDOW
+                    continue
                 t = 0
                 while t < WINDOW:
                     if at[k] == len(own[k]):
@@ -284,26 +318,28 @@ class Network:
         table, h = self.inputs(), np.zeros((len(n), HIDDEN), np.float32)
         before, shorter, first = np.full(len(n), end), -n[order], bounds[:-1][order]
         for lo in range(0, int(n.max(initial=0)), SCORE_WINDOW):
-            rows, targets, who = [], [], []
-            for t in range(lo, lo + SCORE_WINDOW):
-                own = int(np.searchsorted(shorter, -t, "left"))  # texts with more than t tokens come first
-                if not own:
-                    break
-                h[:own] = self.step(table[before[:own]], h[:own])[0]
-                before[:own] = ids[first[:own] + t]
-                rows.append(h[:own].copy())
-                targets.append(before[:own].copy())
-                who.append(order[:own])
-            got = self.log_probs(np.concatenate(rows), np.concatenate(targets))
-            out += np.bincount(np.concatenate(who), got, len(n))
+            live = np.searchsorted(shorter, -np.arange(lo, lo + SCORE_WINDOW), "left")  # texts with more than t tokens come first
+            live = live[live > 0].tolist()
+            at = np.concatenate([[0], np.cumsum(live)])
+            rows, targets, who = np.empty((at[-1], HIDDEN), np.float32), np.empty(at[-1], before.dtype), np.empty(at[-1], order.dtype)
+            for t, own, a, b in zip(range(lo, lo + len(live)), live, at[:-1].tolist(), at[1:].tolist(), strict=True):
+                h = h[:own]
+                h = rows[a:b] = self.step(table[before[:own]], h)[0]
+                before = targets[a:b] = ids[first[:own] + t]
+                who[a:b] = order[:own]
+            for a in range(0, len(who), OUTPUTS):
+                part = slice(a, a + OUTPUTS)
+                out += np.bincount(who[part], self.log_probs(rows[part], targets[part]), len(n))
         return out
 
 
 class Model:
     """The short list, the network and the totals that scoring needs."""
 
-    def __init__(self, short: list[tuple[int, int]], n: int, v: int, tails: dict[int, tuple[int, int]]):
-        """``short``: (token, count), most frequent first; ``tails``: class -> (count, tokens) beyond it."""
+    def __init__(self, short: list[tuple[int, int]], n: int, v: int, tails: dict[int, tuple[int, int]],
+                 following: Sequence[tuple[int, int]] = ()):
+        """``short``: (token, count), most frequent first; ``tails``: class -> (count, tokens) beyond it; ``following``:
+        (token, count) of the tokens that come next."""
         self.n, self.v, self.tails = n, v, tails
         values = np.array([s[0] for s in short], np.int64).view(np.uint64)
         shares = np.cumsum([s[1] for s in short]) / max(1, sum(s[1] for s in short))
@@ -311,27 +347,34 @@ class Model:
         sizes = [int(x) for x in np.bincount(cls, minlength=CLASSES) if x]
         self.sorted, self.place = np.sort(values), np.argsort(values)
         self.counts = np.array([s[1] for s in short], np.int64)
+        self.room = np.array([float(sum(tails.get(k, (0, 0))) + 1) for k in range(TAILS)])
+        rest = np.array(sorted(following), np.int64).reshape(-1, 2)
+        order = np.argsort(rest[:, 0].view(np.uint64))
+        self.next, count = rest[order, 0].view(np.uint64), rest[order, 1] + 1
+        self.next_base = np.log10(count / (n + v + 1))
+        self.next_tail = np.log10(count / self.room[(self.next & np.uint64(3)).astype(np.int64)])
         self.net = Network(sizes)
         self.end = int(np.flatnonzero(values == END)[0]) if (values == END).any() else len(values)
 
     def ids(self, hashes: np.ndarray, tail: np.ndarray) -> np.ndarray:
         """Place on the short list, or the tail class after it."""
         if not len(self.sorted):
-            return tail
+            return tail.astype(np.int32)
         at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == hashes, self.place[at], len(self.sorted) + tail)
+        return np.where(self.sorted[at] == hashes, self.place[at], len(self.sorted) + tail.astype(np.int32)).astype(np.int32)
 
 
 def fit(texts: DataFrame, counts: DataFrame) -> Model:
     """``texts``: text of the learning rows and share, the round (from 0) that trains on it; ``counts``: token, n over them."""
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    short = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "token").limit(SHORT).collect()]
+    first = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "token").limit(SHORT + NEXT).collect()]
+    short, following = first[:SHORT], first[SHORT:]
     by_class = counts.groupBy(F.col("token").bitwiseAND(3).alias("tail")).agg(F.sum("n"), F.count("*")).collect()
     tails = {r[0]: [r[1], r[2]] for r in by_class}
     for token, n in short:
         tails[token & 3][0] -= n
         tails[token & 3][1] -= 1
-    model = Model(short, total[0] or 0, total[1], {k: tuple(v) for k, v in tails.items()})
+    model = Model(short, total[0] or 0, total[1], {k: tuple(v) for k, v in tails.items()}, following)
 
     for k in range(ROUNDS):
         _round(texts.filter(F.col("share") == k), model, STEP / (1 + k))
@@ -368,23 +411,45 @@ def _round(texts: DataFrame, model: Model, step: float) -> None:
         model.net.take(np.array([r[1:] for r in sorted(got)]).ravel())
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about GROUP_BYTES: the network takes as many steps for a few texts as for many."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > GROUP_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _run(model_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, keys = model_of(), np.random.default_rng()  # row keys; they are stored with the rows
         base = np.log10((model.counts + 1) / (model.n + model.v + 1))
-        for batch in batches:
+        for batch in _gathered(batches):
             data, offsets = flat.texts(batch.column(1))
             for lo, hi, group, goff in flat.slices(data, offsets, GROUP_BYTES):
                 pieces = [tokens(d, o) for _, _, d, o in flat.slices(group, goff)]
                 hashes, tail = (np.concatenate([p[k] for p in pieces]) for k in (0, 1))
                 n = np.concatenate([np.diff(p[2]) for p in pieces])
                 bounds = np.concatenate([[0], np.cumsum(n)])
+                del pieces
                 ids = model.ids(hashes, tail)
-                row = np.repeat(np.arange(hi - lo), n)
+                row = np.repeat(np.arange(hi - lo, dtype=np.int32), n)
                 known = ids < len(model.sorted)
                 score = model.net.score(ids, bounds, model.end) / np.log(10)
                 short = np.bincount(row[known], base[ids[known]], hi - lo)
+                n_known = np.bincount(row[known], minlength=hi - lo)
                 rest_row, rest = row[~known], hashes[~known]
+                if len(model.next):
+                    at = np.minimum(np.searchsorted(model.next, rest), len(model.next) - 1)
+                    there = model.next[at] == rest
+                    own, at = rest_row[there], at[there]
+                    n_known += np.bincount(own, minlength=hi - lo)
+                    short += np.bincount(own, model.next_base[at], hi - lo)
+                    score += np.bincount(own, model.next_tail[at], hi - lo)
+                    rest_row, rest = rest_row[~there], rest[~there]
                 order = np.lexsort((rest, rest_row))
                 rest_row, rest = rest_row[order], rest[order]
                 new = np.ones(len(rest), bool)
@@ -395,7 +460,7 @@ def _run(model_of):
                 spans = list(zip(cuts[:-1], cuts[1:], strict=True))
                 yield pa.record_batch([
                     pa.array(keys.integers(0, 1 << 62, hi - lo)), batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)),
-                    pa.array(np.bincount(row[known], minlength=hi - lo).astype(np.int64)), pa.array(short), pa.array(score),
+                    pa.array(n_known.astype(np.int64)), pa.array(short), pa.array(score),
                     pa.array([rest[a:b].view(np.int64) for a, b in spans], pa.list_(pa.int64())),
                     pa.array([back[a:b].astype(np.int32) for a, b in spans], pa.list_(pa.int32()))],
                     names=["key", "id", "n_tokens", "n_short", "short_base", "net", "rare", "times"])
@@ -417,8 +482,7 @@ def scores(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", tex
     rare = (rows.filter(F.size("rare") > 0).select("key", F.explode(F.arrays_zip("rare", "times")).alias("x"))
             .select("key", F.col("x.rare").alias("token"), F.col("x.times").alias("times")).join(counts, "token", "left"))
     c = F.coalesce("n", F.lit(0))
-    tails = {k: model.tails.get(k, (0, 0)) for k in range(TAILS)}
-    room = F.element_at(F.array(*[F.lit(float(a + b + 1)) for a, b in tails.values()]), F.col("token").bitwiseAND(3).cast("int") + 1)
+    room = F.element_at(F.array(*[F.lit(float(x)) for x in model.room]), F.col("token").bitwiseAND(3).cast("int") + 1)
     sums = rare.groupBy("key").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
                                    F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(model.n + model.v + 1)))).alias("base"),
                                    F.sum(F.col("times") * F.log10((c + 1) / room)).alias("tail"))

@@ -426,3 +426,30 @@ def test_pipeline_against_brute_force(spark, sf_dir, docs):
 
 def test_numbers_are_not_letters():
     assert language.letters("½ Ⅳ ² 12a3 été_x 日本 ①b") == ["a", "été", "x", "日本", "b"]
+
+
+def test_large_outputs_do_not_overflow():
+    """Outputs far beyond exp's range still give probabilities that add up, with and without gradients."""
+    net = Network([3, 5], tails=2)
+    net.p = {k: (x * 4000).astype(np.float32) if k in ("C", "O") else x for k, x in net.p.items()}
+    h = np.tanh(np.random.default_rng(0).normal(0, 3, (1, 16))).astype(np.float32)
+    assert np.exp([net.log_probs(h, np.array([k]))[0] for k in range(10)]).sum() == pytest.approx(1, rel=1e-4)
+    grads = {k: np.zeros_like(x) for k, x in net.p.items()}
+    assert np.isfinite(net.log_probs(h, np.array([7]), grads)).all() and all(np.isfinite(x).all() for x in grads.values())
+
+
+def test_tokens_whose_counts_the_tasks_hold(spark, documents, monkeypatch):
+    """Counts give the same scores held by the tasks or joined; those held take no part in the join."""
+    rows = [(i, " ".join(f"w{i * 7 % k}" for k in range(1, 60))) for i in range(40)]
+    monkeypatch.setattr(language_model, "SHORT", 5)
+    found, joined = [], []
+    keep = language_model.stored
+    monkeypatch.setattr(language_model, "stored", lambda df, name: joined.append((name, got := keep(df, name))) or got)
+    for held in (0, 10, 1000):
+        monkeypatch.setattr(language_model, "NEXT", held)
+        got = language_model.scores(documents(rows).coalesce(1), F.col("doc_id") % 3 > 0).collect()
+        found.append({r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got})
+    for other in found[1:]:
+        assert all(other[i] == pytest.approx(found[0][i], rel=1e-5) for i in found[0])
+    rare = [df.agg(F.sum(F.size("rare"))).first()[0] for name, df in joined if name == "scored"]
+    assert rare[0] > rare[1] > rare[2]
