@@ -140,6 +140,7 @@ def candidates(classes: DataFrame, similarity: float) -> DataFrame:
     rows = classes.select("id", "signature").mapInArrow(_orders, "tree int, key binary, id long, small binary")
     orders = rows.repartitionByRange(parts(classes.sparkSession), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
     pairs = orders.mapInArrow(_neighbours(similarity - SLACK), "a long, b long")
+    pairs = stored(pairs, "pairs")  # else its tasks would have two Python workers each, here and in the components' first step
     return components(pairs).select("id", F.col("component").alias("group"))
 
 
