@@ -215,8 +215,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                      .agg(F.min(F.struct("id", "n", "signature")).alias("r")).select("set_key", "r.*"), "classes")
     sizes = classes.groupBy("id").agg(F.max("n").alias("n"))  # an id with several texts may stand for several classes
     groups = stored(candidates(classes, percent / 100).join(sizes, "id"), "groups")
+    # Merged whatever the size of the groups: they grow with the documents, so that a copy for every executor would not scale.
     texts = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-             .join(groups, "id").withColumn("_same", F.sha2("text", 256)).dropDuplicates(["id", "_same"]).drop("_same"))
+             .join(groups.hint("merge"), "id").withColumn("_same", F.sha2("text", 256)).dropDuplicates(["id", "_same"]).drop("_same"))
     links = confirmed(texts, size, percent)
     found = components(stored(links.select("a", "b").union(_repeated(sets, classes)), "links"))
     of_class = classes.join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))

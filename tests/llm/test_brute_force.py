@@ -453,3 +453,18 @@ def test_tokens_whose_counts_the_tasks_hold(spark, documents, monkeypatch):
         assert all(other[i] == pytest.approx(found[0][i], rel=1e-5) for i in found[0])
     rare = [df.agg(F.sum(F.size("rare"))).first()[0] for name, df in joined if name == "scored"]
     assert rare[0] > rare[1] > rare[2]
+
+
+def test_forest_steps_have_one_python_worker_and_merge_texts(spark, documents, monkeypatch):
+    """No task runs two Python steps at once, and texts meet their groups by a merge however few the groups are."""
+    plans, keep = [], (minhash_forest.components, minhash_forest.confirmed)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(minhash_forest, "components", lambda edges: plans.append(("edges", plan(edges))) or keep[0](edges))
+    monkeypatch.setattr(minhash_forest, "confirmed", lambda texts, *a: plans.append(("texts", plan(texts))) or keep[1](texts, *a))
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (2, text + " x"), (3, "a b c d e f")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_forest.near_duplicates(documents(rows)).collect()}
+    assert got == brute_components(dict(rows), 5, 80)
+    assert [n for n, _ in plans] == ["edges", "texts", "edges"]
+    assert not any("InArrow" in p for n, p in plans if n == "edges")
+    assert "BroadcastHashJoin" not in plans[1][1] and "SortMergeJoin" in plans[1][1]
