@@ -39,15 +39,17 @@ SHORT, CLASSES, TAILS = 2048, 32, 4
 #: Tokens after the short list whose counts the tasks hold, so that they take no part in the join.
 NEXT = 1 << 16
 HIDDEN, EMBED, WINDOW = 16, 12, 16
-#: Steps of a scoring window.
-SCORE_WINDOW = 64
 ROUNDS, BATCH, STEP = 3, 256, 0.04
 #: Tokens of a text that run through training one after another; a longer text goes in several such pieces, side by side.
 PIECE = 1024
 #: Parameters in a row of the table that Spark averages.
 ROW_VALUES = 32
-#: Texts that run through the network side by side, by their bytes, and tokens whose outputs are worked out at once.
-GROUP_BYTES, OUTPUTS = 10 << 20, 1 << 14
+#: Bytes of texts that are split into tokens at once, so that the steps' arrays stay in a processor's cache.
+TEXT_BYTES = 1 << 17
+#: Texts that are scored side by side are as many as reach one of these: the network takes as many steps for a few as for many.
+GROUP_TEXTS, GROUP_TOKENS = 1 << 14, 1 << 22
+#: Texts whose steps are worked out at once, and tokens in a window of scoring: the fewer texts are left, the more steps.
+LANES, OUTPUTS = 512, 1 << 12
 #: Outputs up to this size go to exp as they are: their exponentials, and sums of them, are far from a float's ends.
 SAFE = 40.0
 #: Hash of the end token.
@@ -77,7 +79,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for _, _, data, off in flat.slices(*flat.texts(batch.column(0))):
-            values, counts = np.unique(tokens(data, off)[0], return_counts=True)
+            hashes = np.concatenate([tokens(d, o)[0] for _, _, d, o in flat.slices(data, off, TEXT_BYTES)])
+            values, counts = np.unique(hashes, return_counts=True)
             held.append((values, counts.astype(np.int64)))
             n += len(values)
             if n > 400_000:
@@ -120,8 +123,9 @@ class Network:
                   "c": np.zeros(len(sizes) + tails, np.float32), "O": init(n, HIDDEN), "o": np.zeros(n, np.float32)}
 
     def step(self, x: np.ndarray, h: np.ndarray):
-        """One step from inputs x (already times W) and state h."""
-        u = h @ self.p["U"]
+        """One step from inputs x (already times W) and state h. Results lie in memory column by column, so that work
+        on some of the columns runs through all texts at once; so should x."""
+        u = (self.p["U"].T @ h.T).T
         zr = sigmoid(x[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
         z, r, u = zr[:, :HIDDEN], zr[:, HIDDEN:], u[:, 2 * HIDDEN:]
         cand = r * u
@@ -136,108 +140,117 @@ class Network:
         return self.p["E"] @ self.p["W"] + self.p["b"]
 
     @staticmethod
-    def exponentials(h: np.ndarray, weights: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(exp of the outputs, their sums, log softmax of those picked). ``h`` ends in a column of ones, ``weights`` in the
-        outputs' constants. Outputs that may be large are lowered by each row's largest first."""
-        e = h @ weights.T
-        own = e[np.arange(len(h)), pick]
-        if not np.abs(weights).sum(1).max() < SAFE:  # |h| <= 1, so that no output can be beyond
-            most = e.max(1)
-            e -= most[:, None]
+    def exponentials(h: np.ndarray, weights: np.ndarray, pick: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(exp of the outputs, their sums, log softmax of those picked), a column for each state. ``h`` ends in a row of ones,
+        ``weights`` in the outputs' constants. ``pick`` counts through all outputs. Unless ``safe``,
+        they are lowered by each column's largest first."""
+        e = weights @ h
+        own = e.ravel().take(pick)
+        if not safe:
+            most = e.max(0)
+            e -= most
             own = own - most
         np.exp(e, out=e)
-        total = e @ np.ones(e.shape[1], e.dtype)
+        total = np.ones(len(e), e.dtype) @ e
         return e, total, own - np.log(total)
 
     @staticmethod
     def output_gradients(h: np.ndarray, weights: np.ndarray, pick: np.ndarray, e: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(d(-sum)/d weights, d(-sum)/dh without the ones) of ``exponentials``; ``e`` is overwritten."""
-        e[np.arange(len(h)), pick] -= total
-        total = total[:, None]
-        return e.T @ (h / total), (e @ weights[:, :-1]) / total
+        e.ravel()[pick] -= total
+        dh = weights[:, :-1].T @ e
+        dh /= total
+        return e @ (h / total).T, dh
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> np.ndarray:
-        """log P(class) + log P(token | class) (0 for tail classes); with ``grads``, d(-sum)/dh goes to grads["h"]."""
-        order = np.argsort(self.class_of[target].astype(np.int16), kind="stable")  # rows of one class lie together
+        """log P(class) + log P(token | class) (0 for tail classes); with ``grads``, d(-sum)/dh goes to grads["h"]. ``h``
+        (states x HIDDEN) had best lie in memory column by column, as the gradients do."""
+        order = np.argsort(self.class_of[target].astype(np.int16), kind="stable")  # states of one class lie together
         target = target[order]
-        h = np.concatenate([h[order], np.ones((len(h), 1), h.dtype)], 1)
         cls = self.class_of[target]
+        sorted_h = np.empty((HIDDEN + 1, len(h)), h.dtype)
+        h.T.take(order, 1, sorted_h[:-1], "clip")
+        sorted_h[-1] = 1
+        h = sorted_h
         weights = np.concatenate([self.p["C"].T, self.p["c"][:, None]], 1)
-        e, total, got = self.exponentials(h, weights, cls)
+        every = np.concatenate([self.p["O"], self.p["o"][:, None]], 1)
+        ones = np.ones(HIDDEN + 1, h.dtype)  # |h| <= 1, so that no output is beyond the sum of its weights
+        safe = np.maximum.reduceat(np.abs(every) @ ones, self.start[:-1]) < SAFE if self.sizes else []
+        pick = cls * len(cls) + np.arange(len(cls))
+        e, total, got = self.exponentials(h, weights, pick, (np.abs(weights) @ ones).max() < SAFE)
         if grads is not None:
-            dw, dh = self.output_gradients(h, weights, cls, e, total)
+            dw, dh = self.output_gradients(h, weights, pick, e, total)
             grads["C"] += dw[:, :-1].T
             grads["c"] += dw[:, -1]
-        every = np.concatenate([self.p["O"], self.p["o"][:, None]], 1)
         cuts = np.searchsorted(cls, np.arange(len(self.sizes) + 1))
         for k, size in enumerate(self.sizes):
             at = slice(cuts[k], cuts[k + 1])
             if size == 1 or at.start == at.stop:  # the only token of a class is certain
                 continue
             lo, hi = self.start[k], self.start[k + 1]
-            here, weights, pick = h[at], every[lo:hi], target[at] - lo
-            e, total, own = self.exponentials(here, weights, pick)
+            here, weights, n = h[:, at], every[lo:hi], at.stop - at.start
+            pick = (target[at] - lo) * n + np.arange(n)
+            e, total, own = self.exponentials(here, weights, pick, safe[k])
             got[at] += own
             if grads is not None:
                 dw, d = self.output_gradients(here, weights, pick, e, total)
                 grads["O"][lo:hi] += dw[:, :-1]
                 grads["o"][lo:hi] += dw[:, -1]
-                dh[at] += d
-        out = np.empty_like(got)
-        out[order] = got
+                dh[:, at] += d
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
         if grads is not None:
-            grads["h"] = np.empty_like(dh)
-            grads["h"][order] = dh
-        return out
+            grads["h"] = dh.take(back, 1).T
+        return got[back]
 
     def window_gradients(self, ids: np.ndarray, h0: np.ndarray, before: np.ndarray, fresh: np.ndarray | None = None,
                          live: np.ndarray | None = None) -> tuple[dict, np.ndarray, float]:
         """Gradients over a window of steps (steps x texts), cut off at its start. Where ``fresh``, a text
         begins and the state starts anew; where not ``live``, there is no token any more."""
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
-        table, states, h = self.inputs(), [], h0
-        fed = np.concatenate([before[None], ids[:-1]])
-        for t, x in enumerate(fed):
-            if fresh is not None and fresh[t].any():
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            new, *kept = self.step(table[x], h)
-            states.append((h, new, *kept))
-            h = new
-        every = np.concatenate([s[1] for s in states])
-        there = slice(None) if live is None else np.flatnonzero(live.ravel())
-        loss = -self.log_probs(every[there], ids.ravel()[there], g).sum()
-        dhs = np.zeros_like(every)
-        dhs[there] = g.pop("h")
-        dhs = dhs.reshape(len(ids), -1, HIDDEN)
-        old, _, z, r, cand, u = (np.stack(x) for x in zip(*states, strict=True))
-        by_cand = (1 - z) * (1 - cand * cand)  # what each step's factors take from the gradient of its state
-        by_z = (old - cand) * z * (1 - z)
-        by_r = u * r * (1 - r)
-        carry, dx = np.zeros_like(h0), np.empty((*dhs.shape[:2], 3 * HIDDEN), every.dtype)
-        back = np.ascontiguousarray(self.p["U"].T)
-        du = np.empty_like(dx[0])
+        x = np.concatenate([before, ids[:-1].ravel()])
+        any_fresh = np.zeros(len(ids), bool) if fresh is None else fresh.any(1)
+        # step by step, then column by column, as the steps work; sums over all steps take their columns together
+        inputs = np.ascontiguousarray(self.inputs().take(x, 0).reshape(*ids.shape, -1).transpose(0, 2, 1))
+        old, new = np.empty((2, len(ids), HIDDEN, len(h0)), h0.dtype)
+        together = lambda v: v.transpose(1, 0, 2).reshape(v.shape[1], -1)
+        h, kept = h0, []
+        for t in range(len(ids)):
+            old[t] = h.T
+            if any_fresh[t]:
+                old[t][:, fresh[t]] = 0
+            h, *rest = self.step(inputs[t].T, old[t].T)
+            new[t] = h.T
+            kept.append([v.T for v in rest])
+        there = slice(None) if live is None or live.all() else np.flatnonzero(live.ravel())
+        loss = -self.log_probs(together(new)[:, there].T, ids.ravel()[there], g).sum()
+        dhs = np.zeros((HIDDEN, len(x)), h0.dtype)
+        dhs[:, there] = g.pop("h").T
+        dhs = dhs.reshape(HIDDEN, *ids.shape)
+        by = np.empty((len(ids), 4 * HIDDEN, len(h0)), h0.dtype)  # of the state's part of the candidate, z, r, the candidate
+        u, carry = np.roll(self.p["U"], HIDDEN, 1), 0
         for t in range(len(ids) - 1, -1, -1):
-            d = dhs[t] + carry
-            dc, dz = d * by_cand[t], d * by_z[t]
-            du[:, :HIDDEN] = dz
-            np.multiply(dc, by_r[t], out=du[:, HIDDEN:2 * HIDDEN])
-            dx[t, :, :2 * HIDDEN] = du[:, :2 * HIDDEN]
-            dx[t, :, 2 * HIDDEN:] = dc
-            np.multiply(dc, r[t], out=du[:, 2 * HIDDEN:])
-            g["U"] += old[t].T @ du
-            d *= z[t]
-            d += du @ back
-            carry = d
-            if fresh is not None and fresh[t].any():
-                carry[fresh[t]] = 0
-        dx = dx.reshape(-1, 3 * HIDDEN)
-        x = fed.ravel()
-        g["W"] += self.p["E"][x].T @ dx
-        g["b"] += dx.sum(0)
-        order = np.argsort(x, kind="stable")
+            z, r, cand, part = kept[t]
+            by_part, by_z, by_r, by_cand = by[t].reshape(4, HIDDEN, -1)
+            d = dhs[:, t] + carry
+            carry = d * z
+            np.multiply(carry, (old[t] - cand) * (1 - z), out=by_z)
+            d -= carry
+            np.multiply(d, 1 - cand * cand, out=by_cand)
+            np.multiply(by_cand, r, out=by_part)
+            np.multiply(by_part, part * (1 - r), out=by_r)
+            carry += u @ by[t, :3 * HIDDEN]
+            if any_fresh[t]:
+                carry[:, fresh[t]] = 0
+        by = together(by)
+        dx = by[HIDDEN:]
+        g["U"] += np.roll(together(old) @ by[:3 * HIDDEN].T, -HIDDEN, 1)
+        g["W"] += self.p["E"].take(x, 0).T @ dx.T
+        g["b"] += dx.sum(1)
+        order = np.argsort(x.astype(np.min_scalar_type(len(self.class_of))), kind="stable")
         fed = x[order]
-        new = np.flatnonzero(np.append(True, fed[1:] != fed[:-1]))
-        g["E"][fed[new]] = np.add.reduceat((dx @ self.p["W"].T)[order], new)
+        first = np.flatnonzero(np.append(True, fed[1:] != fed[:-1]))
+        g["E"][fed[first]] = np.add.reduceat((self.p["W"] @ dx).take(order, 1), first, 1).T
         return g, h, loss
 
     def train(self, texts: Iterator[np.ndarray], end: int, step: float = STEP, batch: int = BATCH) -> int:
@@ -252,37 +265,45 @@ class Network:
         held, n, seen, total = None, 0, 0, 0
 
         def update():
-            norm = np.sqrt(sum(float((v * v).sum()) for v in held.values())) / n
+            norm = np.sqrt(sum(float(np.vdot(v, v)) for v in held.values())) / n
+            rate, lift = step / (1 - 0.9 ** seen), (1 - 0.99 ** seen) ** -0.5
             for k, v in held.items():
-                v = v / n / max(1.0, norm)
+                v *= 1 / (n * max(1.0, float(norm)))
                 a, b = m[k]
                 a *= 0.9
                 a += 0.1 * v
                 b *= 0.99
-                b += 0.01 * v * v
-                self.p[k] -= step * (a / (1 - 0.9 ** seen)) / (np.sqrt(b / (1 - 0.99 ** seen)) + 1e-8)
+                v *= v
+                v *= 0.01
+                b += v
+                np.sqrt(b, out=v)
+                v *= lift
+                v += 1e-8
+                np.divide(a, v, out=v)
+                v *= rate
+                self.p[k] -= v
 
         while own:
-            ids, fresh = np.full((len(own), WINDOW), end, np.int64), np.zeros((len(own), WINDOW), bool)
-            live = np.zeros((len(own), WINDOW), bool)
-            for k in range(len(own)):
-                if 0 < at[k] <= len(own[k]) - WINDOW:  # most lanes are inside a text
-                    ids[k] = own[k][at[k]:at[k] + WINDOW]
-                    live[k] = True
-                    at[k] += WINDOW
+            parts, fresh, live = [], np.zeros((len(own), WINDOW), bool), np.ones((len(own), WINDOW), bool)
+            for k, (x, a) in enumerate(zip(own, at, strict=True)):
+                if 0 < a <= len(x) - WINDOW:  # most lanes are inside a text
+                    parts.append(x[a:a + WINDOW])
+                    at[k] = a + WINDOW
                     continue
-                t = 0
+                t, row = 0, np.full(WINDOW, end, x.dtype)
                 while t < WINDOW:
                     if at[k] == len(own[k]):
                         more = next(texts, None)
                         if more is None:
+                            live[k, t:] = False
                             break
                         own[k], at[k] = more, 0
                     size = min(WINDOW - t, len(own[k]) - at[k])
-                    ids[k, t:t + size] = own[k][at[k]:at[k] + size]
-                    live[k, t:t + size] = True
+                    row[t:t + size] = own[k][at[k]:at[k] + size]
                     fresh[k, t] = not at[k]
                     t, at[k] = t + size, at[k] + size
+                parts.append(row)
+            ids = np.concatenate(parts).astype(np.int64, copy=False).reshape(-1, WINDOW)
             g, h, _ = self.window_gradients(ids.T, h, before, fresh.T, live.T)
             held = g if held is None else {k: held[k] + v for k, v in g.items()}
             here = int(live.sum())
@@ -315,21 +336,26 @@ class Network:
         n = np.diff(bounds)
         order = np.argsort(-n, kind="stable")
         out = np.zeros(len(n))
-        table, h = self.inputs(), np.zeros((len(n), HIDDEN), np.float32)
-        before, shorter, first = np.full(len(n), end), -n[order], bounds[:-1][order]
-        for lo in range(0, int(n.max(initial=0)), SCORE_WINDOW):
-            live = np.searchsorted(shorter, -np.arange(lo, lo + SCORE_WINDOW), "left")  # texts with more than t tokens come first
-            live = live[live > 0].tolist()
-            at = np.concatenate([[0], np.cumsum(live)])
-            rows, targets, who = np.empty((at[-1], HIDDEN), np.float32), np.empty(at[-1], before.dtype), np.empty(at[-1], order.dtype)
-            for t, own, a, b in zip(range(lo, lo + len(live)), live, at[:-1].tolist(), at[1:].tolist(), strict=True):
-                h = h[:own]
-                h = rows[a:b] = self.step(table[before[:own]], h)[0]
-                before = targets[a:b] = ids[first[:own] + t]
-                who[a:b] = order[:own]
-            for a in range(0, len(who), OUTPUTS):
-                part = slice(a, a + OUTPUTS)
-                out += np.bincount(who[part], self.log_probs(rows[part], targets[part]), len(n))
+        table = np.ascontiguousarray(self.inputs().T)
+        for texts in np.split(order, range(LANES, len(n), LANES)):  # of about one length
+            h = np.zeros((len(texts), HIDDEN), np.float32)
+            shorter, first = -n[texts], bounds[:-1][texts]
+            lo, most = 0, int(n[texts].max(initial=0))
+            while lo < most:
+                steps = np.arange(lo, min(most, lo + max(1, OUTPUTS // int(np.searchsorted(shorter, -lo, "left")))))
+                live = np.searchsorted(shorter, -steps, "left")  # texts with more than t tokens come first
+                at = np.concatenate([[0], np.cumsum(live)])
+                text = np.arange(at[-1]) - np.repeat(at[:-1], live)
+                where = first[text] + np.repeat(steps, live)
+                fed = ids[np.maximum(where - 1, 0)]
+                if not lo:
+                    fed[:live[0]] = end
+                x, states = table.take(fed, 1, mode="clip"), np.empty((HIDDEN, at[-1]), np.float32)
+                for own, a, b in zip(live.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    h = self.step(x[:, a:b].T, h[:own])[0]
+                    states[:, a:b] = h.T
+                out[texts] += np.bincount(text, self.log_probs(states.T, ids[where]), len(texts))
+                lo += len(steps)
         return out
 
 
@@ -351,6 +377,7 @@ class Model:
         rest = np.array(sorted(following), np.int64).reshape(-1, 2)
         order = np.argsort(rest[:, 0].view(np.uint64))
         self.next, count = rest[order, 0].view(np.uint64), rest[order, 1] + 1
+        self.base = np.log10((self.counts + 1) / (n + v + 1))
         self.next_base = np.log10(count / (n + v + 1))
         self.next_tail = np.log10(count / self.room[(self.next & np.uint64(3)).astype(np.int64)])
         self.net = Network(sizes)
@@ -390,7 +417,7 @@ def _round(texts: DataFrame, model: Model, step: float) -> None:
 
         def own():
             for batch in batches:
-                for _, _, data, off in flat.slices(*flat.texts(batch.column(0))):
+                for _, _, data, off in flat.slices(*flat.texts(batch.column(0)), TEXT_BYTES):
                     hashes, tail, bounds = tokens(data, off)
                     ids = model.ids(hashes, tail)
                     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -411,59 +438,59 @@ def _round(texts: DataFrame, model: Model, step: float) -> None:
         model.net.take(np.array([r[1:] for r in sorted(got)]).ravel())
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches put together to about GROUP_BYTES: the network takes as many steps for a few texts as for many."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if held and sum(b.nbytes for b in held) + batch.nbytes > GROUP_BYTES:
-            yield pa.concat_batches(held)
-            held = []
-        held.append(batch)
-    if held:
-        yield pa.concat_batches(held)
+def _looked_up(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of some texts: (ids of all tokens), then by text (tokens, those with counts in the task, their base score, the tail part
+    of their score, other distinct tokens), then of these, by text, (hash, times)."""
+    hashes, tail, bounds = tokens(data, offsets)
+    ids, n = model.ids(hashes, tail), np.diff(bounds)
+    texts = len(n)
+    row = np.repeat(np.arange(texts), n)
+    known = ids < len(model.sorted)
+    base = np.bincount(row[known], model.base[ids[known]], texts)
+    n_known = np.bincount(row[known], minlength=texts)
+    in_tail = np.zeros(texts)
+    row, rest = row[~known], hashes[~known]
+    if len(model.next):
+        at = np.minimum(np.searchsorted(model.next, rest), len(model.next) - 1)
+        there = model.next[at] == rest
+        own, at = row[there], at[there]
+        n_known += np.bincount(own, minlength=texts)
+        base += np.bincount(own, model.next_base[at], texts)
+        in_tail += np.bincount(own, model.next_tail[at], texts)
+        row, rest = row[~there], rest[~there]
+    order = np.lexsort((rest, row))
+    row, rest = row[order], rest[order]
+    new = np.ones(len(rest), bool)
+    new[1:] = (rest[1:] != rest[:-1]) | (row[1:] != row[:-1])
+    times = np.diff(np.append(np.flatnonzero(new), len(rest)))
+    return ids, n, n_known, base, in_tail, np.bincount(row[new], minlength=texts), rest[new], times.astype(np.int32)
 
 
 def _run(model_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, keys = model_of(), np.random.default_rng()  # row keys; they are stored with the rows
-        base = np.log10((model.counts + 1) / (model.n + model.v + 1))
-        for batch in _gathered(batches):
-            data, offsets = flat.texts(batch.column(1))
-            for lo, hi, group, goff in flat.slices(data, offsets, GROUP_BYTES):
-                pieces = [tokens(d, o) for _, _, d, o in flat.slices(group, goff)]
-                hashes, tail = (np.concatenate([p[k] for p in pieces]) for k in (0, 1))
-                n = np.concatenate([np.diff(p[2]) for p in pieces])
-                bounds = np.concatenate([[0], np.cumsum(n)])
-                del pieces
-                ids = model.ids(hashes, tail)
-                row = np.repeat(np.arange(hi - lo, dtype=np.int32), n)
-                known = ids < len(model.sorted)
-                score = model.net.score(ids, bounds, model.end) / np.log(10)
-                short = np.bincount(row[known], base[ids[known]], hi - lo)
-                n_known = np.bincount(row[known], minlength=hi - lo)
-                rest_row, rest = row[~known], hashes[~known]
-                if len(model.next):
-                    at = np.minimum(np.searchsorted(model.next, rest), len(model.next) - 1)
-                    there = model.next[at] == rest
-                    own, at = rest_row[there], at[there]
-                    n_known += np.bincount(own, minlength=hi - lo)
-                    short += np.bincount(own, model.next_base[at], hi - lo)
-                    score += np.bincount(own, model.next_tail[at], hi - lo)
-                    rest_row, rest = rest_row[~there], rest[~there]
-                order = np.lexsort((rest, rest_row))
-                rest_row, rest = rest_row[order], rest[order]
-                new = np.ones(len(rest), bool)
-                new[1:] = (rest[1:] != rest[:-1]) | (rest_row[1:] != rest_row[:-1])
-                back = np.diff(np.append(np.flatnonzero(new), len(rest)))
-                rest_row, rest = rest_row[new], rest[new]
-                cuts = np.searchsorted(rest_row, np.arange(hi - lo + 1))
-                spans = list(zip(cuts[:-1], cuts[1:], strict=True))
-                yield pa.record_batch([
-                    pa.array(keys.integers(0, 1 << 62, hi - lo)), batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)),
-                    pa.array(n_known.astype(np.int64)), pa.array(short), pa.array(score),
-                    pa.array([rest[a:b].view(np.int64) for a, b in spans], pa.list_(pa.int64())),
-                    pa.array([back[a:b].astype(np.int32) for a, b in spans], pa.list_(pa.int32()))],
-                    names=["key", "id", "n_tokens", "n_short", "short_base", "net", "rare", "times"])
+        held, own, texts, size = [], [], 0, 0
+
+        def rows():
+            ids, n, n_known, base, in_tail, n_rare, rare, times = (np.concatenate(x) for x in zip(*held, strict=True))
+            score = model.net.score(ids, np.concatenate([[0], np.cumsum(n)]), model.end) / np.log(10) + in_tail
+            cuts = pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32))
+            return pa.record_batch([
+                pa.array(keys.integers(0, 1 << 62, len(n))), pa.concat_arrays(own), pa.array(n.astype(np.int64)),
+                pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score),
+                pa.ListArray.from_arrays(cuts, pa.array(rare.view(np.int64))), pa.ListArray.from_arrays(cuts, pa.array(times))],
+                names=["key", "id", "n_tokens", "n_short", "short_base", "net", "rare", "times"])
+
+        for batch in batches:
+            for lo, hi, data, off in flat.slices(*flat.texts(batch.column(1)), TEXT_BYTES):
+                held.append(_looked_up(model, data, off))
+                own.append(batch.column(0).take(pa.array(np.arange(lo, hi))))  # a copy: a slice would keep the batch's texts
+                texts, size = texts + hi - lo, size + len(held[-1][0])
+                if texts >= GROUP_TEXTS or size >= GROUP_TOKENS:
+                    yield rows()
+                    held, own, texts, size = [], [], 0, 0
+        if held:
+            yield rows()
     return run
 
 

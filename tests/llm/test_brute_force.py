@@ -104,6 +104,21 @@ def test_state_runs_through_windows():
     assert got[0] == pytest.approx(total, rel=1e-4) and got[1] == 0
 
 
+def test_scoring_steps_are_small_and_texts_score_alike(monkeypatch):
+    """However many texts are scored, a step works on some hundreds of them, and each scores as on its own."""
+    net, rng, lanes = Network([1, 4, 6], tails=2), np.random.default_rng(0), []
+    n = rng.integers(1, 40, 2000)
+    n[[3, 700]] = 900, 0
+    bounds, step = np.concatenate([[0], np.cumsum(n)]), net.step
+    ids = rng.integers(0, 13, bounds[-1])
+    monkeypatch.setattr(net, "step", lambda x, h: lanes.append(len(h)) or step(x, h))
+    got = net.score(ids, bounds, 0)
+    assert max(lanes) <= 512 and sum(lanes) == len(ids) and got[700] == 0
+    for k in (0, 3, 1200, 1999):
+        assert net.score(ids[bounds[k]:bounds[k + 1]], np.array([0, n[k]]), 0)[0] == pytest.approx(got[k], rel=1e-4)
+    assert len(net.score(ids[:0], np.array([0]), 0)) == 0
+
+
 @pytest.mark.parametrize("where", ["late ids", "late words"])
 def test_network_learns_from_all_learning_tokens(spark, documents, where):
     """What stands only in texts of the largest ids, or only beyond word 800, trains the network too."""
