@@ -13,9 +13,10 @@ can repeat are found first, and each shard gets all occurrences of its strings:
 2. Shards. A pack sends each distinct run of strings around a shared anchor once, with its smallest
    document. Runs are dealt out and sorted by anchor, so all occurrences of a string meet in one
    shard, a bounded part of that stream.
-3. In a shard the suffix array of the runs is built by induced sorting; permuted common prefixes
-   of at least ``length`` bytes delimit equal strings, whose smallest document follows.
-4. The answers go back to the packs, which mark the bytes of every occurrence.
+3. In a shard the suffix array of the runs is built by induced sorting, of those suffixes that start a string and
+   what induces them; permuted common prefixes of at least ``length`` bytes delimit equal strings, whose smallest
+   document follows.
+4. The answers of many shards go back to the packs in one row each, and the packs mark the bytes of every occurrence.
 
 Null texts are empty. Documents with equal ids do not count as smaller than each other; a null id
 counts as larger than all others. Kept text is the remaining bytes; where a cut splits a
@@ -45,6 +46,9 @@ BUCKET_BYTES = 128 << 20
 #: Bits of an anchor beyond those that number all bytes: two anchors that share a number by chance (one in 2^SPARE_BITS) only send
 #: a few runs in vain, the shards decide on the runs' bytes.
 SPARE_BITS = 8
+#: Bytes of text whose anchors are looked for at once, so that they stay in a core's cache; and numbers in answers that a task holds back to put
+#: those of more shards into one row a pack.
+SLICE_BYTES, ANSWERS = 1 << 17, 1 << 20
 _LAST = (1 << 63) - 1
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -53,16 +57,15 @@ def gram_of(length: int) -> int:
     return max(1, min(24, length // 3))
 
 
-def string_anchors(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(start of every string, its anchor's position, prefix sums): the rightmost least gram hash."""
+def string_anchors(data: np.ndarray, length: int):
+    """(for every place where a string fits, a number that tells its anchor's position in the lower half, prefix sums): the rightmost least gram hash."""
     gram = gram_of(length)
     span = length - gram + 1
     sums = flat.prefix_sums(data)
-    n = len(data) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), sums
-    back = flat._powers(len(data) - gram + 1, flat._BACK)
-    key = (sums[gram:] - sums[:-gram]) * back
+    if len(data) < length:
+        return np.zeros(0, np.uint64), sums
+    key = sums[gram:] - sums[:-gram]
+    key *= flat._powers(len(key), flat._BACK)
     key ^= key >> np.uint64(31)
     key *= np.uint64(0x9E3779B97F4A7C15)
     key &= ~_LOW
@@ -73,23 +76,23 @@ def string_anchors(data: np.ndarray, offsets: np.ndarray, length: int):
         width *= 2
     if width < span:
         key = np.minimum(key[:len(key) - (span - width)], key[span - width:])
-    size = np.maximum(0, np.diff(offsets) - length + 1)
-    starts = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-    return starts, (_LOW - (key[starts] & _LOW)).astype(np.int64), sums
+    return key, sums
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, width: int = 64):
     """Runs of neighbouring strings with one anchor: (first start, last start, document, anchor hash of ``width`` bits, sums)."""
-    starts, anchors, sums = string_anchors(data, offsets, length)
-    if not len(starts):
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, np.uint64), sums
-    doc = np.repeat(np.arange(len(offsets) - 1), np.maximum(0, np.diff(offsets) - length + 1))
-    new = np.append(True, (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1]))
+    key, sums = string_anchors(data, length)
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    size = np.diff(offsets)
+    new[offsets[:-1][size >= length]] = True
+    short = np.minimum(size, length - 1)  # where no string of the document fits
+    across = np.repeat(offsets[1:] - np.cumsum(short), short) + np.arange(short.sum())
+    new[across[across < len(new)]] = False
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1
-    at = anchors[first]
-    return starts[first], starts[last], doc[first], flat.span_hashes(sums, at, at + gram_of(length)) >> flat.U64(64 - width), sums
+    doc = np.searchsorted(offsets, first, "right") - 1
+    last = np.minimum(np.append(first[1:], len(data)) - 1, offsets[doc + 1] - length)
+    at = (_LOW - (key[first] & _LOW)).astype(np.int64)
+    return first, last, doc, flat.span_hashes(sums, at, at + gram_of(length)) >> flat.U64(64 - width), sums
 
 
 def _anchors(length: int, width: int, buckets: int):
@@ -130,7 +133,7 @@ class Pack:
         self.rows = table["id"].combine_chunks()
         self.data, self.offsets = flat.texts(table["text"])
         found = []
-        for i, _, data, off in flat.slices(self.data, self.offsets):
+        for i, _, data, off in flat.slices(self.data, self.offsets, SLICE_BYTES):
             first, last, doc, anchor, sums = runs_of(data, off, length, width)
             base = self.offsets[i]
             found.append((first + base, last + base, doc + i, anchor, flat.span_hashes(sums, first, last + length) ^ flat.mix(anchor)))
@@ -152,8 +155,13 @@ def _send(length: int):
     def run(pack: int, p: Pack) -> pa.Table:
         many = np.zeros(len(p.one), bool)
         many[p.number[p.ids[p.doc] != p.ids[p.doc[p.one]][p.number]]] = True
-        texts = [p.data[a:b + length].tobytes() for a, b in zip(p.first[p.one].tolist(), p.last[p.one].tolist(), strict=True)]
-        return pa.table({"anchor": pa.array(p.anchor[p.one].view(np.int64)), "run": pa.array(texts, pa.binary()),
+        first = p.first[p.one]
+        to = np.concatenate([[0], np.cumsum(p.last[p.one] - first + length)])
+        kind = np.int32 if max(len(p.data), int(to[-1])) < 1 << 31 else np.int64
+        at = np.repeat((first - to[:-1]).astype(kind), np.diff(to))
+        at += np.arange(len(at), dtype=kind)
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(to), pa.py_buffer(p.data[at])])
+        return pa.table({"anchor": pa.array(p.anchor[p.one].view(np.int64)), "run": texts.cast(pa.binary()),
                          "pack": pa.array(np.full(len(texts), pack, np.int32)), "number": pa.array(np.arange(len(texts), dtype=np.int32)),
                          "doc": pa.array(p.ids[p.doc[p.one]]), "many": pa.array(many)})
     return run
@@ -162,21 +170,16 @@ def _send(length: int):
 def answer(data: np.ndarray, size: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For every string of each run (``size`` bytes one after another in ``data``) the smallest of the runs'
     documents that holds the string; and the bounds of the runs in that answer."""
-    base = np.concatenate([[0], np.cumsum(size)])
-    sa = suffix_array(data, length)
     number = size - length + 1
     bounds = np.concatenate([[0], np.cumsum(number)])
-    starts = np.repeat(base[:-1] - bounds[:-1], number) + np.arange(bounds[-1])
-    where = np.full(len(data), -1)
-    where[starts] = np.arange(len(starts))
-    sa = sa[where[sa] >= 0]
-    plcp = common_prefixes(data, sa, length)
-    own = np.repeat(docs, number)[where[sa]]
-    group = np.flatnonzero(plcp[sa] < length)
+    starts = np.repeat(np.tile([True, False], len(size)), np.column_stack([number, np.full(len(size), length - 1)]).ravel())
+    sa = suffix_array(data, length, starts)  # of the strings only, about a quarter of all
+    at = (np.cumsum(starts, dtype=sa.dtype) - 1)[sa]
+    group = np.flatnonzero(common_prefixes(data, sa, length)[sa] < length)
     group = group if len(group) and group[0] == 0 else np.append(0, group)
-    least = np.repeat(np.minimum.reduceat(own, group), np.diff(np.append(group, len(sa))))
-    out = np.empty(len(starts), np.int64)
-    out[where[sa]] = least
+    least = np.minimum.reduceat(np.repeat(docs, number)[at], group)
+    out = np.empty(len(sa), np.int64)
+    out[at] = np.repeat(least, np.diff(np.append(group, len(sa))))
     return out, bounds
 
 
@@ -206,10 +209,8 @@ class Shard:
         for held, c in zip(self.cols, cols, strict=True):
             held.append(c)
 
-    def rows(self, length: int) -> Iterator[pa.RecordBatch]:
-        """A row per pack: numbers of its runs, strings that share an answer, the answer."""
-        if not self.runs:
-            return
+    def answers(self, length: int) -> list[np.ndarray]:
+        """Pack, number of a run there, first and end of its strings that share an answer, the answer."""
         pack, number, doc, many = (np.concatenate(c) for c in self.cols)
         run, size = np.concatenate(self.run), np.concatenate(self.size)
         got, bounds = answer(np.concatenate(self.data), size, np.minimum.reduceat(doc, np.searchsorted(run, np.arange(self.runs))), length)
@@ -220,25 +221,30 @@ class Shard:
         lo, hi = cut - bounds[of], np.append(cut[1:], len(got)) - bounds[of]
         first = np.searchsorted(of, np.arange(self.runs + 1))
         tell = np.flatnonzero(many | (np.minimum.reduceat(got[cut], first[:-1])[run] < doc))
-        tell = tell[np.argsort(pack[tell], kind="stable")]
         n = (first[1:] - first[:-1])[run[tell]]
         at = np.repeat(first[run[tell]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        packs, to = np.repeat(pack[tell], n), np.repeat(number[tell], n).astype(np.int64)
-        cuts = np.flatnonzero(np.append(True, packs[1:] != packs[:-1])) if len(packs) else np.zeros(0, int)
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(packs)], strict=False):
-            yield pa.record_batch([pa.array([packs[a]], pa.int32()), *(pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in (
-                to[a:b], lo[at[a:b]], hi[at[a:b]], got[cut][at[a:b]]))], names=["pack", "number", "lo", "hi", "least"])
+        return [np.repeat(pack[tell], n), np.repeat(number[tell], n), lo[at].astype(np.int32), hi[at].astype(np.int32), got[cut][at]]
+
+
+def _by_pack(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """A row for each pack that some shards have answers for."""
+    cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+    order = np.argsort(cols[0], kind="stable")
+    pack, *cols = (c[order] for c in cols)
+    cuts = np.flatnonzero(np.append(True, pack[1:] != pack[:-1]))[:len(pack)]
+    yield pa.record_batch([pa.array(pack[cuts], pa.int32()), *(pa.array([c[a:b].tobytes() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pack)], strict=False)],
+                                                                      pa.binary()) for c in cols)], names=["pack", *_ANSWER])
 
 
 def _shards(length: int):
     """Cuts the stream, sorted by anchor and run, into shards of whole anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, last = Shard(), None
+        shard, last, held = Shard(), None, []
         for batch in batches:
             for lo in range(0, len(batch), 2000):
                 part = batch.slice(lo, 2000)
                 anchor = np.asarray(part.column(0))
-                cols = [np.asarray(part.column(k)) for k in (2, 3, 4)] + [np.array(part.column(5).to_pylist(), bool)]
+                cols = [np.asarray(part.column(k)) for k in (2, 3, 4)] + [np.asarray(part.column(5).cast(pa.uint8())).astype(bool)]
                 cut = 0
                 if shard.bytes >= SHARD_BYTES:  # goes up to the next change of anchor
                     change = np.flatnonzero(np.append(anchor[0] != last, anchor[1:] != anchor[:-1]))
@@ -246,40 +252,44 @@ def _shards(length: int):
                     if cut:
                         shard.add(anchor[:cut], part.column(1).slice(0, cut), *(c[:cut] for c in cols))
                     if len(change):
-                        yield from shard.rows(length)
+                        held.append(shard.answers(length))
                         shard = Shard()
+                        if sum(len(c[0]) for c in held) >= ANSWERS:
+                            yield from _by_pack(held)
+                            held = []
                 if cut < len(anchor):
                     shard.add(anchor[cut:], part.column(1).slice(cut), *(c[cut:] for c in cols))
                 last = anchor[-1]
-        yield from shard.rows(length)
+        if shard.runs:
+            held.append(shard.answers(length))
+        if held:
+            yield from _by_pack(held)
     return run
 
 
 def _mark(length: int, keep_text: bool):
     """The pack's documents with what goes."""
     def run(p: Pack, answers: list[list[bytes]]) -> pa.Table:
-        change = np.zeros(len(p.data) + 1, np.int64)
+        change = np.zeros(len(p.data) + 1, np.int32)
         by_number = np.argsort(p.number, kind="stable")
         bounds = np.searchsorted(p.number[by_number], np.arange(len(p.one) + 1))
-        for cols in answers:
-            number, lo, hi, least = (np.frombuffer(c, np.int64) for c in cols)
-            n = bounds[number + 1] - bounds[number]
-            which = np.repeat(np.arange(len(number)), n)
-            at = by_number[np.repeat(bounds[number] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
-            gone = least[which] < p.ids[p.doc[at]]
-            which, at = which[gone], at[gone]
-            np.add.at(change, p.first[at] + lo[which], 1)
-            np.add.at(change, p.first[at] + hi[which] - 1 + length, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        number, lo, hi, least = (np.frombuffer(b"".join(a[k] for a in answers), np.int64 if k == 3 else np.int32) for k in range(4))
+        n = bounds[number + 1] - bounds[number]
+        which = np.repeat(np.arange(len(number)), n)
+        at = by_number[np.repeat(bounds[number] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        gone = least[which] < p.ids[p.doc[at]]
+        which, at = which[gone], at[gone]
+        np.add.at(change, p.first[at] + lo[which], 1)
+        np.add.at(change, p.first[at] + hi[which] - 1 + length, -1)
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         size, bounds = np.diff(p.offsets), p.offsets.tolist()
-        total = np.concatenate([[0], np.cumsum(gone)])
         opens = gone & ~np.append(False, gone[:-1])
         opens[p.offsets[:-1][size > 0]] |= gone[p.offsets[:-1][size > 0]]
-        spans = np.concatenate([[0], np.cumsum(opens)])
-        removed = total[p.offsets[1:]] - total[p.offsets[:-1]]
+        spans, total = (np.searchsorted(np.flatnonzero(marks), p.offsets) for marks in (opens, gone))
+        removed = np.diff(total)
         kept = [(p.data[a:b][~gone[a:b]] if r else p.data[a:b]).tobytes() for a, b, r in zip(bounds[:-1], bounds[1:], removed, strict=True)]
         out = {"id": p.rows, "n_bytes": pa.array(size.astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)),
-               "n_spans": pa.array((spans[p.offsets[1:]] - spans[p.offsets[:-1]]).astype(np.int64)),
+               "n_spans": pa.array(np.diff(spans).astype(np.int64)),
                "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept])}
         if keep_text:
             out["kept"] = pa.array([k.decode("utf-8", "ignore") for k in kept])
